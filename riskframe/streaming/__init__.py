@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analysed workload is batch only: it has no stream source, watermark,
+window or state.  Nothing is built here on purpose; a fitted model from
+``riskframe.plans.models`` can score a streaming DataFrame as it is, since
+``transform`` is a stateless projection.
+"""
