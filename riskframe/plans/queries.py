@@ -267,11 +267,10 @@ def scored(spark, sf_dir) -> DataFrame:
     return met.scored_long(cohort(spark, sf_dir), S.SCORE_RULES, "label")
 
 
-CONFUSION = O.with_cohort(f"""
-, scored AS ({O.scored_union(S.SCORE_RULES)}),
+CONFUSION = O.with_cohort(f""", scored AS ({O.scored_union(S.SCORE_RULES)}),
 confusion AS (SELECT model, label, prediction, count(*) AS n FROM scored
               GROUP BY model, label, prediction)
-""".replace("\n, scored", ", scored", 1))
+""")
 
 
 def _with_confusion(body: str) -> str:
@@ -345,4 +344,278 @@ def q_weighted_metrics(spark, sf_dir):
 def q_weighted_f1(spark, sf_dir):
     return round_doubles(met.weighted_metrics(met.confusion_counts(scored(spark, sf_dir)))
                          .select("model", "weighted_f1"))
-FLAGSHIP = "class_balance"
+
+
+# ============================================ 2.1 sources (round trips)
+
+def cohort_keyed(spark, sf_dir) -> DataFrame:
+    spec = S.CASE_SPEC.with_(extra_cols=("case_order", "case_line"))
+    return coh.select_cohort(cases(spark, sf_dir), spec)
+
+
+@register("scan_csv", sql=O.with_cases(
+    "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in S.CASE_COLUMNS)
+    + " FROM cases"))
+def q_scan_csv(spark, sf_dir):
+    from riskframe.session import scratch_path
+    from riskframe.sources import files, sinks
+    path = sinks.write_csv(cases(spark, sf_dir), scratch_path(spark, "cases-csv"), sep=";")
+    return files.scan_csv(spark, path, columns=S.CASE_COLUMNS, sep=";")
+
+
+@register("scan_json", sql=O.with_cohort(f"SELECT {COHORT_COLS} FROM cohort"))
+def q_scan_json(spark, sf_dir):
+    from riskframe.session import scratch_path
+    from riskframe.sources import files, sinks
+    df = cohort(spark, sf_dir)
+    path = sinks.write_json(df, scratch_path(spark, "cohort-json"))
+    return files.scan_json(spark, path, df.schema)
+
+
+@register("scan_table", sql=O.with_cohort(f"SELECT {COHORT_COLS} FROM cohort"))
+def q_scan_table(spark, sf_dir):
+    from riskframe.sources import files, sinks
+    df = cohort(spark, sf_dir)
+    name = sinks.unique_table_name("cohort")
+    sinks.create_table(spark, name, df.schema)
+    sinks.append_table(df, name)
+    return files.scan_table(spark, name)
+
+
+@register("local_rows", sql=O.with_cohort(
+    "SELECT label AS outcome, count(*) AS cases FROM cohort GROUP BY label"))
+def q_local_rows(spark, sf_dir):
+    from riskframe.sources import files
+    # One row per class reaches the driver, then becomes a typed table again.
+    rows = met.class_balance(cohort(spark, sf_dir), "label").collect()
+    return files.local_rows(spark, [(r["label"], r["n"]) for r in rows],
+                            "outcome INT, cases BIGINT")
+
+
+@register("feature_list", sql="""
+SELECT CAST(ordinal_position - 1 AS INTEGER) AS pos, column_name AS value
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
+def q_feature_list(spark, sf_dir):
+    from riskframe.session import scratch_path
+    from riskframe.sources import files, sinks
+    names = files.column_names_frame(spark, lineitem(spark, sf_dir))
+    path = sinks.write_json(names, scratch_path(spark, "features-json"))
+    return files.feature_frame(spark, path).orderBy("pos")
+
+
+# ========================================================== 2.2 sinks
+
+@register("sink_parquet", sql=O.with_cohort(f"SELECT {COHORT_COLS} FROM cohort"))
+def q_sink_parquet(spark, sf_dir):
+    from riskframe.session import scratch_path
+    from riskframe.sources import files, sinks
+    path = sinks.write_parquet(cohort(spark, sf_dir), scratch_path(spark, "cohort-parquet"))
+    return files.scan_parquet(spark, path)
+
+
+@register("sink_json", sql=_with_confusion(CLASS_METRICS_SQL + "SELECT * FROM class_metrics"))
+def q_sink_json(spark, sf_dir):
+    from riskframe.session import scratch_path
+    from riskframe.sources import files, sinks
+    cm = round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0))
+    path = sinks.write_json(cm, scratch_path(spark, "metrics-json"))
+    return files.scan_json(spark, path)  # inferred schema, as the study reads it
+
+
+@register("table_create", sql=O.with_cohort(f"SELECT {COHORT_COLS} FROM cohort WHERE false"))
+def q_table_create(spark, sf_dir):
+    from riskframe.sources import files, sinks
+    name = sinks.create_table(spark, sinks.unique_table_name("cohort_empty"),
+                              cohort(spark, sf_dir).schema)
+    return files.scan_table(spark, name)
+
+
+@register("table_append", sql=_with_confusion(CLASS_METRICS_SQL + """
+SELECT model AS "model name", tp, fp, fn, tn, accuracy, precision, recall, f1
+FROM class_metrics"""))
+def q_table_append(spark, sf_dir):
+    from riskframe.sources import files, sinks
+    schema = T.StructType([T.StructField("model name", T.StringType())] + [
+        T.StructField(c, T.LongType()) for c in ("tp", "fp", "fn", "tn")] + [
+        T.StructField(c, T.DoubleType()) for c in ("accuracy", "precision", "recall", "f1")])
+    name = sinks.create_table(spark, sinks.unique_table_name("metrics"), schema)
+    cm = round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0)) \
+        .withColumnRenamed("model", "model name")
+    first = sorted(S.SCORE_RULES)[0]
+    # Two appends, columns deliberately in another order: matched by name.
+    sinks.append_table(cm.where(F.col("model name") == first).select(*reversed(cm.columns)), name)
+    sinks.append_table(cm.where(F.col("model name") != first), name)
+    return files.scan_table(spark, name)
+
+
+@register("preview_topn", sql=O.with_cohort(
+    f"SELECT {COHORT_COLS} FROM cohort ORDER BY "
+    + ", ".join(f"{c} NULLS FIRST" for c in COHORT_COLS.split(", ")) + " LIMIT 20"))
+def q_preview_topn(spark, sf_dir):
+    from riskframe.operators import ordering
+    df = cohort(spark, sf_dir)
+    return ordering.top_k(df, df.columns, 20)
+
+
+# ===================================================== 2.7 sorts, top-k
+
+AGE_COUNTS_SQL = ", age_counts AS (SELECT NU_IDADE_N, count(*) AS n FROM cohort GROUP BY NU_IDADE_N) "
+
+
+def age_counts(spark, sf_dir) -> DataFrame:
+    return cohort(spark, sf_dir).groupBy("NU_IDADE_N").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sort_asc", sql=O.with_cohort(f"""
+SELECT case_order, case_line, NU_IDADE_N,
+       row_number() OVER (ORDER BY NU_IDADE_N NULLS FIRST, case_order, case_line) AS rank
+FROM (SELECT case_order, case_line, TRY_CAST(NU_IDADE_N AS INTEGER) AS NU_IDADE_N FROM cases)
+"""))
+def q_sort_asc(spark, sf_dir):
+    from riskframe.functions import codes as C
+    from riskframe.operators import ordering
+    df = cases(spark, sf_dir).select("case_order", "case_line",
+                                     C.to_int("NU_IDADE_N").alias("NU_IDADE_N"))
+    return ordering.global_rank(df, ["NU_IDADE_N", "case_order", "case_line"], "rank")
+
+
+@register("sort_desc", sql=O.with_cohort(AGE_COUNTS_SQL + """
+SELECT NU_IDADE_N, n, row_number() OVER (ORDER BY n DESC, NU_IDADE_N NULLS FIRST) AS rank
+FROM age_counts"""))
+def q_sort_desc(spark, sf_dir):
+    from riskframe.operators import ordering
+    return ordering.global_rank(age_counts(spark, sf_dir),
+                                [F.col("n").desc_nulls_last(), F.col("NU_IDADE_N").asc_nulls_first()],
+                                "rank")
+
+
+@register("top_k", sql=O.with_cohort(AGE_COUNTS_SQL + """
+SELECT NU_IDADE_N, n FROM age_counts ORDER BY n DESC, NU_IDADE_N NULLS FIRST LIMIT 10"""))
+def q_top_k(spark, sf_dir):
+    from riskframe.operators import ordering
+    return ordering.top_k(age_counts(spark, sf_dir),
+                          [F.col("n").desc_nulls_last(), F.col("NU_IDADE_N").asc_nulls_first()], 10)
+
+
+@register("leaderboard", sql=_with_confusion(CLASS_METRICS_SQL + """
+SELECT *, row_number() OVER (ORDER BY f1 DESC NULLS LAST, model) AS rank FROM class_metrics"""))
+def q_leaderboard(spark, sf_dir):
+    from riskframe.operators import ordering
+    cm = round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0))
+    return ordering.leaderboard(cm, "f1", "model", "rank")
+
+
+# ============================================ 2.8 sampling, set operations
+
+@register("train_test_split", sql=O.with_cohort("""
+, keyed AS (SELECT case_order, case_line FROM cases
+            WHERE TRY_CAST(CLASSI_FIN AS INTEGER) = 5 AND VACINA_COV <> '12/02/2000'
+              AND (EVOLUCAO = '1' OR EVOLUCAO = '2') AND TRY_CAST(TP_IDADE AS INTEGER) = 3)
+SELECT CASE WHEN (case_order + case_line) % 10 < 8 THEN 'train' ELSE 'test' END AS part,
+       count(*) AS n
+FROM keyed GROUP BY 1"""))
+def q_train_test_split(spark, sf_dir):
+    from riskframe.operators import sampling
+    df = coh.cohort_filter(cases(spark, sf_dir),
+                           S.CASE_SPEC.with_(extra_cols=("case_order", "case_line")))
+    parts = sampling.key_split(df, [F.col("case_order") + F.col("case_line")], 0.8,
+                               buckets=10, hashed=False, part_col="part")
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("kfold_assign", sql=O.with_planted(
+    "SELECT CAST(l_orderkey % 5 AS INTEGER) AS fold, count(*) AS n FROM planted GROUP BY 1"))
+def q_kfold_assign(spark, sf_dir):
+    from riskframe.operators import sampling
+    df = sampling.assign_folds(planted(spark, sf_dir).drop("fold"), ["l_orderkey"], 5,
+                               hashed=False)
+    return df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("undersample", sql=O.with_cohort("""
+, counts AS (SELECT label, count(*) AS n FROM cohort GROUP BY label)
+SELECT label, (SELECT min(n) FROM counts) AS n FROM counts"""))
+def q_undersample(spark, sf_dir):
+    from riskframe.operators import sampling
+    out = sampling.undersample(cohort_keyed(spark, sf_dir), "label", seed=7)
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("union_all", sql=O.with_cohort(
+    f"SELECT {COHORT_COLS} FROM cohort WHERE label = 1 UNION ALL "
+    f"SELECT {COHORT_COLS} FROM cohort WHERE label = 0"))
+def q_union_all(spark, sf_dir):
+    from riskframe.operators import sampling
+    df = cohort(spark, sf_dir)
+    return sampling.union_all(df.where("label = 1"), df.where("label = 0"))
+
+
+# =================================================== 2.9 feature engineering
+
+@register("assemble_vector", sql=O.with_cohort("""
+SELECT CAST(RENAL AS DOUBLE) AS RENAL, CAST(DIABETES AS DOUBLE) AS DIABETES,
+       CAST(ASMA AS DOUBLE) AS ASMA, CAST(CS_SEXO AS DOUBLE) AS CS_SEXO, label FROM cohort"""))
+def q_assemble_vector(spark, sf_dir):
+    from riskframe.operators import features as fe
+    cols = ["RENAL", "DIABETES", "ASMA", "CS_SEXO"]
+    df = fe.assemble(cohort(spark, sf_dir), cols, "features", "error")
+    return fe.vector_columns(df, "features", cols, keep=["label"])
+
+
+@register("assemble_keep", sql=O.with_cohort("""
+SELECT CAST(RENAL AS DOUBLE) AS RENAL, COALESCE(CAST(NU_IDADE_N AS DOUBLE), 'NaN'::DOUBLE) AS NU_IDADE_N,
+       CAST(CS_SEXO AS DOUBLE) AS CS_SEXO, label FROM cohort"""))
+def q_assemble_keep(spark, sf_dir):
+    from riskframe.operators import features as fe
+    cols = ["RENAL", "NU_IDADE_N", "CS_SEXO"]
+    df = fe.assemble(cohort(spark, sf_dir), cols, "features", "keep")
+    return fe.vector_columns(df, "features", cols, keep=["label"])
+
+
+def _index_sql(col: str) -> str:
+    return f"""
+, {col}_lab AS (SELECT {col} AS v, row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS i
+                FROM cases WHERE {col} IS NOT NULL GROUP BY {col}),
+{col}_n AS (SELECT count(*) AS k FROM {col}_lab)"""
+
+
+STRING_INDEX_COLS = ("RENAL", "FATOR_RISC", "CS_SEXO")
+
+
+@register("string_index", sql=O.with_cases(
+    "".join(_index_sql(c) for c in STRING_INDEX_COLS) + f"""
+SELECT c.case_order, c.case_line, """ + ", ".join(
+        f"CAST(COALESCE((SELECT i FROM {c}_lab WHERE v = c.{c}), (SELECT k FROM {c}_n)) AS DOUBLE)"
+        f" AS {c}_idx" for c in STRING_INDEX_COLS) + " FROM cases c"))
+def q_string_index(spark, sf_dir):
+    from riskframe.operators import features as fe
+    df = cases(spark, sf_dir).select("case_order", "case_line", *STRING_INDEX_COLS)
+    out = fe.string_index(df, STRING_INDEX_COLS, [f"{c}_idx" for c in STRING_INDEX_COLS], "keep")
+    return out.drop(*STRING_INDEX_COLS)
+
+
+@register("index_label", sql=O.with_cohort("""
+, lab AS (SELECT EVOLUCAO AS v, row_number() OVER (ORDER BY count(*) DESC, EVOLUCAO) - 1 AS i
+          FROM filtered GROUP BY EVOLUCAO)
+SELECT f.EVOLUCAO, CAST(l.i AS DOUBLE) AS label FROM filtered f JOIN lab l ON f.EVOLUCAO = l.v"""))
+def q_index_label(spark, sf_dir):
+    from riskframe.operators import features as fe
+    df = coh.cohort_filter(cases(spark, sf_dir), S.CASE_SPEC).select("EVOLUCAO")
+    return fe.index_label(df, "EVOLUCAO", "label")
+
+
+@register("type_dispatch", sql=O.with_cases(
+    "".join(_index_sql(c) for c in ("CLASSI_FIN", "FATOR_RISC")) + """
+SELECT c.case_order, c.case_line,
+  CAST(COALESCE((SELECT i FROM CLASSI_FIN_lab WHERE v = c.CLASSI_FIN), (SELECT k FROM CLASSI_FIN_n)) AS DOUBLE) AS CLASSI_FIN_vec,
+  CAST(COALESCE((SELECT i FROM FATOR_RISC_lab WHERE v = c.FATOR_RISC), (SELECT k FROM FATOR_RISC_n)) AS DOUBLE) AS FATOR_RISC_vec
+FROM cases c"""))
+def q_type_dispatch(spark, sf_dir):
+    from riskframe.operators import features as fe
+    df = cases(spark, sf_dir).select("case_order", "case_line", "CLASSI_FIN", "FATOR_RISC")
+    strings, others = coh.type_dispatch(df)
+    out = fe.string_index(df, strings, [f"{c}_vec" for c in strings], "keep")
+    return out.select(*others, *[f"{c}_vec" for c in strings])
+
+
+FLAGSHIP = "leaderboard"
