@@ -619,3 +619,445 @@ def q_type_dispatch(spark, sf_dir):
 
 
 FLAGSHIP = "leaderboard"
+
+
+# ============================================================ 2.10 models
+
+PLANTED_CONFUSION_SQL = O.with_planted(
+    "SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n FROM planted GROUP BY label")
+
+# Settings that fit the planted label exactly (and quickly) per family.
+PLANTED_SETTINGS = {
+    "lr": {"maxIter": 20},
+    "rf": {"numTrees": 5, "featureSubsetStrategy": "all", "seed": 1},
+    "gbt": {"maxIter": 3, "seed": 1},
+    "mlp": {"layers": [3, 5, 2], "maxIter": 30, "seed": 1},
+    "lsvc": {"maxIter": 20},
+    "nb": {},
+    "fm": {"maxIter": 50, "stepSize": 0.1, "seed": 1},
+}
+
+
+def planted_assembled(spark, sf_dir) -> DataFrame:
+    from riskframe.operators import features as fe
+    return fe.assemble(planted(spark, sf_dir), S.PLANTED_FEATURES, "features", "error")
+
+
+def fit_planted(spark, sf_dir, kind: str):
+    from riskframe.plans import models as M
+    data = M.persist_training(planted_assembled(spark, sf_dir))
+    try:
+        return M.make_estimator(kind, **PLANTED_SETTINGS[kind]).fit(data)
+    finally:
+        data.unpersist()
+
+
+def planted_confusion(model, spark, sf_dir) -> DataFrame:
+    scored_rows = model.transform(planted_assembled(spark, sf_dir))
+    return met.confusion_counts(scored_rows, model_col=None)
+
+
+def _fit_query(kind: str):
+    def q(spark, sf_dir):
+        return planted_confusion(fit_planted(spark, sf_dir, kind), spark, sf_dir)
+    q.__name__ = f"q_fit_{kind}"
+    return q
+
+
+for _kind in ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm"):
+    register(f"fit_{_kind}", sql=PLANTED_CONFUSION_SQL)(_fit_query(_kind))
+
+
+@register("pipeline_fit", sql=PLANTED_CONFUSION_SQL)
+def q_pipeline_fit(spark, sf_dir):
+    from riskframe.operators import features as fe
+    from riskframe.plans import models as M
+    df = planted(spark, sf_dir).withColumn(
+        "a_txt", F.when(F.col("a") == 1, F.lit("high")).otherwise(F.lit("low")))
+    pipe = M.pipeline(fe.string_indexer(["a_txt"], ["a_idx"], "keep"),
+                      fe.assembler(["a_idx", "d"], "features", "keep"),
+                      M.make_estimator("lr", maxIter=20))
+    model = pipe.fit(df)
+    return met.confusion_counts(model.transform(df), model_col=None)
+
+
+def _cv_planted(spark, sf_dir, grid: dict, kind: str = "lr", folds: int = 3):
+    from riskframe.plans import models as M
+    data = M.persist_training(planted_assembled(spark, sf_dir))
+    try:
+        est = M.make_estimator(kind, **{k: v for k, v in PLANTED_SETTINGS[kind].items()
+                                        if k not in grid})
+        cv = M.cross_validator(M.pipeline(est), M.param_grid(est, grid), folds, "fold")
+        return cv.fit(data)
+    finally:
+        data.unpersist()
+
+
+CV_GRID = {"regParam": [0.0, 0.01]}
+
+
+@register("cross_validate", sql="""
+SELECT * FROM (VALUES (0, 'regParam=0.0', 1.0::DOUBLE), (1, 'regParam=0.01', 1.0::DOUBLE))
+  AS t(combo, params, avg_metric)
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def q_cross_validate(spark, sf_dir):
+    from riskframe.plans import models as M
+    res = M.grid_results(spark, _cv_planted(spark, sf_dir, CV_GRID))
+    return res.select("combo", "params", F.round("avg_metric", 6).alias("avg_metric"))
+
+
+@register("grid_results", sql="""
+SELECT * FROM (VALUES (0, 'regParam=0.0', 1.0::DOUBLE, true),
+                      (1, 'regParam=0.01', 1.0::DOUBLE, false))
+  AS t(combo, params, avg_metric, is_best)
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def q_grid_results(spark, sf_dir):
+    from riskframe.plans import models as M
+    res = M.grid_results(spark, _cv_planted(spark, sf_dir, CV_GRID))
+    # Metrics equal to 6 places count as a tie; the first combination wins.
+    rounded = res.withColumn("avg_metric", F.round("avg_metric", 6))
+    best = rounded.agg(F.max("avg_metric")).first()[0]
+    first = rounded.where(F.col("avg_metric") == best).agg(F.min("combo")).first()[0]
+    return rounded.withColumn("is_best", F.col("combo") == F.lit(first))
+
+
+@register("best_params", sql="""
+SELECT 0.0::DOUBLE AS regParam, 0.0::DOUBLE AS elasticNetParam, 20 AS maxIter
+FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0""")
+def q_best_params(spark, sf_dir):
+    from riskframe.plans import models as M
+    grid = {"regParam": [0.0], "elasticNetParam": [0.0], "maxIter": [20]}
+    return M.best_params(spark, _cv_planted(spark, sf_dir, grid),
+                         ["regParam", "elasticNetParam", "maxIter"])
+
+
+def _mlp_grid_sql() -> str:
+    from riskframe.plans.models import STUDY_GRIDS
+    hidden = STUDY_GRIDS["mlp"]["hidden"]
+    hv = ", ".join(f"({i}, '{','.join(map(str, h))}')" for i, h in enumerate(hidden))
+    sv = ", ".join(f"({i}, '{s}')" for i, s in enumerate(STUDY_GRIDS["mlp"]["solver"]))
+    return O.with_cohort(f"""
+, k AS (SELECT CAST(max(label) + 1 AS INTEGER) AS n_classes FROM cohort)
+SELECT CAST(row_number() OVER (ORDER BY h.hi, s.si) - 1 AS INTEGER) AS combo,
+       'layers=[5,' || h.hs || ',' || CAST(k.n_classes AS VARCHAR) || '], solver=' || s.sv AS params
+FROM (VALUES {hv}) AS h(hi, hs), (VALUES {sv}) AS s(si, sv), k""")
+
+
+@register("param_grid", sql=_mlp_grid_sql())
+def q_param_grid(spark, sf_dir):
+    from riskframe.operators import features as fe
+    from riskframe.plans import models as M
+    df = cohort(spark, sf_dir)
+    n_features = len(S.CASE_SPEC.feature_cols)
+    n_classes = fe.class_count(df, "label")
+    est = M.make_estimator("mlp")
+    maps = M.param_grid(est, M.STUDY_GRIDS["mlp"], n_features, n_classes)
+    return spark.createDataFrame(M.grid_rows(maps), "combo INT, params STRING")
+
+
+def _suite(spark, sf_dir, kinds, folds: int = 3, train_only: bool = False):
+    """Train families with one-combination grids; CV on the fold column."""
+    from riskframe.plans import models as M
+    data = planted_assembled(spark, sf_dir)
+    if train_only:
+        data = data.where(F.col("l_orderkey") % 5 != 0)
+    specs = []
+    for kind in kinds:
+        fixed = dict(PLANTED_SETTINGS[kind])
+        if kind == "mlp":
+            fixed.pop("layers")
+            fixed["hidden"] = [5]
+        specs.append(M.ModelSpec(kind, fixed, {}))
+    return M.train_suite(data, specs, num_folds=folds, fold_col="fold",
+                         n_features=len(S.PLANTED_FEATURES), n_classes=2)
+
+
+@register("train_times", sql="""
+SELECT * FROM (VALUES ('lr', 3::BIGINT, true), ('nb', 3::BIGINT, true)) AS t(model, numTrains, timed)
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def q_train_times(spark, sf_dir):
+    from riskframe.plans import models as M
+    times = M.times_frame(spark, _suite(spark, sf_dir, ["lr", "nb"]))
+    return times.select("model", "numTrains", (F.col("time") > 0).alias("timed"))
+
+
+ALL_KINDS = ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm")
+
+
+@register("train_suite", sql=O.with_planted("""
+SELECT m.model, 3::BIGINT AS numTrains, 1.0::DOUBLE AS best_cv_f1, 0::BIGINT AS errors
+FROM (VALUES ('lr'), ('rf'), ('gbt'), ('mlp'), ('lsvc'), ('nb'), ('fm')) AS m(model)
+WHERE (SELECT count(*) FROM planted) > 0"""))
+def q_train_suite(spark, sf_dir):
+    from riskframe.plans import models as M
+    from riskframe.operators import sampling
+    results = _suite(spark, sf_dir, ALL_KINDS)
+    data = planted_assembled(spark, sf_dir)
+    scored_parts = [r.model.transform(data).select(F.lit(r.name).alias("model"), "label",
+                                                   "prediction") for r in results]
+    errors = (sampling.union_all(*scored_parts).groupBy("model")
+              .agg(F.sum((F.col("label") != F.col("prediction")).cast("bigint")).alias("errors")))
+    summary = spark.createDataFrame(
+        [(r.name, r.num_trains, float(round(max(r.model.avgMetrics), 6))) for r in results],
+        "model STRING, numTrains BIGINT, best_cv_f1 DOUBLE")
+    return summary.join(errors, "model")
+
+
+COMPARISON_KINDS = ("lr", "lsvc", "nb")
+
+
+def _comparison(spark, sf_dir):
+    from riskframe.plans import models as M
+    from riskframe.operators import sampling
+    from riskframe.plans import reports as R
+    results = _suite(spark, sf_dir, COMPARISON_KINDS, train_only=True)
+    test = planted_assembled(spark, sf_dir).where(F.col("l_orderkey") % 5 == 0)
+    scored_rows = sampling.union_all(*[
+        r.model.transform(test).select(F.lit(r.name).alias("model"), "label", "prediction")
+        for r in results])
+    return R.model_comparison(scored_rows, M.times_frame(spark, results), positive=0.0)
+
+
+COMPARISON_SQL = O.with_planted("""
+, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 0),
+c AS (SELECT CAST(count(*) FILTER (WHERE label = 0) AS BIGINT) AS tp,
+             CAST(count(*) FILTER (WHERE label <> 0) AS BIGINT) AS tn FROM test)
+SELECT m.model, 3::BIGINT AS numTrains, true AS timed, c.tp, 0::BIGINT AS fp, 0::BIGINT AS fn,
+       c.tn, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall,
+       1.0::DOUBLE AS f1, 1.0::DOUBLE AS weighted_f1, m.rank
+FROM (VALUES ('lr', 1::BIGINT), ('lsvc', 2::BIGINT), ('nb', 3::BIGINT)) AS m(model, rank), c""")
+
+
+@register("model_comparison", sql=COMPARISON_SQL)
+def q_model_comparison(spark, sf_dir):
+    out = _comparison(spark, sf_dir)
+    return round_doubles(out.select(
+        "model", "numTrains", ((F.col("time") > 0) & (F.col("time_per_model") >= 0)).alias("timed"),
+        "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1", "weighted_f1", "rank"))
+
+
+@register("join_times", sql=O.with_planted("""
+, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 0)
+SELECT m.model, 3::BIGINT AS numTrains, true AS timed, 1.0::DOUBLE AS accuracy
+FROM (VALUES ('lr'), ('lsvc'), ('nb')) AS m(model) WHERE (SELECT count(*) FROM test) > 0"""))
+def q_join_times(spark, sf_dir):
+    from riskframe.plans import models as M
+    from riskframe.operators import joins, sampling
+    results = _suite(spark, sf_dir, COMPARISON_KINDS, train_only=True)
+    test = planted_assembled(spark, sf_dir).where(F.col("l_orderkey") % 5 == 0)
+    scored_rows = sampling.union_all(*[
+        r.model.transform(test).select(F.lit(r.name).alias("model"), "label", "prediction")
+        for r in results])
+    cm = met.class_metrics(met.confusion_counts(scored_rows), 0.0)
+    joined = joins.attach_by_key(cm, M.times_frame(spark, results), ["model"], "left")
+    return round_doubles(joined.select("model", "numTrains", (F.col("time") > 0).alias("timed"),
+                                       "accuracy"))
+
+
+@register("score_batch", sql=O.with_planted("""
+SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n, count(*) AS n_consistent
+FROM planted GROUP BY label"""))
+def q_score_batch(spark, sf_dir):
+    from riskframe.plans import models as M
+    model = fit_planted(spark, sf_dir, "lr")
+    out = M.score(model, planted_assembled(spark, sf_dir), keep=("label",))
+    consistent = (F.col("probability")[1] > 0.5) == (F.col("prediction") == 1.0)
+    return out.groupBy("label", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(consistent.cast("bigint")).alias("n_consistent"))
+
+
+@register("model_roundtrip", sql=PLANTED_CONFUSION_SQL)
+def q_model_roundtrip(spark, sf_dir):
+    from riskframe.session import scratch_path
+    from riskframe.sources import sinks
+    cv_model = _cv_planted(spark, sf_dir, {}, kind="nb")
+    path = sinks.save_model(cv_model, scratch_path(spark, "model-nb"))
+    loaded = sinks.load_model(path)
+    return planted_confusion(loaded, spark, sf_dir)
+
+
+@register("coefficients_by_model", sql="""
+SELECT m.model, f.feature, f.pos, true AS finite
+FROM (VALUES ('logistic'), ('lsvc')) AS m(model),
+     (VALUES ('a', 0), ('b', 1), ('d', 2), ('intercept', 3)) AS f(feature, pos)
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def q_coefficients_by_model(spark, sf_dir):
+    from riskframe.plans import models as M
+    from riskframe.operators import sampling
+    names = list(S.PLANTED_FEATURES)
+    lr = M.linear_coefficients(spark, fit_planted(spark, sf_dir, "lr"), names, "logistic")
+    svm = M.linear_coefficients(spark, fit_planted(spark, sf_dir, "lsvc"), names, "lsvc")
+    both = sampling.union_all(lr, svm)
+    return both.select("model", "feature", "pos", (~F.isnan("coefficient")).alias("finite"))
+
+
+@register("feature_importances", sql="""
+SELECT 3::BIGINT AS n_features, 1.0::DOUBLE AS importance_sum
+FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0""")
+def q_feature_importances(spark, sf_dir):
+    from riskframe.plans import models as M
+    imp = M.feature_importances(spark, fit_planted(spark, sf_dir, "rf"), list(S.PLANTED_FEATURES))
+    return imp.agg(F.count(F.lit(1)).alias("n_features"),
+                   F.round(F.sum("importance"), 6).alias("importance_sum"))
+
+
+@register("fm_factors", sql="""
+SELECT f.feature, 'factor' AS term, CAST(k AS INTEGER) AS idx
+FROM (VALUES ('a'), ('b'), ('d')) AS f(feature), range(8) AS r(k)
+WHERE (SELECT count(*) FROM lineitem) > 0
+UNION ALL SELECT feature, 'linear', 0 FROM (VALUES ('a'), ('b'), ('d')) AS f(feature)
+UNION ALL SELECT 'intercept', 'intercept', 0""")
+def q_fm_factors(spark, sf_dir):
+    from riskframe.plans import models as M
+    fac = M.fm_factors(spark, fit_planted(spark, sf_dir, "fm"), list(S.PLANTED_FEATURES))
+    return fac.select("feature", "term", "idx")
+
+
+# ------------------------------------ Naive Bayes on the case cohort (exact)
+
+NB_FEATURES = ("RENAL", "DIABETES", "ASMA", "NU_IDADE_N", "CS_SEXO")
+
+
+def nb_cohort_rows(spark, sf_dir) -> DataFrame:
+    from riskframe.operators import features as fe
+    # Rows with an unknown age cannot be assembled; "skip" drops them.
+    return fe.assemble(cohort(spark, sf_dir), NB_FEATURES, "features", "skip")
+
+
+def nb_cohort_model(spark, sf_dir):
+    from riskframe.plans import models as M
+    data = M.persist_training(nb_cohort_rows(spark, sf_dir))
+    try:
+        return M.make_estimator("nb", smoothing=1.0, modelType="multinomial").fit(data)
+    finally:
+        data.unpersist()
+
+
+def nb_linear(spark, sf_dir) -> DataFrame:
+    from riskframe.plans import models as M
+    return M.nb_linear_coefficients(spark, nb_cohort_model(spark, sf_dir), list(NB_FEATURES), "nb")
+
+
+def _nb_sql() -> str:
+    sums = ", ".join(f"sum({c}) AS s_{c}" for c in NB_FEATURES)
+    longs = " UNION ALL ".join(f"SELECT label, '{c}' AS feature, s_{c} AS s FROM sums"
+                               for c in NB_FEATURES)
+    return f"""
+, nbrows AS (SELECT * FROM cohort WHERE NU_IDADE_N IS NOT NULL),
+sums AS (SELECT label, count(*) AS nc, {sums} FROM nbrows GROUP BY label),
+tot AS (SELECT sum(nc) AS n, count(*) AS k FROM sums),
+longs AS ({longs}),
+den AS (SELECT label, sum(s) AS total FROM longs GROUP BY label),
+theta AS (
+  SELECT l.label, l.feature, ln(l.s + 1.0) - ln(d.total + {float(len(NB_FEATURES))}) AS theta
+  FROM longs l JOIN den d ON l.label = d.label
+  UNION ALL
+  SELECT label, 'pi' AS feature, ln(nc + 1.0) - ln(n + k * 1.0) AS theta FROM sums, tot),
+nbcoef AS (
+  SELECT t1.feature, t1.theta - t0.theta AS coefficient
+  FROM theta t1 JOIN theta t0 ON t1.feature = t0.feature AND t1.label = 1 AND t0.label = 0)
+"""
+
+
+NB_SQL = _nb_sql()
+NB_POS = ", ".join(f"('{c}', {i})" for i, c in enumerate(NB_FEATURES)) + \
+    f", ('pi', {len(NB_FEATURES)})"
+NB_COEFS = NB_SQL + f""",
+coefs AS (
+  SELECT CAST(p.pos AS INTEGER) AS pos,
+         CASE WHEN c.feature = 'pi' THEN 'intercept' ELSE c.feature END AS feature,
+         c.coefficient, 'nb' AS model
+  FROM nbcoef c JOIN (VALUES {NB_POS}) AS p(feature, pos) ON c.feature = p.feature)
+"""
+
+
+@register("nb_theta", sql=O.with_cohort(NB_SQL + """
+SELECT CAST(label AS INTEGER) AS label, feature, ROUND(theta, 9) AS theta FROM theta"""))
+def q_nb_theta(spark, sf_dir):
+    from riskframe.plans import models as M
+    return round_doubles(M.nb_theta(spark, nb_cohort_model(spark, sf_dir), list(NB_FEATURES)))
+
+
+@register("coefficient_table", sql=O.with_cohort(NB_COEFS + """
+SELECT pos, feature, ROUND(coefficient, 9) AS coefficient, model FROM coefs"""))
+def q_coefficient_table(spark, sf_dir):
+    return round_doubles(nb_linear(spark, sf_dir))
+
+
+@register("join_baseline", sql=O.with_cohort(NB_COEFS + """
+SELECT c.pos, c.feature, ROUND(c.coefficient, 9) AS coefficient, c.model,
+       ROUND(b.coefficient, 9) AS baseline
+FROM coefs c JOIN coefs b ON b.model = c.model AND b.feature = 'intercept'
+WHERE c.feature <> 'intercept'"""))
+def q_join_baseline(spark, sf_dir):
+    from riskframe.operators import joins
+    return round_doubles(joins.attach_baseline(nb_linear(spark, sf_dir)))
+
+
+@register("score_linear", sql=O.with_cohort(NB_COEFS + ", w AS (SELECT " + ", ".join(
+    f"max(CASE WHEN feature = '{c}' THEN coefficient END) AS w_{c}" for c in NB_FEATURES)
+    + ", max(CASE WHEN feature = 'intercept' THEN coefficient END) AS w0 FROM coefs)"
+    + """
+SELECT r.label, CASE WHEN w.w0 + """ + " + ".join(f"w.w_{c} * r.{c}" for c in NB_FEATURES)
+    + """ > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS n
+FROM nbrows r, w GROUP BY 1, 2"""))
+def q_score_linear(spark, sf_dir):
+    from riskframe.plans import reports as R
+    rows = cohort(spark, sf_dir).where(F.col("NU_IDADE_N").isNotNull())
+    scored_rows = R.linear_score(rows, nb_linear(spark, sf_dir), "nb")
+    return met.confusion_counts(scored_rows, model_col=None)
+
+
+RISK_SQL = NB_COEFS + """,
+base AS (SELECT model, coefficient AS baseline FROM coefs WHERE feature = 'intercept'),
+risk AS (
+  SELECT c.feature, c.coefficient AS nb,
+         100.0 / (1.0 + exp(-b.baseline)) AS baseline_pct,
+         ROUND(exp(c.coefficient) * 100.0, 2) AS odds_ratio_pct,
+         ROUND(ROUND(exp(c.coefficient) * 100.0, 2) * (100.0 / (1.0 + exp(-b.baseline))) / 100.0, 2)
+           AS total_risk_pct,
+         100.0 / (1.0 + exp(-(b.baseline + c.coefficient))) AS adjusted_pct,
+         row_number() OVER (ORDER BY c.coefficient DESC, c.feature) AS rank
+  FROM coefs c JOIN base b ON b.model = c.model WHERE c.feature <> 'intercept')
+"""
+
+
+@register("risk_report", sql=O.with_cohort(RISK_SQL + """
+SELECT feature, ROUND(nb, 9) AS nb, ROUND(baseline_pct, 9) AS baseline_pct, odds_ratio_pct,
+       total_risk_pct, ROUND(adjusted_pct, 9) AS adjusted_pct, rank FROM risk"""))
+def q_risk_report(spark, sf_dir):
+    from riskframe.plans import reports as R
+    return round_doubles(R.risk_report(nb_linear(spark, sf_dir), "nb", ["nb"]))
+
+
+@register("sigmoid_percent", sql=O.with_cohort(RISK_SQL + """
+SELECT DISTINCT ROUND(baseline_pct, 9) AS baseline_pct FROM risk"""))
+def q_sigmoid_percent(spark, sf_dir):
+    from riskframe.plans import reports as R
+    return round_doubles(R.risk_report(nb_linear(spark, sf_dir), "nb", ["nb"])
+                         .select("baseline_pct").distinct())
+
+
+@register("odds_ratio_percent", sql=O.with_cohort(RISK_SQL + """
+SELECT feature, odds_ratio_pct FROM risk"""))
+def q_odds_ratio_percent(spark, sf_dir):
+    from riskframe.plans import reports as R
+    return R.risk_report(nb_linear(spark, sf_dir), "nb", ["nb"]).select("feature", "odds_ratio_pct")
+
+
+@register("total_risk", sql=O.with_cohort(RISK_SQL + """
+SELECT feature, total_risk_pct FROM risk"""))
+def q_total_risk(spark, sf_dir):
+    from riskframe.plans import reports as R
+    return R.risk_report(nb_linear(spark, sf_dir), "nb", ["nb"]).select("feature", "total_risk_pct")
+
+
+@register("time_per_model", sql="""
+SELECT l_returnflag, CAST(sum(l_quantity) AS BIGINT) AS time, count(*) AS numTrains,
+       CAST(ROUND(sum(l_quantity) / count(*)) AS BIGINT) AS time_per_model
+FROM lineitem GROUP BY l_returnflag""")
+def q_time_per_model(spark, sf_dir):
+    from riskframe.functions import codes as C
+    agg = lineitem(spark, sf_dir).groupBy("l_returnflag").agg(
+        F.sum("l_quantity").cast("bigint").alias("time"), F.count(F.lit(1)).alias("numTrains"))
+    return agg.withColumn("time_per_model", C.ratio_rounded("time", "numTrains"))
