@@ -58,6 +58,14 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
                   .drop("_pid", "_mid", "_first", "_offset"))
 
 
+def rank_small(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
+    """Row number in a total order for a table small by construction (one
+    row per model or per feature): a single-partition window is fine there.
+    Use ``global_rank`` for anything whose size follows the data."""
+    keys = [_as_order(c, True) for c in order]
+    return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
+
+
 def top_k(df: DataFrame, order, k: int) -> DataFrame:
     """First ``k`` rows of a total order (TakeOrdered: per-partition top-k,
     then a merge of at most k rows per partition)."""
@@ -66,6 +74,7 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
 
 def leaderboard(metrics: DataFrame, metric_col: str = "f1", model_col: str = "model",
                 rank_col: str = "rank") -> DataFrame:
-    """Models by a metric, best first (nulls last, ties by model name)."""
-    return global_rank(metrics, [F.col(metric_col).desc_nulls_last(),
-                                 F.col(model_col).asc()], rank_col)
+    """Models by a metric, best first (nulls last, ties by model name).
+    One row per model, so the small-table rank applies."""
+    return rank_small(metrics, [F.col(metric_col).desc_nulls_last(),
+                                F.col(model_col).asc()], rank_col)

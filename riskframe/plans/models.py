@@ -132,8 +132,39 @@ def f1_evaluator(label_col: str = "label", metric: str = "f1") -> MulticlassClas
     return MulticlassClassificationEvaluator(labelCol=label_col, metricName=metric)
 
 
+ONE_PASS_KINDS = frozenset({"nb"})
+
+
+def balance_partitions(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism, but only when the
+    input has fewer partitions than that (a few large files, one row group).
+
+    Iterative estimators pass over their input many times, so one shuffle
+    that spreads it over every core pays back at once; a large, already
+    well-split input is left as it is.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def persist_training(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Balance (when under-partitioned) and persist a training frame that
+    several passes or fits will reuse.  Memory first, spilling to disk."""
+    return balance_partitions(df).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit(kind: str, df: DataFrame, features_col: str = "features", label_col: str = "label",
+        **fixed):
+    """Fit one classifier.  Iterative families get a balanced, persisted
+    input; one-pass families (Naive Bayes) read the input once as it is."""
+    est = make_estimator(kind, features_col, label_col, **fixed)
+    if kind in ONE_PASS_KINDS:
+        return est.fit(df)
+    data = persist_training(df)
+    try:
+        return est.fit(data)
+    finally:
+        data.unpersist()
 
 
 def cross_validator(estimator, grid_maps, num_folds: int = STUDY_FOLDS,

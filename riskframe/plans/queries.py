@@ -645,11 +645,7 @@ def planted_assembled(spark, sf_dir) -> DataFrame:
 
 def fit_planted(spark, sf_dir, kind: str):
     from riskframe.plans import models as M
-    data = M.persist_training(planted_assembled(spark, sf_dir))
-    try:
-        return M.make_estimator(kind, **PLANTED_SETTINGS[kind]).fit(data)
-    finally:
-        data.unpersist()
+    return M.fit(kind, planted_assembled(spark, sf_dir), **PLANTED_SETTINGS[kind])
 
 
 def planted_confusion(model, spark, sf_dir) -> DataFrame:
@@ -926,11 +922,7 @@ def nb_cohort_rows(spark, sf_dir) -> DataFrame:
 
 def nb_cohort_model(spark, sf_dir):
     from riskframe.plans import models as M
-    data = M.persist_training(nb_cohort_rows(spark, sf_dir))
-    try:
-        return M.make_estimator("nb", smoothing=1.0, modelType="multinomial").fit(data)
-    finally:
-        data.unpersist()
+    return M.fit("nb", nb_cohort_rows(spark, sf_dir), smoothing=1.0, modelType="multinomial")
 
 
 def nb_linear(spark, sf_dir) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import codes as C
 from riskframe.operators import metrics as met
-from riskframe.operators.joins import attach_baseline, attach_by_key, is_bounded
-from riskframe.operators.ordering import global_rank
+from riskframe.operators.joins import attach_baseline, attach_by_key
+from riskframe.operators.ordering import rank_small
 
 MAX_FEATURES = 100_000
 
@@ -30,9 +30,10 @@ def linear_score(df: DataFrame, coefs: DataFrame, model: str, feature_col: str =
     scoring is a projection in whole-stage codegen with no join.
     """
     table = coefs.where(F.col("model") == F.lit(model)).select(feature_col, value_col)
-    if not is_bounded(table, MAX_FEATURES):
+    rows = table.limit(MAX_FEATURES + 1).collect()
+    if len(rows) > MAX_FEATURES:
         raise ValueError("coefficient table too large to inline")
-    terms = {r[0]: float(r[1]) for r in table.collect()}
+    terms = {r[0]: float(r[1]) for r in rows}
     intercept = terms.pop(intercept_name, 0.0)
     logit = reduce(lambda acc, kv: acc + F.lit(kv[1]) * F.col(kv[0]).cast("double"),
                    terms.items(), F.lit(intercept))
@@ -70,9 +71,10 @@ def risk_report(coefs: DataFrame, reference_model: str, models=None,
         C.total_risk(odds, baseline_pct).alias("total_risk_pct"),
         C.adjusted_probability("baseline", value_col).alias("adjusted_pct"),
     )
-    report = attach_by_key(ref, wide, [feature_col], "left")
-    return global_rank(report, [F.col("_coef").desc_nulls_last(), F.col(feature_col).asc()],
-                       "rank").drop("_coef")
+    # One row per feature on both sides.
+    report = attach_by_key(ref, wide, [feature_col], "left", right_is_small=True)
+    return rank_small(report, [F.col("_coef").desc_nulls_last(), F.col(feature_col).asc()],
+                      "rank").drop("_coef")
 
 
 def model_comparison(scored: DataFrame, times: DataFrame, positive: float = 0.0) -> DataFrame:
@@ -85,6 +87,8 @@ def model_comparison(scored: DataFrame, times: DataFrame, positive: float = 0.0)
     confusion = met.confusion_counts(scored)
     cm = met.class_metrics(confusion, positive)
     wm = met.weighted_metrics(confusion).select("model", "weighted_f1")
-    joined = attach_by_key(attach_by_key(cm, wm, ["model"]), times, ["model"], "left")
+    # One row per model on every side after the confusion aggregation.
+    joined = attach_by_key(attach_by_key(cm, wm, ["model"], right_is_small=True), times,
+                           ["model"], "left", right_is_small=True)
     joined = joined.withColumn("time_per_model", C.ratio_rounded("time", "numTrains"))
-    return global_rank(joined, [F.col("f1").desc_nulls_last(), F.col("model").asc()], "rank")
+    return rank_small(joined, [F.col("f1").desc_nulls_last(), F.col("model").asc()], "rank")
