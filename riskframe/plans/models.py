@@ -135,6 +135,14 @@ def f1_evaluator(label_col: str = "label", metric: str = "f1") -> MulticlassClas
 ONE_PASS_KINDS = frozenset({"nb"})
 
 
+def with_class_count(df: DataFrame, label_col: str = "label", num_classes: int = 2) -> DataFrame:
+    """Record the number of classes in the label's ML attribute metadata (as
+    StringIndexer does), so estimators read it instead of scanning the data
+    for the largest label.  The study's outcome is binary by construction."""
+    meta = {"ml_attr": {"type": "nominal", "name": label_col, "num_vals": int(num_classes)}}
+    return df.withColumn(label_col, F.col(label_col).alias(label_col, metadata=meta))
+
+
 def balance_partitions(df: DataFrame) -> DataFrame:
     """Round-robin repartition to the cluster's parallelism, but only when the
     input has fewer partitions than that (a few large files, one row group).

@@ -640,7 +640,9 @@ PLANTED_SETTINGS = {
 
 def planted_assembled(spark, sf_dir) -> DataFrame:
     from riskframe.operators import features as fe
-    return fe.assemble(planted(spark, sf_dir), S.PLANTED_FEATURES, "features", "error")
+    from riskframe.plans import models as M
+    data = fe.assemble(planted(spark, sf_dir), S.PLANTED_FEATURES, "features", "error")
+    return M.with_class_count(data, "label", 2)
 
 
 def fit_planted(spark, sf_dir, kind: str):
@@ -916,8 +918,10 @@ NB_FEATURES = ("RENAL", "DIABETES", "ASMA", "NU_IDADE_N", "CS_SEXO")
 
 def nb_cohort_rows(spark, sf_dir) -> DataFrame:
     from riskframe.operators import features as fe
+    from riskframe.plans import models as M
     # Rows with an unknown age cannot be assembled; "skip" drops them.
-    return fe.assemble(cohort(spark, sf_dir), NB_FEATURES, "features", "skip")
+    data = fe.assemble(cohort(spark, sf_dir), NB_FEATURES, "features", "skip")
+    return M.with_class_count(data, "label", len(S.CASE_SPEC.outcome_codes))
 
 
 def nb_cohort_model(spark, sf_dir):
