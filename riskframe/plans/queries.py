@@ -685,8 +685,8 @@ def _cv_planted(spark, sf_dir, grid: dict, kind: str = "lr", folds: int = 3):
     try:
         est = M.make_estimator(kind, **{k: v for k, v in PLANTED_SETTINGS[kind].items()
                                         if k not in grid})
-        cv = M.cross_validator(M.pipeline(est), M.param_grid(est, grid), folds, "fold")
-        return cv.fit(data)
+        return M.kfold_cross_validate(M.pipeline(est), M.param_grid(est, grid), data, "fold",
+                                      folds)
     finally:
         data.unpersist()
 
