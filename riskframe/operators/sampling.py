@@ -53,26 +53,54 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
+HASH_BUCKETS = 1 << 16
+
+
+def smallest_by_hash(df: DataFrame, m: int, seed: int = 7) -> DataFrame:
+    """Exactly the ``m`` rows with the smallest seeded hash of the whole row.
+
+    Two passes instead of a sort of everything: a histogram of the hash's top
+    16 bits (at most 65,536 counts reach the driver) finds the bucket where
+    the running count crosses ``m``; buckets below it are kept whole and only
+    that one bucket is ranked (with ``global_rank``, which still splits a
+    bucket that holds many identical rows).
+    """
+    h = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
+    tagged = df.withColumn("_h", h).withColumn(
+        "_b", (F.shiftright(F.col("_h"), 48) + F.lit(HASH_BUCKETS // 2)).cast("int"))
+    hist = sorted((r[0], r[1]) for r in tagged.groupBy("_b").count().collect())
+    kept, cut, need = 0, None, 0
+    for bucket, count in hist:
+        if kept + count >= m:
+            cut, need = bucket, m - kept
+            break
+        kept += count
+    if cut is None:                      # m >= row count: keep everything
+        return df
+    below = tagged.where(F.col("_b") < F.lit(cut))
+    edge = tagged.where(F.col("_b") == F.lit(cut))
+    if need > 0:
+        edge = global_rank(edge, ["_h"], "_r").where(F.col("_r") <= need).drop("_r")
+    else:
+        edge = edge.limit(0)
+    return below.unionByName(edge).drop("_h", "_b")
+
+
 def undersample(df: DataFrame, label_col: str = "label", seed: int = 7) -> DataFrame:
     """Exact undersampling: every class keeps as many rows as the smallest one.
 
-    Rows of each class are ordered by a seeded hash of the whole row and the
-    first ``m`` are kept (m = smallest class count).  Ranking uses
-    ``global_rank`` per class, so no class is ever gathered into one task.
-    The class counts come to the driver (one row per class).
+    Each larger class keeps its ``m`` rows with the smallest seeded hash
+    (``smallest_by_hash``), so the choice is reproducible and no class is
+    gathered into one task.  Class counts (one row per class) reach the driver.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}
     if not counts:
         return df
     m = min(counts.values())
-    order_key = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
     parts = []
     for value, n in counts.items():
         part = df.where(F.col(label_col).eqNullSafe(F.lit(value)))
-        if n > m:
-            part = (global_rank(part.withColumn("_h", order_key), ["_h"], "_r")
-                    .where(F.col("_r") <= m).drop("_h", "_r"))
-        parts.append(part)
+        parts.append(smallest_by_hash(part, m, seed) if n > m else part)
     return union_all(*parts)
 
 

@@ -49,3 +49,12 @@ def test_union_all_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "n INT, s STRING")
     b = spark.createDataFrame([("y", 2)], "s STRING, n INT")
     assert sorted(tuple(r) for r in sampling.union_all(a, b).collect()) == [(1, "x"), (2, "y")]
+
+
+def test_smallest_by_hash_matches_full_sort(spark):
+    df = spark.range(0, 5000, numPartitions=4).select("id", (F.col("id") % 7).alias("g"))
+    h = F.xxhash64(F.col("id"), F.col("g"), F.lit(11))
+    expect = {r.id for r in df.orderBy(h).limit(1234).collect()}
+    got = {r.id for r in sampling.smallest_by_hash(df, 1234, seed=11).collect()}
+    assert got == expect
+    assert sampling.smallest_by_hash(df, 10_000, seed=11).count() == 5000
