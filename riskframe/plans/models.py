@@ -188,16 +188,22 @@ def cross_validator(estimator, grid_maps, num_folds: int = STUDY_FOLDS,
 
 def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
                          num_folds: int = STUDY_FOLDS, evaluator=None, parallelism: int = 4,
-                         seed: int = 19900111):
+                         seed: int = 19900111, parallel_folds: bool = True):
     """k-fold cross-validation on a fold column, with JVM-side fold filters.
 
     Same search as ``CrossValidator``: for each fold, fit every ParamMap on the
     other folds and score it on this one; average per map; refit the best map
-    (first on ties) on all rows.  The fold split is a plain column predicate
-    (``CrossValidator`` checks each row's fold number in a Python UDF), each
-    fold's train and validation parts are persisted while that fold is
-    searched, and the grid is fitted ``parallelism`` maps at a time.  Returns
-    a ``CrossValidatorModel`` that saves and loads like one built by
+    (first on ties) on all rows.  Differences in how it runs:
+
+    * the fold split is a plain column predicate (``CrossValidator`` checks
+      each row's fold number in a row-at-a-time Python UDF);
+    * up to ``parallelism`` (fold, map) fits run at once, across folds as well
+      as maps, which keeps a small grid from running one fit at a time;
+    * each fold's train and validation parts are persisted (memory, then
+      disk) while searched; with ``parallel_folds=False`` only one fold is
+      held at a time, for inputs too large to keep k copies.
+
+    Returns a ``CrossValidatorModel`` that saves and loads like one built by
     ``CrossValidator``.
     """
     from multiprocessing.pool import ThreadPool
@@ -209,25 +215,38 @@ def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
                                           if estimator.hasParam("labelCol") else "label")
     maps = list(grid_maps) or [{}]
     sums = [0.0] * len(maps)
-    pool = ThreadPool(processes=max(1, min(parallelism, len(maps))))
-    try:
-        for fold in range(num_folds):
-            train = df.where(F.col(fold_col) != F.lit(fold)).persist(StorageLevel.MEMORY_AND_DISK)
-            valid = df.where(F.col(fold_col) == F.lit(fold)).persist(StorageLevel.MEMORY_AND_DISK)
-            models = estimator.fitMultiple(train, maps)
-
-            def fit_and_score(_):
-                index, model = next(models)
-                return index, evaluator.evaluate(model.transform(valid, maps[index]))
-
-            # Threads inherit the caller's job group, pool and tags.
-            task = inheritable_thread_target(df.sparkSession)(fit_and_score)
-            for index, metric in pool.imap_unordered(task, range(len(maps))):
+
+    def fold_parts(fold):
+        level = StorageLevel.MEMORY_AND_DISK
+        return (df.where(F.col(fold_col) != F.lit(fold)).persist(level),
+                df.where(F.col(fold_col) == F.lit(fold)).persist(level))
+
+    def run(tasks, parts):
+        def fit_and_score(task):
+            fold, index = task
+            train, valid = parts[fold]
+            model = estimator.fit(train, maps[index])
+            return index, evaluator.evaluate(model.transform(valid))
+
+        # Threads inherit the caller's job group, pool and tags.
+        target = inheritable_thread_target(df.sparkSession)(fit_and_score)
+        pool = ThreadPool(processes=max(1, min(parallelism, len(tasks))))
+        try:
+            for index, metric in pool.imap_unordered(target, tasks):
                 sums[index] += metric
-            train.unpersist()
-            valid.unpersist()
-    finally:
-        pool.close()
+        finally:
+            pool.close()
+
+    fold_groups = [list(range(num_folds))] if parallel_folds else [[f] for f in range(num_folds)]
+    for group in fold_groups:
+        parts = {f: fold_parts(f) for f in group}
+        try:
+            run([(f, i) for f in group for i in range(len(maps))], parts)
+        finally:
+            for train, valid in parts.values():
+                train.unpersist()
+                valid.unpersist()
+
     avg = [s / num_folds for s in sums]
     larger_better = evaluator.isLargerBetter()
     best = max(range(len(avg)), key=lambda i: (avg[i] if larger_better else -avg[i], -i))
