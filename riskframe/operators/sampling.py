@@ -7,6 +7,7 @@ the row), so reruns, lost executors and re-ordered inputs give the same parts;
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,34 @@ def assign_folds(df: DataFrame, key_cols, k: int, fold_col: str = "fold",
     return df.withColumn(fold_col, bucket_of(key_cols, k, hashed))
 
 
+def balance_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin repartition to ``target`` (default: the cluster's
+    parallelism), but only when the input has fewer partitions than that
+    (a few large files, one row group each).
+
+    Iterative consumers pass over their input many times, so one shuffle that
+    spreads it over every core pays back at once; a large, already well-split
+    input is left as it is.
+    """
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def split_for_training(df: DataFrame, train_fraction: float = 0.8, seed: int = 19900111,
+                       key_cols=None, persist: bool = True):
+    """Train/test parts ready for repeated passes: a seeded random split (or a
+    key split when ``key_cols`` is given), each part rebalanced when
+    under-partitioned and persisted (memory, then disk)."""
+    if key_cols:
+        parts = key_split(df, key_cols, train_fraction)
+    else:
+        parts = random_split(df, (train_fraction, 1.0 - train_fraction), seed)
+    parts = [balance_partitions(p) for p in parts]
+    if persist:
+        parts = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in parts]
+    return parts[0], parts[1]
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.joins import coefficient_table
+from riskframe.operators.sampling import balance_partitions
 
 ESTIMATORS = {
     "lr": lambda: LogisticRegression(family="binomial"),
@@ -143,18 +144,6 @@ def with_class_count(df: DataFrame, label_col: str = "label", num_classes: int =
     return df.withColumn(label_col, F.col(label_col).alias(label_col, metadata=meta))
 
 
-def balance_partitions(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the cluster's parallelism, but only when the
-    input has fewer partitions than that (a few large files, one row group).
-
-    Iterative estimators pass over their input many times, so one shuffle
-    that spreads it over every core pays back at once; a large, already
-    well-split input is left as it is.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def persist_training(df: DataFrame) -> DataFrame:
     """Balance (when under-partitioned) and persist a training frame that
     several passes or fits will reuse.  Memory first, spilling to disk."""

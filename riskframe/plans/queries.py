@@ -753,12 +753,17 @@ def q_param_grid(spark, sf_dir):
     return spark.createDataFrame(M.grid_rows(maps), "combo INT, params STRING")
 
 
+def planted_parts(spark, sf_dir):
+    """Train/test parts of the planted table: an integer-key split (4/5 train)."""
+    from riskframe.operators import sampling
+    return sampling.key_split(planted_assembled(spark, sf_dir), ["l_orderkey"], 0.8,
+                              buckets=5, hashed=False)
+
+
 def _suite(spark, sf_dir, kinds, folds: int = 3, train_only: bool = False):
     """Train families with one-combination grids; CV on the fold column."""
     from riskframe.plans import models as M
-    data = planted_assembled(spark, sf_dir)
-    if train_only:
-        data = data.where(F.col("l_orderkey") % 5 != 0)
+    data = planted_parts(spark, sf_dir)[0] if train_only else planted_assembled(spark, sf_dir)
     specs = []
     for kind in kinds:
         fixed = dict(PLANTED_SETTINGS[kind])
@@ -809,7 +814,7 @@ def _comparison(spark, sf_dir):
     from riskframe.operators import sampling
     from riskframe.plans import reports as R
     results = _suite(spark, sf_dir, COMPARISON_KINDS, train_only=True)
-    test = planted_assembled(spark, sf_dir).where(F.col("l_orderkey") % 5 == 0)
+    test = planted_parts(spark, sf_dir)[1]
     scored_rows = sampling.union_all(*[
         r.model.transform(test).select(F.lit(r.name).alias("model"), "label", "prediction")
         for r in results])
@@ -817,7 +822,7 @@ def _comparison(spark, sf_dir):
 
 
 COMPARISON_SQL = O.with_planted("""
-, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 0),
+, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 4),
 c AS (SELECT CAST(count(*) FILTER (WHERE label = 0) AS BIGINT) AS tp,
              CAST(count(*) FILTER (WHERE label <> 0) AS BIGINT) AS tn FROM test)
 SELECT m.model, 3::BIGINT AS numTrains, true AS timed, c.tp, 0::BIGINT AS fp, 0::BIGINT AS fn,
@@ -835,14 +840,14 @@ def q_model_comparison(spark, sf_dir):
 
 
 @register("join_times", sql=O.with_planted("""
-, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 0)
+, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 4)
 SELECT m.model, 3::BIGINT AS numTrains, true AS timed, 1.0::DOUBLE AS accuracy
 FROM (VALUES ('lr'), ('lsvc'), ('nb')) AS m(model) WHERE (SELECT count(*) FROM test) > 0"""))
 def q_join_times(spark, sf_dir):
     from riskframe.plans import models as M
     from riskframe.operators import joins, sampling
     results = _suite(spark, sf_dir, COMPARISON_KINDS, train_only=True)
-    test = planted_assembled(spark, sf_dir).where(F.col("l_orderkey") % 5 == 0)
+    test = planted_parts(spark, sf_dir)[1]
     scored_rows = sampling.union_all(*[
         r.model.transform(test).select(F.lit(r.name).alias("model"), "label", "prediction")
         for r in results])

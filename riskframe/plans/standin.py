@@ -35,11 +35,7 @@ def case_table(lineitem: DataFrame) -> DataFrame:
     """All-text coded case table, one row per lineitem row."""
     o, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     ln, q = F.col("l_linenumber"), F.col("l_quantity").cast("int")
-    ship = F.col("l_shipdate")
-    date_text = F.concat(
-        F.lpad(F.dayofmonth(ship).cast("string"), 2, "0"), F.lit("/"),
-        F.lpad(F.month(ship).cast("string"), 2, "0"), F.lit("/"),
-        F.year(ship).cast("string"))
+    date_text = F.date_format(F.col("l_shipdate"), "dd/MM/yyyy")
     points = (F.when(p % 5 == 0, 30).otherwise(0) + F.when(s % 7 == 0, 20).otherwise(0)
               + q + (o * 7 + ln * 13) % 40)
     return lineitem.select(

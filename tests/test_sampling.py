@@ -58,3 +58,13 @@ def test_smallest_by_hash_matches_full_sort(spark):
     got = {r.id for r in sampling.smallest_by_hash(df, 1234, seed=11).collect()}
     assert got == expect
     assert sampling.smallest_by_hash(df, 10_000, seed=11).count() == 5000
+
+
+def test_split_for_training_balances_and_persists(spark):
+    df = spark.range(0, 1000, numPartitions=1)
+    train, test = sampling.split_for_training(df, 0.8, seed=3)
+    assert train.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert train.storageLevel.useMemory and test.storageLevel.useDisk
+    assert train.count() + test.count() == 1000
+    train.unpersist()
+    test.unpersist()
