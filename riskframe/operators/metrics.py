@@ -93,6 +93,27 @@ def scored_long(df: DataFrame, rules: dict, label_col: str = "label") -> DataFra
               .select("s.model", "label", "s.prediction"))
 
 
+def confusion_by_rules(df: DataFrame, rules: dict, label_col: str = "label") -> DataFrame:
+    """Confusion counts ``(model, label, prediction, n)`` of several scoring
+    rules in one pass, reducing before exploding.
+
+    Rows are first grouped by (label, prediction of every rule), which keeps
+    at most classes x (distinct predictions)^rules groups; only that small
+    joint table is spread into one row per model and summed.
+    """
+    names = list(rules)
+    preds = [_expr(rules[n]).cast("double").alias(f"_p{i}") for i, n in enumerate(names)]
+    joint = (df.select(F.col(label_col).alias("label"), *preds)
+               .groupBy("label", *[f"_p{i}" for i in range(len(names))])
+               .agg(F.count(F.lit(1)).alias("_n")))
+    entries = [F.struct(F.lit(n).alias("model"), F.col(f"_p{i}").alias("prediction"))
+               for i, n in enumerate(names)]
+    spread = joint.select("label", "_n", F.explode(F.array(*entries)).alias("s"))
+    return (spread.groupBy(F.col("s.model").alias("model"), "label",
+                           F.col("s.prediction").alias("prediction"))
+                  .agg(F.sum("_n").alias("n")))
+
+
 def confusion_counts(scored: DataFrame, label_col: str = "label",
                      prediction_col: str = "prediction",
                      model_col: str | None = "model") -> DataFrame:

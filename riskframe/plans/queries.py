@@ -263,10 +263,6 @@ def q_correlation_matrix(spark, sf_dir):
     return round_doubles(met.correlation_long(cohort(spark, sf_dir), CORR_COLS))
 
 
-def scored(spark, sf_dir) -> DataFrame:
-    return met.scored_long(cohort(spark, sf_dir), S.SCORE_RULES, "label")
-
-
 CONFUSION = O.with_cohort(f""", scored AS ({O.scored_union(S.SCORE_RULES)}),
 confusion AS (SELECT model, label, prediction, count(*) AS n FROM scored
               GROUP BY model, label, prediction)
@@ -277,9 +273,13 @@ def _with_confusion(body: str) -> str:
     return CONFUSION + body
 
 
+def confusion(spark, sf_dir) -> DataFrame:
+    return met.confusion_by_rules(cohort(spark, sf_dir), S.SCORE_RULES, "label")
+
+
 @register("confusion_matrix", sql=_with_confusion("SELECT * FROM confusion"))
 def q_confusion_matrix(spark, sf_dir):
-    return met.confusion_counts(scored(spark, sf_dir))
+    return confusion(spark, sf_dir)
 
 
 CLASS_METRICS_SQL = """
@@ -306,7 +306,7 @@ class_metrics AS (
 
 @register("class_metrics", sql=_with_confusion(CLASS_METRICS_SQL + "SELECT * FROM class_metrics"))
 def q_class_metrics(spark, sf_dir):
-    return round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0))
+    return round_doubles(met.class_metrics(confusion(spark, sf_dir), 0.0))
 
 
 WEIGHTED_SQL = """
@@ -336,13 +336,13 @@ weighted AS (
 
 @register("weighted_metrics", sql=_with_confusion(WEIGHTED_SQL + "SELECT * FROM weighted"))
 def q_weighted_metrics(spark, sf_dir):
-    return round_doubles(met.weighted_metrics(met.confusion_counts(scored(spark, sf_dir))))
+    return round_doubles(met.weighted_metrics(confusion(spark, sf_dir)))
 
 
 @register("weighted_f1", sql=_with_confusion(
     WEIGHTED_SQL + "SELECT model, weighted_f1 FROM weighted"))
 def q_weighted_f1(spark, sf_dir):
-    return round_doubles(met.weighted_metrics(met.confusion_counts(scored(spark, sf_dir)))
+    return round_doubles(met.weighted_metrics(confusion(spark, sf_dir))
                          .select("model", "weighted_f1"))
 
 
@@ -417,7 +417,7 @@ def q_sink_parquet(spark, sf_dir):
 def q_sink_json(spark, sf_dir):
     from riskframe.session import scratch_path
     from riskframe.sources import files, sinks
-    cm = round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0))
+    cm = round_doubles(met.class_metrics(confusion(spark, sf_dir), 0.0))
     path = sinks.write_json(cm, scratch_path(spark, "metrics-json"))
     return files.scan_json(spark, path)  # inferred schema, as the study reads it
 
@@ -439,7 +439,7 @@ def q_table_append(spark, sf_dir):
         T.StructField(c, T.LongType()) for c in ("tp", "fp", "fn", "tn")] + [
         T.StructField(c, T.DoubleType()) for c in ("accuracy", "precision", "recall", "f1")])
     name = sinks.create_table(spark, sinks.unique_table_name("metrics"), schema)
-    cm = round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0)) \
+    cm = round_doubles(met.class_metrics(confusion(spark, sf_dir), 0.0)) \
         .withColumnRenamed("model", "model name")
     first = sorted(S.SCORE_RULES)[0]
     # Two appends, columns deliberately in another order: matched by name.
@@ -501,7 +501,7 @@ def q_top_k(spark, sf_dir):
 SELECT *, row_number() OVER (ORDER BY f1 DESC NULLS LAST, model) AS rank FROM class_metrics"""))
 def q_leaderboard(spark, sf_dir):
     from riskframe.operators import ordering
-    cm = round_doubles(met.class_metrics(met.confusion_counts(scored(spark, sf_dir)), 0.0))
+    cm = round_doubles(met.class_metrics(confusion(spark, sf_dir), 0.0))
     return ordering.leaderboard(cm, "f1", "model", "rank")
 
 

@@ -91,3 +91,14 @@ def test_pivot_sum(spark):
     got = {r["feature"]: (r["lr"], r["svm"])
            for r in met.pivot_sum(df, "feature", "model", "coefficient", ["lr", "svm"]).collect()}
     assert got == {"x": (1.0, 2.0), "y": (3.0, None)}
+
+
+def test_confusion_by_rules_equals_exploded_scoring(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.randint(0, 1), rnd.randint(0, 90), rnd.randint(0, 1)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "label INT, age INT, flag INT")
+    rules = {"old": "CAST(age > 40 AS DOUBLE)", "flag": "CAST(flag AS DOUBLE)",
+             "both": "CAST(age > 60 AND flag = 1 AS DOUBLE)"}
+    fast = sorted(map(tuple, met.confusion_by_rules(df, rules).collect()))
+    slow = sorted(map(tuple, met.confusion_counts(met.scored_long(df, rules)).collect()))
+    assert fast == slow
