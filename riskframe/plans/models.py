@@ -128,6 +128,26 @@ def pipeline(*stages) -> Pipeline:
     return Pipeline(stages=list(stages))
 
 
+def coded_pipeline(df: DataFrame, outcome_col: str, classifier, label_col: str = "label",
+                   features_col: str = "features", suffix: str = "_vec") -> Pipeline:
+    """``[indexer, assembler, classifier]`` built from the frame's schema.
+
+    String columns are indexed (by frequency, unseen and null values to an
+    extra index), the outcome becomes ``label`` the same way, every other
+    column passes through; the assembler keeps nulls as NaN.  Feature order
+    follows the frame's column order.
+    """
+    from riskframe.operators.cohort import type_dispatch
+    from riskframe.operators.features import assembler, string_indexer
+
+    strings, _ = type_dispatch(df, exclude=(outcome_col,))
+    indexer = string_indexer(strings + [outcome_col],
+                             [f"{c}{suffix}" for c in strings] + [label_col], "keep")
+    features = [f"{c}{suffix}" if c in strings else c for c in df.columns if c != outcome_col]
+    classifier.setFeaturesCol(features_col).setLabelCol(label_col)
+    return pipeline(indexer, assembler(features, features_col, "keep"), classifier)
+
+
 def f1_evaluator(label_col: str = "label", metric: str = "f1") -> MulticlassClassificationEvaluator:
     """The study's objective: support-weighted F1."""
     return MulticlassClassificationEvaluator(labelCol=label_col, metricName=metric)

@@ -666,15 +666,21 @@ for _kind in ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm"):
     register(f"fit_{_kind}", sql=PLANTED_CONFUSION_SQL)(_fit_query(_kind))
 
 
-@register("pipeline_fit", sql=PLANTED_CONFUSION_SQL)
+@register("pipeline_fit", sql=O.with_planted("""
+, coded AS (SELECT CASE WHEN a = 1 THEN 'high' ELSE 'low' END AS a_txt, d,
+                   CASE WHEN label = 1 THEN 'yes' ELSE 'no' END AS outcome FROM planted),
+lab AS (SELECT outcome AS v,
+               CAST(row_number() OVER (ORDER BY count(*) DESC, outcome) - 1 AS DOUBLE) AS i
+        FROM coded GROUP BY outcome)
+SELECT l.i AS label, l.i AS prediction, count(*) AS n
+FROM coded c JOIN lab l ON c.outcome = l.v GROUP BY l.i"""))
 def q_pipeline_fit(spark, sf_dir):
-    from riskframe.operators import features as fe
     from riskframe.plans import models as M
-    df = planted(spark, sf_dir).withColumn(
-        "a_txt", F.when(F.col("a") == 1, F.lit("high")).otherwise(F.lit("low")))
-    pipe = M.pipeline(fe.string_indexer(["a_txt"], ["a_idx"], "keep"),
-                      fe.assembler(["a_idx", "d"], "features", "keep"),
-                      M.make_estimator("lr", maxIter=20))
+    df = planted(spark, sf_dir).select(
+        F.when(F.col("a") == 1, F.lit("high")).otherwise(F.lit("low")).alias("a_txt"),
+        "d",
+        F.when(F.col("label") == 1, F.lit("yes")).otherwise(F.lit("no")).alias("outcome"))
+    pipe = M.coded_pipeline(df, "outcome", M.make_estimator("rf", **PLANTED_SETTINGS["rf"]))
     model = pipe.fit(df)
     return met.confusion_counts(model.transform(df), model_col=None)
 
