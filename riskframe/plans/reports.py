@@ -17,7 +17,8 @@ from riskframe.operators import metrics as met
 from riskframe.operators.joins import attach_baseline, attach_by_key
 from riskframe.operators.ordering import rank_small
 
-MAX_FEATURES = 100_000
+INLINE_TERMS = 256          # above this, a higher-order array dot product
+MAX_FEATURES = 10_000_000   # coefficient tables are read to the driver
 
 
 def linear_score(df: DataFrame, coefs: DataFrame, model: str, feature_col: str = "feature",
@@ -25,9 +26,10 @@ def linear_score(df: DataFrame, coefs: DataFrame, model: str, feature_col: str =
                  threshold: float = 0.5, keep=("label",)) -> DataFrame:
     """Score rows with a linear log-odds model given as a coefficient table.
 
-    The coefficient table has one row per feature; after a bounded check it
-    is read to the driver and inlined as ``intercept + sum(c_j * x_j)``, so
-    scoring is a projection in whole-stage codegen with no join.
+    The coefficient table has one row per feature; it is read to the driver
+    (bounded) and applied as a projection with no join: inlined as
+    ``intercept + sum(c_j * x_j)`` for up to ``INLINE_TERMS`` features, else
+    as a ``zip_with``/``aggregate`` dot product against an array literal.
     """
     table = coefs.where(F.col("model") == F.lit(model)).select(feature_col, value_col)
     rows = table.limit(MAX_FEATURES + 1).collect()
@@ -35,8 +37,14 @@ def linear_score(df: DataFrame, coefs: DataFrame, model: str, feature_col: str =
         raise ValueError("coefficient table too large to inline")
     terms = {r[0]: float(r[1]) for r in rows}
     intercept = terms.pop(intercept_name, 0.0)
-    logit = reduce(lambda acc, kv: acc + F.lit(kv[1]) * F.col(kv[0]).cast("double"),
-                   terms.items(), F.lit(intercept))
+    if len(terms) <= INLINE_TERMS:
+        logit = reduce(lambda acc, kv: acc + F.lit(kv[1]) * F.col(kv[0]).cast("double"),
+                       terms.items(), F.lit(intercept))
+    else:
+        values = F.array(*[F.col(c).cast("double") for c in terms])
+        weights = F.array(*[F.lit(w) for w in terms.values()])
+        logit = F.lit(intercept) + F.aggregate(
+            F.zip_with(values, weights, lambda x, w: x * w), F.lit(0.0), lambda a, b: a + b)
     prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
     return df.select(*keep, prob.alias("probability"),
                      (prob > F.lit(threshold)).cast("double").alias("prediction"))

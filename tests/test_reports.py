@@ -1,6 +1,8 @@
 """Golden values of the study's risk table (intercept and coefficients as
 published with it) and the report operators."""
 
+import math
+
 import pytest
 
 from riskframe.operators.joins import coefficient_table
@@ -69,3 +71,19 @@ def test_model_comparison_ranks_and_time_per_model(spark):
     assert out["a"]["rank"] == 1 and out["a"]["f1"] == 1.0
     assert out["a"]["time_per_model"] == 333 and out["b"]["time_per_model"] == 3
     assert out["b"]["f1"] is None and out["b"]["rank"] == 2
+
+
+def test_linear_score_wide_uses_array_dot_product(spark):
+    from pyspark.sql import functions as F
+    n = R.INLINE_TERMS + 5
+    names = [f"x{i}" for i in range(n)]
+    coefs = coefficient_table(spark, names, [0.01 * (i % 7 - 3) for i in range(n)], -0.5, "w")
+    df = spark.range(0, 20).select(F.lit(1).alias("label"),
+                                   *[((F.col("id") + i) % 3).alias(c) for i, c in enumerate(names)])
+    got = {r["id"]: r["probability"] for r in
+           R.linear_score(df.withColumn("id", F.monotonically_increasing_id()), coefs, "w",
+                          keep=("id",)).collect()}
+    rows = {r["id"]: r for r in df.withColumn("id", F.monotonically_increasing_id()).collect()}
+    for i, p in got.items():
+        z = -0.5 + sum(0.01 * (j % 7 - 3) * rows[i][c] for j, c in enumerate(names))
+        assert p == pytest.approx(1 / (1 + math.exp(-z)))
