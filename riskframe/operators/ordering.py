@@ -8,6 +8,7 @@ by the number of partitions, not by the data).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,12 +38,18 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
     spark = df.sparkSession
     scratch_root(spark)  # make sure a reliable checkpoint location exists
     keys = [_as_order(c, True) for c in order]
-    tagged = (df.withColumn("_uid", F.monotonically_increasing_id())
-                .orderBy(*keys, F.col("_uid"))
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .drop("_uid")
-                .checkpoint(eager=True))
+    # The range partitioner samples its input in a separate job before the
+    # sort's own pass; persisting the tagged input computes it once.
+    source = df.withColumn("_uid", F.monotonically_increasing_id()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (source.orderBy(*keys, F.col("_uid"))
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_mid", F.monotonically_increasing_id())
+                        .drop("_uid")
+                        .checkpoint(eager=True))
+    finally:
+        source.unpersist()
     per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                           F.min("_mid").alias("_first"))
     # One row per partition: the window below never sees more rows than that.

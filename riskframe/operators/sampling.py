@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.ordering import global_rank
+from riskframe.operators.ordering import global_rank, rank_small
 
 
 def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 19900111) -> list[DataFrame]:
@@ -85,52 +85,97 @@ def union_all(*frames: DataFrame) -> DataFrame:
 HASH_BUCKETS = 1 << 16
 
 
+def _hash_tagged(df: DataFrame, seed: int) -> DataFrame:
+    """Add a seeded hash of the whole row (``_h``) and its top 16 bits as an
+    order-preserving bucket in ``[0, 65536)`` (``_b``)."""
+    h = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
+    return df.withColumn("_h", h).withColumn(
+        "_b", (F.shiftright(F.col("_h"), 48) + F.lit(HASH_BUCKETS // 2)).cast("int"))
+
+
+# A cut bucket up to this many rows (its exact size is known from the
+# histogram) is ranked in one task; a larger one, e.g. a group of identical
+# rows, is ranked by the distributed global_rank.
+EDGE_WINDOW_ROWS = 1_000_000
+
+
+def _cut(histogram, m: int):
+    """(bucket where the running count reaches m, rows still needed there,
+    rows in that bucket)."""
+    kept = 0
+    for bucket, count in sorted(histogram):
+        if kept + count >= m:
+            return bucket, m - kept, count
+        kept += count
+    return None, 0, 0
+
+
+def _take_edge(edge: DataFrame, need: int, edge_rows: int) -> DataFrame:
+    """The ``need`` rows of one hash bucket with the smallest hash; ties are
+    broken by every column, so the choice is deterministic."""
+    if need <= 0:
+        return edge.limit(0)
+    order = ["_h"] + [c for c in edge.columns if c not in ("_h", "_b")]
+    if edge_rows <= EDGE_WINDOW_ROWS:
+        ranked = rank_small(edge, order, "_r")
+    else:
+        ranked = global_rank(edge, order, "_r")
+    return ranked.where(F.col("_r") <= need).drop("_r")
+
+
 def smallest_by_hash(df: DataFrame, m: int, seed: int = 7) -> DataFrame:
     """Exactly the ``m`` rows with the smallest seeded hash of the whole row.
 
     Two passes instead of a sort of everything: a histogram of the hash's top
     16 bits (at most 65,536 counts reach the driver) finds the bucket where
     the running count crosses ``m``; buckets below it are kept whole and only
-    that one bucket is ranked (with ``global_rank``, which still splits a
-    bucket that holds many identical rows).
+    that one bucket is ranked: in one task when the histogram shows it small,
+    else with ``global_rank``, which still splits a bucket of many identical
+    rows.
     """
-    h = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
-    tagged = df.withColumn("_h", h).withColumn(
-        "_b", (F.shiftright(F.col("_h"), 48) + F.lit(HASH_BUCKETS // 2)).cast("int"))
-    hist = sorted((r[0], r[1]) for r in tagged.groupBy("_b").count().collect())
-    kept, cut, need = 0, None, 0
-    for bucket, count in hist:
-        if kept + count >= m:
-            cut, need = bucket, m - kept
-            break
-        kept += count
+    tagged = _hash_tagged(df, seed)
+    hist = [(r[0], r[1]) for r in tagged.groupBy("_b").count().collect()]
+    cut, need, edge_rows = _cut(hist, m)
     if cut is None:                      # m >= row count: keep everything
         return df
     below = tagged.where(F.col("_b") < F.lit(cut))
-    edge = tagged.where(F.col("_b") == F.lit(cut))
-    if need > 0:
-        edge = global_rank(edge, ["_h"], "_r").where(F.col("_r") <= need).drop("_r")
-    else:
-        edge = edge.limit(0)
+    edge = _take_edge(tagged.where(F.col("_b") == F.lit(cut)), need, edge_rows)
     return below.unionByName(edge).drop("_h", "_b")
 
 
 def undersample(df: DataFrame, label_col: str = "label", seed: int = 7) -> DataFrame:
     """Exact undersampling: every class keeps as many rows as the smallest one.
 
-    Each larger class keeps its ``m`` rows with the smallest seeded hash
-    (``smallest_by_hash``), so the choice is reproducible and no class is
-    gathered into one task.  Class counts (one row per class) reach the driver.
+    Each larger class keeps its ``m`` rows with the smallest seeded hash of
+    the whole row, so the choice is reproducible and no class is gathered into
+    one task.  One grouped pass gives both the class sizes and each class's
+    hash histogram (at most classes x 65,536 counts reach the driver); the
+    rows below each class's cut bucket are kept by a filter and only the cut
+    buckets are ranked.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}
-    if not counts:
+    tagged = _hash_tagged(df, seed)
+    lab = F.col(label_col)
+    hist: dict = {}
+    for r in tagged.groupBy(label_col, "_b").count().collect():
+        hist.setdefault(r[0], []).append((r[1], r[2]))
+    if not hist:
         return df
-    m = min(counts.values())
-    parts = []
-    for value, n in counts.items():
-        part = df.where(F.col(label_col).eqNullSafe(F.lit(value)))
-        parts.append(smallest_by_hash(part, m, seed) if n > m else part)
-    return union_all(*parts)
+    sizes = {c: sum(n for _, n in h) for c, h in hist.items()}
+    m = min(sizes.values())
+    keep_below, edges = [], []
+    for c, h in hist.items():
+        is_c = lab.eqNullSafe(F.lit(c))
+        if sizes[c] == m:
+            keep_below.append(is_c)
+            continue
+        cut, need, edge_rows = _cut(h, m)
+        keep_below.append(is_c & (F.col("_b") < F.lit(cut)))
+        edges.append(_take_edge(tagged.where(is_c & (F.col("_b") == F.lit(cut))), need,
+                                edge_rows))
+    below_cond = keep_below[0]
+    for cond in keep_below[1:]:
+        below_cond = below_cond | cond
+    return union_all(tagged.where(below_cond), *edges).drop("_h", "_b")
 
 
 def sample_by_class(df: DataFrame, label_col: str, fractions: dict, seed: int = 7) -> DataFrame:

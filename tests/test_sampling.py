@@ -68,3 +68,10 @@ def test_split_for_training_balances_and_persists(spark):
     assert train.count() + test.count() == 1000
     train.unpersist()
     test.unpersist()
+
+
+def test_undersample_huge_identical_group_takes_distributed_path(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "EDGE_WINDOW_ROWS", 10)
+    df = spark.createDataFrame([(0, "same")] * 400 + [(1, "x")] * 150, "label INT, s STRING")
+    out = sampling.undersample(df, "label")
+    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {0: 150, 1: 150}
