@@ -16,22 +16,29 @@ from pyspark.sql import SparkSession
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     app_name: str = "riskframe",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Local/cluster session with the settings the operators assume.
+    """Session with the settings the operators assume.
 
-    ANSI mode stays on (Spark 4 default); code columns are parsed with
+    ``master=None`` leaves the master to the cluster launcher.  Shuffle width
+    is left to AQE (it coalesces towards ``advisoryPartitionSizeInBytes``)
+    unless ``shuffle_partitions`` is given, as local runs and tests do.  ANSI
+    mode stays on (Spark 4 default); code columns are parsed with
     ``try_cast`` so malformed text becomes null instead of failing the job.
     """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -39,8 +46,11 @@ def build_session(
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("RISKFRAME_DRIVER_MEMORY", "16g"))
     )
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM.
+        builder = builder.config("spark.driver.memory",
+                                 os.environ.get("RISKFRAME_DRIVER_MEMORY", "16g"))
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
