@@ -54,10 +54,16 @@ def balance_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
 
     Iterative consumers pass over their input many times, so one shuffle that
     spreads it over every core pays back at once; a large, already well-split
-    input is left as it is.
+    input is left as it is.  Reading the partition count plans the frame; for
+    a frame whose plan itself shuffles, AQE runs those stages to know it, so
+    call this on scans and projections (as the training helpers do).
     """
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = target or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session)
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def split_for_training(df: DataFrame, train_fraction: float = 0.8, seed: int = 19900111,

@@ -64,16 +64,21 @@ def scratch_root(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or an already registered checkpoint dir);
     sets a private one only when none is configured, as in tests.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None
-        )
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and sc is not None:
+            root = sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
             root = tempfile.mkdtemp(prefix="riskframe-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+            spark.conf.set("spark.checkpoint.dir", root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
