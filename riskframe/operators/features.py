@@ -6,6 +6,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def assembler(input_cols, output_col: str = "features",
@@ -21,6 +22,19 @@ def assemble(df: DataFrame, input_cols, output_col: str = "features",
     return assembler(input_cols, output_col, handle_invalid).transform(df)
 
 
+def invalid_feature_rows(df: DataFrame, input_cols) -> DataFrame:
+    """How many rows an assembler with ``skip`` drops (a null or NaN in any
+    feature), next to the total: ``(n_rows, n_invalid)`` in one pass."""
+    bad = None
+    for c in input_cols:
+        cond = F.col(c).isNull()
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            cond = cond | F.isnan(c)
+        bad = cond if bad is None else bad | cond
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count(F.when(bad, F.lit(1))).alias("n_invalid"))
+
+
 def vector_columns(df: DataFrame, vector_col: str, names, keep=()) -> DataFrame:
     """Spread a vector column into one double column per slot."""
     arr = vector_to_array(F.col(vector_col))

@@ -383,6 +383,19 @@ def linear_coefficients(spark: SparkSession, model, names, model_name: str) -> D
                              model_name)
 
 
+def convergence(spark: SparkSession, fitted: dict) -> DataFrame:
+    """``(model, iterations, max_iter, at_limit)`` for iterative linear models
+    (logistic regression, linear SVM): ``at_limit`` flags a fit that stopped
+    at ``maxIter`` rather than converging, whose coefficients depend on it."""
+    rows = []
+    for name, m in fitted.items():
+        iters = m.summary.totalIterations if m.hasSummary else None
+        max_iter = m.getOrDefault(m.getParam("maxIter"))
+        rows.append((name, iters, max_iter, iters is not None and iters >= max_iter))
+    return spark.createDataFrame(rows, "model STRING, iterations INT, max_iter INT, "
+                                       "at_limit BOOLEAN")
+
+
 def feature_importances(spark: SparkSession, model, names) -> DataFrame:
     """Tree-ensemble importances by name: ``(pos, feature, importance)``."""
     values = model.featureImportances.toArray()

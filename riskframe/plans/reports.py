@@ -50,9 +50,32 @@ def linear_score(df: DataFrame, coefs: DataFrame, model: str, feature_col: str =
                      (prob > F.lit(threshold)).cast("double").alias("prediction"))
 
 
+def with_reference_profile(coefs: DataFrame, profile: dict, feature_col: str = "feature",
+                           value_col: str = "coefficient",
+                           intercept_name: str = "intercept") -> DataFrame:
+    """Move each model's baseline from "all features 0" to a reference profile.
+
+    The intercept row becomes ``intercept + sum(coef_j * profile_j)`` (for
+    example the log-odds of a given age and sex with no comorbidity); the
+    other rows are unchanged.  One row per feature: small tables throughout.
+    """
+    spark = coefs.sparkSession
+    prof = spark.createDataFrame([(k, float(v)) for k, v in profile.items()],
+                                 f"{feature_col} STRING, _value DOUBLE")
+    shift = (coefs.join(F.broadcast(prof), [feature_col])
+                  .groupBy("model").agg(F.sum(F.col(value_col) * F.col("_value")).alias("_shift")))
+    is_base = F.col(feature_col) == F.lit(intercept_name)
+    return (coefs.join(F.broadcast(shift), ["model"], "left")
+                 .withColumn(value_col, F.when(is_base, F.col(value_col)
+                                               + F.coalesce(F.col("_shift"), F.lit(0.0)))
+                             .otherwise(F.col(value_col)))
+                 .drop("_shift"))
+
+
 def risk_report(coefs: DataFrame, reference_model: str, models=None,
                 feature_col: str = "feature", value_col: str = "coefficient",
-                intercept_name: str = "intercept") -> DataFrame:
+                intercept_name: str = "intercept", reference_profile: dict | None = None
+                ) -> DataFrame:
     """Odds-ratio risk table from linear coefficients (long form in).
 
     One row per non-intercept feature: the coefficient of each model side by
@@ -64,8 +87,14 @@ def risk_report(coefs: DataFrame, reference_model: str, models=None,
       study's formula; it scales a probability by an odds ratio)
     * ``adjusted_pct``    logistic of intercept + coefficient, in percent
     * ``rank``            by the reference coefficient, largest first
+
+    ``reference_profile`` (feature -> value) sets the baseline to that
+    profile instead of all-zero features (``with_reference_profile``).
     """
     models = list(models) if models is not None else [reference_model]
+    if reference_profile:
+        coefs = with_reference_profile(coefs, reference_profile, feature_col, value_col,
+                                       intercept_name)
     wide = met.pivot_sum(coefs, feature_col, "model", value_col, models)
     ref = attach_baseline(coefs.where(F.col("model") == F.lit(reference_model)),
                           intercept_name, feature_col, value_col, "model", "baseline")

@@ -83,3 +83,24 @@ def test_importances_and_factors_shapes(spark):
     fm = M.make_estimator("fm", maxIter=5, seed=1).fit(Q.planted_assembled(spark, SMALL))
     fac = M.fm_factors(spark, fm, names)
     assert fac.where("term = 'factor'").count() == 3 * 8
+
+
+def test_invalid_feature_rows_counts_skipped(spark):
+    df = Q.cohort(spark, SMALL)
+    cols = ["RENAL", "NU_IDADE_N", "CS_SEXO"]
+    r = fe.invalid_feature_rows(df, cols).first()
+    kept = fe.assemble(df, cols, "features", "skip").count()
+    assert r["n_rows"] - r["n_invalid"] == kept and r["n_invalid"] > 0
+
+
+def test_assembler_error_mode_fails_on_null(spark):
+    df = spark.createDataFrame([(1, None)], "a INT, b INT")
+    with pytest.raises(Exception, match="(?i)null|invalid|skip|keep"):
+        fe.assemble(df, ["a", "b"], "features", "error").collect()
+
+
+def test_convergence_flags_iteration_limit(spark):
+    lr = Q.fit_planted(spark, SMALL, "lr")
+    out = {r["model"]: r for r in M.convergence(spark, {"lr": lr}).collect()}
+    assert out["lr"]["max_iter"] == 20
+    assert out["lr"]["at_limit"] == (out["lr"]["iterations"] >= 20)

@@ -87,3 +87,14 @@ def test_linear_score_wide_uses_array_dot_product(spark):
     for i, p in got.items():
         z = -0.5 + sum(0.01 * (j % 7 - 3) * rows[i][c] for j, c in enumerate(names))
         assert p == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_reference_profile_moves_baseline(spark):
+    coefs = coefficient_table(spark, ["age", "male", "renal"], [0.05, 0.3, 0.5], -3.0, "lr")
+    base = R.risk_report(coefs, "lr").first()["baseline_pct"]
+    moved = R.risk_report(coefs, "lr", reference_profile={"age": 60, "male": 1}).collect()
+    expect = 100 / (1 + math.exp(-(-3.0 + 0.05 * 60 + 0.3)))
+    assert all(r["baseline_pct"] == pytest.approx(expect) for r in moved)
+    assert base == pytest.approx(100 / (1 + math.exp(3.0)))
+    renal = [r for r in moved if r["feature"] == "renal"][0]
+    assert renal["odds_ratio_pct"] == round(math.exp(0.5) * 100, 2)
