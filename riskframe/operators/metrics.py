@@ -206,3 +206,45 @@ def weighted_metrics(confusion: DataFrame, model_col: str = "model") -> DataFram
         (F.sum(F.col("r") * F.col("support")) / total).alias("weighted_recall"),
         (F.sum(f * F.col("support")) / total).alias("weighted_f1"),
     )
+
+
+def metrics_summary(confusion: DataFrame, positive: float = 0.0,
+                    model_col: str = "model") -> DataFrame:
+    """``class_metrics`` of ``positive`` and ``weighted_metrics`` together, from
+    one aggregation over the per-class counts, so a consumer that needs both
+    reads the confusion counts (and the rows behind them) once.
+
+    For the positive class: tp and fp are its per-class counts, fn is its
+    support minus tp, tn is everything else.
+    """
+    keys = [model_col] if model_col else []
+    pc = per_class_counts(confusion, model_col)
+    tp, fp, sup = (F.col(c).cast("double") for c in ("tp", "fp", "support"))
+    p = F.when(tp + fp == 0, F.lit(0.0)).otherwise(tp / (tp + fp))
+    r = F.when(sup == 0, F.lit(0.0)).otherwise(tp / sup)
+    f = F.when(p + r == 0, F.lit(0.0)).otherwise(F.lit(2.0) * p * r / (p + r))
+    is_pos = F.col("cls") == F.lit(float(positive))
+    has_support = F.col("support") > 0
+
+    def pos_sum(c):
+        return F.coalesce(F.sum(F.when(is_pos, F.col(c))), F.lit(0)).cast("bigint")
+
+    total = F.sum(F.col("support").cast("double"))
+    agg = pc.groupBy(*keys).agg(
+        pos_sum("tp").alias("tp"), pos_sum("fp").alias("fp"),
+        (pos_sum("support") - pos_sum("tp")).alias("fn"),
+        F.sum("support").cast("bigint").alias("_total"),
+        (F.sum(F.col("tp").cast("double")) / total).alias("accuracy"),
+        (F.sum(F.when(has_support, p * sup)) / total).alias("weighted_precision"),
+        (F.sum(F.when(has_support, r * sup)) / total).alias("weighted_recall"),
+        (F.sum(F.when(has_support, f * sup)) / total).alias("weighted_f1"),
+    )
+    tn = F.col("_total") - F.col("tp") - F.col("fp") - F.col("fn")
+    precision = safe_div("tp", F.col("tp") + F.col("fp"))
+    recall = safe_div("tp", F.col("tp") + F.col("fn"))
+    return agg.select(
+        *keys, "tp", "fp", "fn", tn.alias("tn"), "accuracy",
+        precision.alias("precision"), recall.alias("recall"),
+        safe_div(F.lit(2.0) * precision * recall, precision + recall).alias("f1"),
+        "weighted_precision", "weighted_recall", "weighted_f1",
+    )

@@ -121,11 +121,9 @@ def model_comparison(scored: DataFrame, times: DataFrame, positive: float = 0.0)
     ``scored`` is ``(model, label, prediction)`` for every model's test rows;
     it is reduced to confusion counts in one aggregation.
     """
-    confusion = met.confusion_counts(scored)
-    cm = met.class_metrics(confusion, positive)
-    wm = met.weighted_metrics(confusion).select("model", "weighted_f1")
-    # One row per model on every side after the confusion aggregation.
-    joined = attach_by_key(attach_by_key(cm, wm, ["model"], right_is_small=True), times,
-                           ["model"], "left", right_is_small=True)
+    summary = met.metrics_summary(met.confusion_counts(scored), positive) \
+        .drop("weighted_precision", "weighted_recall")
+    # One row per model on both sides after the confusion aggregation.
+    joined = attach_by_key(summary, times, ["model"], "left", right_is_small=True)
     joined = joined.withColumn("time_per_model", C.ratio_rounded("time", "numTrains"))
     return rank_small(joined, [F.col("f1").desc_nulls_last(), F.col("model").asc()], "rank")

@@ -102,3 +102,20 @@ def test_confusion_by_rules_equals_exploded_scoring(spark):
     fast = sorted(map(tuple, met.confusion_by_rules(df, rules).collect()))
     slow = sorted(map(tuple, met.confusion_counts(met.scored_long(df, rules)).collect()))
     assert fast == slow
+
+
+def test_metrics_summary_equals_separate_metrics(spark):
+    rnd = random.Random(5)
+    rows = [(m, float(rnd.randint(0, 1)), float(rnd.randint(0, 1)))
+            for m in ("a", "b") for _ in range(300)]
+    rows += [("c", 1.0, 1.0)] * 5          # class 0 never seen: 0/0 precision
+    df = spark.createDataFrame(rows, "model STRING, label DOUBLE, prediction DOUBLE")
+    conf = met.confusion_counts(df)
+    both = {r["model"]: r for r in met.metrics_summary(conf, 0.0).collect()}
+    cm = {r["model"]: r for r in met.class_metrics(conf, 0.0).collect()}
+    wm = {r["model"]: r for r in met.weighted_metrics(conf).collect()}
+    for m in ("a", "b", "c"):
+        for k in ("tp", "fp", "fn", "tn", "precision", "recall", "f1"):
+            assert both[m][k] == (pytest.approx(cm[m][k]) if cm[m][k] is not None else None), (m, k)
+        for k in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1"):
+            assert both[m][k] == pytest.approx(wm[m][k]), (m, k)
