@@ -59,27 +59,33 @@ def correlation_long(df: DataFrame, cols) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(col_a, col_b, corr)``.
 
     Pairwise-complete like a pandas ``corr()``: a pair ignores rows where
-    either side is null.  One aggregation pass computes the upper triangle;
-    the diagonal and the mirrored half are filled in from it.
+    either side is null; the diagonal is 1.0 when the column has any variance.
+
+    Each row is spread into one ``(pair, x, y)`` row per unordered pair
+    (diagonal included) and ``corr`` is computed per pair in one grouped
+    aggregation.  A single ``agg`` with one ``corr`` per pair would carry six
+    buffer fields per pair and leave whole-stage codegen past about 16 pairs;
+    grouped, the buffer stays small, the partial aggregate runs in the scan's
+    codegen stage, and only (partitions x pairs) rows are shuffled.  The
+    mirrored half is filled in from the pair table.
     """
     cols = list(cols)
-    pairs = list(combinations(cols, 2))
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-            for i, (a, b) in enumerate(pairs)]
-    # Diagonal: 1.0 when the column has any variance, as pandas reports it.
-    aggs += [F.when(F.stddev(F.col(c).cast("double")) > 0, F.lit(1.0)).alias(f"d{i}")
-             for i, c in enumerate(cols)]
-    one_row = df.agg(*aggs)
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                F.col(f"c{i}").alias("corr")))
-        entries.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"),
-                                F.col(f"c{i}").alias("corr")))
-    for i, c in enumerate(cols):
-        entries.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"),
-                                F.col(f"d{i}").alias("corr")))
-    return one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
+    spread = F.explode(F.array(*[
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs])).alias("p")
+    per_pair = (df.select(spread).select("p.*")
+                .groupBy("col_a", "col_b")
+                .agg(F.when(F.col("col_a") == F.col("col_b"),
+                            F.when(F.stddev("x") > 0, F.lit(1.0)))
+                     .otherwise(F.corr("x", "y")).alias("corr")))
+    both = F.array(F.struct("col_a", "col_b"),
+                   F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")))
+    sides = F.when(F.col("col_a") == F.col("col_b"), F.array(F.struct("col_a", "col_b"))) \
+        .otherwise(both)
+    return (per_pair.select(F.explode(sides).alias("k"), "corr")
+            .select("k.col_a", "k.col_b", "corr"))
 
 
 # ------------------------------------------------------------- confusion

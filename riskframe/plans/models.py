@@ -170,6 +170,16 @@ def persist_training(df: DataFrame) -> DataFrame:
     return balance_partitions(df).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def unpersisted_view(df: DataFrame) -> DataFrame:
+    """The same rows as a frame that reports no storage level.
+
+    A trivial filter: the optimizer drops it and still reads the cached
+    relation, but Spark ML estimators, which check the input's storage level,
+    then keep their own decoded copy (instances, tree points) for their
+    iterations instead of decoding the DataFrame cache on every pass."""
+    return df.where(F.lit(True))
+
+
 def fit(kind: str, df: DataFrame, features_col: str = "features", label_col: str = "label",
         **fixed):
     """Fit one classifier.  Iterative families get a balanced, persisted
@@ -179,7 +189,7 @@ def fit(kind: str, df: DataFrame, features_col: str = "features", label_col: str
         return est.fit(df)
     data = persist_training(df)
     try:
-        return est.fit(data)
+        return est.fit(unpersisted_view(data))
     finally:
         data.unpersist()
 
@@ -210,7 +220,7 @@ def default_parallelism(spark: SparkSession, cap: int = 8) -> int:
 def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
                          num_folds: int = STUDY_FOLDS, evaluator=None,
                          parallelism: int | None = None,
-                         seed: int = 19900111, parallel_folds: bool = True):
+                         seed: int = 19900111):
     """k-fold cross-validation on a fold column, with JVM-side fold filters.
 
     Same search as ``CrossValidator``: for each fold, fit every ParamMap on the
@@ -222,9 +232,13 @@ def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
     * up to ``parallelism`` (fold, map) fits run at once (default: the
       cluster's parallelism capped at 8), across folds as well as maps, which
       keeps a small grid from running one fit at a time;
-    * each fold's train and validation parts are persisted (memory, then
-      disk) while searched; with ``parallel_folds=False`` only one fold is
-      held at a time, for inputs too large to keep k copies.
+    * the input is held once (persisted here, memory then disk, unless the
+      caller already persisted it) and every fold's train and validation
+      parts are unpersisted filters over it.  Storage stays at one copy of
+      the data instead of 2k fold copies, and the estimators, which see an
+      unpersisted input, keep their own decoded training copy (instances,
+      tree points, blocks) for their iterations instead of re-reading the
+      DataFrame cache on every pass.
 
     Returns a ``CrossValidatorModel`` that saves and loads like one built by
     ``CrossValidator``.
@@ -239,19 +253,17 @@ def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
     maps = list(grid_maps) or [{}]
     sums = [0.0] * len(maps)
     parallelism = parallelism or default_parallelism(df.sparkSession)
+    owned = df.storageLevel == StorageLevel.NONE
+    data = persist_training(df) if owned else df
 
-    def fold_parts(fold):
-        level = StorageLevel.MEMORY_AND_DISK
-        return (df.where(F.col(fold_col) != F.lit(fold)).persist(level),
-                df.where(F.col(fold_col) == F.lit(fold)).persist(level))
-
-    def run(tasks, parts):
-        def fit_and_score(task):
-            fold, index = task
-            train, valid = parts[fold]
-            model = estimator.fit(train, maps[index])
-            return index, evaluator.evaluate(model.transform(valid))
+    def fit_and_score(task):
+        fold, index = task
+        in_fold = F.col(fold_col) == F.lit(fold)
+        model = estimator.fit(data.where(~in_fold), maps[index])
+        return index, evaluator.evaluate(model.transform(data.where(in_fold)))
 
+    tasks = [(f, i) for f in range(num_folds) for i in range(len(maps))]
+    try:
         # Threads inherit the caller's job group, pool and tags.
         target = inheritable_thread_target(df.sparkSession)(fit_and_score)
         pool = ThreadPool(processes=max(1, min(parallelism, len(tasks))))
@@ -260,21 +272,13 @@ def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
                 sums[index] += metric
         finally:
             pool.close()
-
-    fold_groups = [list(range(num_folds))] if parallel_folds else [[f] for f in range(num_folds)]
-    for group in fold_groups:
-        parts = {f: fold_parts(f) for f in group}
-        try:
-            run([(f, i) for f in group for i in range(len(maps))], parts)
-        finally:
-            for train, valid in parts.values():
-                train.unpersist()
-                valid.unpersist()
-
-    avg = [s / num_folds for s in sums]
-    larger_better = evaluator.isLargerBetter()
-    best = max(range(len(avg)), key=lambda i: (avg[i] if larger_better else -avg[i], -i))
-    best_model = estimator.fit(df, maps[best])
+        avg = [s / num_folds for s in sums]
+        larger_better = evaluator.isLargerBetter()
+        best = max(range(len(avg)), key=lambda i: (avg[i] if larger_better else -avg[i], -i))
+        best_model = estimator.fit(unpersisted_view(data), maps[best])
+    finally:
+        if owned:
+            data.unpersist()
     cv_model = CrossValidatorModel(best_model, avgMetrics=avg)
     for param, value in ((cv_model.estimator, estimator), (cv_model.estimatorParamMaps, maps),
                          (cv_model.evaluator, evaluator), (cv_model.numFolds, num_folds),
