@@ -231,7 +231,8 @@ def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
       each row's fold number in a row-at-a-time Python UDF);
     * up to ``parallelism`` (fold, map) fits run at once (default: the
       cluster's parallelism capped at 8), across folds as well as maps, which
-      keeps a small grid from running one fit at a time;
+      keeps a small grid from running one fit at a time; with a single
+      ParamMap the final refit runs in the same pool;
     * the input is held once (persisted here, memory then disk, unless the
       caller already persisted it) and every fold's train and validation
       parts are unpersisted filters over it.  Storage stays at one copy of
@@ -256,26 +257,37 @@ def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
     owned = df.storageLevel == StorageLevel.NONE
     data = persist_training(df) if owned else df
 
+    refit = {}
+
     def fit_and_score(task):
         fold, index = task
+        if fold is None:                 # the final refit on every row
+            refit["model"] = estimator.fit(unpersisted_view(data), maps[index])
+            return index, None
         in_fold = F.col(fold_col) == F.lit(fold)
         model = estimator.fit(data.where(~in_fold), maps[index])
         return index, evaluator.evaluate(model.transform(data.where(in_fold)))
 
     tasks = [(f, i) for f in range(num_folds) for i in range(len(maps))]
+    if len(maps) == 1:
+        # One candidate: it is the best whatever the fold scores, so its
+        # refit runs alongside the fold fits instead of after them.
+        tasks.append((None, 0))
     try:
         # Threads inherit the caller's job group, pool and tags.
         target = inheritable_thread_target(df.sparkSession)(fit_and_score)
         pool = ThreadPool(processes=max(1, min(parallelism, len(tasks))))
         try:
             for index, metric in pool.imap_unordered(target, tasks):
-                sums[index] += metric
+                if metric is not None:
+                    sums[index] += metric
         finally:
             pool.close()
         avg = [s / num_folds for s in sums]
         larger_better = evaluator.isLargerBetter()
         best = max(range(len(avg)), key=lambda i: (avg[i] if larger_better else -avg[i], -i))
-        best_model = estimator.fit(unpersisted_view(data), maps[best])
+        best_model = refit["model"] if "model" in refit else \
+            estimator.fit(unpersisted_view(data), maps[best])
     finally:
         if owned:
             data.unpersist()
