@@ -59,7 +59,8 @@ def correlation_long(df: DataFrame, cols) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(col_a, col_b, corr)``.
 
     Pairwise-complete like a pandas ``corr()``: a pair ignores rows where
-    either side is null; the diagonal is 1.0 when the column has any variance.
+    either side is null; the diagonal is 1.0 when the column has any variance,
+    and a pair with a constant side has no correlation (null).
 
     Each row is spread into one ``(pair, x, y)`` row per unordered pair
     (diagonal included) and ``corr`` is computed per pair in one grouped
@@ -71,15 +72,23 @@ def correlation_long(df: DataFrame, cols) -> DataFrame:
     """
     cols = list(cols)
     pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
+    # Each side is nulled where the other is null, so both moments and the
+    # co-moment cover the same complete rows.
     spread = F.explode(F.array(*[
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                 F.when(F.col(b).isNotNull(), F.col(a).cast("double")).alias("x"),
+                 F.when(F.col(a).isNotNull(), F.col(b).cast("double")).alias("y"))
         for a, b in pairs])).alias("p")
+    # covar / (sd_x * sd_y) with try_divide: a constant column gives null
+    # (as pandas gives NaN) instead of the division error ``corr`` raises
+    # under ANSI mode.
+    sd_x = F.stddev_samp("x")
     per_pair = (df.select(spread).select("p.*")
                 .groupBy("col_a", "col_b")
                 .agg(F.when(F.col("col_a") == F.col("col_b"),
-                            F.when(F.stddev("x") > 0, F.lit(1.0)))
-                     .otherwise(F.corr("x", "y")).alias("corr")))
+                            F.when(sd_x > 0, F.lit(1.0)))
+                     .otherwise(F.try_divide(F.covar_samp("x", "y"),
+                                             sd_x * F.stddev_samp("y"))).alias("corr")))
     both = F.array(F.struct("col_a", "col_b"),
                    F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")))
     sides = F.when(F.col("col_a") == F.col("col_b"), F.array(F.struct("col_a", "col_b"))) \

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -119,3 +120,24 @@ def test_metrics_summary_equals_separate_metrics(spark):
             assert both[m][k] == (pytest.approx(cm[m][k]) if cm[m][k] is not None else None), (m, k)
         for k in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1"):
             assert both[m][k] == pytest.approx(wm[m][k]), (m, k)
+
+
+def test_correlation_many_columns_and_constant(spark):
+    # 8 columns = 36 pairs (past the point where one agg per pair would leave
+    # codegen); a constant column has no correlation, not even with itself.
+    import pandas as pd
+    cols = [f"c{i}" for i in range(8)]
+    rows = [tuple(float((r * (i + 3)) % (i + 5)) if i else 7.0 for i in range(8))
+            for r in range(40)]
+    rows[3] = (7.0, None, *rows[3][2:])
+    df = spark.createDataFrame(rows, ", ".join(f"{c} DOUBLE" for c in cols))
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in met.correlation_long(df, cols).collect()}
+    assert len(got) == 64
+    expect = pd.DataFrame(rows, columns=cols).corr()
+    for a in cols:
+        for b in cols:
+            e = expect.loc[a, b]
+            if math.isnan(e):
+                assert got[(a, b)] is None
+            else:
+                assert got[(a, b)] == pytest.approx(e, abs=1e-12)

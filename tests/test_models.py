@@ -104,3 +104,30 @@ def test_convergence_flags_iteration_limit(spark):
     out = {r["model"]: r for r in M.convergence(spark, {"lr": lr}).collect()}
     assert out["lr"]["max_iter"] == 20
     assert out["lr"]["at_limit"] == (out["lr"]["iterations"] >= 20)
+
+
+def test_kfold_cv_matches_fold_by_fold_fits(spark):
+    # The concurrent search over views must give the averages of plain
+    # sequential fits, and release everything it persisted.
+    data = Q.planted_assembled(spark, SMALL).where(F.col("d") == 1)
+    est = M.make_estimator("lr", maxIter=5)
+    maps = M.param_grid(est, {"regParam": [0.0, 0.3]})
+    persisted_before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    cv = M.kfold_cross_validate(M.pipeline(est), maps, data, "fold", 3)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == persisted_before
+    ev = M.f1_evaluator()
+    for i, pm in enumerate(maps):
+        scores = [ev.evaluate(est.fit(data.where(F.col("fold") != f), pm)
+                              .transform(data.where(F.col("fold") == f))) for f in range(3)]
+        assert cv.avgMetrics[i] == pytest.approx(sum(scores) / 3, abs=1e-12)
+
+
+def test_one_candidate_refit_is_the_full_fit(spark):
+    data = Q.planted_assembled(spark, SMALL)
+    est = M.make_estimator("lr", maxIter=5, regParam=0.2)
+    cv = M.kfold_cross_validate(est, [{}], data, "fold", 3)
+    full = est.fit(data)
+    assert len(cv.avgMetrics) == 1
+    assert list(M.best_stage(cv).coefficients) == pytest.approx(list(full.coefficients),
+                                                                abs=1e-12)
+    assert M.best_stage(cv).intercept == pytest.approx(full.intercept, abs=1e-12)
