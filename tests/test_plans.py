@@ -41,3 +41,17 @@ def test_confusion_metrics_single_scan_partial_aggregate(spark):
 def test_pivot_with_values_needs_no_distinct_job(spark):
     text = plan_text(Q.QUERIES["pivot_sum"](spark, SMALL))
     assert "pivotfirst" in text.lower() or "sum(CASE" in text or "HashAggregate" in text
+
+
+def test_correlation_aggregate_stays_in_codegen(spark):
+    # Six columns (21 pairs): the per-pair grouped aggregate keeps a small
+    # buffer, so after execution both aggregate steps sit inside whole-stage
+    # codegen ("*(n) HashAggregate" in the final adaptive plan).
+    from riskframe.operators import metrics as met
+    df = met.correlation_long(Q.cohort(spark, SMALL), Q.CORR_COLS)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    lines = [ln for ln in final.splitlines() if "HashAggregate" in ln]
+    assert len(lines) == 2
+    assert all("*(" in ln for ln in lines), final
