@@ -1,0 +1,352 @@
+"""Per-document operators against plain Python: rules, packing, fingerprints, spans, lines."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from riskframe.llm import lines, packing, quality_rules, secrets, simhash, substrings
+from riskframe.llm import queries as Q
+from tests.llm import corpora
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return WORD.findall(text or "")
+
+
+def key(values):
+    return sorted(map(repr, values))
+
+
+# Quality rules -----------------------------------------------------------------
+
+def plain_rules(text):
+    words = words_of(text)
+    windows = list(zip(words, words[1:], words[2:]))
+    counts = Counter(windows)
+    covered = {i + j for i, w in enumerate(windows) if counts[w] > 1 for j in range(3)}
+    filled = [x for x in (text or "").split("\n") if words_of(x)]
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""),
+            len(filled) - len(set(filled)), len(covered), n < 50 or 100 * len(covered) > 50 * n)
+
+
+def test_rules_match_plain_count(spark):
+    rows, docs = corpora.both(spark)
+    ledger = quality_rules.apply_policy(quality_rules.evaluate_rules(corpora.clashing(docs)))
+    got = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words,
+            r.base_failed) for r in ledger.collect()]
+    assert key(got) == key([(r[0], *plain_rules(r[1])) for r in rows])
+
+
+def test_kept_needs_base_and_policies_only_add(spark):
+    ledger = quality_rules.evaluate_rules(corpora.both(spark)[1])
+    kept = {v: quality_rules.apply_policy(ledger, v) for v in quality_rules.POLICIES}
+    assert kept["v2"].where("kept and base_failed").count() == 0
+    assert kept["v2"].where("kept").count() <= kept["v1"].where("kept").count()
+
+
+def test_ablations_equal_counting_rows(spark):
+    ledger = quality_rules.evaluate_rules(corpora.both(spark)[1])
+    bits = [r.fail_bits for r in ledger.collect()]
+    rows = {r.rule: r for r in quality_rules.ablations(ledger).collect()}
+    assert set(rows) == {r.name for r in quality_rules.RULES}
+    for i, rule in enumerate(quality_rules.RULES):
+        bit, row = 1 << i, rows[rule.name]
+        assert row.n_docs == len(bits)
+        assert row.n_failed == sum(1 for b in bits if b & bit)
+        assert row.n_only == sum(1 for b in bits if b == bit)
+        assert row.n_kept_without - row.n_kept == row.n_only
+
+
+def test_rules_of_no_documents(spark):
+    ledger = quality_rules.evaluate_rules(corpora.empty(spark))
+    assert quality_rules.apply_policy(ledger).count() == 0
+    assert quality_rules.ablations(ledger).count() == 0
+
+
+# Packing -----------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found.encode_special_tokens = True
+    return found
+
+
+def test_pieces_round_trip_and_sequences_are_gapless(spark, tokenizer):
+    rows, docs = corpora.both(spark)
+    packed = packing.pack_documents(corpora.clashing(docs)).collect()
+    want = []
+    for doc_id, text, *_ in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        first = len(ids) % 2048 or min(len(ids), 2048)
+        cuts = [0, *range(first, len(ids), 2048), len(ids)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            crc = zlib.crc32(np.array(ids[a:b], "<u4").tobytes())
+            want.append((doc_id, piece, a, b - a, crc))
+    assert key((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == key(want)
+    sequences = defaultdict(list)
+    for r in packed:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(w[3] for w in want)
+    assert len(sequences) <= -(-total // 2048) + 1
+
+
+def test_packing_no_documents(spark):
+    assert packing.pack_documents(corpora.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_uses_every_piece_once(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.clip(rng.lognormal(6, 1.2, 4000).astype(int), 1, 2048)
+    histogram = Counter(lengths.tolist())
+    plan = packing.make_plan(dict(histogram))
+    used = Counter()
+    for step in plan:
+        assert sum(step.lengths) <= 2048 and step.times > 0
+        for length in step.lengths:
+            used[length] += step.times
+    assert used == histogram
+    bound = max(-(-int(lengths.sum()) // 2048), int((lengths > 1024).sum()))
+    assert sum(s.times for s in plan) <= 1.005 * bound + 1
+
+
+def test_exact_fillings_are_found():
+    assert sum(s.times for s in packing.make_plan({1000: 2, 548: 1, 500: 3}, 2048)) == 2
+    assert packing.make_plan({2048: 5}) == [packing.Step((2048,), 5)]
+    assert packing.make_plan({}) == []
+
+
+# SimHash -----------------------------------------------------------------------
+
+def plain_print(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = words_of(words)
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_and_components_match_all_pairs(spark):
+    rows, docs = corpora.both(spark)
+    prints = [plain_print(r[1]) for r in rows]
+    distinct = sorted(set(prints))
+    links = [(a, b) for i, a in enumerate(distinct) for b in distinct[i:]
+             if (a ^ b).bit_count() <= 4]
+    roots = components_of = corpora.components(distinct, links)
+    smallest = {}
+    for (doc_id, *_), p in zip(rows, prints):
+        ids = [i for i in (smallest.get(roots[p]), doc_id) if i is not None]
+        smallest[roots[p]] = min(ids) if ids else None
+    want = [(r[0], f"{p:016x}", smallest[components_of[p]]) for r, p in zip(rows, prints)]
+    found = simhash.near_duplicate_components(corpora.clashing(docs))
+    got = [tuple(r) for r in found.select("doc_id", simhash.hex_fingerprint(), "component_id")
+           .collect()]
+    assert key(got) == key(want)
+
+
+def test_spark_hash_is_the_same_xxh64(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([("a b c d",)], "s string")
+    signed = frame.select(F.xxhash64("s")).first()[0]
+    assert signed % (1 << 64) == xxhash.xxh64_intdigest(b"a b c d", seed=42)
+
+
+def test_links_cover_every_close_pair(spark):
+    """A crowd around one fingerprint, chains and strangers: same components as all pairs."""
+    rng = np.random.default_rng(3)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    base = int(rng.integers(0, 1 << 62))
+    values = {base}
+    for _ in range(600):
+        bits = rng.choice(64, int(rng.integers(1, 7)), replace=False)
+        values.add(base ^ sum(1 << int(b) for b in bits))
+    chain = int(rng.integers(0, 1 << 62))
+    for i in range(12):
+        chain ^= sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+        values.add(chain)
+    values |= {int(x) for x in rng.integers(0, 1 << 62, 300)} | {0, 1, (1 << 64) - 1}
+    values = sorted(signed(v) for v in values)
+    links = [(a, b) for i, a in enumerate(values) for b in values[i + 1:]
+             if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4]
+    want = corpora.components(values, links)
+    frame = spark.createDataFrame([(v,) for v in values], "print long")
+    found = [tuple(r) for r in simhash.link_fingerprints(frame).collect()]
+    assert all(((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4 for a, b in found)
+    assert corpora.components(values, found) == want
+
+
+def test_one_row_stays_per_component(spark):
+    rows, docs = corpora.both(spark)
+    kept = simhash.keep_one_per_component(docs).collect()
+    prints = [plain_print(r[0]) for r in [(x[1],) for x in kept]]
+    assert len(prints) == len(set(prints))
+    found = simhash.near_duplicate_components(docs)
+    assert len(kept) == found.select("root").distinct().count()
+    assert simhash.keep_one_per_component(corpora.empty(spark)).count() == 0
+
+
+# Substrings --------------------------------------------------------------------
+
+def plain_cut(rows, span=50):
+    owners = {}
+    for doc_id, text, *_ in rows:
+        words = words_of(text)
+        for i in range(len(words) - span + 1):
+            w = tuple(words[i:i + span])
+            if doc_id is not None:
+                owners[w] = min(doc_id, owners.get(w, doc_id))
+    out = []
+    for doc_id, text, *_ in rows:
+        words = words_of(text)
+        gone = set()
+        for i in range(len(words) - span + 1):
+            if doc_id is not None and owners[tuple(words[i:i + span])] < doc_id:
+                gone.update(range(i, i + span))
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc_id, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def span_results(docs, **how):
+    return [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest())
+            for r in substrings.remove_repeated_spans(docs, **how).collect()]
+
+
+def test_repeated_spans_match_all_windows(spark):
+    rows, docs = corpora.both(spark)
+    want = plain_cut(rows)
+    assert sum(w[2] > 0 for w in want) > 10
+    assert key(span_results(corpora.clashing(docs))) == key(want)
+
+
+def test_short_spans_over_a_small_alphabet(spark):
+    """Branching everywhere: three words, spans of 6, minimizers of 2."""
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 40)), " ".join(rng.choice(["a", "b", "c"], int(rng.integers(0, 40)))),
+             None, None, None) for _ in range(120)]
+    docs = spark.createDataFrame(rows, corpora.SCHEMA)
+    assert key(span_results(docs, span=6, minimizer=2)) == key(plain_cut(rows, 6))
+
+
+def test_no_documents_no_spans(spark):
+    assert substrings.remove_repeated_spans(corpora.empty(spark)).count() == 0
+
+
+# Lines -------------------------------------------------------------------------
+
+def plain_lines(rows):
+    def place(row, i):
+        return (row[0] is None, row[0] or 0, i)
+
+    first = {}
+    for row in rows:
+        filled = [x for x in (row[1] or "").split("\n") if words_of(x)]
+        for i in range(len(filled) - 2):
+            w = tuple(filled[i:i + 3])
+            first[w] = min(first.get(w, place(row, i)), place(row, i))
+    out = []
+    for row in rows:
+        parts = (row[1] or "").split("\n")
+        filled = [i for i, x in enumerate(parts) if words_of(x)]
+        gone = set()
+        for i in range(len(filled) - 2):
+            w = tuple(parts[j] for j in filled[i:i + 3])
+            if first[w] < place(row, i):
+                gone.update(filled[i:i + 3])
+        text = row[1] if not gone else "\n".join(x for i, x in enumerate(parts) if i not in gone)
+        out.append((row[0], len(filled), len(gone), text))
+    return out
+
+
+def test_line_windows_match_plain(spark):
+    rows, docs = corpora.both(spark)
+    got = lines.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+    want = plain_lines(rows)
+    assert sum(w[2] > 0 for w in want) > 3
+    assert key(tuple(r) for r in got.collect()) == key(want)
+
+
+def test_lines_keep_extra_columns_and_no_documents(spark):
+    extra = corpora.awkward(spark).withColumnRenamed("n_chars", "windows")
+    out = lines.remove_repeated_lines(extra)
+    assert out.columns == [*extra.columns, "n_lines", "n_removed"]
+    assert out.count() == extra.count()
+    assert lines.remove_repeated_lines(corpora.empty(spark)).count() == 0
+
+
+# Secrets -----------------------------------------------------------------------
+
+def plain_secrets(text, rules=secrets.RULES):
+    spans = []
+    for number, rule in enumerate(rules):
+        for m in re.finditer(rule.regex, text or "", re.ASCII):
+            if len(m[rule.group]) >= rule.least:
+                spans.append((m.start(), number, m.end()))
+    return sorted(spans)
+
+
+def test_secret_spans_match_plain_scan(spark):
+    rows, docs = corpora.both(spark)
+    rows += [(r[0] + 5000, r[1], None, None, None) for r in rows if r[0]]
+    docs = spark.createDataFrame(rows, corpora.SCHEMA)
+    got = [(r.doc_id, [tuple(s) for s in r.found])
+           for r in secrets.find_secrets(corpora.clashing(docs)).collect()]
+    assert key(got) == key([(r[0], plain_secrets(r[1])) for r in rows])
+    assert sum(len(s) for _, s in got) > 10
+
+
+def test_hex_runs_equal_all_runs_filtered():
+    texts = [r[1] or "" for r in corpora.awkward_rows()]
+    for text in texts:
+        long_runs = [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        assert long_runs == [m.span() for m in re.finditer("[0-9a-f]{32,}", text)]
+
+
+def test_trigram_queries_are_mandatory():
+    queries = {r.kind: secrets.trigram_query(r.regex) for r in secrets.RULES}
+    assert queries["hex"] is None
+    assert queries["access"] == [frozenset({"aki", "kia"})]
+    assert frozenset({"tok", "oke", "ken"}) in queries["assign"]
+    assert frozenset({"api", "pik", "ike", "key"}) in queries["assign"]
+    assert frozenset({"api", "pi_", "i_k", "_ke", "key"}) in queries["assign"]
+    assert len(queries["assign"]) == 6
+    for rule in secrets.RULES:
+        for row in corpora.awkward_rows():
+            for m in re.finditer(rule.regex, row[1] or ""):
+                low = m[0].lower()
+                assert queries[rule.kind] is None or any(
+                    all(t in low for t in grams) for grams in queries[rule.kind])
+
+
+def test_secrets_of_no_documents(spark):
+    assert secrets.find_secrets(corpora.empty(spark)).count() == 0
+
+
+# Registered queries ------------------------------------------------------------
+
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+def test_registered_query_returns_every_row(spark, name):
+    df = Q.QUERIES[name](spark, corpora.SMALL)
+    table = "embeddings" if name.startswith("op10") else "documents"
+    ids = df.columns[0]
+    given = len(corpora.given_rows(table))
+    assert df.select(ids).distinct().count() == given
