@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import lines, packing, quality_rules, secrets, simhash, substrings, vectors
-from riskframe.llm.common import read_table
+from riskframe.llm import (lines, mixing, packing, quality_ranker, quality_rules, secrets,
+                           simhash, substrings, token_counts, vectors)
+from riskframe.llm.common import materialize, read_table
+from riskframe.llm.oracles import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +20,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "fail_bits", "policy")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trees = materialize(token_counts.build_trees(read_table(spark, sf_dir, "documents")),
+                        "token-trees")
+    edits = token_counts.find_edits(trees, token_counts.redactions)
+    return token_counts.apply_edits(edits).select(
+        "doc_id", "n_tokens_before", "n_edits", "n_reencoded", "n_tokens")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -25,6 +37,19 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_ranker.train_on(docs, read_table(spark, sf_dir, "labels"))
+    return quality_ranker.score_documents(docs, model)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domains = mixing.domain_of_labels(read_table(spark, sf_dir, "labels"))
+    mixed = mixing.fit_mixture(read_table(spark, sf_dir, "documents"), domains, mixing.TARGETS)
+    shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeated_spans(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -55,12 +80,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash": op4_simhash,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_mixing": op6_mixing,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
-
-ORACLE: dict[str, str] = {}
