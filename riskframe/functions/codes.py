@@ -6,7 +6,6 @@ functions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -118,5 +117,3 @@ def adjusted_probability(intercept: ColumnOrName, coef: ColumnOrName) -> Column:
     """Probability in percent with one coefficient switched on."""
     return sigmoid_percent(_col(intercept) + _col(coef))
 
-
-E = math.e

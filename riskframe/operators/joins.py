@@ -1,7 +1,7 @@
 """Joins that replace the study's driver-side lookups.
 
-A side is broadcast only after a bounded count proves it small; otherwise
-the join stays a shuffle join (and AQE may still switch it at run time).
+No side is forced to broadcast: Spark broadcasts one whose size in bytes is
+known to be small, at planning time or by AQE at run time.
 """
 
 from __future__ import annotations
@@ -9,41 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
-def attach_by_key(left: DataFrame, right: DataFrame, keys, how: str = "left",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  right_is_small: bool = False) -> DataFrame:
-    """Equi-join ``right`` (e.g. training times) onto ``left`` (e.g. metrics).
-
-    ``right_is_small`` states a bound known by construction (one row per
-    model or feature) and skips the counting job; otherwise the right side
-    is broadcast only after ``is_bounded`` proves it small.
-    """
-    side = F.broadcast(right) if right_is_small else broadcast_if_bounded(right, max_broadcast_rows)
-    return left.join(side, list(keys), how)
+def attach_by_key(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Equi-join ``right`` (e.g. training times) onto ``left`` (e.g. metrics)."""
+    return left.join(right, list(keys), how)
 
 
 def attach_baseline(coefs: DataFrame, baseline_feature: str = "intercept",
                     feature_col: str = "feature", value_col: str = "coefficient",
                     model_col: str = "model", baseline_col: str = "baseline") -> DataFrame:
     """Attach each model's baseline term (its intercept row) to that model's
-    other rows: an equi-join on the model, not a cross join.  There is one
-    baseline row per model, so that side is broadcast."""
+    other rows: an equi-join on the model, not a cross join."""
     base = (coefs.where(F.col(feature_col) == F.lit(baseline_feature))
                  .select(model_col, F.col(value_col).alias(baseline_col)))
     rest = coefs.where(F.col(feature_col) != F.lit(baseline_feature))
-    return rest.join(F.broadcast(base), [model_col], "left")
+    return rest.join(base, [model_col], "left")
 
 
 def coefficient_table(spark, names, coefficients, intercept=None, model: str | None = None,

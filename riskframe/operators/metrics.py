@@ -34,8 +34,8 @@ def distinct_count(df: DataFrame, col: str) -> DataFrame:
     with null counted as one value (``select(col).distinct().count()``)."""
     return df.agg(
         F.countDistinct(col).alias("n_distinct"),
-        (F.countDistinct(col) + F.max(F.col(col).isNull().cast("int"))).cast("bigint")
-        .alias("n_distinct_with_null"),
+        (F.countDistinct(col) + F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0)))
+        .cast("bigint").alias("n_distinct_with_null"),
     )
 
 
@@ -62,52 +62,33 @@ def correlation_long(df: DataFrame, cols) -> DataFrame:
     either side is null; the diagonal is 1.0 when the column has any variance,
     and a pair with a constant side has no correlation (null).
 
-    Each row is spread into one ``(pair, x, y)`` row per unordered pair
-    (diagonal included) and ``corr`` is computed per pair in one grouped
-    aggregation.  A single ``agg`` with one ``corr`` per pair would carry six
-    buffer fields per pair and leave whole-stage codegen past about 16 pairs;
-    grouped, the buffer stays small, the partial aggregate runs in the scan's
-    codegen stage, and only (partitions x pairs) rows are shuffled.  The
-    mirrored half is filled in from the pair table.
+    One pass and one result row: every pair contributes its covariance and the
+    two deviations over the pair's complete rows (each side nulled where the
+    other is null), and the long form is made from that single row.
     """
     cols = list(cols)
-    pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
-    # Each side is nulled where the other is null, so both moments and the
-    # co-moment cover the same complete rows.
-    spread = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                 F.when(F.col(b).isNotNull(), F.col(a).cast("double")).alias("x"),
-                 F.when(F.col(a).isNotNull(), F.col(b).cast("double")).alias("y"))
-        for a, b in pairs])).alias("p")
-    # covar / (sd_x * sd_y) with try_divide: a constant column gives null
-    # (as pandas gives NaN) instead of the division error ``corr`` raises
-    # under ANSI mode.
-    sd_x = F.stddev_samp("x")
-    per_pair = (df.select(spread).select("p.*")
-                .groupBy("col_a", "col_b")
-                .agg(F.when(F.col("col_a") == F.col("col_b"),
-                            F.when(sd_x > 0, F.lit(1.0)))
-                     .otherwise(F.try_divide(F.covar_samp("x", "y"),
-                                             sd_x * F.stddev_samp("y"))).alias("corr")))
-    both = F.array(F.struct("col_a", "col_b"),
-                   F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")))
-    sides = F.when(F.col("col_a") == F.col("col_b"), F.array(F.struct("col_a", "col_b"))) \
-        .otherwise(both)
-    return (per_pair.select(F.explode(sides).alias("k"), "corr")
-            .select("k.col_a", "k.col_b", "corr"))
+    pairs = list(combinations(cols, 2))
+    value = {c: F.col(c).cast("double") for c in cols}
+    beside = lambda a, b: F.when(F.col(b).isNotNull(), value[a])
+    aggregates = [F.stddev_samp(value[c]).alias(f"_d{i}") for i, c in enumerate(cols)]
+    for i, (a, b) in enumerate(pairs):
+        aggregates += [F.covar_samp(value[a], value[b]).alias(f"_c{i}"),
+                       F.stddev_samp(beside(a, b)).alias(f"_x{i}"),
+                       F.stddev_samp(beside(b, a)).alias(f"_y{i}")]
+    entry = lambda a, b, corr: F.struct(
+        F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), corr.alias("corr"))
+    entries = [entry(c, c, F.when(F.col(f"_d{i}") > 0, F.lit(1.0)))
+               for i, c in enumerate(cols)]
+    for i, (a, b) in enumerate(pairs):
+        # try_divide: a constant column gives null (as pandas gives NaN) instead
+        # of the division error ``corr`` raises under ANSI mode.
+        corr = F.try_divide(F.col(f"_c{i}"), F.col(f"_x{i}") * F.col(f"_y{i}"))
+        entries += [entry(a, b, corr), entry(b, a, corr)]
+    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
 
 
 # ------------------------------------------------------------- confusion
 
-def scored_long(df: DataFrame, rules: dict, label_col: str = "label") -> DataFrame:
-    """Score every row with several rules in one scan: ``(model, label, prediction)``."""
-    entries = [F.struct(F.lit(name).alias("model"),
-                        _expr(rule).cast("double").alias("prediction"))
-               for name, rule in rules.items()]
-    return (df.select(F.col(label_col).alias("label"), F.explode(F.array(*entries)).alias("s"))
-              .select("s.model", "label", "s.prediction"))
-
-
 def confusion_by_rules(df: DataFrame, rules: dict, label_col: str = "label") -> DataFrame:
     """Confusion counts ``(model, label, prediction, n)`` of several scoring
     rules in one pass, reducing before exploding.

@@ -1,18 +1,17 @@
 """Sorts, ranks, top-k and leaderboards.
 
 ``global_rank`` numbers rows in a total order without a single-partition
-window: a range-partitioned sort, a checkpoint that fixes the result, one
+window: a range-partitioned sort, one written copy that fixes the result, one
 count per partition, and a broadcast of those per-partition offsets (bounded
 by the number of partitions, not by the data).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.session import scratch_root
+from riskframe.session import scratch_path
 
 
 def _as_order(c, ascending: bool) -> Column:
@@ -22,11 +21,6 @@ def _as_order(c, ascending: bool) -> Column:
     return col
 
 
-def sort_frame(df: DataFrame, cols, ascending: bool = True) -> DataFrame:
-    """``orderBy`` ascending (nulls first) or descending (nulls last)."""
-    return df.orderBy(*[_as_order(c, ascending) for c in cols])
-
-
 def global_rank(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
     """Add a 1-based position in the total order ``order`` (row_number semantics).
 
@@ -34,22 +28,18 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
     is appended as the last sort key so that massive ties in the order columns
     still split across range partitions.  Ties in ``order`` get distinct,
     arbitrary positions, as ``row_number`` gives them.
+
+    One sorted copy is written to the shared scratch folder with each row's
+    place in its partition; counts per partition give the offsets.
     """
-    spark = df.sparkSession
-    scratch_root(spark)  # make sure a reliable checkpoint location exists
     keys = [_as_order(c, True) for c in order]
-    # The range partitioner samples its input in a separate job before the
-    # sort's own pass; persisting the tagged input computes it once.
-    source = df.withColumn("_uid", F.monotonically_increasing_id()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tagged = (source.orderBy(*keys, F.col("_uid"))
-                        .withColumn("_pid", F.spark_partition_id())
-                        .withColumn("_mid", F.monotonically_increasing_id())
-                        .drop("_uid")
-                        .checkpoint(eager=True))
-    finally:
-        source.unpersist()
+    path = scratch_path(df.sparkSession, "ranked")
+    (df.withColumn("_uid", F.monotonically_increasing_id())
+       .orderBy(*keys, F.col("_uid"))
+       .withColumn("_pid", F.spark_partition_id())
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .drop("_uid").write.parquet(path))
+    tagged = df.sparkSession.read.parquet(path)
     per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                           F.min("_mid").alias("_first"))
     # One row per partition: the window below never sees more rows than that.
@@ -59,10 +49,8 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
                                     .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
     ranked = tagged.join(F.broadcast(offsets.select("_pid", "_first", "_offset")), "_pid")
-    return (ranked.withColumn(rank_col,
-                              (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
-                              .cast("bigint"))
-                  .drop("_pid", "_mid", "_first", "_offset"))
+    return ranked.select(*df.columns, (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
+                         .cast("bigint").alias(rank_col))
 
 
 def rank_small(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:

@@ -8,13 +8,13 @@ the row), so reruns, lost executors and re-ordered inputs give the same parts;
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.ordering import global_rank, rank_small
+from riskframe.operators.ordering import global_rank
 
 
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 19900111) -> list[DataFrame]:
+def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 4711) -> list[DataFrame]:
     """Seeded random split (``randomSplit``); parts are disjoint and cover all rows."""
     return df.randomSplit(list(weights), seed)
 
@@ -47,40 +47,31 @@ def assign_folds(df: DataFrame, key_cols, k: int, fold_col: str = "fold",
     return df.withColumn(fold_col, bucket_of(key_cols, k, hashed))
 
 
-def balance_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin repartition to ``target`` (default: the cluster's
-    parallelism), but only when the input has fewer partitions than that
-    (a few large files, one row group each).
-
-    Iterative consumers pass over their input many times, so one shuffle that
-    spreads it over every core pays back at once; a large, already well-split
-    input is left as it is.  Reading the partition count plans the frame; for
-    a frame whose plan itself shuffles, AQE runs those stages to know it, so
-    call this on scans and projections (as the training helpers do).
-    """
-    try:
-        target = target or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session)
-        return df
-    return df.repartition(target) if current < target else df
-
-
-def split_for_training(df: DataFrame, train_fraction: float = 0.8, seed: int = 19900111,
-                       key_cols=None, persist: bool = True):
+def split_for_training(df: DataFrame, train_fraction: float = 0.8, seed: int = 4711,
+                       key_cols=None, persist: bool = True, partitions: int | None = None):
     """Train/test parts ready for repeated passes: a seeded random split (or a
-    key split when ``key_cols`` is given), each part rebalanced when
-    under-partitioned and persisted (memory, then disk)."""
+    key split when ``key_cols`` is given), dealt by ``deal_rows`` when a number
+    of partitions is given, and persisted (memory, then disk)."""
     if key_cols:
         parts = key_split(df, key_cols, train_fraction)
     else:
         parts = random_split(df, (train_fraction, 1.0 - train_fraction), seed)
-    parts = [balance_partitions(p) for p in parts]
+    if partitions:
+        parts = [deal_rows(p, partitions, key_cols or df.columns) for p in parts]
     if persist:
         parts = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in parts]
     return parts[0], parts[1]
 
 
+def deal_rows(df: DataFrame, partitions: int, key_cols) -> DataFrame:
+    """``df`` in exactly ``partitions`` parts by a hash of ``key_cols``.
+
+    The same rows form the same parts whatever the cluster, so fits that draw
+    per partition (random forests) do not change with its width.
+    """
+    return df.repartition(partitions, *key_cols)
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -91,99 +82,43 @@ def union_all(*frames: DataFrame) -> DataFrame:
 HASH_BUCKETS = 1 << 16
 
 
-def _hash_tagged(df: DataFrame, seed: int) -> DataFrame:
-    """Add a seeded hash of the whole row (``_h``) and its top 16 bits as an
-    order-preserving bucket in ``[0, 65536)`` (``_b``)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
-    return df.withColumn("_h", h).withColumn(
-        "_b", (F.shiftright(F.col("_h"), 48) + F.lit(HASH_BUCKETS // 2)).cast("int"))
-
-
-# A cut bucket up to this many rows (its exact size is known from the
-# histogram) is ranked in one task; a larger one, e.g. a group of identical
-# rows, is ranked by the distributed global_rank.
-EDGE_WINDOW_ROWS = 1_000_000
-
-
-def _cut(histogram, m: int):
-    """(bucket where the running count reaches m, rows still needed there,
-    rows in that bucket)."""
-    kept = 0
-    for bucket, count in sorted(histogram):
-        if kept + count >= m:
-            return bucket, m - kept, count
-        kept += count
-    return None, 0, 0
-
-
-def _take_edge(edge: DataFrame, need: int, edge_rows: int) -> DataFrame:
-    """The ``need`` rows of one hash bucket with the smallest hash; ties are
-    broken by every column, so the choice is deterministic."""
-    if need <= 0:
-        return edge.limit(0)
-    order = ["_h"] + [c for c in edge.columns if c not in ("_h", "_b")]
-    if edge_rows <= EDGE_WINDOW_ROWS:
-        ranked = rank_small(edge, order, "_r")
-    else:
-        ranked = global_rank(edge, order, "_r")
-    return ranked.where(F.col("_r") <= need).drop("_r")
-
-
-def smallest_by_hash(df: DataFrame, m: int, seed: int = 7) -> DataFrame:
-    """Exactly the ``m`` rows with the smallest seeded hash of the whole row.
-
-    Two passes instead of a sort of everything: a histogram of the hash's top
-    16 bits (at most 65,536 counts reach the driver) finds the bucket where
-    the running count crosses ``m``; buckets below it are kept whole and only
-    that one bucket is ranked: in one task when the histogram shows it small,
-    else with ``global_rank``, which still splits a bucket of many identical
-    rows.
-    """
-    tagged = _hash_tagged(df, seed)
-    hist = [(r[0], r[1]) for r in tagged.groupBy("_b").count().collect()]
-    cut, need, edge_rows = _cut(hist, m)
-    if cut is None:                      # m >= row count: keep everything
-        return df
-    below = tagged.where(F.col("_b") < F.lit(cut))
-    edge = _take_edge(tagged.where(F.col("_b") == F.lit(cut)), need, edge_rows)
-    return below.unionByName(edge).drop("_h", "_b")
-
-
-def undersample(df: DataFrame, label_col: str = "label", seed: int = 7) -> DataFrame:
+def undersample(df: DataFrame, label_col: str = "label", seed: int = 7,
+                order: Column | None = None) -> DataFrame:
     """Exact undersampling: every class keeps as many rows as the smallest one.
 
-    Each larger class keeps its ``m`` rows with the smallest seeded hash of
-    the whole row, so the choice is reproducible and no class is gathered into
-    one task.  One grouped pass gives both the class sizes and each class's
-    hash histogram (at most classes x 65,536 counts reach the driver); the
-    rows below each class's cut bucket are kept by a filter and only the cut
-    buckets are ranked.
+    Each class keeps its ``m`` rows with the smallest ``order`` (a 64-bit number;
+    default: a seeded hash of the whole row), so the choice is reproducible;
+    equal ones are told apart by all
+    columns, and equal rows are interchangeable.  A histogram of the hash's top
+    16 bits per class (at most 65,536 rows a class, cumulated in a window
+    partitioned by class) names the bucket in which each class reaches ``m``:
+    rows of lower buckets stay by a filter, and only the cut buckets of all
+    classes, read in one pass, are ranked by ``global_rank``, which splits a
+    bucket full of identical rows too.
     """
-    tagged = _hash_tagged(df, seed)
-    lab = F.col(label_col)
-    hist: dict = {}
-    for r in tagged.groupBy(label_col, "_b").count().collect():
-        hist.setdefault(r[0], []).append((r[1], r[2]))
-    if not hist:
-        return df
-    sizes = {c: sum(n for _, n in h) for c, h in hist.items()}
-    m = min(sizes.values())
-    keep_below, edges = [], []
-    for c, h in hist.items():
-        is_c = lab.eqNullSafe(F.lit(c))
-        if sizes[c] == m:
-            keep_below.append(is_c)
-            continue
-        cut, need, edge_rows = _cut(h, m)
-        keep_below.append(is_c & (F.col("_b") < F.lit(cut)))
-        edges.append(_take_edge(tagged.where(is_c & (F.col("_b") == F.lit(cut))), need,
-                                edge_rows))
-    below_cond = keep_below[0]
-    for cond in keep_below[1:]:
-        below_cond = below_cond | cond
-    return union_all(tagged.where(below_cond), *edges).drop("_h", "_b")
-
-
-def sample_by_class(df: DataFrame, label_col: str, fractions: dict, seed: int = 7) -> DataFrame:
-    """Approximate per-class Bernoulli sampling (``sampleBy``)."""
-    return df.sampleBy(label_col, fractions, seed)
+    columns = df.columns
+    if order is None:
+        order = F.xxhash64(*[F.col(c) for c in columns], F.lit(seed))
+    tagged = df.withColumn("_h", order).withColumn(
+        "_b", (F.shiftright(F.col("_h"), 48) + F.lit(HASH_BUCKETS // 2)).cast("int"))
+    label = F.col(label_col)
+    histogram = tagged.groupBy(label.alias("_label"), "_b").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_label").orderBy("_b")
+    sums = histogram.withColumn("_upto", F.sum("_n").over(upto))
+    least = sums.groupBy("_label").agg(F.max("_upto").alias("_size")).agg(
+        F.min("_size").alias("_m"))
+    # One row per class: the first bucket at which its running count reaches m.
+    cuts = (sums.where(F.col("_upto") >= least.scalar())
+            .groupBy("_label").agg(F.min("_b").alias("_cut"),
+                                   F.min("_upto").alias("_reached"),
+                                   F.min_by("_n", "_b").alias("_in_cut")))
+    cuts = cuts.select("_label", "_cut",
+                       (least.scalar() - F.col("_reached") + F.col("_in_cut")).alias("_need"))
+    placed = tagged.join(cuts, label.eqNullSafe(F.col("_label")))
+    below = placed.where("_b < _cut").select(*columns)
+    edge = placed.where("_b = _cut").select(*columns, "_h", "_label", "_need")
+    ranked = global_rank(edge, ["_label", "_h", *columns], "_rank")
+    first = ranked.groupBy(F.col("_label").alias("_of")).agg(F.min("_rank").alias("_first"))
+    chosen = (ranked.join(first, F.col("_label").eqNullSafe(F.col("_of")))
+              .where("_rank - _first < _need").select(*columns))
+    return below.unionByName(chosen)

@@ -8,9 +8,12 @@ model attributes turned into long-form DataFrames.
 Scale notes
 -----------
 * The assembled training frame is persisted once (memory and disk) and
-  reused by every fold and combination; it is released afterwards.
+  reused by every fold; ``CrossValidator`` holds the parts of one fold beside
+  it, shared by that fold's combinations, and releases them before the next.
 * Folds come from a fold column (``foldCol``), a pure function of the row,
   instead of k random samples of the input.
+* ``partitions`` is the caller's choice, never the cluster's width: the same
+  rows in the same parts give the same model anywhere.
 * Model attributes (coefficients, importances, theta, factors) are sized by
   the number of features, never by the number of rows.
 """
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.joins import coefficient_table
-from riskframe.operators.sampling import balance_partitions
+from riskframe.operators.sampling import deal_rows
 
 ESTIMATORS = {
     "lr": lambda: LogisticRegression(family="binomial"),
@@ -67,7 +70,10 @@ STUDY_GRIDS = {
            "stepSize": [0.001, 0.005, 0.01, 0.05, 0.1]},
 }
 STUDY_FOLDS = 5
-STUDY_SPLIT = 0.8
+
+# Concurrent fits of one fold, unless the caller says otherwise.
+PARALLELISM = 4
+SEED = 4711
 
 
 @dataclass
@@ -137,13 +143,14 @@ def coded_pipeline(df: DataFrame, outcome_col: str, classifier, label_col: str =
     column passes through; the assembler keeps nulls as NaN.  Feature order
     follows the frame's column order.
     """
-    from riskframe.operators.cohort import type_dispatch
+    from riskframe.operators.cohort import features_minus_target, type_dispatch
     from riskframe.operators.features import assembler, string_indexer
 
     strings, _ = type_dispatch(df, exclude=(outcome_col,))
     indexer = string_indexer(strings + [outcome_col],
                              [f"{c}{suffix}" for c in strings] + [label_col], "keep")
-    features = [f"{c}{suffix}" if c in strings else c for c in df.columns if c != outcome_col]
+    features = [f"{c}{suffix}" if c in strings else c
+                for c in features_minus_target(df.columns, outcome_col)]
     classifier.setFeaturesCol(features_col).setLabelCol(label_col)
     return pipeline(indexer, assembler(features, features_col, "keep"), classifier)
 
@@ -153,9 +160,6 @@ def f1_evaluator(label_col: str = "label", metric: str = "f1") -> MulticlassClas
     return MulticlassClassificationEvaluator(labelCol=label_col, metricName=metric)
 
 
-ONE_PASS_KINDS = frozenset({"nb"})
-
-
 def with_class_count(df: DataFrame, label_col: str = "label", num_classes: int = 2) -> DataFrame:
     """Record the number of classes in the label's ML attribute metadata (as
     StringIndexer does), so estimators read it instead of scanning the data
@@ -164,40 +168,28 @@ def with_class_count(df: DataFrame, label_col: str = "label", num_classes: int =
     return df.withColumn(label_col, F.col(label_col).alias(label_col, metadata=meta))
 
 
-def persist_training(df: DataFrame) -> DataFrame:
-    """Balance (when under-partitioned) and persist a training frame that
-    several passes or fits will reuse.  Memory first, spilling to disk."""
-    return balance_partitions(df).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def unpersisted_view(df: DataFrame) -> DataFrame:
-    """The same rows as a frame that reports no storage level.
-
-    A trivial filter: the optimizer drops it and still reads the cached
-    relation, but Spark ML estimators, which check the input's storage level,
-    then keep their own decoded copy (instances, tree points) for their
-    iterations instead of decoding the DataFrame cache on every pass."""
-    return df.where(F.lit(True))
+def persist_training(df: DataFrame, partitions: int | None = None, key_cols=None) -> DataFrame:
+    """A training frame that several fits reuse: dealt to ``partitions`` parts by
+    a hash of ``key_cols`` (default: all columns) when given, persisted in memory
+    then disk, and filled, so that no fit's time includes it."""
+    if partitions:
+        df = deal_rows(df, partitions, key_cols or df.columns)
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    data.write.format("noop").mode("overwrite").save()
+    return data
 
 
 def fit(kind: str, df: DataFrame, features_col: str = "features", label_col: str = "label",
         **fixed):
-    """Fit one classifier.  Iterative families get a balanced, persisted
-    input; one-pass families (Naive Bayes) read the input once as it is."""
-    est = make_estimator(kind, features_col, label_col, **fixed)
-    if kind in ONE_PASS_KINDS:
-        return est.fit(df)
-    data = persist_training(df)
-    try:
-        return est.fit(unpersisted_view(data))
-    finally:
-        data.unpersist()
+    """Fit one classifier.  The estimator keeps the one decoded copy it iterates on."""
+    return make_estimator(kind, features_col, label_col, **fixed).fit(df)
 
 
 def cross_validator(estimator, grid_maps, num_folds: int = STUDY_FOLDS,
-                    fold_col: str | None = None, seed: int = 19900111,
-                    parallelism: int | None = None, label_col: str = "label") -> CrossValidator:
-    parallelism = parallelism or default_parallelism(estimator_session())
+                    fold_col: str | None = None, seed: int = SEED,
+                    parallelism: int = PARALLELISM, label_col: str = "label") -> CrossValidator:
+    """Spark's search on weighted F1.  With ``fold_col`` a null or out-of-range fold
+    fails the job and an empty fold raises, so no row is left out unnoticed."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid_maps,
                         evaluator=f1_evaluator(label_col), numFolds=num_folds,
                         parallelism=parallelism, seed=seed)
@@ -206,99 +198,6 @@ def cross_validator(estimator, grid_maps, num_folds: int = STUDY_FOLDS,
     return cv
 
 
-def default_parallelism(spark: SparkSession, cap: int = 8) -> int:
-    """Concurrent fits to run: the cluster's parallelism, capped at ``cap``.
-    Each fit is a distributed job of its own; concurrency fills the gaps
-    between small jobs (on 8 local cores, 6 concurrent LR fits beat 4, which
-    beat 2), and the cap keeps large fits from contending."""
-    try:
-        return max(1, min(cap, spark.sparkContext.defaultParallelism))
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        return 4
-
-
-def kfold_cross_validate(estimator, grid_maps, df: DataFrame, fold_col: str,
-                         num_folds: int = STUDY_FOLDS, evaluator=None,
-                         parallelism: int | None = None,
-                         seed: int = 19900111):
-    """k-fold cross-validation on a fold column, with JVM-side fold filters.
-
-    Same search as ``CrossValidator``: for each fold, fit every ParamMap on the
-    other folds and score it on this one; average per map; refit the best map
-    (first on ties) on all rows.  Differences in how it runs:
-
-    * the fold split is a plain column predicate (``CrossValidator`` checks
-      each row's fold number in a row-at-a-time Python UDF);
-    * up to ``parallelism`` (fold, map) fits run at once (default: the
-      cluster's parallelism capped at 8), across folds as well as maps, which
-      keeps a small grid from running one fit at a time; with a single
-      ParamMap the final refit runs in the same pool;
-    * the input is held once (persisted here, memory then disk, unless the
-      caller already persisted it) and every fold's train and validation
-      parts are unpersisted filters over it.  Storage stays at one copy of
-      the data instead of 2k fold copies, and the estimators, which see an
-      unpersisted input, keep their own decoded training copy (instances,
-      tree points, blocks) for their iterations instead of re-reading the
-      DataFrame cache on every pass.
-
-    Returns a ``CrossValidatorModel`` that saves and loads like one built by
-    ``CrossValidator``.
-    """
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark import inheritable_thread_target
-    from pyspark.ml.tuning import CrossValidatorModel
-
-    evaluator = evaluator or f1_evaluator(estimator.getOrDefault("labelCol")
-                                          if estimator.hasParam("labelCol") else "label")
-    maps = list(grid_maps) or [{}]
-    sums = [0.0] * len(maps)
-    parallelism = parallelism or default_parallelism(df.sparkSession)
-    owned = df.storageLevel == StorageLevel.NONE
-    data = persist_training(df) if owned else df
-
-    refit = {}
-
-    def fit_and_score(task):
-        fold, index = task
-        if fold is None:                 # the final refit on every row
-            refit["model"] = estimator.fit(unpersisted_view(data), maps[index])
-            return index, None
-        in_fold = F.col(fold_col) == F.lit(fold)
-        model = estimator.fit(data.where(~in_fold), maps[index])
-        return index, evaluator.evaluate(model.transform(data.where(in_fold)))
-
-    tasks = [(f, i) for f in range(num_folds) for i in range(len(maps))]
-    if len(maps) == 1:
-        # One candidate: it is the best whatever the fold scores, so its
-        # refit runs alongside the fold fits instead of after them.
-        tasks.append((None, 0))
-    try:
-        # Threads inherit the caller's job group, pool and tags.
-        target = inheritable_thread_target(df.sparkSession)(fit_and_score)
-        pool = ThreadPool(processes=max(1, min(parallelism, len(tasks))))
-        try:
-            for index, metric in pool.imap_unordered(target, tasks):
-                if metric is not None:
-                    sums[index] += metric
-        finally:
-            pool.close()
-        avg = [s / num_folds for s in sums]
-        larger_better = evaluator.isLargerBetter()
-        best = max(range(len(avg)), key=lambda i: (avg[i] if larger_better else -avg[i], -i))
-        best_model = refit["model"] if "model" in refit else \
-            estimator.fit(unpersisted_view(data), maps[best])
-    finally:
-        if owned:
-            data.unpersist()
-    cv_model = CrossValidatorModel(best_model, avgMetrics=avg)
-    for param, value in ((cv_model.estimator, estimator), (cv_model.estimatorParamMaps, maps),
-                         (cv_model.evaluator, evaluator), (cv_model.numFolds, num_folds),
-                         (cv_model.foldCol, fold_col), (cv_model.seed, seed)):
-        cv_model.set(param, value)
-    return cv_model
-
-
 @dataclass
 class FitResult:
     name: str
@@ -312,36 +211,27 @@ def timed_fit(name: str, cv: CrossValidator, df: DataFrame) -> FitResult:
     """Fit a cross-validator and time it.
 
     ``num_trains`` counts combinations x folds; the final refit on all rows
-    is inside the time but not in the count, as in the study.  With a fold
-    column the folds are filtered JVM-side (``kfold_cross_validate``).
+    is inside the time but not in the count, as in the study.
     """
     start = time.perf_counter()
-    if cv.isSet(cv.foldCol) and cv.getFoldCol():
-        model = kfold_cross_validate(cv.getEstimator(), cv.getEstimatorParamMaps(), df,
-                                     cv.getFoldCol(), cv.getNumFolds(), cv.getEvaluator(),
-                                     cv.getParallelism(), cv.getSeed())
-    else:
-        model = cv.fit(df)
+    model = cv.fit(df)
     millis = int(round((time.perf_counter() - start) * 1000))
     grid = cv.getEstimatorParamMaps()
     return FitResult(name, model, millis, len(grid) * cv.getNumFolds(), grid)
 
 
-def estimator_session() -> SparkSession:
-    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-
-
 def train_suite(df: DataFrame, specs, features_col: str = "features", label_col: str = "label",
                 num_folds: int = STUDY_FOLDS, fold_col: str | None = None,
-                parallelism: int | None = None, n_features: int | None = None,
-                n_classes: int = 2) -> list[FitResult]:
+                parallelism: int = PARALLELISM, n_features: int | None = None,
+                n_classes: int = 2, partitions: int | None = None,
+                key_cols=None) -> list[FitResult]:
     """Train each family with its grid, one family after another.
 
     Each family is a one-stage pipeline, searched with k-fold CV on
     weighted F1.  ``df`` should already hold the assembled features; it is
-    persisted for the whole suite.
+    persisted and filled before the first clock starts.
     """
-    data = persist_training(df)
+    data = persist_training(df, partitions, key_cols)
     try:
         results = []
         for spec in specs:
@@ -377,7 +267,7 @@ def grid_results(spark: SparkSession, cv_model) -> DataFrame:
 
 def best_stage(cv_model):
     """The fitted classifier inside the best pipeline."""
-    best = cv_model.bestModel
+    best = getattr(cv_model, "bestModel", cv_model)
     return best.stages[-1] if hasattr(best, "stages") else best
 
 
@@ -389,6 +279,29 @@ def best_params(spark: SparkSession, cv_model, names) -> DataFrame:
     return spark.createDataFrame([tuple(values)], fields)
 
 
+def best_settings(spark: SparkSession, results) -> DataFrame:
+    """``(model, params)``: each family's searched parameters as its best model has them."""
+    rows = []
+    for r in results:
+        m = best_stage(r.model)
+        names = sorted({p.name for combo in r.grid for p in combo})
+        rows.append((r.name, ", ".join(
+            f"{n}={_fmt(m.getOrDefault(m.getParam(n)))}" for n in names)))
+    return spark.createDataFrame(rows, "model STRING, params STRING")
+
+
+def predictions(models: dict, df: DataFrame, keep=("label",)) -> DataFrame:
+    """One scan for many models: ``keep`` and a prediction column per model name."""
+    out = df
+    for name, model in models.items():
+        stage = best_stage(model).copy().setPredictionCol(name)
+        for switch in ("setRawPredictionCol", "setProbabilityCol"):
+            if hasattr(stage, switch):
+                getattr(stage, switch)("")
+        out = stage.transform(out)
+    return out.select(*keep, *models)
+
+
 def _sql_type(v) -> str:
     if isinstance(v, bool):
         return "BOOLEAN"

@@ -45,10 +45,27 @@ WHERE CS_SEXO = 'M' OR CS_SEXO = 'F'
 """
 
 PLANTED = """
-SELECT l_orderkey, CAST(l_quantity > 25 AS INTEGER) AS a, 1 - CAST(l_quantity > 25 AS INTEGER) AS b,
-       CAST(l_discount > 0.05 AS INTEGER) AS d, CAST(l_quantity > 25 AS INTEGER) AS label,
-       CAST(l_orderkey % 3 AS INTEGER) AS fold
-FROM lineitem
+SELECT *, max_by(label, n_side) OVER (PARTITION BY a) AS majority FROM (
+  SELECT *, count(*) OVER (PARTITION BY a, label) AS n_side FROM (
+    SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS a,
+           1 - CAST(l_quantity > 25 AS INTEGER) AS b, CAST(l_discount > 0.05 AS INTEGER) AS d,
+           CAST(CAST(l_quantity > 25 AS INTEGER) <> CAST(l_orderkey % 10 = 3 AS INTEGER)
+                AS INTEGER) AS label,
+           CAST(l_orderkey % 3 AS INTEGER) AS fold
+    FROM lineitem))
+"""
+
+# Support-weighted F1 of predicting the majority side, per group of ``planted``.
+PLANTED_F1 = """
+f1_cells AS (SELECT {group} AS g, label, majority, count(*) AS n FROM {source}
+             GROUP BY 1, 2, 3),
+f1_classes AS (
+  SELECT g, label, sum(n) AS support, sum(CASE WHEN label = majority THEN n ELSE 0 END) AS tp,
+         (SELECT sum(n) FROM f1_cells p WHERE p.g = c.g AND p.majority = c.label) AS predicted
+  FROM f1_cells c GROUP BY g, label),
+f1_groups AS (
+  SELECT g, sum(2.0 * tp / (support + coalesce(predicted, 0)) * support) / sum(support) AS f1
+  FROM f1_classes GROUP BY g)
 """
 
 

@@ -222,8 +222,8 @@ def q_row_count(spark, sf_dir):
 
 @register("distinct_count", sql=O.with_cohort("""
 SELECT count(DISTINCT NU_IDADE_N) AS n_distinct,
-       CAST(count(DISTINCT NU_IDADE_N) + max(CASE WHEN NU_IDADE_N IS NULL THEN 1 ELSE 0 END)
-            AS BIGINT) AS n_distinct_with_null FROM cohort"""))
+       CAST(count(DISTINCT NU_IDADE_N)
+            + coalesce(max(CASE WHEN NU_IDADE_N IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_distinct_with_null FROM cohort"""))
 def q_distinct_count(spark, sf_dir):
     return met.distinct_count(cohort(spark, sf_dir), "NU_IDADE_N")
 
@@ -374,10 +374,11 @@ def q_scan_json(spark, sf_dir):
 
 @register("scan_table", sql=O.with_cohort(f"SELECT {COHORT_COLS} FROM cohort"))
 def q_scan_table(spark, sf_dir):
+    from riskframe.session import scratch_path
     from riskframe.sources import files, sinks
     df = cohort(spark, sf_dir)
     name = sinks.unique_table_name("cohort")
-    sinks.create_table(spark, name, df.schema)
+    sinks.create_table(spark, name, df.schema, scratch_path(spark, name))
     sinks.append_table(df, name)
     return files.scan_table(spark, name)
 
@@ -392,15 +393,27 @@ def q_local_rows(spark, sf_dir):
                             "outcome INT, cases BIGINT")
 
 
-@register("feature_list", sql="""
-SELECT CAST(ordinal_position - 1 AS INTEGER) AS pos, column_name AS value
-FROM information_schema.columns WHERE table_name = 'lineitem'""")
+LISTED_COLUMNS = ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+
+
+@register("feature_list", sql=" UNION ALL ".join(
+    f"SELECT {i}::BIGINT AS pos, '{c}' AS feature, count({c}) AS n_known, "
+    f"count(DISTINCT {c}) AS n_values FROM lineitem" for i, c in enumerate(LISTED_COLUMNS)))
 def q_feature_list(spark, sf_dir):
+    """Feature names stored and read back in order, then used on the table's rows."""
     from riskframe.session import scratch_path
     from riskframe.sources import files, sinks
-    names = files.column_names_frame(spark, lineitem(spark, sf_dir))
-    path = sinks.write_json(names, scratch_path(spark, "features-json"))
-    return files.feature_frame(spark, path).orderBy("pos")
+    table = lineitem(spark, sf_dir)
+    path = sinks.write_json(files.column_names_frame(spark, table.select(*LISTED_COLUMNS)),
+                            scratch_path(spark, "features-json"))
+    names = files.feature_list(spark, path)
+    spread = F.posexplode(F.array(*[F.struct(F.lit(n).alias("feature"),
+                                             F.col(n).cast("string").alias("value"))
+                                    for n in names])).alias("pos", "e")
+    return (coh.project_columns(table, names).select(spread)
+            .groupBy(F.col("pos").cast("bigint").alias("pos"), "e.feature")
+            .agg(F.count("e.value").alias("n_known"),
+                 F.countDistinct("e.value").alias("n_values")))
 
 
 # ========================================================== 2.2 sinks
@@ -422,23 +435,32 @@ def q_sink_json(spark, sf_dir):
     return files.scan_json(spark, path)  # inferred schema, as the study reads it
 
 
-@register("table_create", sql=O.with_cohort(f"SELECT {COHORT_COLS} FROM cohort WHERE false"))
+@register("table_create", sql=O.with_cohort(
+    "SELECT 0::BIGINT AS n_created, count(*) AS n_appended FROM cohort"))
 def q_table_create(spark, sf_dir):
+    """A managed table: created empty and typed, then filled; both counts, then dropped."""
     from riskframe.sources import files, sinks
-    name = sinks.create_table(spark, sinks.unique_table_name("cohort_empty"),
-                              cohort(spark, sf_dir).schema)
-    return files.scan_table(spark, name)
+    df = cohort(spark, sf_dir)
+    name = sinks.create_table(spark, sinks.unique_table_name("cohort_empty"), df.schema)
+    try:
+        created = files.scan_table(spark, name).count()
+        appended = files.scan_table(spark, sinks.append_table(df, name)).count()
+    finally:
+        sinks.drop_table(spark, name)
+    return files.local_rows(spark, [(created, appended)], "n_created BIGINT, n_appended BIGINT")
 
 
 @register("table_append", sql=_with_confusion(CLASS_METRICS_SQL + """
 SELECT model AS "model name", tp, fp, fn, tn, accuracy, precision, recall, f1
 FROM class_metrics"""))
 def q_table_append(spark, sf_dir):
+    from riskframe.session import scratch_path
     from riskframe.sources import files, sinks
     schema = T.StructType([T.StructField("model name", T.StringType())] + [
         T.StructField(c, T.LongType()) for c in ("tp", "fp", "fn", "tn")] + [
         T.StructField(c, T.DoubleType()) for c in ("accuracy", "precision", "recall", "f1")])
-    name = sinks.create_table(spark, sinks.unique_table_name("metrics"), schema)
+    name = sinks.unique_table_name("metrics")
+    sinks.create_table(spark, name, schema, scratch_path(spark, name))
     cm = round_doubles(met.class_metrics(confusion(spark, sf_dir), 0.0)) \
         .withColumnRenamed("model", "model name")
     first = sorted(S.SCORE_RULES)[0]
@@ -532,13 +554,27 @@ def q_kfold_assign(spark, sf_dir):
     return df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("undersample", sql=O.with_cohort("""
-, counts AS (SELECT label, count(*) AS n FROM cohort GROUP BY label)
-SELECT label, (SELECT min(n) FROM counts) AS n FROM counts"""))
+UNDERSAMPLE_KEY = "md5(CAST(case_order AS {s}) || '-' || CAST(case_line AS {s}))"
+
+
+@register("undersample", sql=O.with_cohort(f"""
+, keyed AS (
+  SELECT case_order, case_line, CAST(TRY_CAST(EVOLUCAO AS INTEGER) - 1 AS INTEGER) AS label,
+         {UNDERSAMPLE_KEY.format(s="VARCHAR")} AS h
+  FROM cases WHERE TRY_CAST(CLASSI_FIN AS INTEGER) = 5 AND VACINA_COV <> '12/02/2000'
+    AND (EVOLUCAO = '1' OR EVOLUCAO = '2') AND TRY_CAST(TP_IDADE AS INTEGER) = 3
+    AND (CS_SEXO = 'M' OR CS_SEXO = 'F')),
+placed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h) AS place FROM keyed),
+sizes AS (SELECT min(n) AS m FROM (SELECT count(*) AS n FROM keyed GROUP BY label))
+SELECT case_order, case_line, label FROM placed, sizes WHERE place <= m"""))
 def q_undersample(spark, sf_dir):
     from riskframe.operators import sampling
-    out = sampling.undersample(cohort_keyed(spark, sf_dir), "label", seed=7)
-    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    # The first 14 hex digits of an md5, as a number spread over 63 bits: an order that
+    # SQL can state too.
+    digits = F.substring(F.expr(UNDERSAMPLE_KEY.format(s="STRING")), 1, 14)
+    order = F.shiftleft(F.conv(digits, 16, 10).cast("long"), 7)
+    out = sampling.undersample(cohort_keyed(spark, sf_dir), "label", order=order)
+    return out.select("case_order", "case_line", "label")
 
 
 @register("union_all", sql=O.with_cohort(
@@ -618,25 +654,41 @@ def q_type_dispatch(spark, sf_dir):
     return out.select(*others, *[f"{c}_vec" for c in strings])
 
 
-FLAGSHIP = "leaderboard"
+FLAGSHIP = "study"
 
 
 # ============================================================ 2.10 models
 
-PLANTED_CONFUSION_SQL = O.with_planted(
-    "SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n FROM planted GROUP BY label")
+PLANTED_CONFUSION_SQL = O.with_planted("""
+SELECT label, CAST(majority AS DOUBLE) AS prediction, count(*) AS n FROM planted GROUP BY 1, 2""")
+
+ALL_KINDS = ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm")
 
-# Settings that fit the planted label exactly (and quickly) per family.
+# Settings under which each family finds the majority side.
 PLANTED_SETTINGS = {
-    "lr": {"maxIter": 20},
-    "rf": {"numTrees": 5, "featureSubsetStrategy": "all", "seed": 1},
-    "gbt": {"maxIter": 3, "seed": 1},
-    "mlp": {"layers": [3, 5, 2], "maxIter": 30, "seed": 1},
-    "lsvc": {"maxIter": 20},
+    "lr": {"maxIter": 3, "regParam": 0.01},
+    "rf": {"numTrees": 5, "featureSubsetStrategy": "all", "maxDepth": 2, "seed": 1},
+    "gbt": {"maxIter": 2, "maxDepth": 2, "seed": 1},
+    "mlp": {"hidden": [5], "maxIter": 30, "seed": 1},
+    "lsvc": {"maxIter": 3, "regParam": 0.01},
     "nb": {},
-    "fm": {"maxIter": 50, "stepSize": 0.1, "seed": 1},
+    "fm": {"maxIter": 20, "stepSize": 0.1, "seed": 1},
+}
+
+# Two combinations per family for the searches.
+PLANTED_GRIDS = {
+    "lr": {"maxIter": [2, 3]},
+    "rf": {"numTrees": [3, 5]},
+    "gbt": {"maxIter": [2, 3]},
+    "mlp": {"hidden": [[5], [6]]},
+    "lsvc": {"regParam": [0.01, 0.02]},
+    "nb": {"smoothing": [1.0, 2.0]},
+    "fm": {"maxIter": [15, 20]},
 }
 
+# Parts of a training frame: dealt by key, whatever the cluster.
+TRAIN_PARTS, TRAIN_KEY = 8, ("l_orderkey", "l_linenumber")
+
 
 def planted_assembled(spark, sf_dir) -> DataFrame:
     from riskframe.operators import features as fe
@@ -645,9 +697,22 @@ def planted_assembled(spark, sf_dir) -> DataFrame:
     return M.with_class_count(data, "label", 2)
 
 
+def planted_training(spark, sf_dir) -> DataFrame:
+    from riskframe.operators import sampling
+    return sampling.deal_rows(planted_assembled(spark, sf_dir), TRAIN_PARTS, TRAIN_KEY)
+
+
+def planted_settings(kind: str) -> dict:
+    """Fixed settings with the perceptron's layers spelled out."""
+    fixed = dict(PLANTED_SETTINGS[kind])
+    if "hidden" in fixed:
+        fixed["layers"] = [len(S.PLANTED_FEATURES), *fixed.pop("hidden"), 2]
+    return fixed
+
+
 def fit_planted(spark, sf_dir, kind: str):
     from riskframe.plans import models as M
-    return M.fit(kind, planted_assembled(spark, sf_dir), **PLANTED_SETTINGS[kind])
+    return M.fit(kind, planted_training(spark, sf_dir), **planted_settings(kind))
 
 
 def planted_confusion(model, spark, sf_dir) -> DataFrame:
@@ -662,101 +727,137 @@ def _fit_query(kind: str):
     return q
 
 
-for _kind in ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm"):
+for _kind in ALL_KINDS:
     register(f"fit_{_kind}", sql=PLANTED_CONFUSION_SQL)(_fit_query(_kind))
 
 
+def side_model(spark, sf_dir):
+    """Unregularised logistic regression on the one binary feature ``a``."""
+    from riskframe.operators import features as fe
+    from riskframe.plans import models as M
+    data = M.with_class_count(fe.assemble(planted(spark, sf_dir), ["a"]), "label", 2)
+    return M.fit("lr", data, regParam=0.0, maxIter=50, tol=1e-10), data
+
+
+@register("lr_probabilities", sql=O.with_planted("""
+SELECT a, count(*) AS n, ROUND(avg(label), 4) AS mean_probability FROM planted GROUP BY a"""))
+def q_lr_probabilities(spark, sf_dir):
+    """The fitted mean probability on each side is that side's rate of label 1."""
+    from riskframe.plans import models as M
+    model, data = side_model(spark, sf_dir)
+    return M.score(model, data, keep=("a",)).groupBy("a").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg(F.col("probability")[1]), 4).alias("mean_probability"))
+
+
 @register("pipeline_fit", sql=O.with_planted("""
-, coded AS (SELECT CASE WHEN a = 1 THEN 'high' ELSE 'low' END AS a_txt, d,
-                   CASE WHEN label = 1 THEN 'yes' ELSE 'no' END AS outcome FROM planted),
-lab AS (SELECT outcome AS v,
-               CAST(row_number() OVER (ORDER BY count(*) DESC, outcome) - 1 AS DOUBLE) AS i
-        FROM coded GROUP BY outcome)
-SELECT l.i AS label, l.i AS prediction, count(*) AS n
-FROM coded c JOIN lab l ON c.outcome = l.v GROUP BY l.i"""))
+, lab AS (SELECT label, CAST(row_number() OVER (ORDER BY count(*) DESC,
+               CASE WHEN label = 1 THEN 'yes' ELSE 'no' END) - 1 AS DOUBLE) AS i
+          FROM planted GROUP BY label)
+SELECT l.i AS label, m.i AS prediction, count(*) AS n
+FROM planted p JOIN lab l ON p.label = l.label JOIN lab m ON p.majority = m.label GROUP BY 1, 2"""))
 def q_pipeline_fit(spark, sf_dir):
+    """Indexer, assembler and forest on text columns, one of 40 values (over 32 bins)."""
     from riskframe.plans import models as M
     df = planted(spark, sf_dir).select(
         F.when(F.col("a") == 1, F.lit("high")).otherwise(F.lit("low")).alias("a_txt"),
-        "d",
+        "code", "d",
         F.when(F.col("label") == 1, F.lit("yes")).otherwise(F.lit("no")).alias("outcome"))
-    pipe = M.coded_pipeline(df, "outcome", M.make_estimator("rf", **PLANTED_SETTINGS["rf"]))
-    model = pipe.fit(df)
+    settings = planted_settings("rf") | {"maxBins": 64}
+    model = M.coded_pipeline(df, "outcome", M.make_estimator("rf", **settings)).fit(df)
     return met.confusion_counts(model.transform(df), model_col=None)
 
 
-def _cv_planted(spark, sf_dir, grid: dict, kind: str = "lr", folds: int = 3):
+def _suite(spark, sf_dir, grids: bool = True, folds: int = 3, train_only: bool = False):
+    """Search the seven families on the fold column."""
+    from riskframe.plans import models as M
+    data = planted_parts(spark, sf_dir)[0] if train_only else planted_assembled(spark, sf_dir)
+    specs = []
+    for kind in ALL_KINDS:
+        grid = PLANTED_GRIDS[kind] if grids else {}
+        fixed = {k: v for k, v in PLANTED_SETTINGS[kind].items() if k not in grid}
+        specs.append(M.ModelSpec(kind, fixed, grid))
+    return M.train_suite(data, specs, num_folds=folds, fold_col="fold",
+                         n_features=len(S.PLANTED_FEATURES), n_classes=2,
+                         partitions=TRAIN_PARTS, key_cols=TRAIN_KEY)
+
+
+def _search(spark, sf_dir, kind: str = "lr", folds: int = 3):
     from riskframe.plans import models as M
-    data = M.persist_training(planted_assembled(spark, sf_dir))
+    est = M.make_estimator(kind, **{k: v for k, v in PLANTED_SETTINGS[kind].items()
+                                    if k not in PLANTED_GRIDS[kind]})
+    data = M.persist_training(planted_assembled(spark, sf_dir), TRAIN_PARTS, TRAIN_KEY)
     try:
-        est = M.make_estimator(kind, **{k: v for k, v in PLANTED_SETTINGS[kind].items()
-                                        if k not in grid})
-        return M.kfold_cross_validate(M.pipeline(est), M.param_grid(est, grid), data, "fold",
-                                      folds)
+        cv = M.cross_validator(M.pipeline(est), M.param_grid(est, PLANTED_GRIDS[kind]), folds,
+                               "fold")
+        return cv.fit(data)
     finally:
         data.unpersist()
 
 
-CV_GRID = {"regParam": [0.0, 0.01]}
+# Every combination predicts the majority side, so each fold's F1 is the data's.
+CV_SQL = O.with_planted(", " + O.PLANTED_F1.format(group="fold", source="planted") + """
+SELECT combo, params, (SELECT ROUND(avg(f1), 6) FROM f1_groups) AS avg_metric{best}
+FROM (VALUES (0, 'maxIter=2'), (1, 'maxIter=3')) AS t(combo, params)""")
 
 
-@register("cross_validate", sql="""
-SELECT * FROM (VALUES (0, 'regParam=0.0', 1.0::DOUBLE), (1, 'regParam=0.01', 1.0::DOUBLE))
-  AS t(combo, params, avg_metric)
-WHERE (SELECT count(*) FROM lineitem) > 0""")
+@register("cross_validate", sql=CV_SQL.format(best=""))
 def q_cross_validate(spark, sf_dir):
     from riskframe.plans import models as M
-    res = M.grid_results(spark, _cv_planted(spark, sf_dir, CV_GRID))
+    res = M.grid_results(spark, _search(spark, sf_dir))
     return res.select("combo", "params", F.round("avg_metric", 6).alias("avg_metric"))
 
 
-@register("grid_results", sql="""
-SELECT * FROM (VALUES (0, 'regParam=0.0', 1.0::DOUBLE, true),
-                      (1, 'regParam=0.01', 1.0::DOUBLE, false))
-  AS t(combo, params, avg_metric, is_best)
-WHERE (SELECT count(*) FROM lineitem) > 0""")
+@register("grid_results", sql=CV_SQL.format(best=", combo = 0 AS is_best"))
 def q_grid_results(spark, sf_dir):
     from riskframe.plans import models as M
-    res = M.grid_results(spark, _cv_planted(spark, sf_dir, CV_GRID))
-    # Metrics equal to 6 places count as a tie; the first combination wins.
-    rounded = res.withColumn("avg_metric", F.round("avg_metric", 6))
-    best = rounded.agg(F.max("avg_metric")).first()[0]
-    first = rounded.where(F.col("avg_metric") == best).agg(F.min("combo")).first()[0]
-    return rounded.withColumn("is_best", F.col("combo") == F.lit(first))
+    return M.grid_results(spark, _search(spark, sf_dir)).withColumn(
+        "avg_metric", F.round("avg_metric", 6))
 
 
 @register("best_params", sql="""
-SELECT 0.0::DOUBLE AS regParam, 0.0::DOUBLE AS elasticNetParam, 20 AS maxIter
-FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0""")
+SELECT * FROM (VALUES ('lr', 'maxIter=2'), ('rf', 'numTrees=3'), ('gbt', 'maxIter=2'),
+  ('mlp', 'layers=[3,5,2]'), ('lsvc', 'regParam=0.01'), ('nb', 'smoothing=1.0'),
+  ('fm', 'maxIter=15')) AS t(model, params) WHERE (SELECT count(*) FROM lineitem) > 0""")
 def q_best_params(spark, sf_dir):
+    """All combinations tie on the planted table, so the first of each grid is chosen."""
     from riskframe.plans import models as M
-    grid = {"regParam": [0.0], "elasticNetParam": [0.0], "maxIter": [20]}
-    return M.best_params(spark, _cv_planted(spark, sf_dir, grid),
-                         ["regParam", "elasticNetParam", "maxIter"])
+    return M.best_settings(spark, _suite(spark, sf_dir))
+
+
+def _values(*values) -> str:
+    return ", ".join(f"('{v}')" for v in values)
 
 
-def _mlp_grid_sql() -> str:
-    from riskframe.plans.models import STUDY_GRIDS
-    hidden = STUDY_GRIDS["mlp"]["hidden"]
-    hv = ", ".join(f"({i}, '{','.join(map(str, h))}')" for i, h in enumerate(hidden))
-    sv = ", ".join(f"({i}, '{s}')" for i, s in enumerate(STUDY_GRIDS["mlp"]["solver"]))
-    return O.with_cohort(f"""
-, k AS (SELECT CAST(max(label) + 1 AS INTEGER) AS n_classes FROM cohort)
-SELECT CAST(row_number() OVER (ORDER BY h.hi, s.si) - 1 AS INTEGER) AS combo,
-       'layers=[5,' || h.hs || ',' || CAST(k.n_classes AS VARCHAR) || '], solver=' || s.sv AS params
-FROM (VALUES {hv}) AS h(hi, hs), (VALUES {sv}) AS s(si, sv), k""")
+HIDDEN_SQL = _values("5", "10", "20", "5,5", "10,10", "20,20", "5,5,5", "10,10,10", "20,20,20")
 
 
-@register("param_grid", sql=_mlp_grid_sql())
+@register("param_grid", sql=O.with_cohort(f"""
+, k AS (SELECT CAST(max(label) + 1 AS INTEGER) AS n FROM cohort)
+SELECT 'lr' AS model, 'elasticNetParam=' || e || ', maxIter=' || i || ', regParam=' || r AS params
+FROM (VALUES {_values("0.0", "0.25", "0.5", "0.75", "1.0")}) AS a(e),
+     (VALUES {_values(1, 2, 3)}) AS b(i), (VALUES {_values("0.01", "0.02", "0.1")}) AS c(r)
+UNION ALL SELECT 'rf', 'maxDepth=' || d || ', numTrees=' || t
+FROM (VALUES {_values(5, 10, 15, 25, 30)}) AS a(d), (VALUES {_values(10, 20, 30)}) AS b(t)
+UNION ALL SELECT 'gbt', 'maxDepth=' || d || ', maxIter=' || i
+FROM (VALUES {_values(2, 6, 10, 15, 20)}) AS a(d), (VALUES {_values(10, 20, 30, 40, 50)}) AS b(i)
+UNION ALL SELECT 'mlp', 'layers=[5,' || h || ',' || n || '], solver=' || s
+FROM (VALUES {HIDDEN_SQL}) AS a(h), (VALUES {_values("l-bfgs", "gd")}) AS b(s), k
+UNION ALL SELECT 'lsvc', 'maxIter=' || i || ', regParam=' || r
+FROM (VALUES {_values(1, 2, 3)}) AS a(i), (VALUES {_values("0.01", "0.02", "0.1")}) AS b(r)
+UNION ALL SELECT 'nb', ''
+UNION ALL SELECT 'fm', 'maxIter=' || i || ', regParam=' || r || ', stepSize=' || t
+FROM (VALUES {_values(1, 5, 10, 15, 20)}) AS a(i), (VALUES {_values("0.01", "0.02", "0.1")}) AS b(r),
+     (VALUES {_values("0.001", "0.005", "0.01", "0.05", "0.1")}) AS c(t)"""))
 def q_param_grid(spark, sf_dir):
     from riskframe.operators import features as fe
     from riskframe.plans import models as M
-    df = cohort(spark, sf_dir)
     n_features = len(S.CASE_SPEC.feature_cols)
-    n_classes = fe.class_count(df, "label")
-    est = M.make_estimator("mlp")
-    maps = M.param_grid(est, M.STUDY_GRIDS["mlp"], n_features, n_classes)
-    return spark.createDataFrame(M.grid_rows(maps), "combo INT, params STRING")
+    n_classes = fe.class_count(cohort(spark, sf_dir), "label")
+    rows = [(kind, params) for kind, grid in M.STUDY_GRIDS.items()
+            for _, params in M.grid_rows(M.param_grid(M.make_estimator(kind), grid, n_features,
+                                                      n_classes))]
+    return spark.createDataFrame(rows, "model STRING, params STRING")
 
 
 def planted_parts(spark, sf_dir):
@@ -766,106 +867,106 @@ def planted_parts(spark, sf_dir):
                               buckets=5, hashed=False)
 
 
-def _suite(spark, sf_dir, kinds, folds: int = 3, train_only: bool = False):
-    """Train families with one-combination grids; CV on the fold column."""
-    from riskframe.plans import models as M
-    data = planted_parts(spark, sf_dir)[0] if train_only else planted_assembled(spark, sf_dir)
-    specs = []
-    for kind in kinds:
-        fixed = dict(PLANTED_SETTINGS[kind])
-        if kind == "mlp":
-            fixed.pop("layers")
-            fixed["hidden"] = [5]
-        specs.append(M.ModelSpec(kind, fixed, {}))
-    return M.train_suite(data, specs, num_folds=folds, fold_col="fold",
-                         n_features=len(S.PLANTED_FEATURES), n_classes=2)
+KINDS_SQL = ", ".join(f"('{k}')" for k in ALL_KINDS)
 
 
-@register("train_times", sql="""
-SELECT * FROM (VALUES ('lr', 3::BIGINT, true), ('nb', 3::BIGINT, true)) AS t(model, numTrains, timed)
+@register("train_times", sql=f"""
+SELECT model, 3::BIGINT AS "numTrains", true AS timed FROM (VALUES {KINDS_SQL}) AS t(model)
 WHERE (SELECT count(*) FROM lineitem) > 0""")
 def q_train_times(spark, sf_dir):
     from riskframe.plans import models as M
-    times = M.times_frame(spark, _suite(spark, sf_dir, ["lr", "nb"]))
+    times = M.times_frame(spark, _suite(spark, sf_dir, grids=False))
     return times.select("model", "numTrains", (F.col("time") > 0).alias("timed"))
 
 
-ALL_KINDS = ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm")
-
-
-@register("train_suite", sql=O.with_planted("""
-SELECT m.model, 3::BIGINT AS numTrains, 1.0::DOUBLE AS best_cv_f1, 0::BIGINT AS errors
-FROM (VALUES ('lr'), ('rf'), ('gbt'), ('mlp'), ('lsvc'), ('nb'), ('fm')) AS m(model)
-WHERE (SELECT count(*) FROM planted) > 0"""))
+@register("train_suite", sql=O.with_planted(", " + O.PLANTED_F1.format(
+    group="fold", source="planted") + f"""
+SELECT model, 6::BIGINT AS "numTrains", (SELECT ROUND(avg(f1), 6) FROM f1_groups) AS best_cv_f1,
+       (SELECT count(*) FROM planted WHERE label <> majority) AS errors
+FROM (VALUES {KINDS_SQL}) AS t(model)"""))
 def q_train_suite(spark, sf_dir):
     from riskframe.plans import models as M
-    from riskframe.operators import sampling
-    results = _suite(spark, sf_dir, ALL_KINDS)
-    data = planted_assembled(spark, sf_dir)
-    scored_parts = [r.model.transform(data).select(F.lit(r.name).alias("model"), "label",
-                                                   "prediction") for r in results]
-    errors = (sampling.union_all(*scored_parts).groupBy("model")
-              .agg(F.sum((F.col("label") != F.col("prediction")).cast("bigint")).alias("errors")))
+    results = _suite(spark, sf_dir)
+    confusion = planted_model_confusion(
+        {r.name: r.model for r in results}, planted_assembled(spark, sf_dir))
+    errors = confusion.groupBy("model").agg(F.sum(F.when(
+        F.col("label") != F.col("prediction"), F.col("n")).otherwise(0)).alias("errors"))
     summary = spark.createDataFrame(
         [(r.name, r.num_trains, float(round(max(r.model.avgMetrics), 6))) for r in results],
         "model STRING, numTrains BIGINT, best_cv_f1 DOUBLE")
     return summary.join(errors, "model")
 
 
-COMPARISON_KINDS = ("lr", "lsvc", "nb")
-
-
-def _comparison(spark, sf_dir):
+def planted_model_confusion(models: dict, data: DataFrame) -> DataFrame:
+    """Confusion counts of many models from one scan: chained predictions, one joint group."""
     from riskframe.plans import models as M
-    from riskframe.operators import sampling
-    from riskframe.plans import reports as R
-    results = _suite(spark, sf_dir, COMPARISON_KINDS, train_only=True)
-    test = planted_parts(spark, sf_dir)[1]
-    scored_rows = sampling.union_all(*[
-        r.model.transform(test).select(F.lit(r.name).alias("model"), "label", "prediction")
-        for r in results])
-    return R.model_comparison(scored_rows, M.times_frame(spark, results), positive=0.0)
-
-
-COMPARISON_SQL = O.with_planted("""
-, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 4),
-c AS (SELECT CAST(count(*) FILTER (WHERE label = 0) AS BIGINT) AS tp,
-             CAST(count(*) FILTER (WHERE label <> 0) AS BIGINT) AS tn FROM test)
-SELECT m.model, 3::BIGINT AS numTrains, true AS timed, c.tp, 0::BIGINT AS fp, 0::BIGINT AS fn,
-       c.tn, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall,
-       1.0::DOUBLE AS f1, 1.0::DOUBLE AS weighted_f1, m.rank
-FROM (VALUES ('lr', 1::BIGINT), ('lsvc', 2::BIGINT), ('nb', 3::BIGINT)) AS m(model, rank), c""")
+    return met.confusion_by_rules(M.predictions(models, data), {n: F.col(n) for n in models})
+
+
+PLANTED_METRICS_SQL = O.with_planted(", " + O.PLANTED_F1.format(
+    group="1", source="(SELECT * FROM planted WHERE l_orderkey % 5 = 4)") + """,
+test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 4),
+c AS (SELECT count(*) FILTER (WHERE label = 0 AND majority = 0) AS tp,
+             count(*) FILTER (WHERE label <> 0 AND majority = 0) AS fp,
+             count(*) FILTER (WHERE label = 0 AND majority <> 0) AS fn,
+             count(*) FILTER (WHERE label <> 0 AND majority <> 0) AS tn FROM test),
+m AS (SELECT *, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy,
+             CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp AS DOUBLE) / (tp + fn) AS recall,
+             2.0 * tp / (2 * tp + fp + fn) AS f1, (SELECT f1 FROM f1_groups) AS weighted_f1
+      FROM c)
+""")
 
 
-@register("model_comparison", sql=COMPARISON_SQL)
+@register("model_comparison", sql=PLANTED_METRICS_SQL + f"""
+SELECT model, 6::BIGINT AS "numTrains", true AS timed, tp, fp, fn, tn,
+       ROUND(accuracy, 9) AS accuracy, ROUND(precision, 9) AS precision,
+       ROUND(recall, 9) AS recall, ROUND(f1, 9) AS f1, ROUND(weighted_f1, 9) AS weighted_f1,
+       row_number() OVER (ORDER BY model) AS rank
+FROM m, (VALUES {KINDS_SQL}) AS t(model)""")
 def q_model_comparison(spark, sf_dir):
-    out = _comparison(spark, sf_dir)
+    """Seven searched families; the measured times differ between runs, so the check
+    sees their relations and the operator's frame keeps the numbers."""
+    from riskframe.plans import models as M
+    from riskframe.plans import reports as R
+    results = _suite(spark, sf_dir, train_only=True)
+    confusion = planted_model_confusion({r.name: r.model for r in results},
+                                        planted_parts(spark, sf_dir)[1])
+    out = R.model_comparison(confusion, M.times_frame(spark, results), positive=0.0)
+    per_fit = F.round(F.col("time") / F.col("numTrains"))
     return round_doubles(out.select(
-        "model", "numTrains", ((F.col("time") > 0) & (F.col("time_per_model") >= 0)).alias("timed"),
+        "model", "numTrains",
+        ((F.col("time") > 0) & (F.col("time_per_model") == per_fit)).alias("timed"),
         "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1", "weighted_f1", "rank"))
 
 
-@register("join_times", sql=O.with_planted("""
-, test AS (SELECT * FROM planted WHERE l_orderkey % 5 = 4)
-SELECT m.model, 3::BIGINT AS numTrains, true AS timed, 1.0::DOUBLE AS accuracy
-FROM (VALUES ('lr'), ('lsvc'), ('nb')) AS m(model) WHERE (SELECT count(*) FROM test) > 0"""))
+@register("join_times", sql=PLANTED_METRICS_SQL + f"""
+, times AS (
+  SELECT model, CAST(sum(l_quantity) AS BIGINT) AS time, count(*) AS "numTrains"
+  FROM lineitem JOIN (VALUES {", ".join(f"({i}, '{k}')" for i, k in enumerate(ALL_KINDS))})
+    AS t(i, model) ON l_orderkey % {len(ALL_KINDS)} = i GROUP BY model)
+SELECT model, time, "numTrains", ROUND(accuracy, 9) AS accuracy, ROUND(f1, 9) AS f1
+FROM m, times""")
 def q_join_times(spark, sf_dir):
-    from riskframe.plans import models as M
+    """Metrics of seven fitted families with a times table (made from the data, so
+    that its numbers can be checked) attached by model."""
     from riskframe.operators import joins, sampling
-    results = _suite(spark, sf_dir, COMPARISON_KINDS, train_only=True)
-    test = planted_parts(spark, sf_dir)[1]
-    scored_rows = sampling.union_all(*[
-        r.model.transform(test).select(F.lit(r.name).alias("model"), "label", "prediction")
-        for r in results])
-    cm = met.class_metrics(met.confusion_counts(scored_rows), 0.0)
-    joined = joins.attach_by_key(cm, M.times_frame(spark, results), ["model"], "left")
-    return round_doubles(joined.select("model", "numTrains", (F.col("time") > 0).alias("timed"),
-                                       "accuracy"))
+    from riskframe.plans import models as M
+    train, test = planted_parts(spark, sf_dir)
+    train = sampling.deal_rows(train, TRAIN_PARTS, TRAIN_KEY)
+    models = {k: M.fit(k, train, **planted_settings(k)) for k in ALL_KINDS}
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
+    times = (lineitem(spark, sf_dir)
+             .groupBy(names[F.col("l_orderkey") % len(ALL_KINDS)].alias("model"))
+             .agg(F.sum("l_quantity").cast("bigint").alias("time"),
+                  F.count(F.lit(1)).alias("numTrains")))
+    cm = met.class_metrics(planted_model_confusion(models, test), 0.0)
+    joined = joins.attach_by_key(cm, times, ["model"], "left")
+    return round_doubles(joined.select("model", "time", "numTrains", "accuracy", "f1"))
 
 
 @register("score_batch", sql=O.with_planted("""
-SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n, count(*) AS n_consistent
-FROM planted GROUP BY label"""))
+SELECT label, CAST(majority AS DOUBLE) AS prediction, count(*) AS n, count(*) AS n_consistent
+FROM planted GROUP BY 1, 2"""))
 def q_score_batch(spark, sf_dir):
     from riskframe.plans import models as M
     model = fit_planted(spark, sf_dir, "lr")
@@ -875,51 +976,119 @@ def q_score_batch(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum(consistent.cast("bigint")).alias("n_consistent"))
 
 
-@register("model_roundtrip", sql=PLANTED_CONFUSION_SQL)
+@register("model_roundtrip", sql=O.with_planted(f"""
+SELECT model, count(*) AS n, 0::BIGINT AS n_changed, count(*) FILTER (label = majority) AS n_right
+FROM planted, (VALUES {KINDS_SQL}) AS t(model) GROUP BY model"""))
 def q_model_roundtrip(spark, sf_dir):
+    """Every family saved and loaded: rows, rows scored differently after, rows scored right."""
+    from riskframe.plans import models as M
     from riskframe.session import scratch_path
     from riskframe.sources import sinks
-    cv_model = _cv_planted(spark, sf_dir, {}, kind="nb")
-    path = sinks.save_model(cv_model, scratch_path(spark, "model-nb"))
-    loaded = sinks.load_model(path)
-    return planted_confusion(loaded, spark, sf_dir)
+    train = planted_training(spark, sf_dir)
+    both = {}
+    for kind in ALL_KINDS:
+        model = M.pipeline(M.make_estimator(kind, **planted_settings(kind))).fit(train)
+        both[kind] = model
+        both[f"{kind}_loaded"] = sinks.load_model(
+            sinks.save_model(model, scratch_path(spark, f"model-{kind}")), type(model))
+    scored = M.predictions(both, planted_assembled(spark, sf_dir))
+    told = F.explode(F.array(*[F.struct(
+        F.lit(k).alias("model"), (F.col(k) != F.col(f"{k}_loaded")).cast("long").alias("changed"),
+        (F.col(f"{k}_loaded") == F.col("label")).cast("long").alias("right"))
+        for k in ALL_KINDS]))
+    return scored.select(told.alias("t")).groupBy("t.model").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("t.changed").alias("n_changed"),
+        F.sum("t.right").alias("n_right"))
+
+
+@register("coefficients_by_model", sql=O.with_planted("""
+, sides AS (SELECT a, ln(sum(label) / CAST(sum(1 - label) AS DOUBLE)) AS odds FROM planted
+            GROUP BY a)
+SELECT 'logistic' AS model, 0 AS pos, 'a' AS feature,
+       ROUND((SELECT odds FROM sides WHERE a = 1) - odds, 3) AS coefficient
+FROM sides WHERE a = 0
+UNION ALL SELECT 'logistic', 1, 'intercept', ROUND(odds, 3) FROM sides WHERE a = 0"""))
+def q_coefficients_by_model(spark, sf_dir):
+    """On one binary feature the coefficients are a log odds and a log odds ratio."""
+    from riskframe.plans import models as M
+    model, _ = side_model(spark, sf_dir)
+    table = M.linear_coefficients(spark, model, ["a"], "logistic")
+    return table.select("model", "pos", "feature", F.round("coefficient", 3).alias("coefficient"))
 
 
-@register("coefficients_by_model", sql="""
-SELECT m.model, f.feature, f.pos, true AS finite
-FROM (VALUES ('logistic'), ('lsvc')) AS m(model),
-     (VALUES ('a', 0), ('b', 1), ('d', 2), ('intercept', 3)) AS f(feature, pos)
-WHERE (SELECT count(*) FROM lineitem) > 0""")
-def q_coefficients_by_model(spark, sf_dir):
+@register("svm_scores", sql=O.with_planted("""
+SELECT count(*) AS n, 0::BIGINT AS n_different FROM planted"""))
+def q_svm_scores(spark, sf_dir):
+    """The SVM's predictions recomputed from its coefficient table."""
     from riskframe.plans import models as M
-    from riskframe.operators import sampling
-    names = list(S.PLANTED_FEATURES)
-    lr = M.linear_coefficients(spark, fit_planted(spark, sf_dir, "lr"), names, "logistic")
-    svm = M.linear_coefficients(spark, fit_planted(spark, sf_dir, "lsvc"), names, "lsvc")
-    both = sampling.union_all(lr, svm)
-    return both.select("model", "feature", "pos", (~F.isnan("coefficient")).alias("finite"))
+    from riskframe.plans import reports as R
+    model = fit_planted(spark, sf_dir, "lsvc")
+    table = M.linear_coefficients(spark, model, list(S.PLANTED_FEATURES), "lsvc")
+    scored = R.linear_score(M.predictions({"svm": model}, planted_assembled(spark, sf_dir),
+                                          keep=S.PLANTED_FEATURES), table, "lsvc",
+                            S.PLANTED_FEATURES, keep=("svm",))
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.sum(
+        (F.col("svm") != F.col("prediction")).cast("long")).alias("n_different"))
 
 
 @register("feature_importances", sql="""
-SELECT 3::BIGINT AS n_features, 1.0::DOUBLE AS importance_sum
-FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0""")
+SELECT pos, feature, CASE WHEN feature = 'a' THEN 1.0 ELSE 0.0 END::DOUBLE AS importance
+FROM (VALUES (0, 'a'), (1, 'd')) AS t(pos, feature) WHERE (SELECT count(*) FROM lineitem) > 0""")
 def q_feature_importances(spark, sf_dir):
+    """One feature decides the label, so it has all the importance."""
+    from riskframe.operators import features as fe
     from riskframe.plans import models as M
-    imp = M.feature_importances(spark, fit_planted(spark, sf_dir, "rf"), list(S.PLANTED_FEATURES))
-    return imp.agg(F.count(F.lit(1)).alias("n_features"),
-                   F.round(F.sum("importance"), 6).alias("importance_sum"))
+    rows = planted(spark, sf_dir).withColumn("label", F.col("a"))
+    data = M.with_class_count(fe.assemble(rows, ["a", "d"]), "label", 2)
+    return M.feature_importances(spark, M.fit("rf", data, **planted_settings("rf")), ["a", "d"])
 
 
-@register("fm_factors", sql="""
-SELECT f.feature, 'factor' AS term, CAST(k AS INTEGER) AS idx
-FROM (VALUES ('a'), ('b'), ('d')) AS f(feature), range(8) AS r(k)
-WHERE (SELECT count(*) FROM lineitem) > 0
-UNION ALL SELECT feature, 'linear', 0 FROM (VALUES ('a'), ('b'), ('d')) AS f(feature)
-UNION ALL SELECT 'intercept', 'intercept', 0""")
+@register("fm_factors", sql=O.with_planted("""
+SELECT count(*) AS n, 0::BIGINT AS n_different, 3 * 8 AS n_factors FROM planted"""))
 def q_fm_factors(spark, sf_dir):
+    """The machine's raw scores recomputed from its term table."""
     from riskframe.plans import models as M
-    fac = M.fm_factors(spark, fit_planted(spark, sf_dir, "fm"), list(S.PLANTED_FEATURES))
-    return fac.select("feature", "term", "idx")
+    names = list(S.PLANTED_FEATURES)
+    model = fit_planted(spark, sf_dir, "fm")
+    terms = M.fm_factors(spark, model, names)
+    raw = M.score(model, planted_assembled(spark, sf_dir), keep=names)
+    vector = F.col("raw_prediction")[1]
+    # 3 features x 8 factors: the term table as one struct beside the rows.
+    folded = terms.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws(":", "feature", F.col("idx").cast("string")), "value"))).alias("m"))
+    maps = folded.agg(F.map_from_entries(F.collect_list(F.struct("term", "m"))))
+    rows = raw.select(*names, vector.alias("raw")).withColumn("t", maps.scalar())
+    at = lambda term, key: F.col("t")[term][key]
+    score = at("intercept", "intercept:0")
+    for n in names:
+        score = score + at("linear", f"{n}:0") * F.col(n)
+    for k in range(8):
+        linear = sum((at("factor", f"{n}:{k}") * F.col(n) for n in names), F.lit(0.0))
+        square = sum((F.pow(at("factor", f"{n}:{k}") * F.col(n), 2) for n in names), F.lit(0.0))
+        score = score + 0.5 * (linear * linear - square)
+    return rows.select(score.alias("score"), "raw").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((F.abs(F.col("score") - F.col("raw")) > 1e-9).cast("long")).alias("n_different")) \
+        .withColumn("n_factors", F.lit(terms.where("term = 'factor'").count()).cast("int"))
+
+
+# ------------------------------------------------- the study, end to end
+
+@register("study", sql=PLANTED_METRICS_SQL + f"""
+SELECT model, 10::BIGINT AS "numTrains", true AS timed, tp, fp, fn, tn,
+       ROUND(accuracy, 9) AS accuracy, ROUND(f1, 9) AS f1, ROUND(weighted_f1, 9) AS weighted_f1,
+       0::BIGINT AS n_changed, row_number() OVER (ORDER BY model) AS rank
+FROM m, (VALUES {KINDS_SQL}) AS t(model)""")
+def q_study(spark, sf_dir):
+    from riskframe.plans import study
+    out = study.run(planted_assembled(spark, sf_dir).drop("fold"), list(S.PLANTED_FEATURES),
+                    split_key="l_orderkey", searches={
+                        k: ({n: v for n, v in PLANTED_SETTINGS[k].items()
+                             if n not in PLANTED_GRIDS[k]}, PLANTED_GRIDS[k]) for k in ALL_KINDS},
+                    partitions=TRAIN_PARTS, partition_key=TRAIN_KEY)
+    return round_doubles(out.leaderboard.select(
+        "model", "numTrains", (F.col("time") > 0).alias("timed"), "tp", "fp", "fn", "tn",
+        "accuracy", "f1", "weighted_f1", "n_changed", "rank"))
 
 
 # ------------------------------------ Naive Bayes on the case cohort (exact)
@@ -1010,8 +1179,9 @@ SELECT r.label, CASE WHEN w.w0 + """ + " + ".join(f"w.w_{c} * r.{c}" for c in NB
 FROM nbrows r, w GROUP BY 1, 2"""))
 def q_score_linear(spark, sf_dir):
     from riskframe.plans import reports as R
-    rows = cohort(spark, sf_dir).where(F.col("NU_IDADE_N").isNotNull())
-    scored_rows = R.linear_score(rows, nb_linear(spark, sf_dir), "nb")
+    # Rows with an unknown age are dropped, as the model's assembler did.
+    scored_rows = R.linear_score(cohort(spark, sf_dir), nb_linear(spark, sf_dir), "nb",
+                                 NB_FEATURES, handle_invalid="skip")
     return met.confusion_counts(scored_rows, model_col=None)
 
 

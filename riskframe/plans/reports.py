@@ -7,8 +7,6 @@ scored rows, which are reduced to confusion counts before anything else.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,37 +15,40 @@ from riskframe.operators import metrics as met
 from riskframe.operators.joins import attach_baseline, attach_by_key
 from riskframe.operators.ordering import rank_small
 
-INLINE_TERMS = 256          # above this, a higher-order array dot product
-MAX_FEATURES = 10_000_000   # coefficient tables are read to the driver
-
-
-def linear_score(df: DataFrame, coefs: DataFrame, model: str, feature_col: str = "feature",
-                 value_col: str = "coefficient", intercept_name: str = "intercept",
-                 threshold: float = 0.5, keep=("label",)) -> DataFrame:
+def linear_score(df: DataFrame, coefs: DataFrame, model: str, features,
+                 feature_col: str = "feature", value_col: str = "coefficient",
+                 intercept_name: str = "intercept", threshold: float = 0.5,
+                 keep=("label",), handle_invalid: str = "error") -> DataFrame:
     """Score rows with a linear log-odds model given as a coefficient table.
 
-    The coefficient table has one row per feature; it is read to the driver
-    (bounded) and applied as a projection with no join: inlined as
-    ``intercept + sum(c_j * x_j)`` for up to ``INLINE_TERMS`` features, else
-    as a ``zip_with``/``aggregate`` dot product against an array literal.
+    ``features`` names the model's columns in ``df``.  Their values form one
+    array per row; the table's coefficients, put in the same order, form one
+    array in a scalar subquery, and the score is their dot product plus the
+    intercept: one plan for any number of features, nothing read to the driver.
+    A null feature fails the job (``error``), drops the row (``skip``) or gives
+    a null score (``keep``), as the assembler's settings do; a feature without
+    a coefficient fails the job.
     """
-    table = coefs.where(F.col("model") == F.lit(model)).select(feature_col, value_col)
-    rows = table.limit(MAX_FEATURES + 1).collect()
-    if len(rows) > MAX_FEATURES:
-        raise ValueError("coefficient table too large to inline")
-    terms = {r[0]: float(r[1]) for r in rows}
-    intercept = terms.pop(intercept_name, 0.0)
-    if len(terms) <= INLINE_TERMS:
-        logit = reduce(lambda acc, kv: acc + F.lit(kv[1]) * F.col(kv[0]).cast("double"),
-                       terms.items(), F.lit(intercept))
-    else:
-        values = F.array(*[F.col(c).cast("double") for c in terms])
-        weights = F.array(*[F.lit(w) for w in terms.values()])
-        logit = F.lit(intercept) + F.aggregate(
-            F.zip_with(values, weights, lambda x, w: x * w), F.lit(0.0), lambda a, b: a + b)
+    names = list(features)
+    table = coefs.where(F.col("model") == F.lit(model))
+    terms = F.map_from_entries(F.collect_list(F.struct(F.col(feature_col), F.col(value_col))))
+    known = F.array(*[F.lit(n) for n in names])
+    weights = table.agg(terms.alias("t")).select(
+        F.struct(F.coalesce(F.col("t")[intercept_name], F.lit(0.0)).alias("intercept"),
+                 F.transform(known, lambda n: F.coalesce(F.element_at("t", n), F.raise_error(
+                     F.concat(F.lit("no coefficient of "), n)).cast("double"))).alias("w")))
+    values = F.array(*[F.col(c).cast("double") for c in names])
+    missing = F.exists(values, lambda x: x.isNull())
+    rows = df.where(~missing) if handle_invalid == "skip" else df
+    rows = rows.select(*keep, values.alias("_x")).withColumn("_m", weights.scalar())
+    logit = F.col("_m.intercept") + F.aggregate(
+        F.zip_with("_x", F.col("_m.w"), lambda x, w: x * w), F.lit(0.0), lambda a, b: a + b)
+    if handle_invalid == "error":
+        logit = F.when(F.exists("_x", lambda x: x.isNull()),
+                       F.raise_error(F.lit("null in a feature")).cast("double")).otherwise(logit)
     prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
-    return df.select(*keep, prob.alias("probability"),
-                     (prob > F.lit(threshold)).cast("double").alias("prediction"))
+    return (rows.select(*keep, prob.alias("probability"))
+            .withColumn("prediction", (F.col("probability") > F.lit(threshold)).cast("double")))
 
 
 def with_reference_profile(coefs: DataFrame, profile: dict, feature_col: str = "feature",
@@ -62,10 +63,10 @@ def with_reference_profile(coefs: DataFrame, profile: dict, feature_col: str = "
     spark = coefs.sparkSession
     prof = spark.createDataFrame([(k, float(v)) for k, v in profile.items()],
                                  f"{feature_col} STRING, _value DOUBLE")
-    shift = (coefs.join(F.broadcast(prof), [feature_col])
+    shift = (coefs.join(prof, [feature_col])
                   .groupBy("model").agg(F.sum(F.col(value_col) * F.col("_value")).alias("_shift")))
     is_base = F.col(feature_col) == F.lit(intercept_name)
-    return (coefs.join(F.broadcast(shift), ["model"], "left")
+    return (coefs.join(shift, ["model"], "left")
                  .withColumn(value_col, F.when(is_base, F.col(value_col)
                                                + F.coalesce(F.col("_shift"), F.lit(0.0)))
                              .otherwise(F.col(value_col)))
@@ -108,22 +109,19 @@ def risk_report(coefs: DataFrame, reference_model: str, models=None,
         C.total_risk(odds, baseline_pct).alias("total_risk_pct"),
         C.adjusted_probability("baseline", value_col).alias("adjusted_pct"),
     )
-    # One row per feature on both sides.
-    report = attach_by_key(ref, wide, [feature_col], "left", right_is_small=True)
+    report = attach_by_key(ref, wide, [feature_col], "left")
     return rank_small(report, [F.col("_coef").desc_nulls_last(), F.col(feature_col).asc()],
                       "rank").drop("_coef")
 
 
-def model_comparison(scored: DataFrame, times: DataFrame, positive: float = 0.0) -> DataFrame:
+def model_comparison(confusion: DataFrame, times: DataFrame, positive: float = 0.0) -> DataFrame:
     """Leaderboard of models: training time, fits, ms per fit, class metrics
     of ``positive`` and weighted F1, ranked by F1 (best first).
 
-    ``scored`` is ``(model, label, prediction)`` for every model's test rows;
-    it is reduced to confusion counts in one aggregation.
+    ``confusion`` is ``(model, label, prediction, n)`` of every model's test rows.
     """
-    summary = met.metrics_summary(met.confusion_counts(scored), positive) \
+    summary = met.metrics_summary(confusion, positive) \
         .drop("weighted_precision", "weighted_recall")
-    # One row per model on both sides after the confusion aggregation.
-    joined = attach_by_key(summary, times, ["model"], "left", right_is_small=True)
+    joined = attach_by_key(summary, times, ["model"], "left")
     joined = joined.withColumn("time_per_model", C.ratio_rounded("time", "numTrains"))
     return rank_small(joined, [F.col("f1").desc_nulls_last(), F.col("model").asc()], "rank")

@@ -68,17 +68,22 @@ CASE_SPEC = CohortSpec(
 
 
 def planted_table(lineitem: DataFrame) -> DataFrame:
-    """Label equals feature ``a``; ``b`` is its complement, ``d`` is noise.
+    """``label`` is feature ``a`` with a tenth of the orders flipped; ``b`` is the
+    complement of ``a``, ``d`` is noise.
 
-    ``fold`` is a deterministic fold column for cross-validation.
+    The best prediction of every family is the majority label on each side of
+    ``a``, which SQL can state.  ``fold`` is a deterministic fold column.
     """
     a = (F.col("l_quantity") > 25).cast("int")
+    flipped = (F.col("l_orderkey") % 10 == 3).cast("int")
     return lineitem.select(
         "l_orderkey",
+        "l_linenumber",
         a.alias("a"),
         (F.lit(1) - a).alias("b"),
         (F.col("l_discount") > 0.05).cast("int").alias("d"),
-        a.alias("label"),
+        (F.col("l_suppkey") % 40).cast("string").alias("code"),
+        F.abs(a - flipped).alias("label"),
         (F.col("l_orderkey") % 3).cast("int").alias("fold"),
     )
 

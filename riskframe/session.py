@@ -2,8 +2,8 @@
 
 Scratch output (round-trip files, external tables, saved models, lineage
 checkpoints) always goes under the checkpoint directory the cluster names in
-``spark.checkpoint.dir``.  Only when the session has none (local runs, tests)
-is a private directory created and registered.
+``spark.checkpoint.dir``.  Only a local session without one (tests) gets a
+private directory; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -61,24 +61,21 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate output: the session's checkpoint dir.
 
-    Reads ``spark.checkpoint.dir`` (or an already registered checkpoint dir);
-    sets a private one only when none is configured, as in tests.
+    Reads the registered checkpoint dir or ``spark.checkpoint.dir``.  Where
+    neither is set, a session whose executors are threads of the driver
+    (``local[...]``, as in tests) gets a private folder; any other session
+    raises, because executors would write to disks that nobody else sees.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        sc = None
-    root = sc.getCheckpointDir() if sc is not None else None
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root and sc is not None:
-            root = sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="riskframe-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", root)
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

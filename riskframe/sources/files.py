@@ -7,7 +7,6 @@ which saves Spark the extra pass over the data that inference costs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -90,5 +89,5 @@ def column_names_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
 __all__ = [
     "string_schema", "scan_csv", "scan_parquet", "scan_json", "scan_table",
     "local_rows", "feature_list", "feature_frame", "with_position",
-    "vector_attribute_names", "column_names_frame", "F",
+    "vector_attribute_names", "column_names_frame",
 ]

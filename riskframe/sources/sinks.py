@@ -1,8 +1,7 @@
 """Writers: Parquet / JSON / CSV files, catalog tables, models.
 
-Tables are created as external tables whose files live under the shared
-scratch root (the cluster's checkpoint directory), never in a machine-local
-warehouse folder.
+Tables are managed by the session's warehouse unless the caller names a path
+(the jobs put theirs under the shared scratch root).
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from riskframe.session import scratch_path
-
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).parquet(path)
@@ -40,13 +37,18 @@ def unique_table_name(prefix: str) -> str:
 def create_table(spark: SparkSession, name: str, schema: T.StructType,
                  path: str | None = None) -> str:
     """Create or replace an empty, typed table (``CREATE TABLE`` from a
-    zero-row frame).  Column names may contain spaces."""
-    location = path or scratch_path(spark, f"table-{name}")
-    (spark.createDataFrame([], schema).write.mode("overwrite")
-     .option("path", location).format("parquet").saveAsTable(name))
+    zero-row frame): managed by the catalog's warehouse, or external at
+    ``path``.  Column names may contain spaces."""
+    writer = spark.createDataFrame([], schema).write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return name
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove a table from the catalog; a managed one goes with its files."""
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+
+
 def append_table(df: DataFrame, name: str) -> str:
     """Append rows by column name.  Numeric widening (bigint -> int column)
     follows the store-assignment rules; a missing column is an error."""

@@ -57,7 +57,7 @@ def test_trees_recover_threshold_from_raw_column(spark, kind):
     df = Q.planted(spark, SMALL).join(
         Q.lineitem(spark, SMALL).select("l_orderkey", "l_quantity").dropDuplicates(["l_orderkey"]),
         "l_orderkey")
-    df = df.where((F.col("l_quantity") > 25) == (F.col("label") == 1))
+    df = df.withColumn("label", (F.col("l_quantity") > 25).cast("int"))
     data = fe.assemble(df, ["l_quantity"])
     model = M.fit(kind, data, seed=1, **({"numTrees": 5} if kind == "rf" else {"maxIter": 3}))
     wrong = model.transform(data).where(F.col("prediction") != F.col("label")).count()
@@ -102,18 +102,16 @@ def test_assembler_error_mode_fails_on_null(spark):
 def test_convergence_flags_iteration_limit(spark):
     lr = Q.fit_planted(spark, SMALL, "lr")
     out = {r["model"]: r for r in M.convergence(spark, {"lr": lr}).collect()}
-    assert out["lr"]["max_iter"] == 20
-    assert out["lr"]["at_limit"] == (out["lr"]["iterations"] >= 20)
+    assert out["lr"]["max_iter"] == 3
+    assert out["lr"]["at_limit"] == (out["lr"]["iterations"] >= 3)
 
 
-def test_kfold_cv_matches_fold_by_fold_fits(spark):
-    # The concurrent search over views must give the averages of plain
-    # sequential fits, and release everything it persisted.
+def test_cv_matches_fold_by_fold_fits_and_releases_memory(spark):
     data = Q.planted_assembled(spark, SMALL).where(F.col("d") == 1)
     est = M.make_estimator("lr", maxIter=5)
     maps = M.param_grid(est, {"regParam": [0.0, 0.3]})
     persisted_before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
-    cv = M.kfold_cross_validate(M.pipeline(est), maps, data, "fold", 3)
+    cv = M.cross_validator(M.pipeline(est), maps, 3, "fold").fit(data)
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == persisted_before
     ev = M.f1_evaluator()
     for i, pm in enumerate(maps):
@@ -122,12 +120,38 @@ def test_kfold_cv_matches_fold_by_fold_fits(spark):
         assert cv.avgMetrics[i] == pytest.approx(sum(scores) / 3, abs=1e-12)
 
 
-def test_one_candidate_refit_is_the_full_fit(spark):
-    data = Q.planted_assembled(spark, SMALL)
-    est = M.make_estimator("lr", maxIter=5, regParam=0.2)
-    cv = M.kfold_cross_validate(est, [{}], data, "fold", 3)
-    full = est.fit(data)
-    assert len(cv.avgMetrics) == 1
-    assert list(M.best_stage(cv).coefficients) == pytest.approx(list(full.coefficients),
-                                                                abs=1e-12)
-    assert M.best_stage(cv).intercept == pytest.approx(full.intercept, abs=1e-12)
+@pytest.mark.parametrize("folds, message", [
+    (F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(1), "(?i)fold number"),
+    (F.col("l_orderkey") % 5, "(?i)fold number"),
+    (F.lit(0), "(?i)empty")])
+def test_cv_raises_on_rows_it_would_leave_out(spark, folds, message):
+    data = Q.planted_assembled(spark, SMALL).withColumn("fold", folds.cast("int"))
+    est = M.make_estimator("nb")
+    with pytest.raises(Exception, match=message):
+        M.cross_validator(est, [{}], 3, "fold").fit(data)
+
+
+def test_forest_does_not_depend_on_input_partitions(spark):
+    names = list(Q.S.PLANTED_FEATURES)
+    found = []
+    for parts in (2, 9):
+        data = M.persist_training(Q.planted_assembled(spark, SMALL).repartition(parts),
+                                  Q.TRAIN_PARTS, Q.TRAIN_KEY)
+        model = M.make_estimator("rf", numTrees=5, seed=1).fit(data)
+        found.append([r["importance"] for r in M.feature_importances(spark, model, names)
+                      .collect()])
+        data.unpersist()
+    assert found[0] == pytest.approx(found[1], abs=0.05)
+
+
+def test_string_index_of_many_values(spark):
+    df = spark.range(0, 30_000).select(F.concat(F.lit("v"), F.col("id") % 9000).alias("c"))
+    df = df.unionByName(spark.createDataFrame([(None,), ("v7",), ("v8",), ("v8",)], "c STRING"))
+    out = fe.string_index(df, ["c"], ["i"]).groupBy("c", "i").count().collect()
+    counts = {r["c"]: r["count"] for r in out}
+    order = sorted((v for v in counts if v is not None), key=lambda v: (-counts[v], v))
+    assert {r["c"]: r["i"] for r in out} == \
+        {**{v: float(i) for i, v in enumerate(order)}, None: float(len(order))}
+    assert fe.string_index(df, ["c"], ["i"], "skip").count() == 30_003
+    with pytest.raises(Exception, match="null in c"):
+        fe.string_index(df, ["c"], ["i"], "error").collect()

@@ -5,6 +5,7 @@ import math
 
 import pytest
 
+from riskframe.operators import metrics as met
 from riskframe.operators.joins import coefficient_table
 from riskframe.plans import reports as R
 
@@ -53,7 +54,7 @@ def test_linear_score_matches_formula(spark):
     import math
     coefs = coefficient_table(spark, ["x", "y"], [0.5, -1.0], 0.25, "m")
     df = spark.createDataFrame([(0, 1, 0), (1, 0, 1), (1, 2, 3)], "label INT, x INT, y INT")
-    got = R.linear_score(df, coefs, "m", keep=("x", "y")).collect()
+    got = R.linear_score(df, coefs, "m", ["x", "y"], keep=("x", "y")).collect()
     assert len(got) == 3
     for r in got:
         p = 1 / (1 + math.exp(-(0.25 + 0.5 * r["x"] - r["y"])))
@@ -67,26 +68,38 @@ def test_model_comparison_ranks_and_time_per_model(spark):
         "model STRING, label INT, prediction DOUBLE")
     times = spark.createDataFrame([("a", 1000, 3), ("b", 10, 4)],
                                   "model STRING, time BIGINT, numTrains BIGINT")
-    out = {r["model"]: r for r in R.model_comparison(scored_rows, times).collect()}
+    confusion = met.confusion_counts(scored_rows)
+    out = {r["model"]: r for r in R.model_comparison(confusion, times).collect()}
     assert out["a"]["rank"] == 1 and out["a"]["f1"] == 1.0
     assert out["a"]["time_per_model"] == 333 and out["b"]["time_per_model"] == 3
     assert out["b"]["f1"] is None and out["b"]["rank"] == 2
 
 
-def test_linear_score_wide_uses_array_dot_product(spark):
+def test_linear_score_of_many_features(spark):
     from pyspark.sql import functions as F
-    n = R.INLINE_TERMS + 5
+    n = 300
     names = [f"x{i}" for i in range(n)]
     coefs = coefficient_table(spark, names, [0.01 * (i % 7 - 3) for i in range(n)], -0.5, "w")
-    df = spark.range(0, 20).select(F.lit(1).alias("label"),
-                                   *[((F.col("id") + i) % 3).alias(c) for i, c in enumerate(names)])
-    got = {r["id"]: r["probability"] for r in
-           R.linear_score(df.withColumn("id", F.monotonically_increasing_id()), coefs, "w",
-                          keep=("id",)).collect()}
-    rows = {r["id"]: r for r in df.withColumn("id", F.monotonically_increasing_id()).collect()}
-    for i, p in got.items():
-        z = -0.5 + sum(0.01 * (j % 7 - 3) * rows[i][c] for j, c in enumerate(names))
-        assert p == pytest.approx(1 / (1 + math.exp(-z)))
+    df = spark.range(0, 20).select(
+        "id", *[((F.col("id") + i) % 3).alias(c) for i, c in enumerate(names)])
+    got = R.linear_score(df, coefs, "w", names, keep=("id",)).collect()
+    assert len(got) == 20
+    for r in got:
+        z = -0.5 + sum(0.01 * (j % 7 - 3) * ((r["id"] + j) % 3) for j in range(n))
+        assert r["probability"] == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_linear_score_null_features(spark):
+    coefs = coefficient_table(spark, ["x"], [2.0], 0.0, "m")
+    df = spark.createDataFrame([(1, 1.0), (2, None)], "id INT, x DOUBLE")
+    kept = R.linear_score(df, coefs, "m", ["x"], keep=("id",), handle_invalid="keep").collect()
+    assert {r["id"]: r["prediction"] for r in kept} == {1: 1.0, 2: None}
+    skipped = R.linear_score(df, coefs, "m", ["x"], keep=("id",), handle_invalid="skip")
+    assert [r["id"] for r in skipped.collect()] == [1]
+    with pytest.raises(Exception, match="null in a feature"):
+        R.linear_score(df, coefs, "m", ["x"], keep=("id",)).collect()
+    with pytest.raises(Exception, match="no coefficient of y"):
+        R.linear_score(df.withColumnRenamed("x", "y"), coefs, "m", ["y"], keep=("id",)).collect()
 
 
 def test_reference_profile_moves_baseline(spark):

@@ -51,27 +51,40 @@ def test_union_all_by_name(spark):
     assert sorted(tuple(r) for r in sampling.union_all(a, b).collect()) == [(1, "x"), (2, "y")]
 
 
-def test_smallest_by_hash_matches_full_sort(spark):
-    df = spark.range(0, 5000, numPartitions=4).select("id", (F.col("id") % 7).alias("g"))
-    h = F.xxhash64(F.col("id"), F.col("g"), F.lit(11))
-    expect = {r.id for r in df.orderBy(h).limit(1234).collect()}
-    got = {r.id for r in sampling.smallest_by_hash(df, 1234, seed=11).collect()}
-    assert got == expect
-    assert sampling.smallest_by_hash(df, 10_000, seed=11).count() == 5000
+def test_undersample_keeps_the_smallest_hashes(spark):
+    df = spark.range(0, 5000, numPartitions=4).select(
+        "id", (F.col("id") % 7 < 5).cast("int").alias("label"))
+    h = F.xxhash64(F.col("id"), F.col("label"), F.lit(11))
+    m = df.where("label = 0").count()
+    expect = {r.id for r in df.where("label = 1").orderBy(h).limit(m).collect()}
+    out = sampling.undersample(df, "label", seed=11)
+    assert {r.id for r in out.where("label = 1").collect()} == expect
+    assert out.where("label = 0").count() == m
+
+
+def test_undersample_null_class_and_no_rows(spark):
+    df = spark.createDataFrame([(None, i) for i in range(9)] + [(1, i) for i in range(4)],
+                               "label INT, x INT")
+    out = sampling.undersample(df, "label")
+    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == \
+        {None: 4, 1: 4}
+    assert sampling.undersample(df.where("false"), "label").count() == 0
+
+
+def test_undersample_a_million_identical_rows(spark):
+    df = spark.range(0, 1_000_000, numPartitions=8).select(
+        F.lit(0).alias("label"), F.lit("same").alias("s")).unionByName(
+        spark.range(0, 1500).select(F.lit(1).alias("label"), F.lit("x").alias("s")))
+    out = sampling.undersample(df, "label")
+    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == \
+        {0: 1500, 1: 1500}
 
 
-def test_split_for_training_balances_and_persists(spark):
+def test_split_for_training_deals_by_key_and_persists(spark):
     df = spark.range(0, 1000, numPartitions=1)
-    train, test = sampling.split_for_training(df, 0.8, seed=3)
-    assert train.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    train, test = sampling.split_for_training(df, 0.8, seed=3, partitions=6)
+    assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == 6
     assert train.storageLevel.useMemory and test.storageLevel.useDisk
     assert train.count() + test.count() == 1000
     train.unpersist()
     test.unpersist()
-
-
-def test_undersample_huge_identical_group_takes_distributed_path(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "EDGE_WINDOW_ROWS", 10)
-    df = spark.createDataFrame([(0, "same")] * 400 + [(1, "x")] * 150, "label INT, s STRING")
-    out = sampling.undersample(df, "label")
-    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {0: 150, 1: 150}
