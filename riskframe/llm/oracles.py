@@ -11,7 +11,7 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
   SELECT *, regexp_extract_all(t, '{WORD}') AS ws,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{WORD}')) AS ls FROM d),
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM d),
 g AS (
   SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
   FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
@@ -22,19 +22,19 @@ c AS (
   GROUP BY r),
 m AS (
   SELECT doc_id, len(ws) AS n_words,
-         coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(ls) - len(list_distinct(ls)) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words, len(ls) AS n_lines,
          length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
          length(regexp_replace(t, '[^!]', '', 'g')) AS n_bangs,
-         coalesce(list_max(list_transform(ws, x -> strlen(x))), 0) AS longest_word
+         coalesce(list_max(list_transform(ws, lambda x: strlen(x))), 0) AS longest_word
   FROM w LEFT JOIN c USING (r)),
 b AS (
   SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
     + 4 * (word_chars < 2 * n_words)::BIGINT + 8 * (word_chars > 15 * n_words)::BIGINT
-    + 16 * (10 * n_symbols > 3 * n_words)::BIGINT
-    + 32 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+    + 16 * (10 * n_symbols > n_words)::BIGINT
+    + 32 * (n_dup_lines > 1 AND 100 * n_dup_lines > 30 * n_lines)::BIGINT
     + 64 * (2 * n_upper > word_chars)::BIGINT + 128 * (2 * n_bangs > n_words)::BIGINT
     + 256 * (longest_word > 1000)::BIGINT) AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -96,8 +96,8 @@ def _rule_spans(number: int, rule: secrets.SecretRule) -> str:
     told = f"regexp_extract_all(t, '{regex}', {rule.group})"
     return f"""
   SELECT r, {number} AS kind, '{rule.kind}' AS name, i,
-         coalesce(list_sum(list_transform(gaps[1:i], x -> length(x))), 0)
-         + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS start,
+         coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+         + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start,
          length(hits[i]) AS size
   FROM (SELECT r, hits, gaps, told, unnest(range(1, len(hits) + 1)) AS i
         FROM (SELECT r, regexp_extract_all(t, '{regex}') AS hits, {told} AS told,
@@ -123,11 +123,11 @@ FROM d LEFT JOIN a USING (r)
 
 OP10 = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings),
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
 u AS (
   SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
-  AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-  AND len(list_filter(e, x -> x <> 0)) > 0),
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
 l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b
   ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)

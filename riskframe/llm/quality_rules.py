@@ -34,8 +34,9 @@ RULES = (
     Rule("repetitive", "100 * n_repeat_words > 50 * n_words"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 15 * n_words"),
-    Rule("symbols", "10 * n_symbols > 3 * n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("symbols", "10 * n_symbols > n_words"),
+    # One line said twice, as a header and a footer, is no sign of a bad text.
+    Rule("duplicate_lines", "n_dup_lines > 1 AND 100 * n_dup_lines > 30 * n_lines"),
     Rule("shouting", "2 * n_upper > word_chars"),
     Rule("exclamations", "2 * n_bangs > n_words"),
     Rule("endless_word", "longest_word > 1000"),
