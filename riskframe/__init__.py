@@ -9,7 +9,6 @@ sources    readers and writers (CSV / Parquet / JSON / catalog tables, models)
 functions  column-expression builders (code encoders, risk arithmetic)
 operators  DataFrame operators: cohort, features, sampling, metrics, joins, ordering
 plans      composed jobs: classifiers, cross-validation, reports, stand-in inputs
-streaming  (empty by design: the analysed workload has no streaming part)
 """
 
 from riskframe.session import build_session, scratch_path

@@ -1,24 +1 @@
-from riskframe.functions.codes import (
-    adjusted_probability,
-    code_equals,
-    code_in,
-    flag_binary,
-    label_from_code,
-    normalize_codes,
-    odds_ratio_percent,
-    ratio_rounded,
-    safe_div,
-    sigmoid_percent,
-    ternary,
-    text_not_equal,
-    to_int,
-    total_risk,
-    two_code,
-)
-
-__all__ = [
-    "adjusted_probability", "code_equals", "code_in", "flag_binary",
-    "label_from_code", "normalize_codes", "odds_ratio_percent", "ratio_rounded",
-    "safe_div", "sigmoid_percent", "ternary", "text_not_equal", "to_int",
-    "total_risk", "two_code",
-]
+"""Column-expression builders; see ``codes``."""

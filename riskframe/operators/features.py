@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.operators.ordering import global_rank
+from riskframe.session import stored
 
 
 def assembler(input_cols, output_col: str = "features",
@@ -66,8 +67,9 @@ def frequency_index(df: DataFrame, cols) -> DataFrame:
     ranked = global_rank(counts, [F.col("column"), F.col("n").desc(), F.col("value")], "place")
     spans = ranked.groupBy("column").agg(F.min("place").alias("first"),
                                          F.count(F.lit(1)).alias("n_values"))
-    return ranked.join(spans, "column").select(
-        "column", "value", (F.col("place") - F.col("first")).alias("idx"), "n_values")
+    return stored(ranked.join(spans, "column").select(
+        "column", "value", (F.col("place") - F.col("first")).alias("idx"), "n_values"),
+        "vocabulary")
 
 
 def string_index(df: DataFrame, input_cols, output_cols=None,

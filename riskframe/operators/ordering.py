@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.session import scratch_path
+from riskframe.session import stored
 
 
 def _as_order(c, ascending: bool) -> Column:
@@ -33,13 +33,11 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank") -> DataFrame:
     place in its partition; counts per partition give the offsets.
     """
     keys = [_as_order(c, True) for c in order]
-    path = scratch_path(df.sparkSession, "ranked")
-    (df.withColumn("_uid", F.monotonically_increasing_id())
-       .orderBy(*keys, F.col("_uid"))
-       .withColumn("_pid", F.spark_partition_id())
-       .withColumn("_mid", F.monotonically_increasing_id())
-       .drop("_uid").write.parquet(path))
-    tagged = df.sparkSession.read.parquet(path)
+    tagged = stored(df.withColumn("_uid", F.monotonically_increasing_id())
+                    .orderBy(*keys, F.col("_uid"))
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id())
+                    .drop("_uid"), "ranked")
     per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                           F.min("_mid").alias("_first"))
     # One row per partition: the window below never sees more rows than that.

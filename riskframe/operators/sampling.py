@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.ordering import global_rank
+from riskframe.session import stored
 
 
 def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 4711) -> list[DataFrame]:
@@ -104,7 +105,7 @@ def undersample(df: DataFrame, label_col: str = "label", seed: int = 7,
     label = F.col(label_col)
     histogram = tagged.groupBy(label.alias("_label"), "_b").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("_label").orderBy("_b")
-    sums = histogram.withColumn("_upto", F.sum("_n").over(upto))
+    sums = stored(histogram, "hash-histogram").withColumn("_upto", F.sum("_n").over(upto))
     least = sums.groupBy("_label").agg(F.max("_upto").alias("_size")).agg(
         F.min("_size").alias("_m"))
     # One row per class: the first bucket at which its running count reaches m.
@@ -112,8 +113,8 @@ def undersample(df: DataFrame, label_col: str = "label", seed: int = 7,
             .groupBy("_label").agg(F.min("_b").alias("_cut"),
                                    F.min("_upto").alias("_reached"),
                                    F.min_by("_n", "_b").alias("_in_cut")))
-    cuts = cuts.select("_label", "_cut",
-                       (least.scalar() - F.col("_reached") + F.col("_in_cut")).alias("_need"))
+    cuts = stored(cuts.select("_label", "_cut", (least.scalar() - F.col("_reached")
+                                                 + F.col("_in_cut")).alias("_need")), "cuts")
     placed = tagged.join(cuts, label.eqNullSafe(F.col("_label")))
     below = placed.where("_b < _cut").select(*columns)
     edge = placed.where("_b = _cut").select(*columns, "_h", "_label", "_need")

@@ -12,7 +12,10 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Scratch paths this process has handed out, for ``clear_scratch``.
+_handed_out: list[str] = []
 
 
 def build_session(
@@ -81,4 +84,27 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _handed_out.append(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared scratch root and read back, so that several
+    consumers share one computation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete everything this process wrote through ``scratch_path``; returns how many
+    places went.  Frames and external tables that still read them are lost with them,
+    so call it when a job's results have been used or stored elsewhere."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _handed_out:
+        path = files.Path(_handed_out.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone

@@ -39,3 +39,13 @@ def test_vector_metadata_names(spark):
     df = spark.createDataFrame([(1, 2.0)], "a INT, b DOUBLE")
     out = fe.assemble(df, ["a", "b"])
     assert files.vector_attribute_names(out, "features") == ["a", "b"]
+
+
+def test_clear_scratch_deletes_what_was_written(spark, monkeypatch):
+    from riskframe import session
+    monkeypatch.setattr(session, "_handed_out", [])
+    path = sinks.write_parquet(spark.range(3), scratch_path(spark, "gone"))
+    assert files.scan_parquet(spark, path).count() == 3
+    assert session.clear_scratch(spark) == 1
+    with pytest.raises(AnalysisException):
+        files.scan_parquet(spark, path).count()
