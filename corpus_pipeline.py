@@ -5,6 +5,10 @@ best-fit packing.  Each stage takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and reread as the next stage's ``docs``;
 all but the last return the columns of ``documents``.
 
+Every stage takes null, empty and very long texts, null or repeated ids, repeated
+rows, an empty table and extra columns of any name (which it leaves behind);
+what becomes of such rows is what its operator's module says.
+
 Part of the corpus operators (``riskframe.llm``): it goes when they go.
 """
 

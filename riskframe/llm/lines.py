@@ -10,7 +10,9 @@ are taken on the input, not on what is left.
 Defined results: documents with fewer than three lines have no window and stay
 as they are; null text stays null; null ids come after all others in the
 order; a repeated row (same id and text) is its own first occurrence, so equal
-rows stay equal; extra columns pass through.
+rows stay equal; an empty table gives no rows; extra columns pass through, but
+one named like a column added here (key_id, key_hash, starts, n_lines,
+n_removed) goes.
 """
 
 from __future__ import annotations
@@ -76,6 +78,7 @@ def later_occurrences(windows: DataFrame) -> DataFrame:
 def remove_repeated_lines(docs: DataFrame, width: int = WINDOW_LINES,
                           text_column: str = "text") -> DataFrame:
     """``docs`` with later repeats cut from ``text``, plus n_lines and n_removed (long)."""
+    docs = docs.drop(*ROW_KEY, "starts", "n_lines", "n_removed")
     starts = later_occurrences(materialize(line_windows(docs, width), "line-windows"))
     joined = (docs.select("*", *row_key(docs)).join(starts, ROW_KEY, "left")
               .drop(*ROW_KEY))

@@ -164,8 +164,9 @@ def keep_one_per_component(docs: DataFrame, shingle: int = SHINGLE,
 
     The kept row has the component's smallest doc_id (any id before null); of
     rows with that id, the one with the smallest text hash; of equal rows, one.
-    ``docs`` may not have columns named key_id, key_hash or copy_number.
+    Extra columns pass through, but one named key_id, key_hash or copy_number goes.
     """
+    docs = docs.drop(*ROW_KEY, "copy_number")
     found = near_duplicate_components(docs, shingle, max_bits, blocks)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "key_id", "key_hash")
     keepers = (found.groupBy("root").agg(F.min(order).alias("k"))

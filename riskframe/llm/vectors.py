@@ -6,16 +6,16 @@ into a window centred on the other with known probability.  A pair is verified
 when its windows collide on at least ``needed`` lines, the largest count that
 keeps the wanted recall for a pair exactly at the threshold (a binomial tail).
 
-The first line is the sorted one: rows are dealt to stripes of one window's
-width, so a row's window reaches its own stripe and its neighbours.  Stripes
+One more line, with a wider window that hardly any such pair misses, is the
+sorted one: rows are dealt to stripes of one window's width, so a row's window reaches its own stripe and its neighbours.  Stripes
 are cut into blocks of at most ``BLOCK_ROWS`` rows and compared block against
 block, so a label or stripe that holds most rows is spread over many tasks and
-no task holds more than two blocks.  Inside a task the sorted first line gives
+no task holds more than two blocks.  Inside a task the sorted line gives
 the window of each query, and pairs drop out as soon as the lines left cannot
 bring them to ``needed``.  A task returns link counts per row and a spanning
 set of links, never its pairs.
 
-Work grows with the pairs whose first windows collide; a line tells vectors
+Work grows with the pairs whose sorted windows collide; a line tells vectors
 apart only by a constant factor, so that is still the square of a label's
 distinct vectors (see README).
 
@@ -41,9 +41,11 @@ from riskframe.llm.components import connected_components
 
 THRESHOLD = 0.98
 LINES = 24
-RECALL = 0.9999
+RECALL = 0.999999
 #: Half-width of a window in standard deviations of a threshold pair's difference.
 REACH = 3.0
+#: The same for the sorted line.
+SORTED_REACH = 4.5
 BLOCK_ROWS = 2048
 SEED = 20240611
 PAIRS_AT_ONCE = 1 << 21
@@ -66,7 +68,8 @@ def needed_collisions(lines: int = LINES, reach: float = REACH, recall: float =
 
 
 def random_lines(dim: int, lines: int = LINES, seed: int = SEED) -> np.ndarray:
-    return np.random.default_rng([seed, dim]).standard_normal((dim, lines))
+    """The sorted line and ``lines`` counted ones, as columns."""
+    return np.random.default_rng([seed, dim]).standard_normal((dim, 1 + lines))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -82,13 +85,14 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
-def colliding_pairs(a: np.ndarray, b: np.ndarray, half: float, needed: int):
-    """Row pairs (of ``a``, of ``b``) whose windows collide on ``needed`` lines or more."""
-    lines = a.shape[1]
+def colliding_pairs(a: np.ndarray, b: np.ndarray, sorted_half: float, half: float, needed: int):
+    """Row pairs (of ``a``, of ``b``) that share a window on the sorted line and on
+    ``needed`` or more of the counted ones."""
+    lines = a.shape[1] - 1
     order = np.argsort(b[:, 0], kind="stable")
     along = b[order, 0]
-    low = np.searchsorted(along, a[:, 0] - half, "left")
-    sizes = np.searchsorted(along, a[:, 0] + half, "right") - low
+    low = np.searchsorted(along, a[:, 0] - sorted_half, "left")
+    sizes = np.searchsorted(along, a[:, 0] + sorted_half, "right") - low
     cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), PAIRS_AT_ONCE), "left")
     edges = [0, *sorted(set(cuts[1:].tolist())), len(a)]
     for first, last in zip(edges, edges[1:]):
@@ -96,10 +100,10 @@ def colliding_pairs(a: np.ndarray, b: np.ndarray, half: float, needed: int):
         left = np.repeat(np.arange(first, last), n)
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         right = order[np.repeat(low[first:last], n) + step]
-        counts = np.ones(len(left), np.int16)  # the first line's window holds the pair
-        for line in range(1, lines):
+        counts = np.zeros(len(left), np.int16)
+        for line in range(1, 1 + lines):
             counts += np.abs(a[left, line] - b[right, line]) <= half
-            alive = counts + (lines - 1 - line) >= needed
+            alive = counts + (lines - line) >= needed
             if not alive.all():
                 left, right, counts = left[alive], right[alive], counts[alive]
         yield left, right
@@ -120,7 +124,7 @@ def spanning_links(nodes: np.ndarray, left: np.ndarray, right: np.ndarray):
     return nodes[moved], nodes[labels[moved]]
 
 
-def compare_blocks(threshold: float, half: float, needed: int, lines: int):
+def compare_blocks(threshold: float, sorted_half: float, half: float, needed: int, lines: int):
     """The task: two blocks (or one with itself) to link counts and spanning links."""
 
     def kernel(table: pa.Table) -> pa.Table:
@@ -135,7 +139,7 @@ def compare_blocks(threshold: float, half: float, needed: int, lines: int):
         b = a if same else np.flatnonzero(side == 1)
         links = np.zeros(len(node), np.int64)
         lefts, rights = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i, j in colliding_pairs(projected[a], projected[b], half, needed):
+        for i, j in colliding_pairs(projected[a], projected[b], sorted_half, half, needed):
             i, j = a[i], b[j]
             if same:
                 i, j = i[i < j], j[i < j]
@@ -171,26 +175,27 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = THRESHOLD,
                            recall: float = RECALL, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row."""
     half, needed = window(threshold, reach), needed_collisions(lines, reach, recall)
+    sorted_half = window(threshold, SORTED_REACH)
     rows = embeddings.select("vec_id", "embedding", "label")
     distinct = (usable(rows).groupBy("label", "embedding")
                 .agg(F.min("vec_id").alias("first_vec"), F.count(F.lit(1)).alias("copies"))
                 .withColumn("node", F.monotonically_increasing_id()))
     dim_of = F.size("embedding")
 
-    def first_line(batches):
+    def sorted_line(batches):
         for batch in batches:
             sizes = batch.column("dim").to_numpy()
             stripe = np.zeros(len(sizes), np.int64)
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
                 rows = unit(matrix(batch.column("embedding").take(pa.array(at))))
-                stripe[at] = np.floor(rows @ random_lines(int(dim), lines)[:, 0] / half)
+                stripe[at] = np.floor(rows @ random_lines(int(dim), lines)[:, 0] / sorted_half)
             yield pa.RecordBatch.from_arrays(
                 batch.columns + [pa.array(stripe)], names=batch.schema.names + ["stripe"])
 
     placed = distinct.withColumn("dim", dim_of)
     striped = StructType([*placed.schema.fields, StructField("stripe", LongType())])
-    placed = materialize(placed.mapInArrow(first_line, striped), "placed-vectors")
+    placed = materialize(placed.mapInArrow(sorted_line, striped), "placed-vectors")
 
     group = ["label", "dim", "stripe"]
     blocks = (placed.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
@@ -225,7 +230,7 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = THRESHOLD,
         "label", "dim", "node", "copies", "embedding", "p.*")
     found = materialize(
         tasks.groupBy("label", "dim", "at", "i", "j", "next")
-        .applyInArrow(compare_blocks(threshold, half, needed, lines), "a long, b long, n long"),
+        .applyInArrow(compare_blocks(threshold, sorted_half, half, needed, lines), "a long, b long, n long"),
         "vector-links")
 
     counts = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))

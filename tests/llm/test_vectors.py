@@ -84,11 +84,26 @@ def test_recall_at_the_threshold():
     at = vectors.THRESHOLD
     y = at * x + math.sqrt(1 - at * at) * away
     lines = vectors.random_lines(64)
-    collide = lambda a, b: (np.abs(a @ lines - b @ lines)
-                            <= vectors.window(at)).sum(axis=1)
-    needed = vectors.needed_collisions()
-    assert (collide(x, y) >= needed).mean() >= 0.998
-    assert (collide(x, away) >= needed).mean() < 0.001
+
+    def found(a, b):
+        apart = np.abs(a @ lines - b @ lines)
+        counted = (apart[:, 1:] <= vectors.window(at)).sum(axis=1)
+        return (apart[:, 0] <= vectors.window(at, vectors.SORTED_REACH)) \
+            & (counted >= vectors.needed_collisions())
+
+    assert found(x, y).mean() >= 0.9995
+    assert found(x, away).mean() < 0.001
+
+
+def test_pairs_are_those_that_collide():
+    """The windowed sweep with its early drops equals counting every pair."""
+    rng = np.random.default_rng(8)
+    a, b = rng.standard_normal((300, 25)), rng.standard_normal((200, 25)) * 0.6
+    apart = np.abs(a[:, None, :] - b[None, :, :])
+    want = (apart[..., 0] <= 0.9) & ((apart[..., 1:] <= 0.6).sum(axis=2) >= 9)
+    got = {(int(i), int(j)) for left, right in vectors.colliding_pairs(a, b, 0.9, 0.6, 9)
+           for i, j in zip(left, right)}
+    assert got == set(map(tuple, np.argwhere(want).tolist())) and len(got) > 50
 
 
 def test_no_vectors(spark):
