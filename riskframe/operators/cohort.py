@@ -48,6 +48,7 @@ class CohortSpec:
     sex_zero: str = STUDY_SEX[2]
     label_col: str = "label"
     label_offset: int = 1
+    clean_codes: bool = False
     extra_cols: tuple[str, ...] = field(default_factory=tuple)
 
     @property
@@ -95,12 +96,16 @@ def rename_all(df: DataFrame, names) -> DataFrame:
 
 # ---------------------------------------------------------------- filters
 
-def filter_code_eq(df: DataFrame, col: str, code: int) -> DataFrame:
+def filter_code_eq(df: DataFrame, col: str, code: int, clean: bool = False) -> DataFrame:
     """Rows whose text code parses to ``code``.
 
     ``isNotNull`` is redundant for the result but is pushed to the scan,
-    which the cast comparison itself is not.
+    which the cast comparison itself is not.  Where codes are known to be
+    ``clean`` (no padding, signs or leading zeros) they are compared as text,
+    and the equality itself is pushed.
     """
+    if clean:
+        return df.where(F.col(col) == F.lit(str(code)))
     return df.where(F.col(col).isNotNull() & C.code_equals(col, code))
 
 
@@ -132,12 +137,12 @@ def cohort_filter(df: DataFrame, spec: CohortSpec = CohortSpec()) -> DataFrame:
     """Chained cohort filters, then the study's column projection."""
     out = df
     if spec.diagnosis_col:
-        out = filter_code_eq(out, spec.diagnosis_col, spec.diagnosis_code)
+        out = filter_code_eq(out, spec.diagnosis_col, spec.diagnosis_code, spec.clean_codes)
     if spec.date_col:
         out = filter_text_ne(out, spec.date_col, spec.date_sentinel)
     out = filter_code_in(out, spec.outcome_col, spec.outcome_codes)
     if spec.age_unit_col:
-        out = filter_code_eq(out, spec.age_unit_col, spec.age_unit_code)
+        out = filter_code_eq(out, spec.age_unit_col, spec.age_unit_code, spec.clean_codes)
     return project_columns(out, spec.selected_cols)
 
 

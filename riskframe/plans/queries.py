@@ -1104,14 +1104,16 @@ def nb_cohort_rows(spark, sf_dir) -> DataFrame:
     return M.with_class_count(data, "label", len(S.CASE_SPEC.outcome_codes))
 
 
-def nb_cohort_model(spark, sf_dir):
+def nb_cohort_model(spark, sf_dir, smoothing: float = 1.0):
     from riskframe.plans import models as M
-    return M.fit("nb", nb_cohort_rows(spark, sf_dir), smoothing=1.0, modelType="multinomial")
+    return M.fit("nb", nb_cohort_rows(spark, sf_dir), smoothing=smoothing,
+                 modelType="multinomial")
 
 
-def nb_linear(spark, sf_dir) -> DataFrame:
+def nb_linear(spark, sf_dir, smoothing: float = 1.0, name: str = "nb") -> DataFrame:
     from riskframe.plans import models as M
-    return M.nb_linear_coefficients(spark, nb_cohort_model(spark, sf_dir), list(NB_FEATURES), "nb")
+    return M.nb_linear_coefficients(spark, nb_cohort_model(spark, sf_dir, smoothing),
+                                    list(NB_FEATURES), name)
 
 
 def _nb_sql() -> str:
@@ -1199,12 +1201,23 @@ risk AS (
 """
 
 
-@register("risk_report", sql=O.with_cohort(RISK_SQL + """
-SELECT feature, ROUND(nb, 9) AS nb, ROUND(baseline_pct, 9) AS baseline_pct, odds_ratio_pct,
-       total_risk_pct, ROUND(adjusted_pct, 9) AS adjusted_pct, rank FROM risk"""))
+@register("risk_report", sql=O.with_cohort(RISK_SQL + f"""
+, smooth AS (
+  SELECT l1.feature, (ln(l1.s + 2.0) - ln(d1.total + {2.0 * len(NB_FEATURES)}))
+                     - (ln(l0.s + 2.0) - ln(d0.total + {2.0 * len(NB_FEATURES)})) AS nb_smooth
+  FROM longs l1 JOIN longs l0 ON l1.feature = l0.feature AND l1.label = 1 AND l0.label = 0
+  JOIN den d1 ON d1.label = 1 JOIN den d0 ON d0.label = 0)
+SELECT feature, ROUND(nb, 9) AS nb, ROUND(nb_smooth, 9) AS nb_smooth,
+       ROUND(baseline_pct, 9) AS baseline_pct, odds_ratio_pct,
+       total_risk_pct, ROUND(adjusted_pct, 9) AS adjusted_pct, rank
+FROM risk JOIN smooth USING (feature)"""))
 def q_risk_report(spark, sf_dir):
+    """Two models side by side, the first one's risk."""
+    from riskframe.operators import sampling
     from riskframe.plans import reports as R
-    return round_doubles(R.risk_report(nb_linear(spark, sf_dir), "nb", ["nb"]))
+    coefs = sampling.union_all(nb_linear(spark, sf_dir),
+                               nb_linear(spark, sf_dir, 2.0, "nb_smooth"))
+    return round_doubles(R.risk_report(coefs, "nb", ["nb", "nb_smooth"]))
 
 
 @register("sigmoid_percent", sql=O.with_cohort(RISK_SQL + """

@@ -31,6 +31,15 @@ def test_cohort_filters_pushed_to_parquet_scan(spark):
     assert "case_order" not in read_schema and "FATOR_RISC" not in read_schema
 
 
+def test_clean_codes_are_pushed_as_text(spark):
+    path = sinks.write_parquet(Q.cases(spark, SMALL), scratch_path(spark, "raw-cases"))
+    raw = files.scan_parquet(spark, path)
+    out = coh.select_cohort(raw, S.CASE_SPEC.with_(clean_codes=True))
+    text = plan_text(out)
+    assert "EqualTo(CLASSI_FIN,5)" in text and "EqualTo(TP_IDADE,3)" in text
+    assert out.count() == coh.select_cohort(raw, S.CASE_SPEC).count()
+
+
 def test_confusion_metrics_single_scan_partial_aggregate(spark):
     text = plan_text(Q.QUERIES["class_metrics"](spark, SMALL))
     scans = [ln for ln in text.splitlines() if ln.startswith("(") and "Scan parquet" in ln]
