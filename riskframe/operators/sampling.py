@@ -117,7 +117,8 @@ def undersample(df: DataFrame, label_col: str = "label", seed: int = 7,
                                                  + F.col("_in_cut")).alias("_need")), "cuts")
     placed = tagged.join(cuts, label.eqNullSafe(F.col("_label")))
     below = placed.where("_b < _cut").select(*columns)
-    edge = placed.where("_b = _cut").select(*columns, "_h", "_label", "_need")
+    edge = stored(placed.where("_b = _cut").select(*columns, "_h", "_label", "_need"),
+                  "cut-buckets")
     ranked = global_rank(edge, ["_label", "_h", *columns], "_rank")
     first = ranked.groupBy(F.col("_label").alias("_of")).agg(F.min("_rank").alias("_first"))
     chosen = (ranked.join(first, F.col("_label").eqNullSafe(F.col("_of")))
