@@ -172,12 +172,15 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
     """Key columns and ``cuts``: word stretches (start, stop) whose spans also start
     under a smaller doc_id, unmerged."""
     pieces = materialize(piece_table(docs, span, minimizer), "path-pieces")
-    shared = (pieces.groupBy("minimizer")
-              .agg(F.min("key_id").alias("low"), F.max("key_id").alias("high"),
-                   F.min("piece").alias("piece_low"), F.max("piece").alias("piece_high"))
-              .where("low < high")
-              .select("minimizer", "low", (F.col("piece_low") != F.col("piece_high"))
-                      .alias("branches")))
+    # The tables joined to occurrences are written first: a join whose sides both come
+    # straight from a shuffle lets Spark split a key that holds many rows.
+    shared = materialize(
+        pieces.groupBy("minimizer")
+        .agg(F.min("key_id").alias("low"), F.max("key_id").alias("high"),
+             F.min("piece").alias("piece_low"), F.max("piece").alias("piece_high"))
+        .where("low < high")
+        .select("minimizer", "low", (F.col("piece_low") != F.col("piece_high"))
+                .alias("branches")), "shared-minimizers")
     occurrences = materialize(pieces.join(shared, "minimizer"), "shared-pieces")
 
     # Nonbranching paths: the whole piece is repeated.
@@ -199,11 +202,14 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
         .join(distinct.select("minimizer", "piece", F.col("key_id").alias("low")),
               ["minimizer", "piece"]), "edges")
     edge = ["minimizer", "edge_a", "edge_b"]
-    lowest = (edges.groupBy(*edge).agg(F.min("low").alias("low"), F.max("low").alias("high"))
-              .select(*edge, "low"))
-    verdicts = (edges.drop("low").join(lowest, edge)
-                .groupBy("minimizer", "piece")
-                .agg(F.sort_array(F.collect_list(F.struct("number", "low"))).alias("lows")))
+    lowest = materialize(
+        edges.groupBy(*edge).agg(F.min("low").alias("lowest"), F.max("low").alias("high"))
+        .where("lowest < high").select(*edge, "lowest"), "shared-edges")
+    told = (edges.join(lowest, edge, "left")
+            .select("minimizer", "piece", "number", F.coalesce("lowest", "low").alias("low")))
+    verdicts = materialize(
+        told.groupBy("minimizer", "piece")
+        .agg(F.sort_array(F.collect_list(F.struct("number", "low"))).alias("lows")), "verdicts")
     first = F.col("first")
     branched = (branching.select("minimizer", "piece", *ROW_KEY, "first")
                 .join(verdicts, ["minimizer", "piece"])
