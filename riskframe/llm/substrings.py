@@ -10,13 +10,17 @@ inside one minimizer.  Then, by Spark joins:
 
 1. Path pieces are aggregated per minimizer.  A minimizer seen under one doc_id
    only has no repeated edge and is dropped.
-2. A minimizer whose occurrences all carry the same piece is a nonbranching
-   path: the piece stays whole, with the smallest doc_id that holds it.
+2. A minimizer whose occurrences all carry the same piece is a node of the
+   compacted graph.  Nodes that always follow each other are joined into paths by
+   pointer doubling; a path keeps the smallest doc_id that holds it, and the
+   documents that hold it are found through its first node alone.
 3. Where pieces differ (the path branches, or a repeated passage ends there),
    one occurrence of each distinct piece is opened at its source coordinates,
    its edges are hashed from the text and matched across the pieces, and every
    edge gets the smallest doc_id over all pieces that hold it.
-4. Each occurrence turns into the stretches of words whose edges also start
+4. A path's occurrence is verified by its words' digest against the digest read at
+   the path's source coordinates.
+5. Each occurrence turns into the stretches of words whose edges also start
    under a smaller doc_id; stretches of a document merge when they are cut.
 
 Pieces and edges are compared by two independent 64-bit hashes of their words.
@@ -29,13 +33,14 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import ROW_KEY, keyed, materialize
@@ -139,11 +144,64 @@ def piece_table(docs: DataFrame, span: int = SPAN, minimizer: int = MINIMIZER) -
     return keyed(docs).where(F.col("doc_id").isNotNull()).mapInArrow(kernel, schema)
 
 
+def digest(words: list[bytes], start: int, stop: int) -> tuple[int, int]:
+    """128-bit digest of a stretch of words, as two signed longs."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(b" ".join(words[start:stop])))
+
+
+def path_occurrences(nodes: DataFrame) -> DataFrame:
+    """Occurrences of whole nonbranching paths: key columns, first, edges, low.
+
+    ``nodes`` has the occurrences of unbranched pieces, named by their minimizer.
+    Node t continues node s when every occurrence of s is followed at once by t and
+    every occurrence of t preceded by s.  Such links form chains (a cycle would need a
+    text without end); pointer doubling gives each node its chain's first node and the
+    edges before it, in as many joins as the longest chain's length has binary digits.
+    """
+    in_text = Window.partitionBy(*ROW_KEY).orderBy("first")
+    upcoming = F.lead("minimizer").over(in_text)
+    adjacent = F.lead("first").over(in_text) == F.col("first") + F.col("edges")
+    steps = materialize(
+        nodes.withColumn("next", F.when(adjacent, upcoming))
+        .groupBy("minimizer", "next").agg(F.count(F.lit(1)).alias("n"),
+                                          F.first("edges").alias("edges")), "node-steps")
+    # A node with one kind of step, none of them into the open, and that step's target.
+    out = (steps.groupBy("minimizer")
+           .agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"),
+                F.max("next").alias("next"), F.first("edges").alias("edges")))
+    sizes = out.select(F.col("minimizer").alias("next"), F.col("n").alias("n_next"))
+    into = (out.where("kinds = 1 and next is not null").join(sizes, "next").where("n = n_next")
+            .select(F.col("next").alias("minimizer"), F.col("minimizer").alias("prev"),
+                    F.col("edges").alias("before")))
+    # Equal counts leave no room for a second predecessor.
+    chain = materialize(
+        out.select("minimizer", "edges").join(into, "minimizer", "left")
+        .select("minimizer", "edges", F.coalesce("prev", "minimizer").alias("head"),
+                F.coalesce("before", F.lit(0)).cast("long").alias("before")), "chains")
+    while True:
+        back = chain.select(F.col("minimizer").alias("head"), F.col("head").alias("head2"),
+                            F.col("before").alias("before2"))
+        moved = materialize(
+            chain.join(back, "head")
+            .select("minimizer", "edges", F.col("head2").alias("head"),
+                    (F.col("before") + F.col("before2")).alias("before"),
+                    (F.col("head") != F.col("head2")).alias("changed")), "chains")
+        chain = moved.drop("changed")
+        if moved.where("changed").isEmpty():
+            break
+    paths = materialize(
+        chain.groupBy("head").agg(F.sum("edges").alias("path_edges"))
+        .withColumnRenamed("head", "minimizer"), "paths")
+    return (nodes.drop("edges").join(paths, "minimizer")
+            .withColumnRenamed("path_edges", "edges"))
+
+
 def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFrame:
-    """Edges of pieces read at their source coordinates.
+    """What stands at source coordinates: the edges of branching pieces, digests of paths.
 
     ``sources``: key columns and ``spots``, an array of (minimizer, piece, first,
-    edges).  Returns (minimizer, piece, number, edge_a, edge_b), number from 0.
+    edges), with a null piece for a whole path.  Returns (minimizer, piece, number,
+    edge_a, edge_b): a piece's edges by number from 0, a path's one digest.
     """
     schema = "minimizer long, piece long, number int, edge_a long, edge_b long"
 
@@ -151,7 +209,19 @@ def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFra
         hasher = SpanHasher()
         for batch in batches:
             for raw, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                hasher.load(raw.split())
+                words = raw.split()
+                paths = [s for s in spots if s["piece"] is None]
+                found = [digest(words, s["first"], s["first"] + s["edges"] + span - 1)
+                         for s in paths]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s["minimizer"] for s in paths], pa.int64()),
+                     pa.nulls(len(paths), pa.int64()), pa.nulls(len(paths), pa.int32()),
+                     *(pa.array([d[i] for d in found], pa.int64()) for i in (0, 1))],
+                    names=["minimizer", "piece", "number", "edge_a", "edge_b"])
+                spots = [s for s in spots if s["piece"] is not None]
+                if not spots:
+                    continue
+                hasher.load(words)
                 counts = np.array([s["edges"] for s in spots])
                 number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 starts = np.repeat([s["first"] for s in spots], counts) + number
@@ -170,7 +240,7 @@ def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFra
 def repeated_stretches(docs: DataFrame, span: int = SPAN,
                        minimizer: int = MINIMIZER) -> DataFrame:
     """Key columns and ``cuts``: word stretches (start, stop) whose spans also start
-    under a smaller doc_id, unmerged."""
+    under a smaller doc_id, unmerged; those of paths with their source's digest."""
     pieces = materialize(piece_table(docs, span, minimizer), "path-pieces")
     # The tables joined to occurrences are written first: a join whose sides both come
     # straight from a shuffle lets Spark split a key that holds many rows.
@@ -183,24 +253,32 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
                 .alias("branches")), "shared-minimizers")
     occurrences = materialize(pieces.join(shared, "minimizer"), "shared-pieces")
 
-    # Nonbranching paths: the whole piece is repeated.
-    straight = (occurrences.where(~F.col("branches") & (F.col("key_id") > F.col("low")))
-                .select(*ROW_KEY, F.array(F.struct(
-                    F.col("first").alias("start"),
-                    (F.col("first") + F.col("edges") + (span - 1)).alias("stop"))).alias("cuts")))
+    # Nonbranching paths: every piece of them is repeated as a whole.
+    whole = path_occurrences(occurrences.where("not branches").drop("branches", "piece"))
+    path_sources = whole.groupBy("minimizer").agg(
+        F.min(F.struct("key_id", "key_hash", "first", "edges")).alias("at"))
 
-    # Branching ones: edges of each distinct piece, read where it occurs first.
+    # Branching pieces: edges of each distinct one, read where it occurs first.
     branching = occurrences.where("branches")
     place = F.struct("key_id", "key_hash", "first", "edges")
     distinct = materialize(
         branching.groupBy("minimizer", "piece").agg(F.min(place).alias("at"))
         .select("minimizer", "piece", "at.*"), "distinct-pieces")
-    sources = distinct.groupBy(*ROW_KEY).agg(
-        F.collect_list(F.struct("minimizer", "piece", "first", "edges")).alias("spots"))
-    edges = materialize(
-        open_edges(docs, sources, span).dropDuplicates(["minimizer", "piece", "number"])
-        .join(distinct.select("minimizer", "piece", F.col("key_id").alias("low")),
-              ["minimizer", "piece"]), "edges")
+    spots = distinct.unionByName(path_sources.select(
+        "minimizer", F.lit(None).cast("long").alias("piece"), "at.*"))
+    sources = spots.groupBy(*ROW_KEY).agg(F.collect_list(F.struct(
+        "minimizer", "piece", "first", F.col("edges").cast("int").alias("edges"))).alias("spots"))
+    read = materialize(open_edges(docs, sources, span)
+                       .dropDuplicates(["minimizer", "piece", "number"]), "source-reads")
+    straight = (whole.where("key_id > low")
+                .join(read.where("piece is null"), "minimizer")
+                .select(*ROW_KEY, F.array(F.struct(
+                    F.col("first").alias("start"),
+                    (F.col("first") + F.col("edges") + (span - 1)).cast("int").alias("stop"),
+                    "edge_a", "edge_b")).alias("cuts")))
+    edges = read.where("piece is not null").join(
+        distinct.select("minimizer", "piece", F.col("key_id").alias("low")),
+        ["minimizer", "piece"])
     edge = ["minimizer", "edge_a", "edge_b"]
     lowest = materialize(
         edges.groupBy(*edge).agg(F.min("low").alias("lowest"), F.max("low").alias("high"))
@@ -210,20 +288,24 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
     verdicts = materialize(
         told.groupBy("minimizer", "piece")
         .agg(F.sort_array(F.collect_list(F.struct("number", "low"))).alias("lows")), "verdicts")
-    first = F.col("first")
+    first, no_digest = F.col("first"), F.lit(None).cast("long")
     branched = (branching.select("minimizer", "piece", *ROW_KEY, "first")
                 .join(verdicts, ["minimizer", "piece"])
                 .select(*ROW_KEY, F.transform(
                     F.filter("lows", lambda e: e["low"] < F.col("key_id")),
                     lambda e: F.struct((first + e["number"]).alias("start"),
-                                       (first + e["number"] + span).alias("stop"))).alias("cuts"))
+                                       (first + e["number"] + span).alias("stop"),
+                                       no_digest.alias("edge_a"), no_digest.alias("edge_b")))
+                    .alias("cuts"))
                 .where(F.size("cuts") > 0))
     return (straight.unionByName(branched).groupBy(*ROW_KEY)
             .agg(F.flatten(F.collect_list("cuts")).alias("cuts")))
 
 
 def cut_words(words: list[bytes], cuts) -> list[bytes]:
-    """The words outside all stretches."""
+    """The words outside all stretches; one that differs from its source does not count."""
+    cuts = [c for c in cuts or () if c["edge_a"] is None
+            or digest(words, c["start"], c["stop"]) == (c["edge_a"], c["edge_b"])]
     if not cuts:
         return words
     depth = np.zeros(len(words) + 1, np.int64)
