@@ -7,8 +7,8 @@ input is read once and reduced by a partial + final hash aggregate to at most
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,32 +59,59 @@ def correlation_long(df: DataFrame, cols) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(col_a, col_b, corr)``.
 
     Pairwise-complete like a pandas ``corr()``: a pair ignores rows where
-    either side is null; the diagonal is 1.0 when the column has any variance,
-    and a pair with a constant side has no correlation (null).
-
-    One pass and one result row: every pair contributes its covariance and the
-    two deviations over the pair's complete rows (each side nulled where the
-    other is null), and the long form is made from that single row.
+    either side is null or NaN; the diagonal is 1.0 when the column has any
+    variance, and a pair with a constant side has no correlation (null).
+
+    Columns are shifted by their means (a first aggregate, so that sums of
+    squares do not cancel) and travel as one array per row; each task adds up
+    the pair sums of its rows as matrix products, masks standing in for
+    missing sides, and returns one row per pair.  One JVM aggregate with three
+    functions per pair, or one row per pair and input row, took ten times as
+    long at 15 columns.
     """
     cols = list(cols)
-    pairs = list(combinations(cols, 2))
-    value = {c: F.col(c).cast("double") for c in cols}
-    beside = lambda a, b: F.when(F.col(b).isNotNull(), value[a])
-    aggregates = [F.stddev_samp(value[c]).alias(f"_d{i}") for i, c in enumerate(cols)]
-    for i, (a, b) in enumerate(pairs):
-        aggregates += [F.covar_samp(value[a], value[b]).alias(f"_c{i}"),
-                       F.stddev_samp(beside(a, b)).alias(f"_x{i}"),
-                       F.stddev_samp(beside(b, a)).alias(f"_y{i}")]
-    entry = lambda a, b, corr: F.struct(
-        F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), corr.alias("corr"))
-    entries = [entry(c, c, F.when(F.col(f"_d{i}") > 0, F.lit(1.0)))
-               for i, c in enumerate(cols)]
-    for i, (a, b) in enumerate(pairs):
-        # try_divide: a constant column gives null (as pandas gives NaN) instead
-        # of the division error ``corr`` raises under ANSI mode.
-        corr = F.try_divide(F.col(f"_c{i}"), F.col(f"_x{i}") * F.col(f"_y{i}"))
-        entries += [entry(a, b, corr), entry(b, a, corr)]
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    p = len(cols)
+    value = {c: F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols}
+    means = df.agg(*[F.coalesce(F.avg(value[c]), F.lit(0.0)).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).select(
+        F.array(*[f"m{i}" for i in range(p)]))
+    shifted = (df.select(F.array(*[value[c] for c in cols]).alias("x"))
+               .withColumn("m", means.scalar())
+               .select(F.zip_with("x", "m", lambda x, m: F.coalesce(
+                   x - m, F.lit(float("nan")))).alias("x")))
+
+    def pair_sums(batches):
+        count, total, square, product = (np.zeros((p, p)) for _ in range(4))
+        for batch in batches:
+            rows = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            known = ~np.isnan(rows)
+            mask, x = known.astype(float), np.where(known, rows, 0.0)
+            count += mask.T @ mask
+            total += x.T @ mask      # [a, b]: sum of a where b is known
+            square += (x * x).T @ mask
+            product += x.T @ x
+        a, b = (i.ravel() for i in np.indices((p, p)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int32()), pa.array(b, pa.int32())]
+            + [pa.array(m.ravel()) for m in (count, total, total.T, square, square.T, product)],
+            names=["a", "b", "n", "sa", "sb", "qa", "qb", "c"])
+
+    sums = (shifted.mapInArrow(pair_sums, "a int, b int, n double, sa double, sb double, "
+                                          "qa double, qb double, c double")
+            .groupBy("a", "b").agg(*[F.sum(k).alias(k) for k in
+                                     ("n", "sa", "sb", "qa", "qb", "c")])
+            .withColumn("m", means.scalar()))
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    # What is left of a constant column is the rounding of its mean.
+    floor = lambda i: n * F.pow(F.lit(1e-15) * F.get("m", F.col(i)), 2)
+    left = lambda q, s, i: F.when(
+        F.col(q) - F.col(s) * F.col(s) / n > floor(i), F.col(q) - F.col(s) * F.col(s) / n)
+    va, vb = left("qa", "sa", "a"), left("qb", "sb", "b")
+    corr = F.when(F.col("a") == F.col("b"), F.when(va.isNotNull(), F.lit(1.0))).otherwise(
+        (F.col("c") - F.col("sa") * F.col("sb") / n) / F.sqrt(va * vb))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.get(names, F.col("a")).alias("col_a"),
+                       F.get(names, F.col("b")).alias("col_b"), corr.alias("corr"))
 
 
 # ------------------------------------------------------------- confusion

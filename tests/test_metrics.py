@@ -90,6 +90,20 @@ def test_correlation_pairwise_complete(spark):
             assert got[(a, b)] == pytest.approx(expect.loc[a, b], abs=1e-12)
 
 
+def test_correlation_of_large_means_constants_and_no_rows(spark):
+    rows = [(1e9 + (i % 7), 1e9 + (i % 7) * 2 + (i % 3), 0.1, None) for i in range(300)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE").repartition(5)
+    import pandas as pd
+    expect = pd.DataFrame([(i % 7, (i % 7) * 2 + (i % 3)) for i in range(300)]).corr()
+    got = {(r["col_a"], r["col_b"]): r["corr"]
+           for r in met.correlation_long(df, "abcd").collect()}
+    assert got[("a", "b")] == pytest.approx(expect.iloc[0, 1], abs=1e-9)
+    assert got[("a", "a")] == 1.0
+    assert all(v is None for k, v in got.items() if set(k) & set("cd"))
+    none = met.correlation_long(df.where("false"), "ab").collect()
+    assert all(r["corr"] is None for r in none)
+
+
 def test_pivot_sum(spark):
     df = spark.createDataFrame([("x", "lr", 1.0), ("x", "svm", 2.0), ("y", "lr", 3.0)],
                                "feature STRING, model STRING, coefficient DOUBLE")
