@@ -222,15 +222,17 @@ def fit_rate_steps(members: DataFrame, shares: list[float], anchor: int | None =
                    passes: int = PASSES, tolerance: float = TOLERANCE) -> np.ndarray:
     """Projected-gradient steps that bring domain totals to the target shares.
 
-    The token budget is all tokens, or with ``anchor`` the budget in which that
-    domain's share is what it holds now (so its documents need not be thinned).
+    The token budget is all tokens.  With ``anchor`` it is the budget in which that
+    domain's share is what it holds now, and no domain is asked for more than it
+    holds: surplus domains shrink, and no rare document is repeated for another's sake.
     """
     weights = np.array(shares, np.float64) / sum(shares)
     steps = np.zeros((0, len(weights)))
     held, moving = domain_totals(members, steps, len(weights))
     budget = held.sum() if anchor is None else held[anchor] / weights[anchor]
+    wanted = budget * weights if anchor is None else np.minimum(budget * weights, held)
     for _ in range(passes):
-        residual = held - budget * weights
+        residual = held - wanted
         if np.abs(residual).max() <= tolerance * max(budget, 1.0):
             break
         # The moving tokens bound each row sum of the least-squares curvature.

@@ -54,9 +54,10 @@ def plain_mix(spark, rows, docs, sf_dir):
     n_tokens = np.array([max(1, n) for _, n in told], float)
     shares = np.array(list(mixing.TARGETS.values()))
     budget = (n_tokens @ posterior)[0] / (shares[0] / shares.sum())
+    wanted = np.minimum(budget * shares / shares.sum(), n_tokens @ posterior)
     rates = np.ones(len(rows))
     for _ in range(mixing.PASSES):
-        over = (rates * n_tokens) @ posterior - budget * shares / shares.sum()
+        over = (rates * n_tokens) @ posterior - wanted
         if np.abs(over).max() <= mixing.TOLERANCE * budget:
             break
         moving = (n_tokens * (rates > 0)) @ posterior
