@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -196,6 +197,21 @@ def path_occurrences(nodes: DataFrame) -> DataFrame:
             .withColumnRenamed("path_edges", "edges"))
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """key_id, key_hash, doc_id and the text compressed, for joins that carry whole texts."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packed = [compress(raw) for raw in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[:3] + [pa.array(packed, pa.binary())],
+                names=["key_id", "key_hash", "doc_id", "packed"])
+
+    return keyed(docs).mapInArrow(
+        kernel, "key_id long, key_hash long, doc_id long, packed binary")
+
+
 def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFrame:
     """What stands at source coordinates: the edges of branching pieces, digests of paths.
 
@@ -206,10 +222,10 @@ def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFra
     schema = "minimizer long, piece long, number int, edge_a long, edge_b long"
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = SpanHasher()
+        hasher, unpack = SpanHasher(), zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for raw, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = raw.split()
+            for packed, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = unpack(packed).split()
                 paths = [s for s in spots if s["piece"] is None]
                 found = [digest(words, s["first"], s["first"] + s["edges"] + span - 1)
                          for s in paths]
@@ -233,7 +249,7 @@ def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFra
                      *(pa.array(hasher.spans(i, starts, span).view(np.int64)) for i in (0, 1))],
                     names=["minimizer", "piece", "number", "edge_a", "edge_b"])
 
-    return (keyed(docs).join(sources, ROW_KEY).select("raw", "spots")
+    return (packed_texts(docs).join(sources, ROW_KEY).select("packed", "spots")
             .mapInArrow(kernel, schema))
 
 
@@ -321,10 +337,11 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN,
     cuts = repeated_stretches(docs, span, minimizer)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             totals, removed, kept = [], [], []
-            for raw, stretches in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = raw.split()
+            for packed, stretches in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                words = unpack(packed).split()
                 left = cut_words(words, stretches)
                 totals.append(len(words))
                 removed.append(len(words) - len(left))
@@ -333,6 +350,6 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN,
                 [batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return (keyed(docs).join(cuts, ROW_KEY, "left").select("doc_id", "raw", "cuts")
+    return (packed_texts(docs).join(cuts, ROW_KEY, "left").select("doc_id", "packed", "cuts")
             .mapInArrow(kernel, "doc_id long, n_words long, n_removed long, kept binary")
             .withColumn("kept", F.col("kept").cast("string")))
