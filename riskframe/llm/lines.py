@@ -68,9 +68,9 @@ def later_occurrences(windows: DataFrame) -> DataFrame:
     """key_id, key_hash, ``starts``: the windows of each row that occurred before."""
     place = F.struct("no_id", "key_id", "line", "key_hash")
     hashes = ["hash_a", "hash_b"]
-    repeated = (windows.groupBy(*hashes)
-                .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where("first <> last").drop("last"))
+    repeated = materialize(  # written first, so that the join can split a frequent window
+        windows.groupBy(*hashes).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .where("first <> last").drop("last"), "repeated-windows")
     return (windows.join(repeated, hashes).where(place != F.col("first"))
             .groupBy(*ROW_KEY).agg(F.collect_set("line").alias("starts")))
 

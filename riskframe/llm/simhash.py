@@ -102,9 +102,10 @@ def link_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS,
                  F.col("print").bitwiseAND(F.lit(mask).cast("long")).alias("key"))
         for i, mask in enumerate(block_masks(blocks, max_bits))]))
     buckets = prints.select("print", keys.alias("k")).select("print", "k.choice", "k.key")
-    shared = (buckets.groupBy("choice", "key")
-              .agg(F.min("print").alias("low"), F.max("print").alias("high"))
-              .where("low <> high"))
+    shared = materialize(  # written first, so that the join can split a crowded bucket
+        buckets.groupBy("choice", "key")
+        .agg(F.min("print").alias("low"), F.max("print").alias("high"))
+        .where("low <> high"), "shared-blocks")
     members = materialize(buckets.join(shared, ["choice", "key"]), "block-members")
 
     own = F.explode(F.array("low", "high"))
