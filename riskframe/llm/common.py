@@ -30,6 +30,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized frame that nothing reads any more.
+
+    Frames computed from it must have been materialized themselves, so that a lost
+    executor never has to go back to it.
+    """
+    sc = df.sparkSession.sparkContext
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_bytes(column: str = "text") -> Column:
     """The UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")

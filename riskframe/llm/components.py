@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import materialize
+from riskframe.llm.common import discard, materialize
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -37,8 +37,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = (large.join(least, "hi").where("lo <> m")
                  .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-        current = materialize(
+        last, current = current, materialize(
             least.select("hi", F.col("m").alias("lo")).unionByName(moved).distinct(), "edges")
+        discard(last)
         after = _signature(current)
         if after == before:
             break

@@ -44,7 +44,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import ROW_KEY, keyed, materialize
+from riskframe.llm.common import ROW_KEY, discard, keyed, materialize
 
 SPAN = 50
 #: Words of a minimizer.  39 consecutive minimizer candidates lie in a 50-word edge.
@@ -268,6 +268,7 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
         .select("minimizer", "low", (F.col("piece_low") != F.col("piece_high"))
                 .alias("branches")), "shared-minimizers")
     occurrences = materialize(pieces.join(shared, "minimizer"), "shared-pieces")
+    discard(pieces)
 
     # Nonbranching paths: every piece of them is repeated as a whole.
     whole = path_occurrences(occurrences.where("not branches").drop("branches", "piece"))
@@ -286,8 +287,9 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
         "minimizer", "piece", "first", F.col("edges").cast("int").alias("edges"))).alias("spots"))
     read = materialize(open_edges(docs, sources, span)
                        .dropDuplicates(["minimizer", "piece", "number"]), "source-reads")
+    digests = materialize(read.where("piece is null"), "path-digests")
     straight = (whole.where("key_id > low")
-                .join(read.where("piece is null"), "minimizer")
+                .join(digests, "minimizer")
                 .select(*ROW_KEY, F.array(F.struct(
                     F.col("first").alias("start"),
                     (F.col("first") + F.col("edges") + (span - 1)).cast("int").alias("stop"),
@@ -304,6 +306,7 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN,
     verdicts = materialize(
         told.groupBy("minimizer", "piece")
         .agg(F.sort_array(F.collect_list(F.struct("number", "low"))).alias("lows")), "verdicts")
+    discard(read)
     first, no_digest = F.col("first"), F.lit(None).cast("long")
     branched = (branching.select("minimizer", "piece", *ROW_KEY, "first")
                 .join(verdicts, ["minimizer", "piece"])
