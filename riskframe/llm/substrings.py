@@ -39,8 +39,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,16 +103,18 @@ class SpanHasher:
 
 def path_pieces(hasher: SpanHasher, n_words: int, span: int = SPAN, minimizer: int = MINIMIZER):
     """Pieces of a loaded text's path: (minimizer hash, piece hash, first edge, edges)."""
-    edges = n_words - span + 1
+    edges, width = n_words - span + 1, span - minimizer + 1
     grams = hasher.spans(0, np.arange(n_words - minimizer + 1), minimizer)
-    at = np.empty(edges, np.int64)
-    for first in range(0, edges, 1 << 16):  # bounded temporary memory for long texts
-        last = min(edges, first + (1 << 16))
-        view = sliding_window_view(grams[first:last + span - minimizer], span - minimizer + 1)
-        at[first:last] = np.arange(first, last) + view.argmin(axis=1)
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
+    least, reach = grams, 1  # least[i]: the smallest of grams[i:i + reach]
+    while 2 * reach <= width:
+        least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
+    rest = width - reach
+    least = np.minimum(least[:edges], least[rest:rest + edges])
+    # A piece ends where the minimum changes, or its leftmost place drops out.
+    ends = (least[1:] != least[:-1]) | (grams[:edges - 1] == least[:-1])
+    starts = np.concatenate(([0], np.flatnonzero(ends) + 1))
     counts = np.diff(np.append(starts, edges))
-    return grams[at[starts]], hasher.spans(1, starts, counts + span - 1), starts, counts
+    return least[starts], hasher.spans(1, starts, counts + span - 1), starts, counts
 
 
 def piece_table(docs: DataFrame, span: int = SPAN, minimizer: int = MINIMIZER) -> DataFrame:
@@ -197,21 +197,6 @@ def path_occurrences(nodes: DataFrame) -> DataFrame:
             .withColumnRenamed("path_edges", "edges"))
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """key_id, key_hash, doc_id and the text compressed, for joins that carry whole texts."""
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            packed = [compress(raw) for raw in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:3] + [pa.array(packed, pa.binary())],
-                names=["key_id", "key_hash", "doc_id", "packed"])
-
-    return keyed(docs).mapInArrow(
-        kernel, "key_id long, key_hash long, doc_id long, packed binary")
-
-
 def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFrame:
     """What stands at source coordinates: the edges of branching pieces, digests of paths.
 
@@ -222,10 +207,10 @@ def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFra
     schema = "minimizer long, piece long, number int, edge_a long, edge_b long"
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, unpack = SpanHasher(), zstandard.ZstdDecompressor().decompress
+        hasher = SpanHasher()
         for batch in batches:
-            for packed, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = unpack(packed).split()
+            for raw, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = raw.split()
                 paths = [s for s in spots if s["piece"] is None]
                 found = [digest(words, s["first"], s["first"] + s["edges"] + span - 1)
                          for s in paths]
@@ -249,7 +234,7 @@ def open_edges(docs: DataFrame, sources: DataFrame, span: int = SPAN) -> DataFra
                      *(pa.array(hasher.spans(i, starts, span).view(np.int64)) for i in (0, 1))],
                     names=["minimizer", "piece", "number", "edge_a", "edge_b"])
 
-    return (packed_texts(docs).join(sources, ROW_KEY).select("packed", "spots")
+    return (keyed(docs).join(sources, ROW_KEY).select("raw", "spots")
             .mapInArrow(kernel, schema))
 
 
@@ -340,11 +325,10 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN,
     cuts = repeated_stretches(docs, span, minimizer)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             totals, removed, kept = [], [], []
-            for packed, stretches in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = unpack(packed).split()
+            for raw, stretches in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                words = raw.split()
                 left = cut_words(words, stretches)
                 totals.append(len(words))
                 removed.append(len(words) - len(left))
@@ -353,6 +337,6 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN,
                 [batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return (packed_texts(docs).join(cuts, ROW_KEY, "left").select("doc_id", "packed", "cuts")
+    return (keyed(docs).join(cuts, ROW_KEY, "left").select("doc_id", "raw", "cuts")
             .mapInArrow(kernel, "doc_id long, n_words long, n_removed long, kept binary")
             .withColumn("kept", F.col("kept").cast("string")))
