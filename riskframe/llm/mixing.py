@@ -2,17 +2,18 @@
 
 A classifier fitted on a labelled table gives every document posteriors over
 the domains; domain k then holds sum over documents of rate * tokens *
-posterior_k expected tokens.  Nonnegative rates are fitted by projected
-gradient least squares so that these totals meet the targets, starting from
-rate 1 for every document.
-
-Each gradient step needs only one number per domain: the current total.  A step
-subtracts ``posterior . g`` from every rate and cuts it at zero (distances
-between rates weighted by tokens, so a rate depends on what a document is, not
-on its length), and the step of domain k is its residual over the tokens that
-still move.  A rate is therefore a function of the document's posteriors and
-the short list of steps; each pass is one aggregate over the posteriors'
-table, and no rates are shuffled or collected.
+posterior_k expected tokens.  Nonnegative rates are fitted by projected least
+squares so that these totals meet the targets, as near as can be to rate 1 for
+every document (distances between rates weighted by tokens, so a rate depends
+on what a document is, not on its length).
+
+Those rates are ``1 - posterior . g`` cut at zero, with one number of ``g`` per
+domain, and ``g`` is found by Newton steps on the dual: each pass is one
+aggregate over the posteriors' table that sums, for a handful of lengths of the
+step, the domains' totals and their curvature (domains x domains numbers).  No
+rates are shuffled or collected.  Passes end when every total is within
+``TOLERANCE`` of its target; targets that no rates reach raise ``TargetsNotMet``
+with what is missing, and in the pipeline warn of it and take the nearest step.
 
 Defined results: null or empty text has one token at least and posteriors like
 any other; a missing domain in the labelled table gets no posterior; repeated
@@ -22,6 +23,7 @@ equally likely; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +42,8 @@ VOCABULARY = 4096
 LEAST_DOCUMENTS = 5
 PASSES = 40
 TOLERANCE = 1e-4
+#: Parts of a Newton step that one pass tries.
+TRIED = np.array([1, 0.5, 0.25, 0.125, 0.05, 0.01])
 HASH_RANGE = 1 << 20
 STRIP = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 UPPER = bytes(range(65, 91))
@@ -192,53 +196,88 @@ def _posterior_rows(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def domain_totals(members: DataFrame, steps: np.ndarray, n_domains: int) -> np.ndarray:
-    """Rows: expected tokens per domain now, and tokens of each domain that still move."""
+class TargetsNotMet(ValueError):
+    """No rates were found that meet the targets; ``steps`` come nearest to them."""
+
+    def __init__(self, steps: np.ndarray, residual: np.ndarray, budget: float):
+        shares = ", ".join(f"{share:+.3g}" for share in residual / max(budget, 1.0))
+        super().__init__(f"targets not met: domain totals miss them by {shares} of the budget")
+        self.steps, self.residual = steps, residual
+
+
+def domain_totals(members: DataFrame, states: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per state (a row): expected tokens per domain, their curvature, and the tokens'
+    squared rates, of rates ``1 - posterior . state`` cut at zero."""
+    n_states, n_domains = states.shape
+    width = n_domains + n_domains ** 2 + 1
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, moving = np.zeros(n_domains), np.zeros(n_domains)
+        sums = np.zeros((n_states, width))
         for batch in batches:
             if not batch.num_rows:
                 continue
             posteriors = _posterior_rows(batch)
             tokens = batch.column("n_tokens").to_numpy().astype(np.float64)
-            rates = rates_after(posteriors, steps)
-            held += (rates * tokens) @ posteriors
-            moving += (tokens * (rates > 0)) @ posteriors
+            for i, state in enumerate(states):
+                rates = rates_after(posteriors, state[None])
+                moving = posteriors * (tokens * (rates > 0))[:, None]
+                sums[i] += np.concatenate([(rates * tokens) @ posteriors,
+                                           (moving.T @ posteriors).ravel(),
+                                           [tokens @ rates ** 2]])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(n_domains), pa.int32()), pa.array(held), pa.array(moving)],
-            names=["domain", "held", "moving"])
+            [pa.array(range(n_states * width), pa.int32()), pa.array(sums.ravel())],
+            names=["place", "value"])
 
-    rows = (members.select("n_tokens", "posterior")
-            .mapInArrow(kernel, "domain int, held double, moving double")
-            .groupBy("domain").agg(F.sum("held"), F.sum("moving")).collect())
-    totals = np.zeros((2, n_domains))
-    for domain, held, moving in rows:
-        totals[:, domain] = held, moving
-    return totals
+    rows = (members.select("n_tokens", "posterior").mapInArrow(kernel, "place int, value double")
+            .groupBy("place").agg(F.sum("value")).collect())
+    totals = np.zeros(n_states * width)
+    for place, value in rows:
+        totals[place] = value
+    totals = totals.reshape(n_states, width)
+    return (totals[:, :n_domains],
+            totals[:, n_domains:-1].reshape(n_states, n_domains, n_domains), totals[:, -1])
 
 
 def fit_rate_steps(members: DataFrame, shares: list[float], anchor: int | None = None,
                    passes: int = PASSES, tolerance: float = TOLERANCE) -> np.ndarray:
-    """Projected-gradient steps that bring domain totals to the target shares.
+    """The step from rate 1 that brings domain totals to the target shares.
 
     The token budget is all tokens.  With ``anchor`` it is the budget in which that
     domain's share is what it holds now, and no domain is asked for more than it
     holds: surplus domains shrink, and no rare document is repeated for another's sake.
+
+    Raises ``TargetsNotMet``, with the nearest step found, when the totals are not
+    within ``tolerance`` of the budget after ``passes``.
     """
     weights = np.array(shares, np.float64) / sum(shares)
-    steps = np.zeros((0, len(weights)))
-    held, moving = domain_totals(members, steps, len(weights))
+    n = len(weights)
+    state = np.zeros(n)
+    held, curvature, _ = (x[0] for x in domain_totals(members, state[None]))
     budget = held.sum() if anchor is None else held[anchor] / weights[anchor]
     wanted = budget * weights if anchor is None else np.minimum(budget * weights, held)
+    near = tolerance * max(budget, 1.0)
+    best, least = state, held - wanted
     for _ in range(passes):
         residual = held - wanted
-        if np.abs(residual).max() <= tolerance * max(budget, 1.0):
+        if np.abs(residual).max() < np.abs(least).max():
+            best, least = state, residual
+        if np.abs(residual).max() <= near:
             break
-        # The moving tokens bound each row sum of the least-squares curvature.
-        steps = np.vstack([steps, np.where(moving > 0, residual / np.maximum(moving, 1e-9), 0)])
-        held, moving = domain_totals(members, steps, len(weights))
-    return steps
+        # Domains that no moving token belongs to are left alone by the ridge.
+        ridge = 1e-12 * max(np.trace(curvature), budget) * np.eye(n)
+        tried = state + TRIED[:, None] * np.linalg.solve(curvature + ridge, residual)
+        helds, curvatures, squared = domain_totals(members, tried)
+        # The dual of the least squares falls on the way to the targets.
+        pick = int(np.argmin(squared / 2 + tried @ wanted))
+        if np.abs(helds[0] - wanted).max() <= np.abs(residual).max() / 2:
+            pick = 0
+        state, held, curvature = tried[pick], helds[pick], curvatures[pick]
+    residual = held - wanted
+    if np.abs(residual).max() > near:
+        if np.abs(residual).max() < np.abs(least).max():
+            best, least = state, residual
+        raise TargetsNotMet(best[None], least, budget)
+    return state[None]
 
 
 def document_rates(members: DataFrame, steps: np.ndarray) -> DataFrame:
@@ -287,6 +326,10 @@ def thin_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, flo
     domains = tuple(targets)
     model = fit_domain_model(docs if train_docs is None else train_docs, labelled, domains)
     members = materialize(domain_posteriors(docs, model), "domain-posteriors")
-    steps = fit_rate_steps(members, list(targets.values()), domains.index(anchor))
+    try:
+        steps = fit_rate_steps(members, list(targets.values()), domains.index(anchor))
+    except TargetsNotMet as missed:
+        warnings.warn(str(missed), stacklevel=2)
+        steps = missed.steps
     uniform = F.pmod(F.xxhash64(*row_key(docs), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     return docs.where(uniform < rate_column(model, steps))

@@ -212,6 +212,35 @@ def test_steps_match_plain_projected_gradient(spark):
     assert np.allclose([got[i] for i in range(400)], rates)
 
 
+@pytest.mark.parametrize("softness", [1.0, 1.6])
+def test_soft_posteriors_meet_targets_in_production_passes(spark, softness):
+    """Labels harder than the fixtures': domains overlap, and the targets are far off."""
+    rng = np.random.default_rng(8)
+    domain = rng.choice(3, 20_000, p=[0.78, 0.12, 0.10])
+    scores = 2.5 * np.eye(3)[domain] + rng.normal(0, softness, (20_000, 3))
+    posterior = np.exp(scores) / np.exp(scores).sum(axis=1, keepdims=True)
+    n_tokens = rng.integers(50, 900, 20_000)
+    frame = spark.createDataFrame(pd.DataFrame(
+        {"key_id": 0, "key_hash": 0, "doc_id": 0, "n_tokens": n_tokens,
+         "posterior": posterior.tolist()}))
+    steps = mixing.fit_rate_steps(frame, list(mixing.TARGETS.values()))
+    rates = mixing.rates_after(posterior, steps)
+    held = (rates * n_tokens) @ posterior / n_tokens.sum()
+    assert (rates >= 0).all()
+    assert np.abs(held - list(mixing.TARGETS.values())).max() <= mixing.TOLERANCE
+
+
+def test_targets_out_of_reach_raise_with_what_is_missing(spark):
+    frame = spark.createDataFrame([(0, 0, i, 10, [0.6, 0.4]) for i in range(9)],
+                                  "key_id long, key_hash long, doc_id long, n_tokens long, "
+                                  "posterior array<double>")
+    with pytest.raises(mixing.TargetsNotMet) as missed:
+        mixing.fit_rate_steps(frame, [0.9, 0.1])
+    held = (mixing.rates_after(np.array([[0.6, 0.4]] * 9), missed.value.steps) * 10).sum() \
+        * np.array([0.6, 0.4])
+    assert held - 90 * np.array([0.9, 0.1]) == pytest.approx(missed.value.residual)
+
+
 def test_mixing_without_labels_or_documents(spark):
     docs = corpora.awkward(spark)
     none = spark.createDataFrame([], "doc_id long, domain string")
