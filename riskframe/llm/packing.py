@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import materialize, text_bytes
-from riskframe.llm.tokens import default_vocabulary, encoding
+from riskframe.llm.tokens import default_vocabulary, encoder
 
 END_OF_TEXT = 0
 CAPACITY = 2048
@@ -54,7 +54,7 @@ def tokenize_pieces(docs: DataFrame, capacity: int = CAPACITY,
     path = vocabulary or default_vocabulary()
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        encode = encoder(path)
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import ROW_KEY, keyed
-from riskframe.llm.tokens import LOOKAHEAD, default_vocabulary, encoding, find_pre_tokens
+from riskframe.llm.tokens import LOOKAHEAD, default_vocabulary, encoder, pre_token_ends
 
 LEAF_PRE_TOKENS = 32
 
@@ -47,7 +47,7 @@ class TokenTree:
 
     @classmethod
     def build(cls, text: str, encode: Callable, leaf: int = LEAF_PRE_TOKENS) -> TokenTree:
-        ends = [m.end() for m in find_pre_tokens(text)]
+        ends = list(pre_token_ends(text))
         n_leaves = 1 << max(0, (max(1, -(-len(ends) // leaf)) - 1).bit_length())
         tree = cls(text, np.zeros(2 * n_leaves, np.int32), np.zeros(2 * n_leaves, np.int32),
                    encode)
@@ -110,12 +110,12 @@ class TokenTree:
         boundary += int(self.chars[self.n_leaves + last])  # old end of the leaf at ``stop``
         self.text = self.text[:start] + replacement + self.text[stop:]
         ends: list[int] = []
-        for match in find_pre_tokens(self.text, begin):
-            ends.append(match.end())
-            while last + 1 < self.n_leaves and boundary + grown < match.end():
+        for end in pre_token_ends(self.text, begin):
+            ends.append(end)
+            while last + 1 < self.n_leaves and boundary + grown < end:
                 last += 1
                 boundary += int(self.chars[self.n_leaves + last])
-            if match.end() == boundary + grown:
+            if end == boundary + grown:
                 break
         else:
             last = self.n_leaves - 1  # the scan ran to the end of the text
@@ -150,7 +150,7 @@ def build_trees(docs: DataFrame, vocabulary: str | None = None,
     path = vocabulary or default_vocabulary()
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        encode = encoder(path)
         for batch in batches:
             trees = [TokenTree.build(raw.decode("utf-8", "replace"), encode, leaf)
                      for raw in batch.column(3).to_pylist()]
@@ -191,7 +191,7 @@ def apply_edits(edited: DataFrame, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or default_vocabulary()
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        encode = encoder(path)
         for batch in batches:
             trees, counts = [], []
             for text, chars, tokens, edits in zip(*(batch.column(c).to_pylist() for c in

@@ -109,6 +109,14 @@ def test_pieces_round_trip_and_sequences_are_gapless(spark, tokenizer):
     assert len(sequences) <= -(-total // 2048) + 1
 
 
+def test_an_added_token_inside_a_text_is_one_id(spark):
+    docs = spark.createDataFrame([(1, "hello <|endoftext|> world", None, None, None)],
+                                 corpora.SCHEMA)
+    row, = packing.pack_documents(docs).collect()
+    ids = np.array([31373, 220, 50256, 995, packing.END_OF_TEXT], "<u4")
+    assert (row.length, row.ids_crc32) == (5, zlib.crc32(ids.tobytes()))
+
+
 def test_packing_no_documents(spark):
     assert packing.pack_documents(corpora.empty(spark)).count() == 0
 

@@ -40,6 +40,43 @@ def test_ids_equal_the_other_library(encode):
         assert encode(text) == other.encode(text, add_special_tokens=False).ids
 
 
+ADDED = ["<|endoftext|>", "<|endoftext|", "<|endo", "ftext|>", "|>", "<", ">", "   ", "a", " b", "!"]
+
+
+def test_ids_equal_the_tokenizer_as_loaded():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = tokens.encoder(tokens.default_vocabulary())
+    assert encode("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(ALPHABET + ADDED, k=rng.randrange(40))) for _ in range(2000)]
+    texts += [r[1] or "" for r in corpora.awkward_rows()]
+    texts += [t for (t,) in corpora.given_rows(columns="text")]
+    assert sum(tokens.ADDED in t for t in texts) > 500
+    for text in texts:
+        assert encode(text) == other.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_edits_that_make_and_break_added_tokens(seed):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = tokens.encoder(tokens.default_vocabulary())
+    rng = random.Random(seed)
+    for _ in range(150):
+        text = "".join(rng.choices(ADDED, k=rng.randrange(20)))
+        tree = token_counts.TokenTree.build(text, encode, leaf=rng.choice([1, 2, 5]))
+        for _ in range(6):
+            start = rng.randint(0, len(tree.text))
+            stop = min(len(tree.text), start + rng.choice([0, 1, 2, 9]))
+            tree.replace(start, stop, "".join(rng.choices(ADDED, k=rng.choice([0, 0, 1, 3]))))
+            assert tree.n_tokens == len(other.encode(tree.text, add_special_tokens=False).ids)
+
+
 def leaves_hold(tree, encode):
     """Every leaf's characters are whole pre-tokens and its tokens their count."""
     starts = {m.start() for m in tokens.find_pre_tokens(tree.text)} | {len(tree.text)}
