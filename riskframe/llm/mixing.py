@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import keyed, materialize, row_key, text_bytes
+from riskframe.llm.tokens import default_vocabulary, encoder
 
 MAX_LABELLED = 12_000
 VOCABULARY = 4096
@@ -92,14 +93,18 @@ class DomainModel:
     weights: np.ndarray  # domains x (words + shape)
     intercepts: np.ndarray
 
-    def posteriors(self, raw: bytes) -> tuple[np.ndarray, int]:
-        """Domain probabilities and number of words of one text."""
+    def shares(self, raw: bytes) -> np.ndarray:
+        """Domain probabilities of one text."""
         words, found = raw.split(), vocabulary_words(raw)
         known = [self.words[w] for w in found & self.words.keys()]
         scores = (self.intercepts + self.weights[:, known].sum(axis=1)
                   + self.weights[:, len(self.words):] @ shape(raw, len(words), len(found)))
         odds = np.exp(scores - scores.max())
-        return odds / odds.sum(), len(words)
+        return odds / odds.sum()
+
+    def posteriors(self, raw: bytes) -> tuple[np.ndarray, int]:
+        """Domain probabilities and number of tokens of one text."""
+        return self.shares(raw), len(encoder(default_vocabulary())(raw.decode("utf-8", "replace")))
 
 
 def fit_domain_model(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...],
@@ -168,7 +173,7 @@ def fit_domain_model(docs: DataFrame, labelled: DataFrame, domains: tuple[str, .
 
 
 def domain_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """key_id, key_hash, doc_id, n_tokens (words, at least 1), posterior (array), per row."""
+    """key_id, key_hash, doc_id, n_tokens (at least 1), posterior (array), per row."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,7 +314,7 @@ def rate_column(model: DomainModel, steps: np.ndarray, text_column: str = "text"
     """The fitted rate of each row's text, without a join."""
     @F.pandas_udf("double")
     def rate(raws: pd.Series) -> pd.Series:
-        rows = [model.posteriors(raw)[0] for raw in raws]
+        rows = [model.shares(raw) for raw in raws]
         return pd.Series(rates_after(np.array(rows).reshape(-1, len(model.domains)), steps))
 
     return rate(text_bytes(text_column))

@@ -233,6 +233,17 @@ def test_posteriors_tell_domains(mixture):
     assert (guess == both.domain).mean() > 0.985
 
 
+def test_mixing_counts_tokens_of_the_given_tokenizer(mixture, spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows, _ = mixture
+    want = [(r.doc_id, max(1, len(other.encode(r.text or "", add_special_tokens=False).ids)))
+            for r in read_table(spark, MEDIUM, "documents").select("doc_id", "text").collect()]
+    assert sorted(zip(rows.doc_id, rows.n_tokens)) == sorted(want)
+
+
 def test_steps_match_plain_projected_gradient(spark):
     """Against the same least squares solved densely: rates move along posteriors only."""
     rng = np.random.default_rng(4)
