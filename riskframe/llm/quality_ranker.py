@@ -5,12 +5,13 @@ a preference pair (better, worse) the Bradley-Terry model gives the better one
 the odds exp(strength difference), so the weights minimise the logistic loss of
 feature differences.  The score is the logistic of the strength minus a
 threshold, the quantile of labelled strengths at the share of bad labels: as
-many labelled documents fall below 0.5 as are marked bad.
+many labelled documents of the training fold fall below 0.5 as are marked bad.
 
 The weights are fitted on a bounded sample of labelled rows (``max_labelled``,
-chosen by a hash of the id); scoring reads every text, one map over rows.
-Labels reach the documents by a broadcast of that bounded sample, so no text is
-shuffled.
+chosen by a hash of the id), which reaches the documents by a broadcast.  The
+threshold is of all labelled rows of the training fold: one map over the texts
+leaves ids and strengths, labels are joined to those, and a distributed sort
+ranks them.  Scoring reads every text, one map over rows.  No text is shuffled.
 
 Defined results: null or empty text is scored like any other; without labelled
 rows of both classes every score is 0.5; held-out rows and rows with a null
@@ -21,7 +22,7 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import text_bytes
+from riskframe.llm.common import materialize, text_bytes
 from riskframe.llm.textstats import MEASURES, measure
+from riskframe.operators.ordering import global_rank
 
 MAX_LABELLED = 12_000
 PARTNERS = 8
@@ -68,8 +70,11 @@ class Ranker:
     weights: np.ndarray
     threshold: float
 
+    def strengths(self, rows: np.ndarray) -> np.ndarray:
+        return (rows - self.centre) @ self.weights
+
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        strength = (rows - self.centre) @ self.weights - self.threshold
+        strength = self.strengths(rows) - self.threshold
         return 1 / (1 + np.exp(-np.clip(strength, -700, 700)))
 
 
@@ -79,12 +84,17 @@ def is_held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(code % folds == fold, F.lit(False))
 
 
+def training_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """doc_id and label (0 or 1) of the rows that may train."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)
+                         & ~is_held_out(F.col("doc_id")))
+            .select("doc_id", F.col(label).cast("int").alias("label")))
+
+
 def labelled_features(docs: DataFrame, labels: DataFrame, label: str = "quality",
                       max_labelled: int = MAX_LABELLED) -> pd.DataFrame:
     """doc_id, label and features of at most about ``max_labelled`` training rows."""
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)
-                          & ~is_held_out(F.col("doc_id")))
-             .select("doc_id", F.col(label).cast("int").alias("label")))
+    known = training_labels(labels, label)
     total = known.count()
     share = min(HASH_RANGE, int(HASH_RANGE * max_labelled / max(1, total)))
     sample = (known.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)) < share)
@@ -142,8 +152,39 @@ def score_column(model: Ranker, text_column: str = "text") -> Column:
     return score(text_bytes(text_column))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, **how) -> Ranker:
-    return fit_ranker(labelled_features(docs, labels, **how))
+def labelled_threshold(docs: DataFrame, labels: DataFrame, model: Ranker,
+                       label: str = "quality") -> float:
+    """The quantile of all labelled strengths of the training fold at its share of bad labels.
+
+    A repeated id counts once, with its lowest strength and label.
+    """
+    @F.pandas_udf("double")
+    def strength(raws: pd.Series) -> pd.Series:
+        rows = np.array([features(raw) for raw in raws], np.float64).reshape(-1, N_FEATURES)
+        return pd.Series(model.strengths(rows))
+
+    known = training_labels(labels, label).groupBy("doc_id").agg(F.min("label").alias("label"))
+    # Written before the join, so that ids and strengths travel and no text does.
+    told = materialize(docs.where(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
+                       .select("doc_id", strength(text_bytes()).alias("strength")), "strengths")
+    both = materialize(told.groupBy("doc_id").agg(F.min("strength").alias("strength"))
+                       .join(known, "doc_id"), "labelled-strengths")
+    n, bad = both.agg(F.count(F.lit(1)), F.sum(1 - F.col("label"))).first()
+    if not n:
+        return model.threshold
+    place = bad / n * (n - 1)
+    low = int(place)
+    near = sorted(r["strength"] for r in global_rank(both.select("strength"), ["strength"])
+                  .where(F.col("rank").isin(low + 1, low + 2)).collect())
+    return near[0] + (place - low) * (near[-1] - near[0])
+
+
+def train_on(docs: DataFrame, labels: DataFrame, label: str = "quality", **how) -> Ranker:
+    """Weights from the bounded sample, the threshold from all labelled training rows."""
+    model = fit_ranker(labelled_features(docs, labels, label, **how))
+    if not model.weights.any():
+        return model
+    return replace(model, threshold=labelled_threshold(docs, labels, model, label))
 
 
 def score_documents(docs: DataFrame, model: Ranker) -> DataFrame:

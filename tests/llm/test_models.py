@@ -190,6 +190,18 @@ def test_threshold_is_the_share_of_bad_labels(spark, ranker):
     assert (scores < 0.5).mean() == pytest.approx((sample.label == 0).mean(), abs=0.01)
 
 
+def test_threshold_covers_labelled_rows_outside_the_sample(spark):
+    docs, labels = read_table(spark, MEDIUM, "documents"), read_table(spark, MEDIUM, "labels")
+    everything = quality_ranker.labelled_features(docs, labels)
+    sample = quality_ranker.labelled_features(docs, labels, max_labelled=120)
+    assert 0 < len(sample) < len(everything)
+    model = quality_ranker.train_on(docs, labels, max_labelled=120)
+    assert np.array_equal(model.weights, quality_ranker.fit_ranker(sample).weights)
+    strengths = model.strengths(np.array(everything.features.tolist()))
+    assert model.threshold == pytest.approx(
+        np.quantile(strengths, (everything.label == 0).mean()), abs=1e-9)
+
+
 def test_awkward_rows_get_scores(spark, ranker):
     rows, docs = corpora.both(spark)
     scored = quality_ranker.score_documents(corpora.clashing(docs), ranker).toPandas()
