@@ -4,8 +4,8 @@ Documents become token pieces of at most ``capacity`` tokens.  Piece lengths
 are bounded, so the packing problem is its length histogram: at most
 ``capacity`` counts, whatever the corpus.  The plan is made on that histogram:
 for each length, longest first, combinations of one, two or three other
-lengths that fill the gap exactly are looked up in an index of length sums and
-consumed as often as their counts allow; what no exact combination can fill is
+lengths that fill the gap exactly are searched in the counts (no table of sums
+is kept) and consumed as often as their counts allow; what no exact combination can fill is
 packed best-fit.  Each plan step uses up at least one length, so the plan has a
 few thousand steps at any corpus size.  Spark then deals the pieces of each
 length to the plan's slots by their rank among pieces of that length.
