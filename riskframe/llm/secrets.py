@@ -17,13 +17,14 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import ROW_KEY, row_key
+from riskframe.llm.common import ROW_KEY, materialize, row_key
 
 GRAM = 3
 #: Optional parts and small classes are expanded while a rule has fewer alternatives than this.
@@ -32,12 +33,16 @@ MOST_ALTERNATIVES = 64
 
 @dataclass(frozen=True)
 class SecretRule:
-    """A kind of secret: its regex and the least length of ``group`` for a match to count."""
+    """A kind of secret: its regex and the least length of ``group`` for a match to count.
+
+    ``plain`` states the same matches for engines without possessive repeats.
+    """
 
     kind: str
     regex: str
     group: int = 0
     least: int = 1
+    plain: str = ""
 
 
 #: The base rules.  A maximal run of 32 or more hex digits is what remains of
@@ -51,7 +56,11 @@ BASE_RULES = (
 
 #: Spans the method adds to the base ones.
 ADDED_RULES = (
-    SecretRule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # A repeated group must be possessive: Java recurses once a repeat otherwise, and a
+    # long header would end the executor.  The words stop where the key's own begin.
+    SecretRule("private_key",
+               r"-----BEGIN (?:(?!PRIVATE KEY-----)[A-Z]++ )*+PRIVATE KEY-----",
+               plain=r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     SecretRule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
     SecretRule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -125,11 +134,22 @@ def candidate_rules(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> D
             .agg(F.bit_or(F.expr("shiftleft(1L, rule)")).alias("rule_bits")))
 
 
+#: Matches of one text are summed up in blocks of this many.
+BLOCK = 64
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(text: Column, number: int, rule: SecretRule) -> Column:
     """Spans of a rule's matches, as structs (start, kind, end).
 
     The texts between matches and the matches themselves alternate, so running
-    sums of their lengths are the positions.
+    sums of their lengths are the positions.  The sums are taken over blocks of
+    matches first and then inside each block, so that no array grows by one match
+    at a time.
     """
     regex = F.lit(rule.regex)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
@@ -138,18 +158,33 @@ def _spans(text: Column, number: int, rule: SecretRule) -> Column:
         F.transform(F.split(text, rule.regex, -1), F.length).alias("gap"),
         F.transform(whole, F.length).alias("size"),
         F.transform(told, F.length).alias("counted"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(
-        "cast(array() as array<struct<start:int,kind:int,stop:int>>)").alias("spans"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))  # no match follows the last gap
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind"), end.alias("stop"))
-        return F.struct(end.alias("at"), F.when(
-            F.coalesce(x["counted"], F.lit(0)) >= rule.least,
-            F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+    def total(items: Column) -> Column:
+        return F.aggregate(items, F.lit(0), lambda s, x: s + x["gap"] + x["size"])
+
+    def in_blocks(found: Column) -> Column:
+        n = F.size(found) - 1  # no match follows the last gap
+        starts = F.filter(F.sequence(F.lit(0), (n / BLOCK).cast("int")), lambda b: b * BLOCK < n)
+        return F.transform(starts, lambda b: F.slice(
+            found, b * BLOCK + 1, F.least(F.lit(BLOCK), n - b * BLOCK)))
+
+    def begins(blocks: Column) -> Column:
+        return F.aggregate(blocks, F.array(F.lit(0)), lambda known, block: F.concat(
+            known, F.array(F.element_at(known, F.lit(-1)) + total(block))))
+
+    def placed(blocks: Column, starts: Column) -> Column:
+        def span(block: Column, k: Column, x: Column, i: Column) -> Column:
+            start = F.get(starts, k) + total(F.slice(block, F.lit(1), i)) + x["gap"]
+            return F.struct(start.alias("start"), F.lit(number).alias("kind"),
+                            (start + x["size"]).alias("stop"), x["counted"].alias("counted"))
+
+        return F.flatten(F.transform(blocks, lambda block, k: F.transform(
+            block, lambda x, i: span(block, k, x, i))))
 
-    return F.aggregate(pairs, start, step, lambda state: state["spans"])
+    spans = _let(_let(pairs, in_blocks), lambda blocks: _let(
+        begins(blocks), lambda starts: placed(blocks, starts)))
+    return F.transform(F.filter(spans, lambda s: s["counted"] >= rule.least),
+                       lambda s: F.struct(s["start"], s["kind"], s["stop"]))
 
 
 def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
@@ -157,7 +192,8 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> Data
 
     ``kind`` is the rule's position in ``rules``.
     """
-    candidates = candidate_rules(docs, rules)
+    # Written first, so that the join can split a key that many equal rows share.
+    candidates = materialize(candidate_rules(docs, rules), "secret-candidates")
     rows = (docs.select(F.col("doc_id"), *row_key(docs),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
             .join(candidates, ROW_KEY, "left"))

@@ -23,6 +23,10 @@ PRE_TOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 #: Fixed value: the vocabulary's added token and its id.
 ADDED, ADDED_ID = "<|endoftext|>", 50256
 
+#: Longer texts are encoded in parts: the encoder's pattern engine gives up on
+#: about a million blanks in a row.  Parts end where pre-tokens do, so ids are the same.
+LONG_TEXT = 200_000
+
 #: Characters past its own end that can decide a pre-token: a contraction looks
 #: at three characters from its start, white space at the character beyond the one
 #: it leaves to the next word, where the added token may begin.
@@ -51,12 +55,45 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     public = encoding(path)
     ordinary = public.encode_ordinary
 
-    def encode(text: str) -> list[int]:
+    def encode_short(text: str) -> list[int]:
         return public.encode(text, allowed_special="all") if ADDED in text else ordinary(text)
 
+    def encode(text: str) -> list[int]:
+        if len(text) <= LONG_TEXT:
+            return encode_short(text)
+        ids: list[int] = []
+        for start, stop, alone in parts(text, LONG_TEXT):
+            # A pre-token on its own needs the byte-pair step only, at any length.
+            ids += public._core_bpe.encode_single_piece(text[start:stop].encode()) if alone \
+                else encode_short(text[start:stop])
+        return ids
+
     return encode
 
 
+def parts(text: str, longest: int) -> Iterator[tuple[int, int, bool]]:
+    """(start, stop, alone) of consecutive parts: one pre-token alone if it is blank or
+    longer than ``longest``, else a run of others that is about as long at most.
+
+    A run neither begins behind blanks nor ends in them, so that scanning it by
+    itself finds the pre-tokens it has in the text.
+    """
+    start = last = 0
+    for end in pre_token_ends(text):
+        token = text[last:end] if end - last <= longest else ""
+        if not token or token.isspace():
+            if start < last:
+                yield start, last, False
+            yield last, end, True
+            start = end
+        elif end - start >= longest:
+            yield start, end, False
+            start = end
+        last = end
+    if start < len(text):
+        yield start, len(text), False
+
+
 def pre_token_ends(text: str, begin: int = 0) -> Iterator[int]:
     """Where each pre-token from ``begin`` on ends; an added token is one."""
     while True:

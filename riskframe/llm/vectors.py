@@ -239,7 +239,8 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = THRESHOLD,
              .join(counts, "node", "left").join(groups, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
     known = materialize(known, "vector-groups")
-    names = known.groupBy("root").agg(F.min("first_vec").alias("component_id"))
+    names = materialize(  # written first, so that the join can split a large component
+        known.groupBy("root").agg(F.min("first_vec").alias("component_id")), "component-names")
     classes = known.join(names, "root").select(
         "label", "embedding", "component_id",
         (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
