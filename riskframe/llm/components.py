@@ -19,8 +19,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Each round is two grouped minima and two joins on the nodes and is written
     to the shared folder; the rounds end when a round changes nothing, after a
-    number of rounds logarithmic in the longest path.  Self-loops and repeated
-    edges are allowed; no edges give no rows.
+    number of rounds logarithmic in the longest path.  The minima are written
+    before they are joined, so that Spark can split a node that holds many of the
+    edges.  Self-loops and repeated edges are allowed; no edges give no rows.
     """
     loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("node"))
     current = materialize(
@@ -30,16 +31,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while before[0]:
         both = (current.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
                 .unionByName(current.select(F.col("lo").alias("u"), F.col("hi").alias("v"))))
-        least = both.groupBy("u").agg(F.min("v").alias("v0")) \
-            .select("u", F.least("u", "v0").alias("m"))
-        large = (both.join(least, "u").where("v > u")
-                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        nearest = materialize(both.groupBy("u").agg(F.min("v").alias("v0"))
+                              .select("u", F.least("u", "v0").alias("m")), "least-neighbours")
+        large = materialize(both.join(nearest, "u").where("v > u").select(
+            F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large-stars")
+        least = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")), "least-neighbours")
         moved = (large.join(least, "hi").where("lo <> m")
                  .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
         last, current = current, materialize(
             least.select("hi", F.col("m").alias("lo")).unionByName(moved).distinct(), "edges")
-        discard(last)
+        for done in (last, nearest, large, least):
+            discard(done)
         after = _signature(current)
         if after == before:
             break

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import ROW_KEY, keyed, materialize, row_key
+from riskframe.llm.common import ROW_KEY, discard, keyed, materialize, row_key
 from riskframe.llm.components import connected_components
 
 BITS = 64
@@ -97,45 +97,53 @@ def link_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS,
 
     ``prints`` has one row per fingerprint in column ``print``.
     """
+    # A bucket is one number; should two choices meet in one, the distance decides.
     keys = F.explode(F.array(*[
-        F.struct(F.lit(i).cast("short").alias("choice"),
-                 F.col("print").bitwiseAND(F.lit(mask).cast("long")).alias("key"))
+        F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(mask).cast("long")))
         for i, mask in enumerate(block_masks(blocks, max_bits))]))
-    buckets = prints.select("print", keys.alias("k")).select("print", "k.choice", "k.key")
+    buckets = prints.select("print", keys.alias("bucket"))
     shared = materialize(  # written first, so that the join can split a crowded bucket
-        buckets.groupBy("choice", "key")
-        .agg(F.min("print").alias("low"), F.max("print").alias("high"))
-        .where("low <> high"), "shared-blocks")
-    members = materialize(buckets.join(shared, ["choice", "key"]), "block-members")
-
-    own = F.explode(F.array("low", "high"))
+        buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("low"),
+                                      F.max("print").alias("high")).where("low <> high"),
+        "shared-blocks")
+    near = close(F.col("a"), F.col("b"), max_bits)
+    pairs = (shared.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
+             .where(near))
+    # Only buckets of three or more have members that their own row does not name.
+    members = materialize(buckets.join(shared.where("n > 2").drop("n"), "bucket"),
+                          "block-members")
+    pivot = F.explode(F.array("low", "high"))
     stars = materialize(
-        members.select("print", own.alias("pivot")).where("print <> pivot")
-        .where(close(F.col("print"), F.col("pivot"), max_bits))
-        .select(F.col("print").alias("a"), F.col("pivot").alias("b")).distinct(), "star-links")
+        members.select(F.col("print").alias("a"), pivot.alias("b")).where("a <> b").where(near)
+        .unionByName(pairs).distinct(), "star-links")
     groups = connected_components(stars)
 
     placed = materialize(
-        members.select("choice", "key", "print")
+        members.select("bucket", "print")
         .join(groups.select(F.col("node").alias("print"), "root"), "print", "left")
-        .select("choice", "key", "print", F.coalesce("root", "print").alias("root")),
+        .select("bucket", "print", F.coalesce("root", "print").alias("root")),
         "placed-members")
-    sizes = placed.groupBy("choice", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    undecided = (sizes.groupBy("choice", "key")
-                 .agg(F.max_by("root", F.struct("n", "root")).alias("main"),
-                      F.count(F.lit(1)).alias("n_groups"))
-                 .where("n_groups > 1").drop("n_groups"))
-    open_members = placed.join(undecided, ["choice", "key"])
+    for done in (shared, members):
+        discard(done)
+    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    undecided = materialize(sizes.groupBy("bucket")
+                            .agg(F.max_by("root", F.struct("n", "root")).alias("main"),
+                                 F.count(F.lit(1)).alias("n_groups"))
+                            .where("n_groups > 1").drop("n_groups"), "undecided-blocks")
+    open_members = placed.join(undecided, "bucket")
     # One end is outside its bucket's largest component, so crowds never pair off.
-    left = open_members.where("root <> main").select(
-        "choice", "key", F.col("print").alias("a"), F.col("root").alias("root_a"))
-    right = open_members.select(
-        "choice", "key", F.col("print").alias("b"), F.col("root").alias("root_b"), "main")
-    across = (left.join(right, (left["choice"] == right["choice"]) & (left["key"] == right["key"])
-                        & (F.col("root_a") != F.col("root_b"))
-                        & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-                        & close(F.col("a"), F.col("b"), max_bits))
-              .select("a", "b").distinct())
+    left = materialize(open_members.where("root <> main").select(
+        "bucket", F.col("print").alias("a"), F.col("root").alias("root_a")), "outer-members")
+    right = materialize(open_members.select(
+        "bucket", F.col("print").alias("b"), F.col("root").alias("root_b"), "main"),
+        "open-members")
+    discard(placed)
+    across = materialize(
+        left.join(right, "bucket").where(F.col("root_a") != F.col("root_b"))
+        .where((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))).where(near)
+        .select("a", "b").distinct(), "cross-links")
+    for done in (undecided, left, right):
+        discard(done)
     return stars.unionByName(across)
 
 
@@ -149,7 +157,8 @@ def near_duplicate_components(docs: DataFrame, shingle: int = SHINGLE,
     rooted = (distinct.join(groups.withColumnRenamed("node", "print"), "print", "left")
               .select("print", "first_doc", F.coalesce("root", "print").alias("root")))
     rooted = materialize(rooted, "rooted-fingerprints")
-    names = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    names = materialize(  # written first, so that the join can split a large component
+        rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "component-names")
     labels = rooted.join(names, "root").select("print", "root", "component_id")
     return signed.join(labels, "print")
 
