@@ -15,10 +15,16 @@ rates are shuffled or collected.  Passes end when every total is within
 ``TOLERANCE`` of its target; targets that no rates reach raise ``TargetsNotMet``
 with what is missing, and in the pipeline warn of it and take the nearest step.
 
+The classifier's features are the distinct token ids of a text and its look, so
+a text is tokenised once, for its length and its domain.
+
 Defined results: null or empty text has one token at least and posteriors like
-any other; a missing domain in the labelled table gets no posterior; repeated
-rows count as often as they occur; without labelled rows every domain is
-equally likely; an empty table gives no rows; extra columns are ignored.
+any other; a very long text is one document, read whole; a domain missing from
+the labelled table gets no posterior, and the rates then come as near to its
+target as they can, with the miss told in ``missed_<domain>``; equal posteriors
+get equal rates; repeated rows count as often as they occur; without labelled
+rows every domain is equally likely; an empty table gives no rows; extra columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +34,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -46,7 +51,6 @@ TOLERANCE = 1e-4
 #: Parts of a Newton step that one pass tries.
 TRIED = np.array([1, 0.5, 0.25, 0.125, 0.05, 0.01])
 HASH_RANGE = 1 << 20
-STRIP = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 UPPER = bytes(range(65, 91))
 
 #: Target shares of expected tokens by domain.
@@ -61,50 +65,40 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
     ).where("domain is not null").dropDuplicates(["doc_id"])
 
 
-def vocabulary_words(raw: bytes) -> set[bytes]:
-    """Distinct words of a text, lower-cased, without punctuation, and their stems.
-
-    A stem is the first 4 or 5 bytes of a longer word, marked by a star; it ties the
-    forms of a word together in any language.
-    """
-    words = set(raw.translate(None, STRIP).lower().split())
-    stems = {w[:5] + b"*" for w in words if len(w) > 5}
-    stems |= {w[:4] + b"*" for w in words if len(w) > 4}
-    return words | stems
-
-
-def shape(raw: bytes, n_words: int, n_distinct: int) -> list[float]:
-    """Features of a text's look, beside its words."""
-    n, size = max(1, n_words), max(1, len(raw))
-    return [float(np.log1p(n_words)) / 10, 1 - n_distinct / n,
+def shape(raw: bytes, n_tokens: int, n_distinct: int) -> list[float]:
+    """Features of a text's look, beside its tokens."""
+    n, size = max(1, n_tokens), max(1, len(raw))
+    return [float(np.log1p(n_tokens)) / 10, 1 - n_distinct / n, n / size,
             (size - len(raw.translate(None, UPPER))) / size,
-            min(1.0, sum(map(raw.count, b"#*$%&|<>")) / n / 3), min(1.0, raw.count(b"!") / n)]
+            min(1.0, sum(map(raw.count, b"#*$%&|<>")) / n), min(1.0, raw.count(b"!") / n)]
 
 
 N_SHAPE = len(shape(b"", 0, 0))
 
 
+def token_features(raw: bytes) -> tuple[int, np.ndarray, list[float]]:
+    """Number of tokens, distinct token ids in order, and shape of one text."""
+    ids = encoder(default_vocabulary())(raw.decode("utf-8", "replace"))
+    distinct = np.unique(np.asarray(ids, np.int64))
+    return len(ids), distinct, shape(raw, len(ids), len(distinct))
+
+
 @dataclass(frozen=True)
 class DomainModel:
-    """Linear scores per domain over vocabulary words and shape features."""
+    """Linear scores per domain over token ids and shape features."""
 
     domains: tuple[str, ...]
-    words: dict[bytes, int]
-    weights: np.ndarray  # domains x (words + shape)
+    weights: np.ndarray  # token ids x domains; zero outside the vocabulary
+    look: np.ndarray  # shape features x domains
     intercepts: np.ndarray
 
-    def shares(self, raw: bytes) -> np.ndarray:
-        """Domain probabilities of one text."""
-        words, found = raw.split(), vocabulary_words(raw)
-        known = [self.words[w] for w in found & self.words.keys()]
-        scores = (self.intercepts + self.weights[:, known].sum(axis=1)
-                  + self.weights[:, len(self.words):] @ shape(raw, len(words), len(found)))
-        odds = np.exp(scores - scores.max())
-        return odds / odds.sum()
-
     def posteriors(self, raw: bytes) -> tuple[np.ndarray, int]:
         """Domain probabilities and number of tokens of one text."""
-        return self.shares(raw), len(encoder(default_vocabulary())(raw.decode("utf-8", "replace")))
+        n_tokens, distinct, look = token_features(raw)
+        known = distinct[:np.searchsorted(distinct, len(self.weights))]
+        scores = self.intercepts + self.weights[known].sum(axis=0) + look @ self.look
+        odds = np.exp(scores - scores.max())
+        return odds / odds.sum(), n_tokens
 
 
 def fit_domain_model(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...],
@@ -118,21 +112,24 @@ def fit_domain_model(docs: DataFrame, labelled: DataFrame, domains: tuple[str, .
     rows = materialize(docs.select("doc_id", text_bytes().alias("raw"))
                        .join(F.broadcast(sample), "doc_id").select("raw", "domain"), "labelled")
 
-    def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw, domain in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = list(vocabulary_words(raw))
+                n_tokens, distinct, look = token_features(raw)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.binary()), pa.array([domain] * len(found))],
-                    names=["word", "domain"])
+                    [pa.array([distinct], pa.list_(pa.int64())),
+                     pa.array([look], pa.list_(pa.float64())), pa.array([domain])],
+                    names=["ids", "look", "domain"])
 
+    told = materialize(rows.mapInArrow(token_rows, "ids array<long>, look array<double>, "
+                                                   "domain string"), "domain-tokens")
     sizes = {r["domain"]: r["n"] for r in
-             rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = (rows.select("raw", "domain").mapInArrow(word_rows, "word binary, domain string")
-              .groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[
+             told.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = (told.select(F.explode("ids").alias("id"), "domain")
+              .groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[
                   F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{i}")
                   for i, d in enumerate(domains)]).where(F.col("n") >= LEAST_DOCUMENTS))
-    # Words by how far their share in one domain is from that in the others, in
+    # Tokens by how far their share in one domain is from that in the others, in
     # standard errors.
     total, gaps = sum(sizes.values()), [F.lit(0.0)]
     for i, d in enumerate(domains):
@@ -143,33 +140,41 @@ def fit_domain_model(docs: DataFrame, labelled: DataFrame, domains: tuple[str, .
             gaps.append(F.abs(F.col(f"n_{i}") / inside
                               - (F.col("n") - F.col(f"n_{i}")) / outside) / error)
     telling = F.greatest(*gaps, F.lit(0.0))
-    common = counts.orderBy(telling.desc(), "word").limit(vocabulary).collect()
-    words = {bytes(r["word"]): i for i, r in enumerate(common)}
+    common = counts.orderBy(telling.desc(), "id").limit(vocabulary).collect()
+    ids = sorted(r["id"] for r in common)
     present = sorted(sizes)
-    n = len(words) + N_SHAPE
+    weights = np.zeros((ids[-1] + 1 if ids else 0, len(domains)))
+    look = np.zeros((N_SHAPE, len(domains)))
     if len(present) < 2:
         scores = np.array([0.0 if not present or d in present else -60.0 for d in domains])
-        return DomainModel(domains, words, np.zeros((len(domains), n)), scores)
+        return DomainModel(domains, weights, look, scores)
+
+    n = len(ids) + N_SHAPE
+    place = {token: i for i, token in enumerate(ids)}
 
     @F.udf(VectorUDT())
-    def sparse(raw):
-        raw = bytes(raw)
-        found = vocabulary_words(raw)
-        at = sorted(words[w] for w in found & words.keys())
-        return Vectors.sparse(n, at + list(range(len(words), n)),
-                              [1.0] * len(at) + shape(raw, len(raw.split()), len(found)))
+    def sparse(found, shown):
+        at = [place[i] for i in found if i in place]
+        return Vectors.sparse(n, at + list(range(len(ids), n)), [1.0] * len(at) + shown)
 
     # The sample is bounded, so one row-at-a-time function builds its sparse vectors.
     code = F.array_position(F.array(*[F.lit(d) for d in present]), F.col("domain")) - 1
-    train = materialize(rows.select(sparse("raw").alias("features"),
+    train = materialize(told.select(sparse("ids", "look").alias("features"),
                                     code.cast("double").alias("label")), "domain-features")
     model = LogisticRegression(family="multinomial", maxIter=60, regParam=2e-5,
                                standardization=False).fit(train)
-    weights, intercepts = np.zeros((len(domains), n)), np.full(len(domains), -60.0)
+    intercepts = np.full(len(domains), -60.0)
     for i, domain in enumerate(present):
-        weights[domains.index(domain)] = model.coefficientMatrix.toArray()[i]
+        fitted = model.coefficientMatrix.toArray()[i]
+        weights[ids, domains.index(domain)] = fitted[:len(ids)]
+        look[:, domains.index(domain)] = fitted[len(ids):]
         intercepts[domains.index(domain)] = model.interceptVector[i]
-    return DomainModel(domains, words, weights, intercepts)
+    return DomainModel(domains, weights, look, intercepts)
+
+
+def _told_columns(told: list[tuple[np.ndarray, int]]) -> list[pa.Array]:
+    return [pa.array([max(1, n) for _, n in told], pa.int64()),
+            pa.array([p.tolist() for p, _ in told], pa.list_(pa.float64()))]
 
 
 def domain_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
@@ -179,9 +184,7 @@ def domain_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
         for batch in batches:
             told = [model.posteriors(raw) for raw in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                batch.columns[:3]
-                + [pa.array([max(1, n) for _, n in told], pa.int64()),
-                   pa.array([p.tolist() for p, _ in told], pa.list_(pa.float64()))],
+                batch.columns[:3] + _told_columns(told),
                 names=["key_id", "key_hash", "doc_id", "n_tokens", "posterior"])
 
     return keyed(docs).mapInArrow(kernel, "key_id long, key_hash long, doc_id long, "
@@ -207,7 +210,7 @@ class TargetsNotMet(ValueError):
     def __init__(self, steps: np.ndarray, residual: np.ndarray, budget: float):
         shares = ", ".join(f"{share:+.3g}" for share in residual / max(budget, 1.0))
         super().__init__(f"targets not met: domain totals miss them by {shares} of the budget")
-        self.steps, self.residual = steps, residual
+        self.steps, self.residual, self.budget = steps, residual, budget
 
 
 def domain_totals(members: DataFrame, states: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -285,39 +288,33 @@ def fit_rate_steps(members: DataFrame, shares: list[float], anchor: int | None =
     return state[None]
 
 
-def document_rates(members: DataFrame, steps: np.ndarray) -> DataFrame:
-    """``members`` with their fitted ``rate``."""
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rates = rates_after(_posterior_rows(batch), steps) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(rates, pa.float64())],
-                                             names=[*batch.schema.names, "rate"])
-
-    return members.mapInArrow(
-        kernel, "key_id long, key_hash long, doc_id long, n_tokens long, "
-                "posterior array<double>, rate double")
+def rate_column(steps: np.ndarray, posterior: str = "posterior") -> Column:
+    """The rate of each row from its posteriors."""
+    rate = F.lit(1.0)
+    for step in steps:
+        down = [F.col(posterior)[i] * F.lit(float(g)) for i, g in enumerate(step)]
+        rate = F.greatest(F.lit(0.0), rate - sum(down[1:], down[0]))
+    return rate
 
 
 def fit_mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
                 anchor: str | None = None, train_docs: DataFrame | None = None) -> DataFrame:
-    """Posteriors and fitted rate of every document of ``docs``."""
+    """Posteriors and fitted rate of every document of ``docs``.
+
+    ``missed_<domain>``: by how much of the budget its expected tokens miss the
+    target; zero where every target is met to within the tolerance.
+    """
     domains = tuple(targets)
     model = fit_domain_model(docs if train_docs is None else train_docs, labelled, domains)
     members = materialize(domain_posteriors(docs, model), "domain-posteriors")
-    steps = fit_rate_steps(members, list(targets.values()),
-                           None if anchor is None else domains.index(anchor))
-    return document_rates(members, steps)
-
-
-def rate_column(model: DomainModel, steps: np.ndarray, text_column: str = "text") -> Column:
-    """The fitted rate of each row's text, without a join."""
-    @F.pandas_udf("double")
-    def rate(raws: pd.Series) -> pd.Series:
-        rows = [model.shares(raw) for raw in raws]
-        return pd.Series(rates_after(np.array(rows).reshape(-1, len(model.domains)), steps))
-
-    return rate(text_bytes(text_column))
+    missed = np.zeros(len(domains))
+    try:
+        steps = fit_rate_steps(members, list(targets.values()),
+                               None if anchor is None else domains.index(anchor))
+    except TargetsNotMet as nearest:
+        steps, missed = nearest.steps, nearest.residual / max(nearest.budget, 1.0)
+    return members.select("*", rate_column(steps).alias("rate"), *[
+        F.lit(float(share)).alias(f"missed_{d}") for d, share in zip(domains, missed)])
 
 
 def thin_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS,
@@ -326,15 +323,29 @@ def thin_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, flo
     """The rows of ``docs`` drawn at their rates, none more than once.
 
     A row is drawn when a uniform number made from its key's hash is below its rate,
-    so equal rows are drawn alike and a rerun draws the same rows.
+    so equal rows are drawn alike and a rerun draws the same rows.  Each text is
+    classified once: its row is written beside its posteriors and drawn from there.
     """
     domains = tuple(targets)
     model = fit_domain_model(docs if train_docs is None else train_docs, labelled, domains)
-    members = materialize(domain_posteriors(docs, model), "domain-posteriors")
+    uniform = F.pmod(F.xxhash64(*row_key(docs), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+                       uniform.alias("uniform"), F.lit(0).cast("long").alias("n_tokens"),
+                       F.array().cast("array<double>").alias("posterior"))
+    at = docs.columns.index("text")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).field(at).cast(pa.string()).cast(pa.binary()).to_pylist()
+            told = [model.posteriors(raw or b"") for raw in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *_told_columns(told)],
+                names=["row", "uniform", "n_tokens", "posterior"])
+
+    members = materialize(rows.mapInArrow(kernel, rows.schema), "classified-documents")
     try:
         steps = fit_rate_steps(members, list(targets.values()), domains.index(anchor))
     except TargetsNotMet as missed:
         warnings.warn(str(missed), stacklevel=2)
         steps = missed.steps
-    uniform = F.pmod(F.xxhash64(*row_key(docs), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return docs.where(uniform < rate_column(model, steps))
+    return members.where(F.col("uniform") < rate_column(steps)).select("row.*")
