@@ -92,7 +92,7 @@ FROM d LEFT JOIN kept USING (r)
 
 
 def _rule_spans(number: int, rule: secrets.SecretRule) -> str:
-    regex = rule.regex.replace("'", "''")
+    regex = (rule.plain or rule.regex).replace("'", "''")
     told = f"regexp_extract_all(t, '{regex}', {rule.group})"
     return f"""
   SELECT r, {number} AS kind, '{rule.kind}' AS name, i,
@@ -141,10 +141,132 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM v JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
 """
 
+OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT r, i, md5(b[i + 1:i + 400]) AS gram
+  FROM (SELECT r, b, unnest(range(0, octet_length(b) - 399)) AS i FROM d)),
+again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY gram) AS n FROM w) WHERE n > 1),
+runs AS (
+  SELECT r, i, sum(begins) OVER (PARTITION BY r ORDER BY i) AS run FROM (
+    SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 1 ELSE 0 END
+           AS begins FROM again)),
+spans AS (SELECT r, run, min(i) AS a, max(i) + 400 AS z FROM runs GROUP BY r, run),
+parts AS (
+  SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS from_byte FROM spans),
+cut AS (
+  SELECT r, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, max(z) AS upto,
+         string_agg(hex(b[from_byte + 1:a]), '' ORDER BY a) AS kept
+  FROM parts JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || hex(b[coalesce(upto, 0) + 1:octet_length(b)])))
+         AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+
+def _kmeans(rounds: int, count: int) -> str:
+    """Rounds of assignment and exact means, written out one after another."""
+    steps = [f"""
+v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id, e) - 1 AS k, e FROM v
+  QUALIFY k < {count})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v.e AS e, t.k AS k, t.dist AS dist FROM v JOIN (
+    SELECT r, min(list_value(list_sum(list_transform(list_zip(v.e, c.e),
+      lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, c.k)) AS best,
+      best[1] AS dist, best[2] AS k
+    FROM v, c{i} AS c GROUP BY r) AS t USING (r))""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (
+  SELECT k, list(m ORDER BY p) AS e FROM (
+    SELECT k, p, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM (SELECT k, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{i}) GROUP BY k, p)
+  GROUP BY k),
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.k AS k, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} USING (k))""")
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, a.k::INTEGER AS cluster, dist AS distance,
+       sum(dist) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia,
+       sum(dist) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c USING (k)
+"""
+
+
+OP12 = _kmeans(rounds=5, count=40)
+
+#: crc32 of a decimal number, bit by bit.
+_CRC32 = """
+list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    string_split({number}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))
+"""
+
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, c - ((c % 5) + 5) % 5 AS base, xor({_CRC32.format(number="c")}, 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+plans AS (
+  SELECT ids.*, least(h, (SELECT count(*) FROM t WHERE t.c = ids.base)) AS n_head FROM ids),
+rebuilt AS (
+  SELECT p.c, t.k + 1 AS d, role, text FROM plans p JOIN t ON t.c = p.base AND t.k < p.n_head
+  UNION ALL
+  SELECT p.c, t.k - p.h + p.n_head + 1, role, text FROM plans p JOIN t ON t.c = p.c
+  WHERE t.k >= p.h),
+paths AS (
+  SELECT c, d, octet_length(encode(text)) AS bytes,
+         md5(string_agg(md5(role) || md5(text), '' ORDER BY d) OVER (
+           PARTITION BY c ORDER BY d)) AS node
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM plans),
+sizes AS (SELECT c, max(d) AS n_turns FROM paths GROUP BY c),
+steps AS (
+  SELECT c, d, bytes, node, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent,
+         d = n_turns AS last FROM paths JOIN sizes USING (c)),
+nodes AS (
+  SELECT d, node, parent, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM steps GROUP BY d, node, parent),
+below AS (
+  SELECT DISTINCT a.d, a.node, b.d AS sub_d, b.node AS sub
+  FROM steps a JOIN steps b ON a.c = b.c AND b.d >= a.d),
+children AS (SELECT d - 1 AS d, parent AS node, count(*) AS n FROM nodes GROUP BY 1, 2),
+totals AS (
+  SELECT below.d, below.node, count(*) FILTER (k.n IS NULL) AS n_leaves,
+         sum((s.n_convs - 1) * s.bytes)::BIGINT AS saved_tokens
+  FROM below JOIN nodes s ON s.d = below.sub_d AND s.node = below.sub
+  LEFT JOIN children k ON k.d = s.d AND k.node = s.node GROUP BY below.d, below.node)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(k.n, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals USING (d, node)
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.node = n.parent
+LEFT JOIN children k ON k.d = n.d AND k.node = n.node
+"""
+
 ORACLE = {
     "op1_quality_rules": OP1,
     "op7_substring_dedup": OP7,
     "op8_line_dedup": OP8,
     "op9_secret_scan": OP9,
     "op10_embedding_dedup": OP10,
+    "op11_suffix_array_dedup": OP11,
+    "op12_centroid_clustering": OP12,
+    "op13_prefix_trie": OP13,
 }

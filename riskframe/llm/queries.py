@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (lines, mixing, packing, quality_ranker, quality_rules, secrets,
-                           simhash, substrings, token_counts, vectors)
+from riskframe.llm import (clusters, lines, mixing, packing, quality_ranker, quality_rules,
+                           repeats, secrets, simhash, substrings, token_counts, trie, vectors)
 from riskframe.llm.common import materialize, read_table
 from riskframe.llm.oracles import ORACLE
 
@@ -47,7 +47,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     domains = mixing.domain_of_labels(read_table(spark, sf_dir, "labels"))
     mixed = mixing.fit_mixture(read_table(spark, sf_dir, "documents"), domains, mixing.TARGETS)
     shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
-    return mixed.select("doc_id", "n_tokens", *shares, "rate")
+    missed = [f"missed_{d}" for d in mixing.TARGETS]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", *missed)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,22 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        "centroid_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -89,4 +106,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskframe.llm import mixing, quality_ranker, token_counts, tokens
+from riskframe.llm import queries as Q
 from riskframe.llm.common import read_table
 from tests.llm import corpora
 
 
 @pytest.fixture(scope="module")
 def encode():
-    return tokens.encoding(tokens.default_vocabulary()).encode_ordinary
+    return tokens.encoder(tokens.default_vocabulary())
 
 
 # Token counts ------------------------------------------------------------------
@@ -31,7 +32,6 @@ def test_ids_equal_the_other_library(encode):
     from tokenizers import Tokenizer
 
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    other.encode_special_tokens = True
     rng = random.Random(2)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randrange(60))) for _ in range(2000)]
     texts += [r[1] or "" for r in corpora.awkward_rows()]
@@ -40,6 +40,28 @@ def test_ids_equal_the_other_library(encode):
         assert encode(text) == other.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("unit, times", [(" ", 2_000_000), ("\n", 2_000_000), ("\t", 2_000_000),
+                                         ("word", 500_000), ("\n\n\nfour words\n \n", 60_000),
+                                         ("don't <|endoftext|>  stop ", 30_000)])
+def test_ids_of_very_long_texts(encode, unit, times):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "begin " + unit * times + "x end"
+    assert encode(text) == other.encode(text, add_special_tokens=False).ids
+
+
+def test_parts_of_long_texts_change_no_ids(encode):
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choices(ALPHABET + ["<|endoftext|>"], k=rng.randrange(80)))
+        ids = []
+        for start, stop, alone in tokens.parts(text, rng.choice([1, 3, 10])):
+            ids += encode(text[start:stop])
+        assert ids == encode(text)
+
+
 ADDED = ["<|endoftext|>", "<|endoftext|", "<|endo", "ftext|>", "|>", "<", ">", "   ", "a", " b", "!"]
 
 
@@ -268,7 +290,8 @@ def test_steps_match_plain_projected_gradient(spark):
     rates = mixing.rates_after(posterior, steps)
     held = (rates * n_tokens) @ posterior
     assert held / n_tokens.sum() == pytest.approx([0.7, 0.2, 0.1], abs=1e-6)
-    got = {r.doc_id: r.rate for r in mixing.document_rates(frame, steps).collect()}
+    got = {r.doc_id: r.rate for r in
+           frame.select("doc_id", mixing.rate_column(steps).alias("rate")).collect()}
     assert np.allclose([got[i] for i in range(400)], rates)
 
 
@@ -311,6 +334,24 @@ def test_mixing_without_labels_or_documents(spark):
     assert mixing.thin_to_targets(corpora.empty(spark), none, {"a": 1.0}, "a").count() == 0
 
 
+@pytest.mark.parametrize("which", ["quality is null", "toxic = 0", "quality = 1"])
+def test_registered_mixing_on_labels_that_lack_domains(spark, tmp_path, which):
+    """No label at all, no toxic one, or no low one: rates for every row, misses told."""
+    for table in ("documents", "labels"):
+        rows = read_table(spark, corpora.SMALL, table)
+        (rows.where(which) if table == "labels" else rows).write.parquet(
+            f"{tmp_path}/{table}.parquet")
+    rows = Q.op6_mixing(spark, str(tmp_path)).collect()
+    assert len(rows) == read_table(spark, corpora.SMALL, "documents").count()
+    assert all(r.rate >= 0 for r in rows)
+    held = np.array([[r.n_tokens * r.rate * r[f"p_{d}"] for d in mixing.TARGETS] for r in rows])
+    budget = sum(r.n_tokens for r in rows)
+    gap = held.sum(axis=0) / budget - np.array(list(mixing.TARGETS.values()))
+    told = np.array([rows[0][f"missed_{d}"] for d in mixing.TARGETS])
+    assert np.abs(gap - told).max() <= mixing.TOLERANCE
+    assert np.abs(told).max() > mixing.TOLERANCE
+
+
 # Pipeline ----------------------------------------------------------------------
 
 def test_stages_keep_columns_and_clean_documents(spark):
