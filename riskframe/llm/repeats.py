@@ -54,7 +54,7 @@ CORE = 200
 #: Bytes whose hash names anchors.
 GRAM = 8
 #: Distinct contexts of one core that a task sorts; larger cores are cut finer.
-CONTEXTS = 4096
+CONTEXTS = 1024
 #: Distances to the anchor in one slice, level by level.
 SLICES = (16, 1)
 
@@ -190,8 +190,9 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], counts: list[int],
 GROUP_SCHEMA = "core long, group_no long, name long, left long, right long"
 
 
-def core_repeats(span: int):
-    """The task: contexts sorted by core to maximal repeats with all their members."""
+def core_repeats(span: int, reach_only: bool):
+    """The task: contexts sorted by core to maximal repeats with all their members, or,
+    with ``reach_only``, to one row per context: the furthest that its repeats go."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
@@ -201,9 +202,16 @@ def core_repeats(span: int):
         for core, found in groupby(rows(), key=lambda r: r[0]):
             # As many as the caller's limit, however often each occurs.
             _, names, lefts, rights, counts = map(list, zip(*found))
+            reach: dict[int, tuple[int, int]] = {}
             for left, right, members in maximal_repeats(lefts, rights, counts, span):
+                if reach_only:
+                    for i in members:
+                        far = reach.get(i, (0, 0))
+                        reach[i] = max(far[0], left), max(far[1], right)
+                    continue
                 out += [(core, group, names[i], left, right) for i in members]
                 group += 1
+            out += [(core, -1, names[i], *far) for i, far in reach.items()]
             if len(out) > 10_000:
                 yield _group_batch(out)
                 out = []
@@ -238,8 +246,9 @@ def sliced(contexts: DataFrame, span: int, width: int) -> DataFrame:
 
 
 def maximal_groups(contexts: DataFrame, span: int = SPAN, limit: int = CONTEXTS,
-                   slices: tuple[int, ...] = SLICES) -> DataFrame:
-    """core, group_no, name, left, right: maximal repeats with all their contexts.
+                   slices: tuple[int, ...] = SLICES, reach_only: bool = False) -> DataFrame:
+    """core, group_no, name, left, right: maximal repeats with all their contexts, or
+    how far they reach around each context's anchor, group by group of its slices.
 
     ``contexts`` (core, name, before, behind, n) has the distinct contexts of each core
     and how often each occurs.  Cores of more than ``limit`` contexts go on to slices of
@@ -254,7 +263,7 @@ def maximal_groups(contexts: DataFrame, span: int = SPAN, limit: int = CONTEXTS,
         small = level.join(fitting.select("core"), "core")
         found = (small.repartition("core").sortWithinPartitions("core")
                  .select("core", "name", "before", "behind", "n")
-                 .mapInArrow(core_repeats(span), GROUP_SCHEMA))
+                 .mapInArrow(core_repeats(span, reach_only), GROUP_SCHEMA))
         if owners is not None:
             found = (found.withColumnRenamed("name", "slice_name")
                      .join(owners, "slice_name").drop("slice_name"))
@@ -288,11 +297,14 @@ def maximal_groups(contexts: DataFrame, span: int = SPAN, limit: int = CONTEXTS,
 # Documents -------------------------------------------------------------------------
 
 def repeat_occurrences(docs: DataFrame, span: int = SPAN, core: int = CORE,
-                       limit: int = CONTEXTS, slices: tuple[int, ...] = SLICES) -> DataFrame:
+                       limit: int = CONTEXTS, slices: tuple[int, ...] = SLICES,
+                       reach_only: bool = False) -> DataFrame:
     """key_id, key_hash, at, left, right, core, group_no: every occurrence of every
     maximal repeat around an anchor, ``left + right`` bytes from ``at - left`` on.
 
-    A repeat longer than the windows of one anchor is told anchor by anchor.
+    A repeat longer than the windows of one anchor is told anchor by anchor.  Groups
+    inside groups list their members again; ``reach_only`` tells of each occurrence just
+    how far all its groups go, which is what covers its repeated bytes.
     """
     found = materialize(anchored(docs, span, core), "anchors")
     cores = materialize(  # written first, so that the join can split a core of many rows
@@ -316,7 +328,8 @@ def repeat_occurrences(docs: DataFrame, span: int = SPAN, core: int = CORE,
                         F.expr(f"substring(raw, cast(at + 1 as int), {span} - near)")
                         .alias("behind"))
                 .dropDuplicates(["name"]))  # rows that share a key hold one text
-    groups = maximal_groups(materialize(contexts, "context-bytes"), span, limit, slices)
+    groups = maximal_groups(materialize(contexts, "context-bytes"), span, limit, slices,
+                            reach_only)
     named = materialize(groups.select("name", "group_no", "left", "right",
                                       F.col("core").alias("group_core"))
                         .join(told.select("name", "core", "context"), "name"), "named-groups")
@@ -349,7 +362,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, core: int = CORE,
     """doc_id, n_bytes, n_removed, n_spans, kept (binary): texts without repeated bytes."""
     # Written first, so that the join can split a key that many equal rows share.
     stretches = materialize(
-        repeated_stretches(repeat_occurrences(docs, span, core, limit, slices)),
+        repeated_stretches(repeat_occurrences(docs, span, core, limit, slices, True)),
         "repeated-stretches")
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
