@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +139,62 @@ def confusion_by_rules(df: DataFrame, rules: dict, label_col: str = "label") ->
                   .agg(F.sum("_n").alias("n")))
 
 
+def cell_vectors(df: DataFrame, predictions_col: str, n_models: int, label_col: str = "label",
+                 n_classes: int = 2, weight_col: str | None = None) -> DataFrame:
+    """One row, one column ``cells``: the confusion cells of many models, as one vector; no
+    row where there are no labelled rows.
+
+    Each row's predictions (an array, one per model) become a one-hot vector of models x
+    classes x classes cells, and vectors are summed: a buffer per task, whatever the
+    number of models or of distinct combinations of their predictions.
+    """
+    place = F.col(label_col).cast("int") * n_classes
+    hot = F.flatten(F.transform(F.col(predictions_col), lambda p: F.transform(
+        F.sequence(F.lit(0), F.lit(n_classes * n_classes - 1)),
+        lambda cell: (cell == place + p.cast("int")).cast("double"))))
+    rows = df.where(F.col(label_col).isNotNull()).select(
+        array_to_vector(hot).alias("cells"),
+        (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("weight"))
+    # One group, so that no rows give no sum instead of a sum of nothing, which raises.
+    return rows.groupBy(F.lit(0).alias("all_rows")).agg(
+        Summarizer.sum(F.col("cells"), F.col("weight")).alias("cells")).select("cells")
+
+
+def confusion_vector(df: DataFrame, predictions_col: str, n_models: int,
+                     label_col: str = "label", n_classes: int = 2,
+                     weight_col: str | None = None) -> list[list[list[float]]]:
+    """Confusion matrices (rows: labels) of many models from one scan; no rows give zeros."""
+    found = cell_vectors(df, predictions_col, n_models, label_col, n_classes, weight_col).first()
+    size = n_classes * n_classes
+    flat = found[0].toArray().tolist() if found else [0.0] * (n_models * size)
+    return [[flat[m * size + a * n_classes:m * size + (a + 1) * n_classes]
+             for a in range(n_classes)] for m in range(n_models)]
+
+
+def confusion_grid(df: DataFrame, rules: dict, label_col: str = "label",
+                   n_classes: int = 2, weight_col: str | None = None) -> DataFrame:
+    """``(model, label, prediction, n)`` of any number of models from one scan.
+
+    ``rules`` maps a model to its prediction (a column or SQL expression).  Where
+    ``confusion_by_rules`` groups by all predictions at once, this adds one vector per
+    task, so it suits a whole grid of models.  Empty cells are left out.
+    """
+    names = list(rules)
+    told = df.select(
+        F.col(label_col).alias("label"),
+        (F.col(weight_col) if weight_col else F.lit(1.0)).alias("weight"),
+        F.array(*[_expr(rules[n]).cast("double") for n in names]).alias("told"))
+    cells = cell_vectors(told, "told", len(names), "label", n_classes, "weight")
+    size = n_classes * n_classes
+    spread = cells.select(F.posexplode(vector_to_array("cells")).alias("at", "n"))
+    return spread.where("n > 0").select(
+        F.get(F.array(*[F.lit(n) for n in names]), F.floor(F.col("at") / size).cast("int"))
+        .alias("model"),
+        F.floor(F.col("at") % size / n_classes).cast("int").alias("label"),
+        (F.col("at") % n_classes).cast("double").alias("prediction"),
+        F.col("n").cast("bigint").alias("n"))
+
+
 def confusion_counts(scored: DataFrame, label_col: str = "label",
                      prediction_col: str = "prediction",
                      model_col: str | None = "model") -> DataFrame:

@@ -80,6 +80,47 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
+#: Copies numbered by one task at a time.
+COPY_BLOCK = 1 << 16
+
+
+def number_copies(df: DataFrame, number_col: str = "copy") -> DataFrame:
+    """``df`` with a number (from 0) that tells the copies of equal rows apart.
+
+    Equal rows are counted, combined before they travel, and written out again from
+    their count in blocks that are dealt to all tasks, so a row that holds a third of
+    the table is no task's own.  Numbers depend on the rows alone, not on their order.
+    """
+    columns = df.columns
+    counted = df.groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("_last"))
+    blocks = counted.select(*columns, "_last", F.explode(F.sequence(
+        F.lit(0), F.floor(F.col("_last") / COPY_BLOCK))).alias("_block"))
+    first = F.col("_block") * COPY_BLOCK
+    return (blocks.repartition(*columns, "_block")
+            .select(*columns, F.explode(F.sequence(first, F.least(
+                first + (COPY_BLOCK - 1), F.col("_last")))).alias(number_col)))
+
+
+def copy_split(df: DataFrame, train_fraction: float = 0.8, digest_of=None,
+               part_col: str | None = None):
+    """Train/test split of a table without a key: copies of a row are dealt one by one.
+
+    A row's part is a function of an md5 over its columns (or the expressions
+    ``digest_of``) and its copy's number, so the parts of a table hold the same rows
+    however it is ordered, partitioned or rerun.  Returns (train, test), or one frame
+    with ``part_col``.
+    """
+    numbered = number_copies(df, "_copy")
+    told = digest_of or [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in df.columns]
+    digest = F.substring(F.md5(F.concat_ws("|", *[x.cast("string") for x in told],
+                                           F.col("_copy").cast("string"))), 1, 8)
+    is_train = digest < F.lit(f"{round(train_fraction * 0xFFFFFFFF):08x}")
+    if part_col:
+        return numbered.withColumn(part_col, F.when(is_train, F.lit("train"))
+                                   .otherwise(F.lit("test"))).drop("_copy")
+    return numbered.where(is_train).drop("_copy"), numbered.where(~is_train).drop("_copy")
+
+
 HASH_BUCKETS = 1 << 16
 
 

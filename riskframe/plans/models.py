@@ -117,11 +117,13 @@ def param_grid(estimator, grid: dict, n_features: int | None = None,
 
 def grid_rows(grid_maps) -> list[tuple[int, str]]:
     """``(combo, "name=value, ...")`` for each ParamMap, names sorted."""
-    out = []
-    for i, pm in enumerate(grid_maps):
-        items = sorted((p.name, v) for p, v in pm.items())
-        out.append((i, ", ".join(f"{k}={_fmt(v)}" for k, v in items)))
-    return out
+    return [(i, settings_text({p.name: v for p, v in pm.items()}))
+            for i, pm in enumerate(grid_maps)]
+
+
+def settings_text(settings: dict) -> str:
+    """``"name=value, ..."``, names sorted."""
+    return ", ".join(f"{k}={_fmt(v)}" for k, v in sorted(settings.items()))
 
 
 def _fmt(v) -> str:
@@ -135,20 +137,24 @@ def pipeline(*stages) -> Pipeline:
 
 
 def coded_pipeline(df: DataFrame, outcome_col: str, classifier, label_col: str = "label",
-                   features_col: str = "features", suffix: str = "_vec") -> Pipeline:
+                   features_col: str = "features", suffix: str = "_vec",
+                   nominal: bool = True) -> Pipeline:
     """``[indexer, assembler, classifier]`` built from the frame's schema.
 
     String columns are indexed (by frequency, unseen and null values to an
     extra index), the outcome becomes ``label`` the same way, every other
     column passes through; the assembler keeps nulls as NaN.  Feature order
-    follows the frame's column order.
+    follows the frame's column order.  Vocabularies stay tables; ``nominal`` marks
+    the features as categories for trees, for columns of codes.
     """
     from riskframe.operators.cohort import features_minus_target, type_dispatch
-    from riskframe.operators.features import assembler, string_indexer
+    from riskframe.operators.features import assembler
+    from riskframe.operators.vocabulary import VocabularyIndexer
 
     strings, _ = type_dispatch(df, exclude=(outcome_col,))
-    indexer = string_indexer(strings + [outcome_col],
-                             [f"{c}{suffix}" for c in strings] + [label_col], "keep")
+    indexer = VocabularyIndexer(inputCols=strings + [outcome_col], handleInvalid="keep",
+                                outputCols=[f"{c}{suffix}" for c in strings] + [label_col],
+                                nominal=nominal)
     features = [f"{c}{suffix}" if c in strings else c
                 for c in features_minus_target(df.columns, outcome_col)]
     classifier.setFeaturesCol(features_col).setLabelCol(label_col)

@@ -47,11 +47,11 @@ WHERE CS_SEXO = 'M' OR CS_SEXO = 'F'
 PLANTED = """
 SELECT *, max_by(label, n_side) OVER (PARTITION BY a) AS majority FROM (
   SELECT *, count(*) OVER (PARTITION BY a, label) AS n_side FROM (
-    SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS a,
-           1 - CAST(l_quantity > 25 AS INTEGER) AS b, CAST(l_discount > 0.05 AS INTEGER) AS d,
-           CAST(CAST(l_quantity > 25 AS INTEGER) <> CAST(l_orderkey % 10 = 3 AS INTEGER)
+    SELECT l_orderkey, l_linenumber, CAST(l_quantity > 30 AS INTEGER) AS a,
+           1 - CAST(l_quantity > 30 AS INTEGER) AS b, CAST(l_discount > 0.05 AS INTEGER) AS d,
+           CAST(CAST(l_quantity > 30 AS INTEGER) <> CAST(l_orderkey % 10 = 3 AS INTEGER)
                 AS INTEGER) AS label,
-           CAST(l_orderkey % 3 AS INTEGER) AS fold
+           CAST((l_orderkey // 10) % 5 AS INTEGER) AS fold
     FROM lineitem))
 """
 
@@ -69,6 +69,12 @@ f1_groups AS (
 """
 
 
+#: The same of predicting the most frequent label everywhere, as ``c1_groups``.
+CONSTANT_F1 = PLANTED_F1.format(group="fold", source="""(
+  SELECT fold, label, (SELECT label FROM planted GROUP BY label ORDER BY count(*) DESC, label
+                       LIMIT 1) AS majority FROM planted)""").replace("f1_", "c1_")
+
+
 def with_cohort(body: str) -> str:
     """Prefix a query with the cases / filtered / cohort CTEs."""
     return (f"WITH cases AS ({CASES}), filtered AS ({FILTERED}), "

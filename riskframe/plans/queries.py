@@ -470,6 +470,21 @@ def q_table_append(spark, sf_dir):
     return files.scan_table(spark, name)
 
 
+@register("table_replace", sql=_with_confusion(CLASS_METRICS_SQL + """
+SELECT model, tp, fp, fn, tn, accuracy FROM class_metrics"""))
+def q_table_replace(spark, sf_dir):
+    """A rerun replaces its models' rows: written twice, one model a third time, held once."""
+    from riskframe.session import scratch_path
+    from riskframe.sources import files, sinks
+    cm = round_doubles(met.class_metrics(confusion(spark, sf_dir), 0.0)).select(
+        "model", "tp", "fp", "fn", "tn", "accuracy")
+    path = scratch_path(spark, "metrics-by-model")
+    for rows in (cm.withColumn("tp", F.lit(0).cast("bigint")), cm,
+                 cm.where(F.col("model") == sorted(S.SCORE_RULES)[0])):
+        sinks.replace_rows(rows, path, ["model"])
+    return files.scan_parquet(spark, path).select(cm.columns)
+
+
 @register("preview_topn", sql=O.with_cohort(
     f"SELECT {COHORT_COLS} FROM cohort ORDER BY "
     + ", ".join(f"{c} NULLS FIRST" for c in COHORT_COLS.split(", ")) + " LIMIT 20"))
@@ -654,6 +669,66 @@ def q_type_dispatch(spark, sf_dir):
     return out.select(*others, *[f"{c}_vec" for c in strings])
 
 
+@register("vocabulary_index", sql=O.with_cases("""
+, train AS (SELECT * FROM cases WHERE case_order % 5 < 4),
+vocab AS (SELECT NU_IDADE_N AS v, row_number() OVER (ORDER BY count(*) DESC, NU_IDADE_N) - 1 AS i
+          FROM train WHERE NU_IDADE_N IS NOT NULL AND case_order % 7 <> 0 GROUP BY 1)
+SELECT c.case_order, c.case_line,
+       CAST(COALESCE(i, (SELECT count(*) FROM vocab)) AS DOUBLE) AS idx
+FROM cases c LEFT JOIN vocab ON v = c.NU_IDADE_N WHERE case_order % 5 = 4"""))
+def q_vocabulary_index(spark, sf_dir):
+    """Fitted on one part of the table, saved, loaded and applied to another, whose unseen
+    values get the extra index."""
+    from pyspark.ml import PipelineModel
+
+    from riskframe.operators import vocabulary as V
+    from riskframe.plans import models as M
+    from riskframe.session import scratch_path
+    from riskframe.sources import sinks
+    rows = cases(spark, sf_dir).select("case_order", "case_line", "NU_IDADE_N")
+    indexer = V.VocabularyIndexer(inputCols=["NU_IDADE_N"], outputCols=["idx"])
+    fitted = M.pipeline(indexer).fit(rows.where("case_order % 5 < 4 and case_order % 7 <> 0"))
+    loaded = sinks.load_model(sinks.save_model(fitted, scratch_path(spark, "indexer")),
+                              PipelineModel)
+    return loaded.transform(rows.where("case_order % 5 = 4")).drop("NU_IDADE_N")
+
+
+GRID_MODELS = 188
+
+
+@register("confusion_grid", sql=O.with_cohort(f"""
+SELECT 'over_' || t.i AS model, label,
+       CAST(30 * RENAL + 20 * DIABETES + COALESCE(NU_IDADE_N, 0) > t.i AS DOUBLE) AS prediction,
+       count(*) AS n
+FROM cohort, range({GRID_MODELS}) AS t(i) GROUP BY ALL"""))
+def q_confusion_grid(spark, sf_dir):
+    """Confusion counts of as many models as the study's grids have, in one scan."""
+    points = "30 * RENAL + 20 * DIABETES + COALESCE(NU_IDADE_N, 0)"
+    rules = {f"over_{i}": f"CAST({points} > {i} AS DOUBLE)" for i in range(GRID_MODELS)}
+    return met.confusion_grid(cohort(spark, sf_dir), rules)
+
+
+COPY_COLUMNS = ("l_returnflag", "l_linestatus", "l_quantity", "l_discount")
+
+
+@register("copy_split", sql=f"""
+SELECT {", ".join(COPY_COLUMNS)}, count(*) AS n, count(*) FILTER (h < 'cccccccc') AS n_train
+FROM (SELECT *, substr(md5(concat_ws('|', l_returnflag, l_linestatus,
+        CAST(l_quantity AS BIGINT), CAST(round(l_discount * 100) AS BIGINT),
+        row_number() OVER (PARTITION BY {", ".join(COPY_COLUMNS)}) - 1)), 1, 8) AS h FROM lineitem)
+GROUP BY ALL""")
+def q_copy_split(spark, sf_dir):
+    """Rows without a key: copies are numbered and dealt to the parts one by one."""
+    from riskframe.operators import sampling
+    rows = lineitem(spark, sf_dir).select(*COPY_COLUMNS)
+    text = [F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity").cast("bigint"),
+            F.round(F.col("l_discount") * 100).cast("bigint")]
+    parts = sampling.copy_split(rows, 0.8, digest_of=text, part_col="part")
+    return parts.groupBy(*COPY_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("part") == "train", 1)).alias("n_train"))
+
+
 FLAGSHIP = "study"
 
 
@@ -664,27 +739,32 @@ SELECT label, CAST(majority AS DOUBLE) AS prediction, count(*) AS n FROM planted
 
 ALL_KINDS = ("lr", "rf", "gbt", "mlp", "lsvc", "nb", "fm")
 
-# Settings under which each family finds the majority side.
+# Settings under which each family finds the majority side.  Three iterations of the SVM
+# and twenty of the factorization machine are the most that the study's grids ask for.
 PLANTED_SETTINGS = {
-    "lr": {"maxIter": 3, "regParam": 0.01},
-    "rf": {"numTrees": 5, "featureSubsetStrategy": "all", "maxDepth": 2, "seed": 1},
-    "gbt": {"maxIter": 2, "maxDepth": 2, "seed": 1},
-    "mlp": {"hidden": [5], "maxIter": 30, "seed": 1},
+    "lr": {"maxIter": 20, "regParam": 0.01, "elasticNetParam": 1.0},
+    "rf": {"numTrees": 5, "featureSubsetStrategy": "all", "maxDepth": 5, "seed": 1},
+    "gbt": {"maxIter": 3, "maxDepth": 5, "seed": 1},
+    "mlp": {"layers": [3, 5, 2], "maxIter": 30, "seed": 1},
     "lsvc": {"maxIter": 3, "regParam": 0.01},
     "nb": {},
     "fm": {"maxIter": 20, "stepSize": 0.1, "seed": 1},
 }
 
-# Two combinations per family for the searches.
+# Two combinations per family for the searches.  The first of lr, rf and gbt can only
+# predict one label everywhere, so their second wins; the others tie.
 PLANTED_GRIDS = {
-    "lr": {"maxIter": [2, 3]},
-    "rf": {"numTrees": [3, 5]},
-    "gbt": {"maxIter": [2, 3]},
-    "mlp": {"hidden": [[5], [6]]},
+    "lr": {"regParam": [10.0, 0.01]},
+    "rf": {"maxDepth": [0, 5]},
+    "gbt": {"maxDepth": [0, 5]},
+    "mlp": {"layers": [[3, 5, 2], [3, 6, 2]]},
     "lsvc": {"regParam": [0.01, 0.02]},
     "nb": {"smoothing": [1.0, 2.0]},
-    "fm": {"maxIter": [15, 20]},
+    "fm": {"regParam": [0.0, 0.0001]},
 }
+PLANTED_FOLDS = 5
+# Fits on patterns are many short jobs: more of them at a time than cores.
+SUITE_THREADS = 16
 
 # Parts of a training frame: dealt by key, whatever the cluster.
 TRAIN_PARTS, TRAIN_KEY = 8, ("l_orderkey", "l_linenumber")
@@ -703,11 +783,7 @@ def planted_training(spark, sf_dir) -> DataFrame:
 
 
 def planted_settings(kind: str) -> dict:
-    """Fixed settings with the perceptron's layers spelled out."""
-    fixed = dict(PLANTED_SETTINGS[kind])
-    if "hidden" in fixed:
-        fixed["layers"] = [len(S.PLANTED_FEATURES), *fixed.pop("hidden"), 2]
-    return fixed
+    return dict(PLANTED_SETTINGS[kind])
 
 
 def fit_planted(spark, sf_dir, kind: str):
@@ -768,21 +844,45 @@ def q_pipeline_fit(spark, sf_dir):
     return met.confusion_counts(model.transform(df), model_col=None)
 
 
-def _suite(spark, sf_dir, grids: bool = True, folds: int = 3, train_only: bool = False):
-    """Search the seven families on the fold column."""
-    from riskframe.plans import models as M
-    data = planted_parts(spark, sf_dir)[0] if train_only else planted_assembled(spark, sf_dir)
-    specs = []
-    for kind in ALL_KINDS:
-        grid = PLANTED_GRIDS[kind] if grids else {}
-        fixed = {k: v for k, v in PLANTED_SETTINGS[kind].items() if k not in grid}
-        specs.append(M.ModelSpec(kind, fixed, grid))
-    return M.train_suite(data, specs, num_folds=folds, fold_col="fold",
-                         n_features=len(S.PLANTED_FEATURES), n_classes=2,
-                         partitions=TRAIN_PARTS, key_cols=TRAIN_KEY)
+def planted_searches(kinds=ALL_KINDS) -> list:
+    from riskframe.plans import search as R
+    return [R.Search(k, {n: v for n, v in PLANTED_SETTINGS[k].items()
+                         if n not in PLANTED_GRIDS[k]}, PLANTED_GRIDS[k]) for k in kinds]
 
 
-def _search(spark, sf_dir, kind: str = "lr", folds: int = 3):
+def ledger_path(spark, sf_dir: str, name: str) -> str:
+    """A new ledger, or one under ``riskframe.ledger.dir`` where the session names a folder:
+    searches of the same rows and settings then go on from each other."""
+    import hashlib
+
+    from riskframe.session import scratch_path
+    root = spark.conf.get("riskframe.ledger.dir", None)
+    if not root:
+        return scratch_path(spark, "ledger")
+    told = f"{sf_dir} {name} {PLANTED_SETTINGS} {PLANTED_GRIDS} {PLANTED_FOLDS}"
+    return f"{root.rstrip('/')}/{name}-{hashlib.md5(told.encode()).hexdigest()[:12]}"
+
+
+def _suite(spark, sf_dir, train_only: bool = False):
+    """Search the seven families with five folds, those that take weights on patterns."""
+    from riskframe.operators import sampling
+    from riskframe.plans import search as R
+    rows = planted(spark, sf_dir)
+    if train_only:
+        rows = planted_split(rows)[0]
+    rows = sampling.deal_rows(rows, TRAIN_PARTS, TRAIN_KEY).select(
+        *S.PLANTED_FEATURES, "label", "fold").persist()
+    data = R.SearchData.of(rows, S.PLANTED_FEATURES)
+    try:
+        return R.search_families(spark, data, planted_searches(), PLANTED_FOLDS,
+                                 ledger_path(spark, sf_dir, "train" if train_only else "all"),
+                                 SUITE_THREADS)
+    finally:
+        data.patterns.unpersist()
+        rows.unpersist()
+
+
+def _search(spark, sf_dir, kind: str = "lr", folds: int = PLANTED_FOLDS):
     from riskframe.plans import models as M
     est = M.make_estimator(kind, **{k: v for k, v in PLANTED_SETTINGS[kind].items()
                                     if k not in PLANTED_GRIDS[kind]})
@@ -795,10 +895,13 @@ def _search(spark, sf_dir, kind: str = "lr", folds: int = 3):
         data.unpersist()
 
 
-# Every combination predicts the majority side, so each fold's F1 is the data's.
-CV_SQL = O.with_planted(", " + O.PLANTED_F1.format(group="fold", source="planted") + """
-SELECT combo, params, (SELECT ROUND(avg(f1), 6) FROM f1_groups) AS avg_metric{best}
-FROM (VALUES (0, 'maxIter=2'), (1, 'maxIter=3')) AS t(combo, params)""")
+# The first combination predicts the most frequent label, the second the majority side.
+CV_SQL = O.with_planted(", " + O.PLANTED_F1.format(group="fold", source="planted")
+                        + ", " + O.CONSTANT_F1 + """,
+scores AS (
+  SELECT 0 AS combo, 'regParam=10.0' AS params, (SELECT avg(f1) FROM c1_groups) AS f1
+  UNION ALL SELECT 1, 'regParam=0.01', (SELECT avg(f1) FROM f1_groups))
+SELECT combo, params, ROUND(f1, 6) AS avg_metric{best} FROM scores""")
 
 
 @register("cross_validate", sql=CV_SQL.format(best=""))
@@ -808,21 +911,111 @@ def q_cross_validate(spark, sf_dir):
     return res.select("combo", "params", F.round("avg_metric", 6).alias("avg_metric"))
 
 
-@register("grid_results", sql=CV_SQL.format(best=", combo = 0 AS is_best"))
+@register("grid_results", sql=CV_SQL.format(best=", f1 = max(f1) OVER () AS is_best"))
 def q_grid_results(spark, sf_dir):
     from riskframe.plans import models as M
     return M.grid_results(spark, _search(spark, sf_dir)).withColumn(
         "avg_metric", F.round("avg_metric", 6))
 
 
-@register("best_params", sql="""
-SELECT * FROM (VALUES ('lr', 'maxIter=2'), ('rf', 'numTrees=3'), ('gbt', 'maxIter=2'),
-  ('mlp', 'layers=[3,5,2]'), ('lsvc', 'regParam=0.01'), ('nb', 'smoothing=1.0'),
-  ('fm', 'maxIter=15')) AS t(model, params) WHERE (SELECT count(*) FROM lineitem) > 0""")
+# Of lr, rf and gbt the better combination by SQL's own scores; ties go to the first.
+BEST_SQL = O.with_planted(", " + O.PLANTED_F1.format(group="fold", source="planted")
+                          + ", " + O.CONSTANT_F1 + """,
+won AS (SELECT (SELECT avg(f1) FROM f1_groups) > (SELECT avg(f1) FROM c1_groups) AS second)
+SELECT model, CASE WHEN second THEN b ELSE a END AS params
+FROM won, (VALUES ('lr', 'regParam=10.0', 'regParam=0.01'), ('rf', 'maxDepth=0', 'maxDepth=5'),
+  ('gbt', 'maxDepth=0', 'maxDepth=5'), ('mlp', 'layers=[3,5,2]', 'layers=[3,5,2]'),
+  ('lsvc', 'regParam=0.01', 'regParam=0.01'), ('nb', 'smoothing=1.0', 'smoothing=1.0'),
+  ('fm', 'regParam=0.0', 'regParam=0.0')) AS t(model, a, b)""")
+
+
+@register("best_params", sql=BEST_SQL)
 def q_best_params(spark, sf_dir):
-    """All combinations tie on the planted table, so the first of each grid is chosen."""
+    """The second combination wins for three families, the first of ties for the others."""
+    return spark.createDataFrame([(r.name, r.params) for r in _suite(spark, sf_dir)],
+                                 "model STRING, params STRING")
+
+
+# ------------------------------------------- patterns, prefixes, ledger
+
+@register("pattern_counts", sql=O.with_planted("""
+SELECT a, b, d, label, fold, CAST(count(*) AS DOUBLE) AS weight FROM planted GROUP BY ALL"""))
+def q_pattern_counts(spark, sf_dir):
+    from riskframe.plans import patterns as P
+    return P.compress(planted(spark, sf_dir), S.PLANTED_FEATURES, "label", ["fold"])
+
+
+@register("pattern_coefficients", sql=O.with_planted("""
+, sides AS (SELECT a, ln(sum(label) / CAST(sum(1 - label) AS DOUBLE)) AS odds FROM planted
+            GROUP BY a)
+SELECT 'a' AS feature, ROUND((SELECT odds FROM sides WHERE a = 1) - odds, 5) AS coefficient
+FROM sides WHERE a = 0
+UNION ALL SELECT 'intercept', ROUND(odds, 5) FROM sides WHERE a = 0"""))
+def q_pattern_coefficients(spark, sf_dir):
+    """Unregularised logistic regression on counted patterns: log odds of the whole table."""
+    from riskframe.plans import patterns as P
+    counted = P.compress(planted(spark, sf_dir), ["a"])
+    model = P.fit_patterns("lr", counted, ["a"], regParam=0.0, maxIter=100, tol=1e-12)
+    (slope,), intercept = P.linear_terms(model)
+    return spark.createDataFrame([("a", round(slope, 5)), ("intercept", round(intercept, 5))],
+                                 "feature STRING, coefficient DOUBLE")
+
+
+TREE_KINDS = ("rf", "gbt")
+
+
+@register("search_trees", sql=O.with_planted(", " + O.PLANTED_F1.format(
+    group="fold", source="planted") + """,
+combos AS (
+  SELECT 'rf' AS family, t.i * 5 + d.i AS combo,
+         'maxDepth=' || d.v || ', numTrees=' || t.v AS params
+  FROM (VALUES (0, 10), (1, 20), (2, 30)) AS t(i, v),
+       (VALUES (0, 5), (1, 10), (2, 15), (3, 25), (4, 30)) AS d(i, v)
+  UNION ALL
+  SELECT 'gbt', t.i * 5 + d.i, 'maxDepth=' || d.v || ', maxIter=' || t.v
+  FROM (VALUES (0, 10), (1, 20), (2, 30), (3, 40), (4, 50)) AS t(i, v),
+       (VALUES (0, 2), (1, 6), (2, 10), (3, 15), (4, 20)) AS d(i, v))
+SELECT family, combo, params, (SELECT ROUND(avg(f1), 9) FROM f1_groups) AS avg_f1,
+       combo = 0 AS is_best, CASE family WHEN 'rf' THEN 75 ELSE 125 END::BIGINT AS "numTrains",
+       25::BIGINT AS n_fits FROM combos"""))
+def q_search_trees(spark, sf_dir):
+    """The study's 40 forest and boosting combinations with five folds, from 50 fits."""
     from riskframe.plans import models as M
-    return M.best_settings(spark, _suite(spark, sf_dir))
+    from riskframe.plans import search as R
+    from riskframe.session import scratch_path
+    fixed = {"rf": {"featureSubsetStrategy": "all", "seed": 1}, "gbt": {"seed": 1}}
+    searches = [R.Search(k, fixed[k], M.STUDY_GRIDS[k]) for k in TREE_KINDS]
+    path = scratch_path(spark, "ledger")
+    data = R.SearchData.of(planted(spark, sf_dir), S.PLANTED_FEATURES)
+    try:
+        R.run_search(spark, data, searches, M.STUDY_FOLDS, path, parallelism=8)
+    finally:
+        data.patterns.unpersist()
+    ledger = R.read_ledger(spark, path)
+    times = R.times(ledger).select(F.col("model").alias("family"), "numTrains", "n_fits")
+    return round_doubles(R.averages(ledger, M.STUDY_FOLDS).join(times, "family"))
+
+
+@register("search_resume", sql="""
+SELECT * FROM (VALUES (1, 20::BIGINT), (2, 30::BIGINT), (3, 0::BIGINT)) AS t(session, n_fits),
+  (SELECT 50::BIGINT AS n_entries, 50::BIGINT AS n_keys FROM lineitem LIMIT 1)""")
+def q_search_resume(spark, sf_dir):
+    """One search in three sessions: what each fits, and what the ledger then holds."""
+    from riskframe.plans import models as M
+    from riskframe.plans import search as R
+    from riskframe.session import scratch_path
+    grid = {k: M.STUDY_GRIDS["lr"][k] for k in ("regParam", "maxIter")}
+    searches = [R.Search("lr", {}, grid), R.Search("nb", {}, {})]
+    path = scratch_path(spark, "ledger")
+    data = R.SearchData.of(planted(spark, sf_dir), S.PLANTED_FEATURES)
+    try:
+        made = [(i + 1, R.run_search(spark, data, searches, M.STUDY_FOLDS, path, 8, limit))
+                for i, limit in enumerate((20, None, None))]
+    finally:
+        data.patterns.unpersist()
+    held = R.read_ledger(spark, path).agg(F.count(F.lit(1)).alias("n_entries"),
+                                          F.count_distinct(*R.KEY).alias("n_keys"))
+    return spark.createDataFrame(made, "session INT, n_fits BIGINT").join(held)
 
 
 def _values(*values) -> str:
@@ -860,43 +1053,52 @@ def q_param_grid(spark, sf_dir):
     return spark.createDataFrame(rows, "model STRING, params STRING")
 
 
-def planted_parts(spark, sf_dir):
-    """Train/test parts of the planted table: an integer-key split (4/5 train)."""
+def planted_split(rows: DataFrame):
+    """Train/test parts of planted rows: an integer-key split (4/5 train)."""
     from riskframe.operators import sampling
-    return sampling.key_split(planted_assembled(spark, sf_dir), ["l_orderkey"], 0.8,
-                              buckets=5, hashed=False)
+    return sampling.key_split(rows, ["l_orderkey"], 0.8, buckets=5, hashed=False)
+
+
+def planted_parts(spark, sf_dir):
+    return planted_split(planted_assembled(spark, sf_dir))
 
 
 KINDS_SQL = ", ".join(f"('{k}')" for k in ALL_KINDS)
 
 
 @register("train_times", sql=f"""
-SELECT model, 3::BIGINT AS "numTrains", true AS timed FROM (VALUES {KINDS_SQL}) AS t(model)
+SELECT model, 10::BIGINT AS "numTrains", true AS timed FROM (VALUES {KINDS_SQL}) AS t(model)
 WHERE (SELECT count(*) FROM lineitem) > 0""")
 def q_train_times(spark, sf_dir):
     from riskframe.plans import models as M
-    times = M.times_frame(spark, _suite(spark, sf_dir, grids=False))
+    times = M.times_frame(spark, _suite(spark, sf_dir))
     return times.select("model", "numTrains", (F.col("time") > 0).alias("timed"))
 
 
 @register("train_suite", sql=O.with_planted(", " + O.PLANTED_F1.format(
     group="fold", source="planted") + f"""
-SELECT model, 6::BIGINT AS "numTrains", (SELECT ROUND(avg(f1), 6) FROM f1_groups) AS best_cv_f1,
+SELECT model, 10::BIGINT AS "numTrains", (SELECT ROUND(avg(f1), 6) FROM f1_groups) AS best_cv_f1,
        (SELECT count(*) FROM planted WHERE label <> majority) AS errors
 FROM (VALUES {KINDS_SQL}) AS t(model)"""))
 def q_train_suite(spark, sf_dir):
     from riskframe.plans import models as M
     results = _suite(spark, sf_dir)
-    confusion = planted_model_confusion(
-        {r.name: r.model for r in results}, planted_assembled(spark, sf_dir))
+    confusion = suite_confusion(results, planted(spark, sf_dir))
     errors = confusion.groupBy("model").agg(F.sum(F.when(
         F.col("label") != F.col("prediction"), F.col("n")).otherwise(0)).alias("errors"))
     summary = spark.createDataFrame(
-        [(r.name, r.num_trains, float(round(max(r.model.avgMetrics), 6))) for r in results],
+        [(r.name, r.num_trains, float(round(r.best_f1, 6))) for r in results],
         "model STRING, numTrains BIGINT, best_cv_f1 DOUBLE")
     return summary.join(errors, "model")
 
 
+def suite_confusion(results, rows: DataFrame) -> DataFrame:
+    """Confusion counts of a suite's refitted pipelines from one scan."""
+    from riskframe.plans import search as R
+    models = {r.name: r.model for r in results}
+    return met.confusion_grid(R.predictions(models, rows), {n: F.col(n) for n in models})
+
+
 def planted_model_confusion(models: dict, data: DataFrame) -> DataFrame:
     """Confusion counts of many models from one scan: chained predictions, one joint group."""
     from riskframe.plans import models as M
@@ -918,7 +1120,7 @@ m AS (SELECT *, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy,
 
 
 @register("model_comparison", sql=PLANTED_METRICS_SQL + f"""
-SELECT model, 6::BIGINT AS "numTrains", true AS timed, tp, fp, fn, tn,
+SELECT model, 10::BIGINT AS "numTrains", true AS timed, tp, fp, fn, tn,
        ROUND(accuracy, 9) AS accuracy, ROUND(precision, 9) AS precision,
        ROUND(recall, 9) AS recall, ROUND(f1, 9) AS f1, ROUND(weighted_f1, 9) AS weighted_f1,
        row_number() OVER (ORDER BY model) AS rank
@@ -929,8 +1131,7 @@ def q_model_comparison(spark, sf_dir):
     from riskframe.plans import models as M
     from riskframe.plans import reports as R
     results = _suite(spark, sf_dir, train_only=True)
-    confusion = planted_model_confusion({r.name: r.model for r in results},
-                                        planted_parts(spark, sf_dir)[1])
+    confusion = suite_confusion(results, planted_split(planted(spark, sf_dir))[1])
     out = R.model_comparison(confusion, M.times_frame(spark, results), positive=0.0)
     per_fit = F.round(F.col("time") / F.col("numTrains"))
     return round_doubles(out.select(

@@ -72,9 +72,10 @@ def planted_table(lineitem: DataFrame) -> DataFrame:
     complement of ``a``, ``d`` is noise.
 
     The best prediction of every family is the majority label on each side of
-    ``a``, which SQL can state.  ``fold`` is a deterministic fold column.
+    ``a``, which SQL can state; label 0 is the more frequent.  ``fold`` is a
+    deterministic fold column.
     """
-    a = (F.col("l_quantity") > 25).cast("int")
+    a = (F.col("l_quantity") > 30).cast("int")
     flipped = (F.col("l_orderkey") % 10 == 3).cast("int")
     return lineitem.select(
         "l_orderkey",
@@ -84,7 +85,7 @@ def planted_table(lineitem: DataFrame) -> DataFrame:
         (F.col("l_discount") > 0.05).cast("int").alias("d"),
         (F.col("l_suppkey") % 40).cast("string").alias("code"),
         F.abs(a - flipped).alias("label"),
-        (F.col("l_orderkey") % 3).cast("int").alias("fold"),
+        F.pmod(F.floor(F.col("l_orderkey") / 10), F.lit(5)).cast("int").alias("fold"),
     )
 
 

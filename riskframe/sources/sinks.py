@@ -56,6 +56,18 @@ def append_table(df: DataFrame, name: str) -> str:
     return name
 
 
+def replace_rows(df: DataFrame, path: str, by: list[str]) -> str:
+    """Append rows such that a rerun does not double them: whatever the table at ``path``
+    holds under the values of ``by`` that occur in ``df`` gives way to ``df``'s rows.
+
+    The table is partitioned by those columns and the write swaps whole partitions when
+    it commits; rows of other values are not read or touched.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
+    return path
+
+
 def cache(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Persist a frame that several jobs reuse (spills instead of recomputing)."""
     return df.persist(level)

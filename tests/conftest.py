@@ -17,6 +17,7 @@ def spark():
 
     ckpt = tempfile.mkdtemp(prefix="riskframe-test-ckpt-")
     wh = tempfile.mkdtemp(prefix="riskframe-test-wh-")
+    ledgers = tempfile.mkdtemp(prefix="riskframe-test-ledgers-")
     session = (SparkSession.builder.master("local[*]")
                .appName("riskframe-tests")
                .config("spark.sql.shuffle.partitions", "8")
@@ -25,6 +26,8 @@ def spark():
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.warehouse.dir", wh)
                .config("spark.checkpoint.dir", ckpt)
+               # The suite's jobs search the same rows: each goes on from the last one.
+               .config("riskframe.ledger.dir", ledgers)
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
