@@ -55,13 +55,24 @@ def plain_mix(spark, rows, docs, sf_dir):
     shares = np.array(list(mixing.TARGETS.values()))
     budget = (n_tokens @ posterior)[0] / (shares[0] / shares.sum())
     wanted = np.minimum(budget * shares / shares.sum(), n_tokens @ posterior)
-    rates = np.ones(len(rows))
-    for _ in range(mixing.PASSES):
-        over = (rates * n_tokens) @ posterior - wanted
-        if np.abs(over).max() <= mixing.TOLERANCE * budget:
-            break
-        moving = (n_tokens * (rates > 0)) @ posterior
-        rates = np.maximum(0, rates - posterior @ (over / moving))
+    members = spark.createDataFrame([(int(n), p.tolist()) for n, p in zip(n_tokens, posterior)],
+                                    "n_tokens long, posterior array<double>")
+    try:
+        steps = mixing.fit_rate_steps(members, shares.tolist(), 0)
+    except mixing.TargetsNotMet as nearest:  # nothing to compare the rates with
+        rates = mixing.rates_after(posterior, nearest.steps)
+    else:
+        # The least squares' dual by plain scaled gradient steps, to the end.
+        dual = np.zeros(len(shares))
+        for _ in range(200_000):
+            best = np.maximum(0, 1 - posterior @ dual)
+            over = (best * n_tokens) @ posterior - wanted
+            if np.abs(over).max() <= 1e-9 * budget:
+                break
+            dual += over / ((n_tokens * (best > 0)) @ posterior)
+        rates = mixing.rates_after(posterior, steps)
+        assert np.abs((rates * n_tokens) @ posterior - wanted).max() <= mixing.TOLERANCE * budget
+        assert n_tokens @ np.abs(rates - best) <= 0.01 * n_tokens.sum()
     uniform = {(r.doc_id, r.text): r.u for r in docs.select(
         "doc_id", "text", (F.pmod(F.xxhash64(*row_key(docs), F.lit(17)), F.lit(1 << 30))
                            / float(1 << 30)).alias("u")).collect()}
