@@ -67,8 +67,8 @@ def test_trees_recover_threshold_from_raw_column(spark, kind):
 def test_train_suite_counts_and_times(spark):
     data = Q.planted_assembled(spark, SMALL)
     specs = [M.ModelSpec("nb"), M.ModelSpec("lr", {"maxIter": 10}, {"regParam": [0.0, 0.1]})]
-    res = M.train_suite(data, specs, num_folds=3, fold_col="fold", n_features=3)
-    assert [(r.name, r.num_trains) for r in res] == [("nb", 3), ("lr", 6)]
+    res = M.train_suite(data, specs, num_folds=5, fold_col="fold", n_features=3)
+    assert [(r.name, r.num_trains) for r in res] == [("nb", 5), ("lr", 10)]
     assert all(r.millis > 0 for r in res)
     times = M.times_frame(spark, res)
     assert times.columns == ["model", "time", "numTrains"]
@@ -102,8 +102,8 @@ def test_assembler_error_mode_fails_on_null(spark):
 def test_convergence_flags_iteration_limit(spark):
     lr = Q.fit_planted(spark, SMALL, "lr")
     out = {r["model"]: r for r in M.convergence(spark, {"lr": lr}).collect()}
-    assert out["lr"]["max_iter"] == 3
-    assert out["lr"]["at_limit"] == (out["lr"]["iterations"] >= 3)
+    assert out["lr"]["max_iter"] == 20
+    assert out["lr"]["at_limit"] == (out["lr"]["iterations"] >= 20)
 
 
 def test_cv_matches_fold_by_fold_fits_and_releases_memory(spark):
@@ -111,13 +111,13 @@ def test_cv_matches_fold_by_fold_fits_and_releases_memory(spark):
     est = M.make_estimator("lr", maxIter=5)
     maps = M.param_grid(est, {"regParam": [0.0, 0.3]})
     persisted_before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
-    cv = M.cross_validator(M.pipeline(est), maps, 3, "fold").fit(data)
+    cv = M.cross_validator(M.pipeline(est), maps, 5, "fold").fit(data)
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == persisted_before
     ev = M.f1_evaluator()
     for i, pm in enumerate(maps):
         scores = [ev.evaluate(est.fit(data.where(F.col("fold") != f), pm)
-                              .transform(data.where(F.col("fold") == f))) for f in range(3)]
-        assert cv.avgMetrics[i] == pytest.approx(sum(scores) / 3, abs=1e-12)
+                              .transform(data.where(F.col("fold") == f))) for f in range(5)]
+        assert cv.avgMetrics[i] == pytest.approx(sum(scores) / 5, abs=1e-12)
 
 
 @pytest.mark.parametrize("folds, message", [
