@@ -6,24 +6,28 @@ into a window centred on the other with known probability.  A pair is verified
 when its windows collide on at least ``needed`` lines, the largest count that
 keeps the wanted recall for a pair exactly at the threshold (a binomial tail).
 
-One more line, with a wider window that hardly any such pair misses, is the
-sorted one: rows are dealt to stripes of one window's width, so a row's window reaches its own stripe and its neighbours.  Stripes
-are cut into blocks of at most ``BLOCK_ROWS`` rows and compared block against
-block, so a label or stripe that holds most rows is spread over many tasks and
-no task holds more than two blocks.  Inside a task the sorted line gives
-the window of each query, and pairs drop out as soon as the lines left cannot
-bring them to ``needed``.  A task returns link counts per row and a spanning
-set of links, never its pairs.
-
-Work grows with the pairs whose sorted windows collide; a line tells vectors
-apart only by a constant factor, so that is still the square of a label's
-distinct vectors (see README).
+Three more lines, with wider windows that hardly any such pair misses, are
+sorted to find the pairs worth counting.  On the first of them rows are dealt to
+stripes of one window's width, so a row's window reaches its own stripe and its
+neighbours.  Stripes are cut into blocks of at most ``BLOCK_ROWS`` rows and
+compared block against block, so a label or stripe that holds most rows is
+spread over many tasks and no task holds more than two blocks.  Inside a task
+rows are sorted by their cell on the other two lines, then along the first, so a
+query's windows on all three meet in nine runs of the sorted rows; only pairs in
+these runs are formed.  Pairs drop out as soon as the lines left cannot bring
+them to ``needed``.  A task returns link counts per row and a spanning set of
+links, never its pairs.
+
+Work grows with the pairs whose sorted windows collide, about a quarter of a
+label's pairs; a line tells vectors apart only by a constant factor,
+so that is still the square of a label's distinct vectors (see README).
 
 Defined results: copies of a vector under one label are compared once and
 linked to each other; rows with a null label, or a vector that is null, empty,
 zero or holds null or non-finite components link with nothing; vectors of
-different length do not link; repeated rows count as copies; an empty table
-gives no rows; extra columns are ignored.
+different different length do not link; repeated rows count as copies; a cosine equal to
+the threshold links; vectors may be of any length; an empty table gives no rows;
+extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -44,8 +48,9 @@ LINES = 24
 RECALL = 0.999999
 #: Half-width of a window in standard deviations of a threshold pair's difference.
 REACH = 3.0
-#: The same for the sorted line.
+#: The same for the sorted lines.
 SORTED_REACH = 4.5
+SORTED_LINES = 3
 BLOCK_ROWS = 2048
 SEED = 20240611
 PAIRS_AT_ONCE = 1 << 21
@@ -68,8 +73,8 @@ def needed_collisions(lines: int = LINES, reach: float = REACH, recall: float =
 
 
 def random_lines(dim: int, lines: int = LINES, seed: int = SEED) -> np.ndarray:
-    """The sorted line and ``lines`` counted ones, as columns."""
-    return np.random.default_rng([seed, dim]).standard_normal((dim, 1 + lines))
+    """The sorted lines and ``lines`` counted ones, as columns."""
+    return np.random.default_rng([seed, dim]).standard_normal((dim, SORTED_LINES + lines))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -85,25 +90,50 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
+def sorted_runs(a: np.ndarray, b: np.ndarray, half: float):
+    """Where the windows of ``a``'s rows on the sorted lines meet rows of ``b``.
+
+    Returns an order of ``b`` and, for each of the nine cells around a row's own on
+    the second and third line and each row of ``a``, the start and size of a run.
+    Runs hold every row inside all three windows, and some just outside.
+    """
+    cells_a, cells_b = (np.floor(x[:, 1:SORTED_LINES] / half).astype(np.int64) for x in (a, b))
+    both = np.concatenate([cells_a, cells_b])
+    least, spans = both.min(axis=0) - 1, np.ptp(both, axis=0) + 3
+    code = lambda cells: (cells[:, 0] - least[0]) * spans[1] + cells[:, 1] - least[1]
+    # A cell's rows stand together, apart from the next cell's by more than a window.
+    apart = np.abs(a[:, 0]).max() + np.abs(b[:, 0]).max() + 2 * half + 1
+    key = code(cells_b) * (2 * apart) + b[:, 0]
+    order = np.argsort(key, kind="stable")
+    key, reach = key[order], half + 1e-6  # the exact windows are compared afterwards
+    around = np.array([(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    centre = np.concatenate([code(cells_a + step) for step in around]) * (2 * apart) \
+        + np.tile(a[:, 0], len(around))
+    low = np.searchsorted(key, centre - reach, "left")
+    return order, low, np.searchsorted(key, centre + reach, "right") - low
+
+
 def colliding_pairs(a: np.ndarray, b: np.ndarray, sorted_half: float, half: float, needed: int):
-    """Row pairs (of ``a``, of ``b``) that share a window on the sorted line and on
+    """Row pairs (of ``a``, of ``b``) that share a window on every sorted line and on
     ``needed`` or more of the counted ones."""
-    lines = a.shape[1] - 1
-    order = np.argsort(b[:, 0], kind="stable")
-    along = b[order, 0]
-    low = np.searchsorted(along, a[:, 0] - sorted_half, "left")
-    sizes = np.searchsorted(along, a[:, 0] + sorted_half, "right") - low
+    if not len(a) or not len(b):
+        return
+    total = a.shape[1]
+    order, low, sizes = sorted_runs(a, b, sorted_half)
     cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), PAIRS_AT_ONCE), "left")
-    edges = [0, *sorted(set(cuts[1:].tolist())), len(a)]
+    edges = [0, *sorted(set(cuts[1:].tolist())), len(sizes)]
     for first, last in zip(edges, edges[1:]):
         n = sizes[first:last]
-        left = np.repeat(np.arange(first, last), n)
+        left = np.repeat(np.arange(first, last) % len(a), n)
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         right = order[np.repeat(low[first:last], n) + step]
+        for line in range(SORTED_LINES):
+            near = np.abs(a[left, line] - b[right, line]) <= sorted_half
+            left, right = left[near], right[near]
         counts = np.zeros(len(left), np.int16)
-        for line in range(1, 1 + lines):
+        for line in range(SORTED_LINES, total):
             counts += np.abs(a[left, line] - b[right, line]) <= half
-            alive = counts + (lines - line) >= needed
+            alive = counts + (total - 1 - line) >= needed
             if not alive.all():
                 left, right, counts = left[alive], right[alive], counts[alive]
         yield left, right

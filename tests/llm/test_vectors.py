@@ -87,23 +87,38 @@ def test_recall_at_the_threshold():
 
     def found(a, b):
         apart = np.abs(a @ lines - b @ lines)
-        counted = (apart[:, 1:] <= vectors.window(at)).sum(axis=1)
-        return (apart[:, 0] <= vectors.window(at, vectors.SORTED_REACH)) \
+        first = vectors.SORTED_LINES
+        counted = (apart[:, first:] <= vectors.window(at)).sum(axis=1)
+        return (apart[:, :first] <= vectors.window(at, vectors.SORTED_REACH)).all(axis=1) \
             & (counted >= vectors.needed_collisions())
 
     assert found(x, y).mean() >= 0.9995
     assert found(x, away).mean() < 0.001
 
 
-def test_pairs_are_those_that_collide():
-    """The windowed sweep with its early drops equals counting every pair."""
+def test_pairs_are_those_that_collide(monkeypatch):
+    """The sweep over sorted runs with its early drops equals counting every pair."""
     rng = np.random.default_rng(8)
-    a, b = rng.standard_normal((300, 25)), rng.standard_normal((200, 25)) * 0.6
+    first = vectors.SORTED_LINES
+    a = rng.standard_normal((300, first + 24))
+    b = rng.standard_normal((200, first + 24)) * 0.6
+    b[:40] = a[:40]
     apart = np.abs(a[:, None, :] - b[None, :, :])
-    want = (apart[..., 0] <= 0.9) & ((apart[..., 1:] <= 0.6).sum(axis=2) >= 9)
-    got = {(int(i), int(j)) for left, right in vectors.colliding_pairs(a, b, 0.9, 0.6, 9)
-           for i, j in zip(left, right)}
-    assert got == set(map(tuple, np.argwhere(want).tolist())) and len(got) > 50
+    want = (apart[..., :first] <= 0.9).all(axis=2) & ((apart[..., first:] <= 0.6).sum(axis=2) >= 9)
+    for at_once in (1 << 21, 50):
+        monkeypatch.setattr(vectors, "PAIRS_AT_ONCE", at_once)
+        got = [(int(i), int(j)) for left, right in vectors.colliding_pairs(a, b, 0.9, 0.6, 9)
+               for i, j in zip(left, right)]
+        assert len(got) == len(set(got)) > 50
+        assert set(got) == set(map(tuple, np.argwhere(want).tolist()))
+
+
+def test_sorted_lines_leave_a_part_of_the_pairs():
+    rows = vectors.unit(np.random.default_rng(4).standard_normal((3000, 64)))
+    on_lines = rows @ vectors.random_lines(64)
+    _, _, sizes = vectors.sorted_runs(on_lines, on_lines,
+                                      vectors.window(vectors.THRESHOLD, vectors.SORTED_REACH))
+    assert sizes.sum() < 0.3 * len(rows) ** 2
 
 
 def test_no_vectors(spark):
