@@ -3,10 +3,11 @@
 Documents become token pieces of at most ``capacity`` tokens.  Piece lengths
 are bounded, so the packing problem is its length histogram: at most
 ``capacity`` counts, whatever the corpus.  The plan is made on that histogram:
-for each length, longest first, combinations of one, two or three other
-lengths that fill the gap exactly are searched in the counts (no table of sums
-is kept) and consumed as often as their counts allow; what no exact combination can fill is
-packed best-fit.  Each plan step uses up at least one length, so the plan has a
+tables keyed by the sum tell how many combinations of one, two and three
+available lengths have it.  For each length, longest first, the gap it leaves is
+looked up there; a combination that fills it exactly is consumed as often as its
+counts allow, and the tables follow as lengths run out.  What no exact
+combination can fill is packed best-fit.  Each plan step uses up at least one length, so the plan has a
 few thousand steps at any corpus size.  Spark then deals the pieces of each
 length to the plan's slots by their rank among pieces of that length.
 
@@ -14,9 +15,11 @@ Ranks need no sort and no window over a hot length: every tokenising task
 numbers its own pieces per length, the pieces are written once, and one
 aggregate per (length, task) gives the offsets.
 
-Defined results: null or empty text is the one end-of-text token; repeated rows
-are packed as separate documents; an empty table gives no pieces; extra columns
-are ignored.
+Defined results: null or empty text is the one end-of-text token; a text longer
+than ``capacity`` tokens is cut, however long, and no other; repeated rows are
+packed as separate documents; pieces of equal length are dealt in any order; a
+null id is kept as such; an empty table gives no pieces; extra columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -87,38 +90,86 @@ class Step:
 
 
 class SumIndex:
-    """Which one, two or three available lengths add up to a sum."""
+    """How many combinations of one, two and three available lengths have each sum.
+
+    ``singles``, ``pairs`` and ``triples`` are tables keyed by the sum (sums are
+    bounded by ``capacity``, so the key is its own hash).  A length counts with
+    multiplicity up to three: a pair may hold it twice where two pieces are left.
+    When a piece count falls below three, two or one, the combinations that needed
+    it leave the tables; ``take`` and ``give`` keep them up to date in one pass over
+    the sums, so whether a gap can be filled is one lookup.
+    """
 
     def __init__(self, counts: np.ndarray):
-        self.counts = counts
+        self.counts = np.zeros_like(counts)
+        self.size = len(counts)
+        self.singles, self.pairs, self.triples = np.zeros((3, self.size), np.int64)
+        for length in np.flatnonzero(counts):
+            self.give(int(length), int(counts[length]))
+
+    def _level(self, length: int) -> int:
+        return min(3, int(self.counts[length]))
+
+    def _shift(self, table: np.ndarray, by: int, source: np.ndarray, sign: int) -> None:
+        """Add the combinations of ``source``, each with ``by`` more in its sum."""
+        if by < self.size:
+            table[by:] += sign * source[:self.size - by]
+
+    def _copy(self, length: int, level: int, sign: int) -> None:
+        """Combinations that hold ``length`` exactly ``level`` times come or go."""
+        others = self.singles.copy()
+        others[length] = 0
+        if level == 3 and 3 * length < self.size:
+            self.triples[3 * length] += sign
+        elif level == 2:
+            if 2 * length < self.size:
+                self.pairs[2 * length] += sign
+            self._shift(self.triples, 2 * length, others, sign)
+        elif level == 1:
+            if sign < 0:  # pairs without the length are left when its own have gone
+                self._shift(self.pairs, length, others, sign)
+            self._shift(self.triples, length, self.pairs, sign)
+            if sign > 0:
+                self._shift(self.pairs, length, others, sign)
+            self.singles[length] += sign
+
+    def take(self, length: int, times: int = 1) -> None:
+        before = self._level(length)
+        self.counts[length] -= times
+        for level in range(before, self._level(length), -1):
+            self._copy(length, level, -1)
+
+    def give(self, length: int, times: int = 1) -> None:
+        before = self._level(length)
+        self.counts[length] += times
+        for level in range(before + 1, self._level(length) + 1):
+            self._copy(length, level, 1)
 
     def complement(self, gap: int) -> tuple[int, ...] | None:
         """The fewest, longest available lengths that fill ``gap`` exactly."""
-        if self.counts[gap] > 0:
+        if self.singles[gap]:
             return (gap,)
-        pair = self._pair(gap)
-        if pair:
-            return pair
-        for longest in np.flatnonzero(self.counts[1:gap - 1])[::-1] + 1:
-            if 3 * longest < gap:
-                break
-            self.counts[longest] -= 1
-            rest = self._pair(gap - longest)
-            self.counts[longest] += 1
-            if rest:
-                return (int(longest), *rest)
+        if self.pairs[gap]:
+            return self._pair(gap)
+        if self.triples[gap]:
+            lengths = np.arange(1, gap - 1)
+            fits = (self.singles[lengths] > 0) & (self.pairs[gap - lengths] > 0)
+            for longest in lengths[fits][::-1].tolist():
+                self.take(longest)
+                rest = self._pair(gap - longest) if self.pairs[gap - longest] else None
+                self.give(longest)
+                if rest:
+                    return (longest, *rest)
         return None
 
-    def _pair(self, total: int) -> tuple[int, int] | None:
-        if total < 2:
-            return None
+    def _pair(self, total: int) -> tuple[int, int]:
+        """The pair of available lengths with this sum whose longer one is longest."""
         low = np.arange(1, total // 2 + 1)
-        high = total - low
-        fits = (self.counts[low] > 0) & (self.counts[high] > 0)
+        fits = (self.singles[low] > 0) & (self.singles[total - low] > 0)
         if total % 2 == 0:
             fits[-1] &= self.counts[total // 2] > 1
-        found = np.flatnonzero(fits)
-        return (int(high[found[0]]), int(low[found[0]])) if len(found) else None
+        first = int(low[np.argmax(fits)])
+        return total - first, first
 
 
 def _times(counts: np.ndarray, lengths: tuple[int, ...]) -> int:
@@ -130,26 +181,27 @@ def make_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Step]
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    index, plan, residual = SumIndex(counts), [], []
-
-    def take(lengths: tuple[int, ...]) -> None:
-        times = _times(counts, lengths)
-        for length in lengths:
-            counts[length] -= times
-        plan.append(Step(tuple(sorted(lengths, reverse=True)), times))
+    plan, residual = [], []
+    index = SumIndex(counts)
+    left = index.counts
 
     for length in range(capacity, 0, -1):
-        while counts[length] > 0:
-            counts[length] -= 1  # the sequence's own piece is not available to its gap
+        while left[length] > 0:
+            index.take(length)  # the sequence's own piece is not available to its gap
             rest = index.complement(capacity - length) if length < capacity else ()
-            counts[length] += 1
+            index.give(length)
             if rest is None:
                 break
-            take((length, *rest))
-        if counts[length] > 0:  # no exact filling is left: set aside for best fit
-            residual.append((length, int(counts[length])))
-            counts[length] = 0
+            lengths = (length, *rest)
+            times = _times(left, lengths)
+            for used in lengths:
+                index.take(used, times)
+            plan.append(Step(tuple(sorted(lengths, reverse=True)), times))
+        if left[length] > 0:  # no exact filling is left: set aside for best fit
+            residual.append((length, int(left[length])))
+            index.take(length, int(left[length]))
 
+    counts[:] = 0
     for length, n in residual:
         counts[length] = n
     for length, _ in residual:  # longest first
@@ -164,7 +216,10 @@ def make_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Step]
                 gap -= n * best
             for used in lengths:
                 counts[used] += 1
-            take(tuple(lengths))
+            times = _times(counts, tuple(lengths))
+            for used in lengths:
+                counts[used] -= times
+            plan.append(Step(tuple(sorted(lengths, reverse=True)), times))
     return plan
 
 
