@@ -9,10 +9,11 @@ are taken on the input, not on what is left.
 
 Defined results: documents with fewer than three lines have no window and stay
 as they are; null text stays null; null ids come after all others in the
-order; a repeated row (same id and text) is its own first occurrence, so equal
-rows stay equal; an empty table gives no rows; extra columns pass through, but
-one named like a column added here (key_id, key_hash, starts, n_lines,
-n_removed) goes.
+order; rows that share an id and hold a window at the same line are told apart by
+a digest of their text, the smallest first; a repeated row (same id and text) is
+its own first occurrence, so equal rows stay equal; texts and lines may be of any
+length; an empty table gives no rows; extra columns pass through, but one named
+like a column added here (key_id, key_hash, starts, n_lines, n_removed) goes.
 """
 
 from __future__ import annotations
@@ -21,15 +22,25 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskframe.llm.common import ROW_KEY, keyed, materialize, row_key
+from riskframe.llm.common import ROW_KEY, materialize, text_bytes
 
 WINDOW_LINES = 3
 
 
+def row_key(docs: DataFrame) -> list[Column]:
+    """``key_id`` and ``key_hash`` of a row up to copies, ordered alike in every engine:
+    the hash is the first 60 bits of the md5 of the text, "-" before it if the id is null."""
+    text = F.concat(F.when(docs["doc_id"].isNull(), "-").otherwise(""),
+                    F.coalesce(docs["text"].cast("string"), F.lit("")))
+    digits = F.substring(F.md5(text.cast("binary")), 1, 15)
+    return [F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("key_id"),
+            F.conv(digits, 16, 10).cast("long").alias("key_hash")]
+
+
 def filled_lines(lines: list[bytes]) -> list[int]:
     """Positions of the lines that hold a word."""
     return [i for i, line in enumerate(lines) if line.split(None, 1)]
@@ -61,7 +72,9 @@ def line_windows(docs: DataFrame, width: int = WINDOW_LINES) -> DataFrame:
                  pa.array(numbers, pa.int32())],
                 names=["hash_a", "hash_b", "no_id", "key_id", "key_hash", "line"])
 
-    return keyed(docs).mapInArrow(kernel, schema)
+    keyed = docs.select(*row_key(docs), docs["doc_id"].cast("long").alias("doc_id"),
+                        text_bytes().alias("raw"))
+    return keyed.mapInArrow(kernel, schema)
 
 
 def later_occurrences(windows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import secrets
+from riskframe.llm import quality_rules, secrets
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +42,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+#: One row per policy and rule, from the failure bits of ``OP1``.
+ABLATIONS = f"""
+WITH ledger AS ({OP1}),
+p AS (SELECT * FROM (VALUES {", ".join(f"('{v}', {m})" for v, m in
+                                       quality_rules.POLICIES.items())}) AS t(policy, mask)),
+u AS (SELECT * FROM (VALUES {", ".join(f"('{r.name}', {1 << i})" for i, r in
+                                       enumerate(quality_rules.RULES))}) AS t(rule, bit)),
+b AS (SELECT p.policy, rule, bit, fail_bits & mask AS bits
+      FROM ledger, p JOIN u ON p.mask & u.bit <> 0)
+SELECT policy, rule, count(*) AS n_docs, count(*) FILTER (bits & bit <> 0) AS n_failed,
+       count(*) FILTER (bits = bit) AS n_only, count(*) FILTER (bits = 0) AS n_kept,
+       count(*) FILTER (bits & ~bit = 0) AS n_kept_without
+FROM b GROUP BY policy, rule
+"""
+
 OP7 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -64,19 +79,22 @@ FROM d LEFT JOIN kept USING (r)
 
 OP8 = rf"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls,
+         substr(md5(CASE WHEN doc_id IS NULL THEN '-' ELSE '' END || coalesce(text, '')), 1, 15)
+         AS tie
   FROM documents),
-l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM d),
+l AS (SELECT r, doc_id, tie, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM d),
 f AS (
   SELECT *, row_number() OVER (PARTITION BY r ORDER BY n) AS k FROM l
   WHERE regexp_matches(line, '{WORD}')),
 g AS (
-  SELECT r, doc_id, k, line || chr(10) || lead(line, 1) OVER o || chr(10)
+  SELECT r, doc_id, k, tie, line || chr(10) || lead(line, 1) OVER o || chr(10)
          || lead(line, 2) OVER o AS gram
   FROM f WINDOW o AS (PARTITION BY r ORDER BY k)),
 later AS (
-  SELECT r, k FROM (SELECT r, k, row_number() OVER (
-    PARTITION BY gram ORDER BY doc_id NULLS LAST, k) AS place FROM g WHERE gram IS NOT NULL)
+  SELECT r, k FROM (SELECT r, k, rank() OVER (
+    PARTITION BY gram ORDER BY doc_id NULLS LAST, k, tie) AS place FROM g
+    WHERE gram IS NOT NULL)
   WHERE place > 1),
 gone AS (
   SELECT DISTINCT f.r, f.n FROM f JOIN later ON f.r = later.r
@@ -262,6 +280,7 @@ LEFT JOIN children k ON k.d = n.d AND k.node = n.node
 
 ORACLE = {
     "op1_quality_rules": OP1,
+    "quality_ablations": ABLATIONS,
     "op7_substring_dedup": OP7,
     "op8_line_dedup": OP8,
     "op9_secret_scan": OP9,

@@ -115,6 +115,18 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str = "quality"
             .sort_values("doc_id", ignore_index=True))
 
 
+def preference_pairs(good: np.ndarray, bad: np.ndarray, partners: int = PARTNERS,
+                     seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of which the first is to rank above the second.
+
+    Every row of the rarer class meets several partners, every other row at least one.
+    """
+    rng = np.random.default_rng(seed)
+    n = max(len(good), len(bad), partners * min(len(good), len(bad)))
+    pick = lambda ids: rng.permutation(np.resize(ids, n))
+    return pick(good), pick(bad)
+
+
 def fit_ranker(sample: pd.DataFrame, partners: int = PARTNERS, ridge: float = RIDGE,
                steps: int = STEPS, seed: int = SEED) -> Ranker:
     """Bradley-Terry weights by Newton's method on preference pairs of the sample."""
@@ -123,11 +135,8 @@ def fit_ranker(sample: pd.DataFrame, partners: int = PARTNERS, ridge: float = RI
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not len(good) or not len(bad):
         return Ranker(np.zeros(N_FEATURES), np.zeros(N_FEATURES), 0.0)
-    rng = np.random.default_rng(seed)
-    # Every row of the rarer class meets several partners, every other row at least one.
-    n = max(len(good), len(bad), partners * min(len(good), len(bad)))
-    pick = lambda ids: rng.permutation(np.resize(ids, n))
-    differences = rows[pick(good)] - rows[pick(bad)]
+    preferred, other = preference_pairs(good, bad, partners, seed)
+    differences, n = rows[preferred] - rows[other], len(preferred)
     weights = np.zeros(N_FEATURES)
     for _ in range(steps):
         lost = 1 / (1 + np.exp(np.clip(differences @ weights, -500, 500)))

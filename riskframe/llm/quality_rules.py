@@ -5,9 +5,11 @@ and one failure bit per rule.  A policy is a version name and a mask of the
 rules it enforces, so applying a policy, comparing policies and ablating rules
 never touch a text again: they are bitwise operations on the ledger.
 
-Defined results: null or empty text has no words, so it fails ``few_words``;
-identical rows get identical verdicts; an empty table gives an empty ledger;
-extra columns of ``docs`` are ignored.
+Defined results: null or empty text has no words, so it fails ``few_words``; texts,
+lines and words may be of any length; a measurement equal to a rule's bound passes;
+identical rows get identical verdicts and are counted each; null ids are kept; an
+empty table gives an empty ledger and no ablations; extra columns of ``docs``,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -80,17 +82,19 @@ def apply_policy(ledger: DataFrame, version: str = CURRENT_POLICY,
 
 def ablations(ledger: DataFrame, version: str = CURRENT_POLICY,
               policies: dict[str, int] = POLICIES,
-              rules: tuple[Rule, ...] = RULES) -> DataFrame:
+              rules: tuple[Rule, ...] = RULES, weight: str | None = None) -> DataFrame:
     """What each rule of a policy does: rows (policy, rule, n_docs, n_failed, n_only,
     n_kept, n_kept_without).
 
     ``n_only`` counts documents that only this rule rejects.  The ledger is first
     reduced to one row per distinct failure mask (at most 2^rules, combined map-side),
-    and the per-rule counts are sums over those masks.
+    and the per-rule counts are sums over those masks.  A ledger that is reduced
+    already names its column of counts in ``weight``.
     """
     mask = policies[version]
-    histogram = (ledger.select(F.col("fail_bits").bitwiseAND(F.lit(mask)).alias("bits"))
-                 .groupBy("bits").agg(F.count(F.lit(1)).alias("n")))
+    histogram = (ledger.select(F.col("fail_bits").bitwiseAND(F.lit(mask)).alias("bits"),
+                               (F.col(weight) if weight else F.lit(1)).alias("w"))
+                 .groupBy("bits").agg(F.sum("w").alias("n")))
     active = [(i, r.name) for i, r in enumerate(rules) if mask >> i & 1]
     per_rule = F.explode(F.array(*[
         F.struct(F.lit(1 << i).cast("long").alias("bit"), F.lit(name).alias("rule"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "fail_bits", "policy")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every rule of every policy version rejects, from one evaluation of the rules."""
+    ledger = quality_rules.evaluate_rules(read_table(spark, sf_dir, "documents"))
+    bits = materialize(ledger.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n_docs")),
+                       "failure-masks")
+    return reduce(DataFrame.unionByName, [
+        quality_rules.ablations(bits, version, weight="n_docs")
+        for version in quality_rules.POLICIES])
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = materialize(token_counts.build_trees(read_table(spark, sf_dir, "documents")),
                         "token-trees")
@@ -97,6 +109,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "quality_ablations": quality_ablations,
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash": op4_simhash,

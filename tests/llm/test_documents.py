@@ -4,7 +4,9 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations_with_replacement
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -66,6 +68,16 @@ def test_ablations_equal_counting_rows(spark):
         assert row.n_kept_without - row.n_kept == row.n_only
 
 
+def test_ablations_of_every_policy_match_the_sql(spark):
+    got = Q.QUERIES["quality_ablations"](spark, corpora.SMALL)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{corpora.SMALL}/documents.parquet'")
+    sql = f"SELECT {', '.join(got.columns)} FROM ({Q.ORACLE['quality_ablations']})"
+    rows = [tuple(r) for r in got.collect()]
+    assert key(rows) == key(db.execute(sql).fetchall())
+    assert {r[0] for r in rows} == set(quality_rules.POLICIES)
+
+
 def test_rules_of_no_documents(spark):
     ledger = quality_rules.evaluate_rules(corpora.empty(spark))
     assert quality_rules.apply_policy(ledger).count() == 0
@@ -135,6 +147,32 @@ def test_plan_uses_every_piece_once(seed):
     assert sum(s.times for s in plan) <= 1.005 * bound + 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_sum_tables_follow_the_counts(seed):
+    """Tables kept up to date equal all combinations counted anew; complements are exact."""
+    rng = np.random.default_rng(seed)
+    size = 25
+    index = packing.SumIndex(rng.choice([0, 0, 1, 2, 3, 9], size) * (np.arange(size) > 0))
+    for _ in range(60):
+        length = int(rng.integers(1, size))
+        if index.counts[length] and rng.random() < 0.7:
+            index.take(length, int(rng.integers(1, index.counts[length] + 1)))
+        else:
+            index.give(length, int(rng.integers(1, 4)))
+        live = [n for n in range(1, size) if index.counts[n]]
+        for k, table in ((1, index.singles), (2, index.pairs), (3, index.triples)):
+            sums = Counter(sum(c) for c in combinations_with_replacement(live, k)
+                           if all(n <= index.counts[x] for x, n in Counter(c).items()))
+            assert table.tolist() == [sums[s] for s in range(size)]
+        for gap in range(1, size):
+            found = index.complement(gap)
+            fits = index.singles[gap] or index.pairs[gap] or index.triples[gap]
+            assert (found is None) == (not fits)
+            if found:
+                assert sum(found) == gap
+                assert all(n <= index.counts[x] for x, n in Counter(found).items())
+
+
 def test_exact_fillings_are_found():
     assert sum(s.times for s in packing.make_plan({1000: 2, 548: 1, 500: 3}, 2048)) == 2
     assert packing.make_plan({2048: 5}) == [packing.Step((2048,), 5)]
@@ -290,6 +328,23 @@ def test_line_windows_match_plain(spark):
     assert key(tuple(r) for r in got.collect()) == key(want)
 
 
+def test_lines_of_repeated_rows_and_ids_match_the_sql(spark, tmp_path):
+    page, other = "a b\nc d\ne f\ng h", "a b\nc d\ne f\nanother end"
+    rows = [(i, t, "en", "s", len(t)) for i, t in
+            [(1, page), (1, page), (2, page), (2, other), (3, other), (3, other),
+             (None, page), (None, page), (None, other), (4, "new\n" + other + "\n" + other),
+             (5, "x y\n\nz\nz z"), (5, "x y\n\nz\nz z\n"), (None, "p\nq\nr"),
+             (None, "p\nq\nr\ns")]] + corpora.awkward_rows()
+    spark.createDataFrame(rows, corpora.SCHEMA).repartition(3).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = Q.QUERIES["op8_line_dedup"](spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = Q.ORACLE["op8_line_dedup"]
+    want = db.execute(f"SELECT doc_id, n_lines, n_removed, kept_sha256 FROM ({sql})")
+    assert key(tuple(r) for r in got.collect()) == key(want.fetchall())
+
+
 def test_lines_keep_extra_columns_and_no_documents(spark):
     extra = corpora.awkward(spark).withColumnRenamed("n_chars", "windows")
     out = lines.remove_repeated_lines(extra.withColumns(
@@ -361,7 +416,7 @@ def test_secrets_of_no_documents(spark):
 
 # Registered queries ------------------------------------------------------------
 
-@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in Q.QUERIES if n.startswith("op")))
 def test_registered_query_returns_every_row(spark, name):
     df = Q.QUERIES[name](spark, corpora.SMALL)
     table, ids = {"op10": ("embeddings", "vec_id"), "op12": ("embeddings", "vec_id"),

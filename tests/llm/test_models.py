@@ -1,5 +1,6 @@
 """Token trees, the quality ranker, mixing and the pipeline."""
 
+import math
 import random
 import zlib
 
@@ -232,6 +233,35 @@ def test_awkward_rows_get_scores(spark, ranker):
     assert quality_ranker.score_documents(corpora.empty(spark), ranker).count() == 0
 
 
+def test_weights_minimise_the_pairwise_loss(spark, ranker):
+    """Newton's weights against accelerated gradient descent on the same pairs."""
+    sample = quality_ranker.labelled_features(read_table(spark, MEDIUM, "documents"),
+                                              read_table(spark, MEDIUM, "labels"))
+    rows, label = np.array(sample.features.tolist()), sample.label.to_numpy()
+    a, b = quality_ranker.preference_pairs(np.flatnonzero(label == 1), np.flatnonzero(label == 0))
+    assert (label[a] == 1).all() and (label[b] == 0).all()
+    assert set(a) | set(b) == set(range(len(label)))
+    apart, ridge = rows[a] - rows[b], quality_ranker.RIDGE
+
+    def loss(w):
+        return np.logaddexp(0, -apart @ w).mean() + ridge / 2 * w @ w
+
+    def slope(w):
+        return -apart.T @ (1 / (1 + np.exp(np.clip(apart @ w, -500, 500)))) / len(apart) + ridge * w
+
+    steep = np.linalg.eigvalsh(apart.T @ apart / len(apart))[-1] / 4 + ridge
+    push = (math.sqrt(steep) - math.sqrt(ridge)) / (math.sqrt(steep) + math.sqrt(ridge))
+    w = ahead = np.zeros(rows.shape[1])
+    for _ in range(40_000):
+        after = ahead - slope(ahead) / steep
+        w, ahead = after, after + push * (after - w)
+        if np.abs(slope(w)).max() < 1e-10:
+            break
+    assert np.abs(slope(ranker.weights)).max() < 1e-8
+    assert loss(ranker.weights) == pytest.approx(loss(w), rel=1e-6)
+    assert np.allclose(ranker.weights, w, atol=1e-3 * np.abs(w).max())
+
+
 def test_one_class_only_scores_half(spark):
     sample = pd.DataFrame({"doc_id": [1, 2], "label": [1, 1],
                            "features": [quality_ranker.features(b"a"),
