@@ -13,7 +13,9 @@ threshold is of all labelled rows of the training fold: one map over the texts
 leaves ids and strengths, labels are joined to those, and a distributed sort
 ranks them.  Scoring reads every text, one map over rows.  No text is shuffled.
 
-Defined results: null or empty text is scored like any other; without labelled
+Defined results: null or empty text is scored like any other, and so is a very
+long one, by features of all of it; a strength at the threshold scores 0.5; a
+repeated id counts once for the threshold, with its lowest strength and label; without labelled
 rows of both classes every score is 0.5; held-out rows and rows with a null
 label never train; repeated rows get equal scores; an empty table gives no
 rows; extra columns are ignored.

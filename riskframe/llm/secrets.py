@@ -10,7 +10,9 @@ Postings hold the trigrams that the rule set asks for, on lower-cased text, so
 case-insensitive rules use the same index; lower-casing can only add candidates.
 
 Defined results: null text counts as empty and has no spans; repeated rows get
-the same spans; spans are in code points, end exclusive; an empty table gives
+the same spans; a very long text is scanned whole, however many matches it has;
+spans are in code points, end exclusive, in order of their start, those that start
+together in the rules' order; an empty table gives
 no rows; extra columns are ignored.
 """
 

@@ -15,7 +15,8 @@ blocks and verified.  A pair left out has both ends in one component already,
 so components are exactly those of all links.
 
 Defined results: null or wordless text has fingerprint zero, linked like any
-other; identical rows share a fingerprint; a null doc_id never names a
+other; a bit set in exactly half the hashes is zero; a very long text counts all
+its shingles; identical rows share a fingerprint; a null doc_id never names a
 component unless the component has no other id; an empty table gives no rows;
 extra columns are ignored.
 """

@@ -25,7 +25,8 @@ inside one minimizer.  Then, by Spark joins:
 
 Pieces and edges are compared by two independent 64-bit hashes of their words.
 
-Defined results: texts with fewer words than a span are never cut; null text
+Defined results: every word of a very long text can be cut; texts with fewer
+words than a span are never cut; null text
 has no words; a null doc_id neither cuts nor is cut; rows that share a doc_id
 do not cut each other; identical rows get identical results; an empty table
 gives no rows; extra columns are ignored.

@@ -14,8 +14,10 @@ a join on the document (``attach_edits``) or a column, then one map over rows.
 
 Defined results: null text counts as empty (no tokens); edits with null bounds
 or outside the text are cut to the text, overlapping ones are taken in order of
-their start and shortened to what is left; a null replacement deletes; repeated
-rows are edited alike; an empty table gives no rows; extra columns are ignored.
+their start (ties: end, then replacement) and shortened to what is left; a null
+replacement deletes; a very long text has one tree, made by one task from the whole
+text; repeated rows are edited alike; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
