@@ -8,8 +8,8 @@
 * **Ledger.**  Results go to a Parquet table keyed by family, combination and fold,
   appended as each fit ends.  A search starts by taking the table's rows off its plan,
   so a search that was stopped goes on where it ended and repeats no fit.
-* **Patterns.**  Families that take weights train on distinct patterns
-  (``patterns.compress``); the others on the rows.
+* **Patterns.**  Families train on distinct patterns (``patterns.compress``): those that
+  take weights, and the perceptron and the factorization machine in ``counted``.
 
 The plan, the ledger and the summary hold one row per combination and fold.
 """
@@ -36,6 +36,8 @@ LENGTH = {"rf": "numTrees", "gbt": "maxIter"}
 LEDGER = ("family STRING, combo INT, params STRING, fold INT, f1 DOUBLE, millis BIGINT, "
           "unit STRING")
 KEY = ["family", "combo", "fold"]
+#: Families that train on patterns.
+PATTERNED = (*P.WEIGHTED, *M.COUNTING)
 
 
 @dataclass(frozen=True)
@@ -166,7 +168,7 @@ class SearchData:
 
     def part(self, family: str, fold: int | None, inside: bool) -> DataFrame:
         """The rows (or patterns) of one fold, or those of all others."""
-        frame = self.patterns if family in P.WEIGHTED else self.rows.withColumn(
+        frame = self.patterns if family in PATTERNED else self.rows.withColumn(
             P.WEIGHT, F.lit(1.0))
         if fold is None:
             return frame
@@ -183,7 +185,9 @@ class SearchData:
         from riskframe.operators.features import assembler
 
         stages = M.pipeline(assembler(self.features, "features", "error"),
-                            M.make_estimator(family, "features", self.label, **settings))
+                            M.make_estimator(family, "features", self.label,
+                                             P.WEIGHT if family in PATTERNED else None,
+                                             **settings))
         return stages.fit(M.with_class_count(train, self.label))
 
 
